@@ -16,7 +16,9 @@ from affinity.functions.scalars import tags_to_text
 from affinity.operators.pairs import owner_pairs
 from affinity.operators.topk import topk_per_key
 from affinity.schemas import HASHED_FEATURES, LIST_SIZE, SIM_THRESHOLD
+from affinity.session import cut_lineage
 
+CELL_PROFILES = 256
 _SLACK = 1e-9
 _SCALE = 1_000_000_000
 
@@ -70,10 +72,13 @@ def content_tfidf(bags: DataFrame) -> DataFrame:
 
 
 def tag_profiles(bags: DataFrame) -> DataFrame:
-    """Distinct tag bags: profile id, number of products, sorted tokens."""
-    return (bags.select("product_id", F.array_sort("tokens").alias("bag"))
-            .groupBy("bag").agg(F.min("product_id").alias("profile"),
-                                F.count("*").alias("members")))
+    """Distinct tag bags: profile id, number of products, sorted tokens.
+
+    Written once: all later steps read this table, not the products.
+    """
+    return cut_lineage(bags.select("product_id", F.array_sort("tokens").alias("bag"))
+                       .groupBy("bag").agg(F.min("product_id").alias("profile"),
+                                           F.count("*").alias("members")))
 
 
 def profile_members(bags: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -81,8 +86,11 @@ def profile_members(bags: DataFrame, profiles: DataFrame) -> DataFrame:
             .join(profiles.select("bag", "profile"), "bag").select("product_id", "profile"))
 
 
-def _unit_vectors(profiles: DataFrame) -> DataFrame:
-    """Unit TF-IDF vector per profile, rarest term first; empty ones are left out."""
+def unit_vectors(profiles: DataFrame) -> DataFrame:
+    """Unit TF-IDF vector per profile, rarest term first; empty ones are left out.
+
+    Written once, for both sides of the join that pairs them.
+    """
     terms = profiles.select("profile", "members", F.inline(_term_counts(F.col("bag"))))
     total = profiles.agg(F.sum("members").alias("m")).scalar()
     idf = (terms.groupBy("term").agg(F.sum("members").alias("df"))
@@ -93,10 +101,10 @@ def _unit_vectors(profiles: DataFrame) -> DataFrame:
                .agg(F.array_sort(F.collect_list(F.struct(
                    "df", "term", (F.col("tf") * F.col("idf")).alias("w")))).alias("vec")))
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
-    return vectors.withColumn("norm", norm).where("norm > 0").select(
+    return cut_lineage(vectors.withColumn("norm", norm).where("norm > 0").select(
         "profile",
         F.transform("vec", lambda x: F.struct(
-            x["term"].alias("term"), (x["w"] / F.col("norm")).alias("w"))).alias("vec"))
+            x["term"].alias("term"), (x["w"] / F.col("norm")).alias("w"))).alias("vec")))
 
 
 def _postings(vectors: DataFrame, threshold: float) -> DataFrame:
@@ -116,24 +124,26 @@ def _postings(vectors: DataFrame, threshold: float) -> DataFrame:
         F.transform(F.slice("vec", F.lit(1), i), lambda y: y["term"]).alias("before")))
     indexed = F.filter("entries", lambda e: e["tail"] > threshold - _SLACK)
     return (vectors.withColumn("tails", squares).withColumn("entries", entries)
-            .select("profile", "vec", F.explode(indexed).alias("e"))
+            .withColumn("weights", F.map_from_entries("vec"))
+            .select("profile", "vec", "weights", F.explode(indexed).alias("e"))
             .select(F.col("e.term").alias("term"), "profile", F.col("e.w").alias("w"),
-                    F.col("e.rest").alias("rest"), F.col("e.before").alias("before"), "vec"))
+                    F.col("e.rest").alias("rest"), F.col("e.before").alias("before"), "vec",
+                    "weights"))
 
 
-def profile_pairs(profiles: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFrame:
+def profile_pairs(vectors: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFrame:
     """Unordered profile pairs ``a < b`` with cosine above the threshold.
 
     A pair is looked at only under its rarest common term, and only if that term
     plus the best case for the rest can pass; then the whole cosine is taken.
     """
-    pairs = owner_pairs(_postings(_unit_vectors(profiles), threshold), "term", "profile")
+    pairs = owner_pairs(_postings(vectors, threshold), "term", "profile",
+                        CELL_PROFILES)
     possible = pairs.where(
         (F.col("w_a") * F.col("w_b") + F.col("rest_a") * F.col("rest_b") > threshold - _SLACK)
         & ~F.arrays_overlap("before_a", "before_b"))
-    weight_b = F.map_from_entries("vec_b")
     dot = F.aggregate("vec_a", F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(
-        F.try_element_at(weight_b, x["term"]), F.lit(0.0)))
+        F.try_element_at("weights_b", x["term"]), F.lit(0.0)))
     return (possible.select(F.least("profile_a", "profile_b").alias("a"),
                             F.greatest("profile_a", "profile_b").alias("b"), dot.alias("sim"))
             .where(F.col("sim") > threshold))
@@ -147,11 +157,12 @@ def content_pairs(bags: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFram
     them out for those who need every product pair as a row.
     """
     profiles = tag_profiles(bags)
+    vectors = unit_vectors(profiles)
     sizes = profiles.select("profile", "members")
-    own = (_unit_vectors(profiles).join(sizes, "profile").where("members > 1")
+    own = (vectors.join(sizes, "profile").where("members > 1")
            .select(F.col("profile").alias("a"), F.col("profile").alias("b"),
                    F.lit(1.0).alias("sim")))
-    both = profile_pairs(profiles, threshold).select(
+    both = profile_pairs(vectors, threshold).select(
         F.stack(F.lit(2), "a", "b", "sim", "b", "a", "sim").alias("a", "b", "sim"))
     return (both.unionByName(own)
             .join(sizes.select(F.col("profile").alias("a"), F.col("members").alias("members1")), "a")
@@ -177,11 +188,12 @@ def content_topk(bags: DataFrame, k: int = LIST_SIZE,
     supply them, so copies are never paired with each other.
     """
     profiles = tag_profiles(bags)
+    vectors = unit_vectors(profiles)
     members = profile_members(bags, profiles)
     alike = (F.round(F.col("sim") * _SCALE)).cast("long")
-    both = profile_pairs(profiles, threshold).select(
+    both = profile_pairs(vectors, threshold).select(
         F.stack(F.lit(2), "a", "b", "sim", "b", "a", "sim").alias("a", "b", "sim"))
-    own = _unit_vectors(profiles).select(
+    own = vectors.select(
         F.col("profile").alias("a"), F.col("profile").alias("b"), F.lit(1.0).alias("sim"))
     near = topk_per_key(both.unionByName(own).withColumn("alike", alike), "a",
                         [F.desc("alike"), F.asc("b")], k + 1).drop("rank")

@@ -25,9 +25,13 @@ HEAVY_USERS = 256
 
 
 def user_items(ratings: DataFrame, dedup: bool = False) -> DataFrame:
-    """One row per user and product: multiplicity ``n`` and the product's count ``size``."""
+    """One row per user and product: multiplicity ``n`` and the product's count ``size``.
+
+    The combined rows are written once; all that follows reads that compact
+    table several times and the ratings never again.
+    """
     n = F.lit(1).cast("long") if dedup else F.count("*")
-    rows = ratings.groupBy("user_id", "product_id").agg(n.alias("n"))
+    rows = cut_lineage(ratings.groupBy("user_id", "product_id").agg(n.alias("n")))
     sizes = rows.groupBy("product_id").agg(F.sum("n").alias("size"))
     return rows.join(sizes, "product_id").select("user_id", "product_id", "n", "size")
 
@@ -78,22 +82,16 @@ def _top(both: DataFrame, k: int | None) -> DataFrame:
         cooccurrence_sim(F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim"))
 
 
-def heavy_users(ratings: DataFrame, min_items: int = HEAVY_ITEMS,
+def heavy_users(rows: DataFrame, min_items: int = HEAVY_ITEMS,
                 limit: int = HEAVY_USERS) -> list[int]:
-    """Users with more than ``min_items`` distinct products, at most ``limit`` of them.
+    """Users with more than ``min_items`` products, the ``limit`` largest of them.
 
     The list is bounded by ``limit``. Users beyond it stay on the ordinary path,
     so the bound decides only how a user is computed, not whether.
     """
-    busy = (ratings.groupBy("user_id").agg(F.count("*").alias("rows"))
-            .where(F.col("rows") > min_items)
-            .orderBy(F.desc("rows"), "user_id").limit(limit))
-    ids = [r.user_id for r in busy.collect()]
-    if not ids:
-        return []
-    wide = (ratings.where(F.col("user_id").isin(ids))
-            .groupBy("user_id").agg(F.count_distinct("product_id").alias("items"))
-            .where(F.col("items") > min_items))
+    wide = (rows.groupBy("user_id").agg(F.count("*").alias("items"))
+            .where(F.col("items") > min_items)
+            .orderBy(F.desc("items"), "user_id").limit(limit))
     return sorted(r.user_id for r in wide.collect())
 
 
@@ -105,10 +103,10 @@ def itemcf_topk(ratings: DataFrame, k: int = LIST_SIZE, dedup: bool = False,
     dominate, the pairs are not formed: see ``_with_heavy``.
     """
     rows = user_items(ratings, dedup)
-    heavy = heavy_users(ratings, min_heavy_items)
+    heavy = heavy_users(rows, min_heavy_items)
     if not heavy:
         return _top(mirrored(pair_counts(rows, cell_items)), k)
-    return _top(_with_heavy(cut_lineage(rows), heavy, k, cell_items), k)
+    return _top(_with_heavy(rows, heavy, k, cell_items), k)
 
 
 def _with_heavy(rows: DataFrame, heavy: list[int], k: int, cell_items: int) -> DataFrame:

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CELL_ITEMS = 1024
 
 
+def pair_tasks(spark: SparkSession) -> int:
+    """Partitions for pair making: what the session shuffles with, or two per core."""
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(wanted, 2 * spark.sparkContext.defaultParallelism)
+
+
 def owner_pairs(rows: DataFrame, owner: str, item: str, cell_items: int = CELL_ITEMS) -> DataFrame:
     """Every unordered pair of items of an owner, once.
 
@@ -31,6 +37,10 @@ def owner_pairs(rows: DataFrame, owner: str, item: str, cell_items: int = CELL_I
         owner, F.explode(F.sequence(F.lit(0), F.col("_bucket"))).alias("_lo"),
         F.col("_bucket").alias("_hi"),
         *[F.col(c).alias(f"{c}_b") for c in payload])
-    return (left.join(right, [owner, "_lo", "_hi"])
+    # A small input still makes many pairs: a fixed number of partitions, which the
+    # adaptive planner does not merge.
+    keys = [owner, "_lo", "_hi"]
+    tasks = pair_tasks(rows.sparkSession)
+    return (left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
             .where((F.col("_lo") < F.col("_hi")) | (F.col(f"{item}_a") < F.col(f"{item}_b")))
             .drop("_lo", "_hi"))

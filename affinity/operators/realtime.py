@@ -5,33 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.operators.topk import newest_first, topk_per_key
+from affinity.operators.topk import recent_ratings_topn, topk_per_key
 from affinity.schemas import LIKE_ABOVE, LIST_SIZE, SIM_THRESHOLD
+from affinity.session import cut_lineage
 
 
 def not_yet_rated(candidates: DataFrame, rated: DataFrame) -> DataFrame:
     """Candidates without those the user has rated."""
-    return candidates.join(rated.select("user_id", "product_id").distinct(),
-                           ["user_id", "product_id"], "left_anti")
+    return candidates.join(rated.select("user_id", "product_id"), ["user_id", "product_id"],
+                           "left_anti")
 
 
-def newest_rating(ratings: DataFrame) -> DataFrame:
-    """The event that triggers a user's list: their newest one."""
-    return topk_per_key(ratings.select("user_id", "product_id", "score", "ts", "event_id"),
-                        "user_id", newest_first(), 1).drop("rank")
+def realtime_inputs(ratings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A user's newest rating, their recent ratings, and all they have rated.
+
+    The two compact tables are written once, since several joins read them.
+    """
+    recent = cut_lineage(recent_ratings_topn(ratings))
+    rated = cut_lineage(ratings.select("user_id", "product_id").distinct())
+    return recent.where("rank = 1").drop("rank"), recent, rated
 
 
 def realtime_candidates(current: DataFrame, sims: DataFrame, rated: DataFrame,
                         n: int = LIST_SIZE) -> DataFrame:
     """Products most like the one just rated and not rated by the user, best ``n``.
 
-    ``sims`` holds ``product_id, rec_id, sim``. A user who has rated r products
+    ``sims`` holds ``product_id, rec_id, sim``; ``rated`` one row per user and
+    product. A user who has rated r products
     finds their n candidates among the first n + r of the list, so no more than
     that of a long list is joined.
     """
     alike = F.round(F.col("sim"), 9)
     ordered = topk_per_key(sims, "product_id", [F.desc(alike), F.asc("rec_id")], None, "place")
-    mine = rated.select("user_id", "product_id").distinct()
+    mine = rated.select("user_id", "product_id")
     reach = mine.groupBy("user_id").agg((F.count("*") + n).alias("reach"))
     possible = (current.select("user_id", F.col("product_id").alias("just_rated"))
                 .join(reach, "user_id", "left")
@@ -39,8 +45,7 @@ def realtime_candidates(current: DataFrame, sims: DataFrame, rated: DataFrame,
                 .join(ordered.withColumnRenamed("product_id", "just_rated"), "just_rated")
                 .where("place <= reach")
                 .select("user_id", F.col("rec_id").alias("product_id"), "sim", "place"))
-    open_ = possible.join(mine, ["user_id", "product_id"], "left_anti")
-    return topk_per_key(open_, "user_id", [F.asc("place")], n).select(
+    return topk_per_key(not_yet_rated(possible, mine), "user_id", [F.asc("place")], n).select(
         "user_id", "rank", "product_id", "sim")
 
 

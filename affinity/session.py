@@ -14,6 +14,7 @@ def build_session(app: str = "affinity", cpus: int | None = None, **conf: str) -
     cpus = cpus or os.cpu_count() or 4
     settings = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(cpus),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",

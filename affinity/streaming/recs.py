@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from affinity.operators.realtime import (newest_rating, ranked_scores, realtime_candidates,
+from affinity.operators.realtime import (ranked_scores, realtime_candidates, realtime_inputs,
                                          realtime_scores)
-from affinity.operators.topk import ranked_lists, recent_ratings_topn
+from affinity.operators.topk import ranked_lists
 from affinity.schemas import LIST_SIZE, SCHEMAS, STREAM_RECS
 from affinity.streaming.changelog import read_batches, write_batch
 from affinity.streaming.tracking import BATCH_INTERVAL, trigger_options
@@ -29,8 +29,8 @@ def user_lists(touched: DataFrame, history: DataFrame, sims: DataFrame,
                n: int = LIST_SIZE) -> DataFrame:
     """One nested list per touched user from the ratings known so far; may be empty."""
     mine = history.join(touched, "user_id", "left_semi")
-    candidates = realtime_candidates(newest_rating(mine), sims, mine, n)
-    scores = realtime_scores(candidates, recent_ratings_topn(mine), sims)
+    current, recent, rated = realtime_inputs(mine)
+    scores = realtime_scores(realtime_candidates(current, sims, rated, n), recent, sims)
     lists = ranked_lists(ranked_scores(scores), "user_id", n)
     empty = F.array().cast(LISTS_SCHEMA["recs"].dataType)
     return touched.join(lists, "user_id", "left").select(
