@@ -1,0 +1,132 @@
+import pytest
+from pyspark.sql import functions as F
+
+from affinity import schemas
+from affinity.operators import stats
+from affinity.plans import feeds
+from affinity.session import scratch_dir, shared_root
+from affinity.sources import files, tables
+
+
+@pytest.fixture
+def shop(spark):
+    products = spark.createDataFrame(
+        [(1, "red ring", "/1", "A", "red|ring"), (2, "Ring", "/2", "A", "x"),
+         (3, "bolt", "/3", "B", "y")],
+        "product_id long, name string, image_url string, categories string, tags string")
+    averages = spark.createDataFrame([(1, 4.5), (3, 2.0)], "product_id long, avg double")
+    return products, averages
+
+
+def test_product_file(spark, tmp_path):
+    lines = ["10^ Mouse ^1,2^B00^http://x/10.jpg^Office|Mice^usb|good", "11^Pen^1^B01^u^Office^",
+             "x^Pen^1^B01^u^Office^ink", "12^short", " 13 ^Ink^1^B02^u^Office^blue"]
+    path = tmp_path / "products.csv"
+    path.write_text("\n".join(lines), encoding="utf-8")
+    parsed = files.parse_products(spark.read.text(str(path)))
+    good = files.accepted(parsed).orderBy("product_id").collect()
+    assert [tuple(r) for r in good] == [
+        (10, "Mouse", "http://x/10.jpg", "Office|Mice", "usb|good"),
+        (13, "Ink", "u", "Office", "blue")]
+    bad = {r.value: r.reason for r in files.quarantined(parsed).collect()}
+    assert bad == {lines[1]: "no tags", lines[2]: "bad product id", lines[3]: "too few fields"}
+    assert files.load_products(spark, str(path)).count() == 2
+
+
+def test_rating_file(spark, tmp_path):
+    path = tmp_path / "ratings.csv"
+    path.write_text("4867,457976,5.0,1395676800\n1,2,4,1556436808123\n1,2,x,1\n1,2\n")
+    parsed = files.parse_ratings(spark.read.text(str(path)))
+    assert {tuple(r) for r in files.accepted(parsed).collect()} == {
+        (4867, 457976, 5.0, 1395676800), (1, 2, 4.0, 1556436808)}
+    assert {r.reason for r in files.quarantined(parsed).collect()} == {
+        "bad field", "too few fields"}
+
+
+def test_tables_round_trip_with_fixed_schema(spark):
+    root = scratch_dir(spark, "test")
+    narrow = spark.createDataFrame([(1, 2, 3.0, 4, "extra")],
+                                   "user_id int, product_id int, score float, ts int, more string")
+    tables.write_table(narrow, root, schemas.RATING)
+    tables.write_table(narrow, root, schemas.RATING)
+    back = tables.read_table(spark, root, schemas.RATING)
+    assert back.schema == schemas.SCHEMAS[schemas.RATING]
+    assert [tuple(r) for r in back.collect()] == [(1, 2, 3.0, 4)]
+
+
+def test_layout_splits_a_hot_key_and_sorts(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("product_id"),
+        F.col("id").alias("user_id"))
+    path = tables.write_layout(df, scratch_dir(spark, "layout"), "product_id", files=6)
+    back = spark.read.parquet(path)
+    per_file = back.groupBy(F.input_file_name().alias("f")).count().collect()
+    assert back.exceptAll(df).isEmpty() and back.count() == 3000
+    assert len(per_file) == 6 and max(r["count"] for r in per_file) < 1000
+    plan = back.where("product_id = 7")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(product_id), EqualTo(product_id,7)]" in plan
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    assert scratch_dir(spark, "x").startswith(shared_root(spark).rstrip("/"))
+    assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
+def test_enrich_keeps_rank_and_drops_unknown(spark, shop):
+    recs = spark.createDataFrame([(9, 1, 2, 0.5), (9, 2, 1, 0.4), (9, 3, 77, 0.3)],
+                                 "user_id long, rank int, product_id long, score double")
+    got = feeds.enrich_products(recs, *shop).orderBy("rank").collect()
+    assert [(r["rank"], r.product_id, r.avg_score) for r in got] == [(1, 2, 0.0), (2, 1, 4.5)]
+
+
+def test_hot_feed_keeps_best_rank(spark, shop):
+    recently = spark.createDataFrame(
+        [(1, 5, 202401), (1, 9, 202402), (3, 9, 202402), (2, 50, 202312)],
+        "product_id long, count long, yearmonth int")
+    got = feeds.hot_products_feed(recently, *shop, n=3).orderBy("rank").collect()
+    assert [(r["rank"], r.product_id) for r in got] == [(1, 1), (2, 3)]
+
+
+def test_top_rated_feed(spark, shop, ratings):
+    df = ratings([(u, p, 1.0, 0, 0) for u, p in [(1, 3), (2, 3), (1, 2), (1, 1)]])
+    got = feeds.top_rated_feed(stats.product_counts(df), *shop, n=2).orderBy("rank").collect()
+    assert [(r["rank"], r.product_id, r.score) for r in got] == [(1, 3, 0.0), (2, 1, 0.0)]
+
+
+def test_search_is_case_sensitive_and_unanchored(shop):
+    assert [r.product_id for r in feeds.product_search(*shop, "ring").collect()] == [1]
+    assert {r.product_id for r in feeds.product_search(*shop, "[rR]ing$").collect()} == {1, 2}
+    broken = "ring".encode().decode("latin-1")
+    assert feeds.product_search(*shop, broken, mojibake=True).count() == 1
+
+
+def test_lists_for_products_and_users(spark, shop):
+    lists = spark.createDataFrame(
+        [(1, [(3, 0.9), (2, 0.8)]), (2, [(1, 0.7)])],
+        "product_id long, recs array<struct<product_id:long,score:double>>")
+    ids = spark.createDataFrame([(1,), (99,)], "product_id long")
+    got = feeds.lists_for_products(ids, lists, *shop, n=1).collect()
+    assert [(r.for_product, r["rank"], r.product_id, r.score) for r in got] == [(1, 1, 3, 0.9)]
+    users = spark.createDataFrame([("ann", 1), ("bob", 2)], "username string, user_id long")
+    names = spark.createDataFrame([("ann",), ("nobody",)], "username string")
+    mine = lists.withColumnRenamed("product_id", "user_id")
+    got = feeds.lists_for_users(names, users, mine, *shop).orderBy("rank").collect()
+    assert [(r.username, r.product_id) for r in got] == [("ann", 3), ("ann", 2)]
+
+
+def test_unknown_keys_give_no_rows(spark, shop):
+    ids = spark.createDataFrame([(99,)], "product_id long")
+    assert feeds.product_info(ids, *shop).count() == 0
+    assert feeds.lookup_by_key(shop[0], ids, "product_id").count() == 0
+
+
+def test_rating_intake(spark):
+    users = spark.createDataFrame([("ann", 7)], "username string, user_id long")
+    requests = spark.createDataFrame(
+        [("ann", 1, 9.35, 10, 1), ("ann", 1, 4.0, 20, 2), ("nobody", 1, 4.0, 20, 3)],
+        "username string, product_id long, score double, ts long, event_id long")
+    stored, queue, lines = feeds.rating_intake(requests, users)
+    assert [(r.user_id, r.product_id, r.score) for r in stored.collect()] == [(7, 1, 2.0)]
+    assert [r.score for r in queue.orderBy("rank").collect()] == [2.0, 4.68]
+    assert {r.value for r in lines.collect()} == {
+        "PRODUCT_RATING_PREFIX:7|1|4.68|10", "PRODUCT_RATING_PREFIX:7|1|2.0|20"}
