@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.scalars import tags_to_text
-from affinity.operators.pairs import owner_pairs
+from affinity.operators.pairs import owner_pairs, pair_tasks
 from affinity.operators.topk import topk_per_key
 from affinity.schemas import HASHED_FEATURES, LIST_SIZE, SIM_THRESHOLD
 from affinity.session import cut_lineage
@@ -138,7 +138,7 @@ def profile_pairs(vectors: DataFrame, threshold: float = SIM_THRESHOLD) -> DataF
     plus the best case for the rest can pass; then the whole cosine is taken.
     """
     pairs = owner_pairs(_postings(vectors, threshold), "term", "profile",
-                        CELL_PROFILES)
+                        CELL_PROFILES, pair_tasks(vectors))
     possible = pairs.where(
         (F.col("w_a") * F.col("w_b") + F.col("rest_a") * F.col("rest_b") > threshold - _SLACK)
         & ~F.arrays_overlap("before_a", "before_b"))

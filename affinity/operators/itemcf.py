@@ -20,20 +20,21 @@ from affinity.operators.topk import ranked_lists, topk_per_key
 from affinity.schemas import LIST_SIZE
 from affinity.session import cut_lineage
 
-HEAVY_ITEMS = 4096
+HEAVY_ITEMS = 2048
 HEAVY_USERS = 256
 
 
 def user_items(ratings: DataFrame, dedup: bool = False) -> DataFrame:
     """One row per user and product: multiplicity ``n`` and the product's count ``size``.
 
-    The combined rows are written once; all that follows reads that compact
-    table several times and the ratings never again.
+    The rows are written once; all that follows reads that compact table several
+    times and the ratings never again.
     """
     n = F.lit(1).cast("long") if dedup else F.count("*")
-    rows = cut_lineage(ratings.groupBy("user_id", "product_id").agg(n.alias("n")))
+    rows = ratings.groupBy("user_id", "product_id").agg(n.alias("n"))
     sizes = rows.groupBy("product_id").agg(F.sum("n").alias("size"))
-    return rows.join(sizes, "product_id").select("user_id", "product_id", "n", "size")
+    return cut_lineage(rows.join(sizes, "product_id")
+                       .select("user_id", "product_id", "n", "size"))
 
 
 def pair_counts(rows: DataFrame, cell_items: int = CELL_ITEMS) -> DataFrame:

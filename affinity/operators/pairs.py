@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CELL_ITEMS = 1024
+TASK_ROWS = 20_000
 
 
-def pair_tasks(spark: SparkSession) -> int:
-    """Partitions for pair making: what the session shuffles with, or two per core."""
+def pair_tasks(rows: DataFrame) -> int:
+    """Partitions for pair making, by the number of rows.
+
+    A small input still makes many pairs, so there are at least two per core; the
+    session's shuffle partitions are used as soon as the rows fill them.
+    """
+    spark = rows.sparkSession
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(wanted, 2 * spark.sparkContext.defaultParallelism)
+    return max(2 * spark.sparkContext.defaultParallelism,
+               min(wanted, rows.count() // TASK_ROWS))
 
 
-def owner_pairs(rows: DataFrame, owner: str, item: str, cell_items: int = CELL_ITEMS) -> DataFrame:
+def owner_pairs(rows: DataFrame, owner: str, item: str, cell_items: int = CELL_ITEMS,
+                tasks: int | None = None) -> DataFrame:
     """Every unordered pair of items of an owner, once.
 
+    ``rows`` should be a written table: it is counted, and read for both sides.
     Other columns come back with the endings ``_a`` and ``_b``. An owner of more
     than ``cell_items`` items is split by item hash into buckets and each pair of
     buckets becomes its own join key, so no task meets more than about
@@ -37,10 +46,10 @@ def owner_pairs(rows: DataFrame, owner: str, item: str, cell_items: int = CELL_I
         owner, F.explode(F.sequence(F.lit(0), F.col("_bucket"))).alias("_lo"),
         F.col("_bucket").alias("_hi"),
         *[F.col(c).alias(f"{c}_b") for c in payload])
-    # A small input still makes many pairs: a fixed number of partitions, which the
-    # adaptive planner does not merge.
+    # A fixed number of partitions, which the adaptive planner does not merge: it
+    # would go by the bytes of the input, not by the pairs to be made of it.
     keys = [owner, "_lo", "_hi"]
-    tasks = pair_tasks(rows.sparkSession)
+    tasks = tasks or pair_tasks(rows)
     return (left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
             .where((F.col("_lo") < F.col("_hi")) | (F.col(f"{item}_a") < F.col(f"{item}_b")))
             .drop("_lo", "_hi"))

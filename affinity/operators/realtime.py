@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from affinity.operators.topk import recent_ratings_topn, topk_per_key
 from affinity.schemas import LIKE_ABOVE, LIST_SIZE, SIM_THRESHOLD
-from affinity.session import cut_lineage
 
 
 def not_yet_rated(candidates: DataFrame, rated: DataFrame) -> DataFrame:
@@ -16,14 +15,17 @@ def not_yet_rated(candidates: DataFrame, rated: DataFrame) -> DataFrame:
                            "left_anti")
 
 
-def realtime_inputs(ratings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """A user's newest rating, their recent ratings, and all they have rated.
+def realtime_inputs(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every user's recent ratings, and all products they have rated.
 
-    The two compact tables are written once, since several joins read them.
+    Both are compact and read by several joins: write or persist them first.
     """
-    recent = cut_lineage(recent_ratings_topn(ratings))
-    rated = cut_lineage(ratings.select("user_id", "product_id").distinct())
-    return recent.where("rank = 1").drop("rank"), recent, rated
+    return recent_ratings_topn(ratings), ratings.select("user_id", "product_id").distinct()
+
+
+def newest_rating(recent: DataFrame) -> DataFrame:
+    """The event that triggers a user's list."""
+    return recent.where("rank = 1").drop("rank")
 
 
 def realtime_candidates(current: DataFrame, sims: DataFrame, rated: DataFrame,

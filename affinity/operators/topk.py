@@ -41,7 +41,7 @@ def flatten_lists(lists: DataFrame, key: str, product: str = "product_id",
                     F.col("rec.product_id").alias(product), F.col("rec.score").alias("score")))
 
 
-_NEWEST = ("ts", "event_id", "score")
+_NEWEST = ("ts", "event_id", "score", "product_id")
 
 
 def newest_first() -> list[Column]:

@@ -15,7 +15,7 @@ from affinity.schemas import SIM_THRESHOLD
 
 MIN_BLOCK_ROWS = 256
 MAX_BLOCK_ROWS = 8192
-_TILE_ROWS = 512
+TILE_ROWS = 512
 
 
 def block_count(rows: int, parallelism: int) -> int:
@@ -37,51 +37,41 @@ def dense_cosine_pairs(items: DataFrame, threshold: float = SIM_THRESHOLD,
     spark = items.sparkSession
     rows = items.select(F.col(id_col).cast("long").alias("id"),
                         F.col(vector_col).cast("array<double>").alias("v")).where("v is not null")
+    tile_rows = TILE_ROWS
     blocks = blocks or block_count(rows.count(), spark.sparkContext.defaultParallelism)
     placed = (rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
               .select(F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
                       "block", "id", "v"))
 
+    # The function stands by itself, so workers need no copy of this package.
     def cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, block, unit, span = _unit_rows(batches)
-        low, high = span
+        table = pa.Table.from_batches(batches)
+        low, high = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+        ids, block = table.column("id").to_numpy(), table.column("block").to_numpy()
+        flat = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        unit = flat.reshape(len(ids), -1)
+        norms = np.sqrt(np.einsum("ij,ij->i", unit, unit))
+        ids, block = ids[norms > 0], block[norms > 0]
+        unit = unit[norms > 0] / norms[norms > 0, None]
         left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        for start in range(0, len(left), _TILE_ROWS):
-            tile = left[start:start + _TILE_ROWS]
+        for start in range(0, len(left), tile_rows):
+            tile = left[start:start + tile_rows]
             sims = unit[tile] @ unit[right].T
             r, c = np.nonzero(sims > threshold)
-            a, b, s = ids[tile[r]], ids[right[c]], sims[r, c]
+            a, b, sim = ids[tile[r]], ids[right[c]], sims[r, c]
             if low == high:
-                keep = a != b
-                yield _batch(a[keep], b[keep], s[keep])
+                a, b, sim = a[a != b], b[a != b], sim[a != b]
             else:
-                yield _batch(np.concatenate([a, b]), np.concatenate([b, a]),
-                             np.concatenate([s, s]))
+                a, b, sim = np.append(a, b), np.append(b, a), np.append(sim, sim)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())],
+                names=["a", "b", "sim"])
 
     hits = placed.groupBy("lo", "hi").applyInArrow(cell, "a long, b long, sim double")
     return hits.select(F.col("a").alias(id_col), F.col("b").alias("rec_id"), "sim")
 
 
-def _unit_rows(batches: Iterator[pa.RecordBatch]):
-    """Ids, blocks and unit vectors of one cell, and its two block numbers."""
-    table = pa.Table.from_batches(batches).combine_chunks()
-    low, high = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
-    ids = table.column("id").to_numpy()
-    block = table.column("block").to_numpy()
-    vectors = pa.chunked_array(table.column("v")).combine_chunks()
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-    norms = np.sqrt(np.einsum("ij,ij->i", flat, flat))
-    real = norms > 0
-    return ids[real], block[real], flat[real] / norms[real, None], (low, high)
-
-
-def _batch(a: np.ndarray, b: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())],
-        names=["a", "b", "sim"])
-
-
 def ranked_pairs(pairs: DataFrame, id_col: str = "product_id", k: int | None = None) -> DataFrame:
     """Similarity lists, most similar first; uncapped unless ``k`` is given."""
     alike = F.round(F.col("sim"), 9)

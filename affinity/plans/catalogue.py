@@ -385,6 +385,12 @@ def als_grid_search(spark, d):
     return als.als_grid_search(star.ratings_events(spark, d), _RANKS, _LAMBDAS)
 
 
+@query
+def best_of_grid(spark, d):
+    return als.best_of_grid(
+        als.als_grid_search(star.ratings_events(spark, d), _RANKS[:1], _LAMBDAS))
+
+
 @query
 def train_test_split(spark, d):
     return als.with_split(star.ratings_orders(spark, d)).select(
@@ -404,17 +410,21 @@ def _event_sims(spark, d):
                        .select("product_id", "rec_id", "sim"))
 
 
+def _rescore_inputs(spark, d):
+    recent, rated = realtime.realtime_inputs(star.ratings_events(spark, d))
+    return cut_lineage(recent), cut_lineage(rated), _event_sims(spark, d)
+
+
 @query
 def realtime_candidates(spark, d):
-    current, _, rated = realtime.realtime_inputs(star.ratings_events(spark, d))
-    return realtime.realtime_candidates(current, _event_sims(spark, d), rated)
+    recent, rated, sims = _rescore_inputs(spark, d)
+    return realtime.realtime_candidates(realtime.newest_rating(recent), sims, rated)
 
 
 @query
 def realtime_scores(spark, d):
-    current, recent, rated = realtime.realtime_inputs(star.ratings_events(spark, d))
-    sims = _event_sims(spark, d)
-    candidates = realtime.realtime_candidates(current, sims, rated)
+    recent, rated, sims = _rescore_inputs(spark, d)
+    candidates = realtime.realtime_candidates(realtime.newest_rating(recent), sims, rated)
     return realtime.ranked_scores(realtime.realtime_scores(candidates, recent, sims))
 
 
@@ -442,6 +452,28 @@ def stream_tracking_filter(spark, d):
     return spark.read.schema("key string, value string").parquet(f"{root}/out")
 
 
+@query
+def stream_log(spark, d):
+    """All log lines through a stream of text files."""
+    root = scratch_dir(spark, "log")
+    star.log_lines(spark, d).select("value").write.text(f"{root}/log")
+    lines = tracking.stream_log(spark, f"{root}/log")
+    (lines.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+     .trigger(availableNow=True).start(f"{root}/out").awaitTermination())
+    return spark.read.schema(lines.schema).parquet(f"{root}/out")
+
+
+@query
+def log_sink(spark, d):
+    """Payloads from text files forwarded with the message key."""
+    root = scratch_dir(spark, "sink")
+    payloads = tracking.tracking_log_filter(star.log_lines(spark, d)).select("value")
+    payloads.write.text(f"{root}/payloads")
+    tracking.log_sink(tracking.stream_log(spark, f"{root}/payloads"), f"{root}/checkpoint",
+                      f"{root}/out", interval=None).awaitTermination()
+    return spark.read.schema("key string, value string").parquet(f"{root}/out")
+
+
 @query
 def stream_ratings(spark, d):
     """The log as text files, filtered and parsed while streaming."""

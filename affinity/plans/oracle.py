@@ -64,7 +64,7 @@ _VIEWS = {
         FROM vec a, vec b WHERE a.vec_id <> b.vec_id""",
     # Re-scoring.
     "rq": """SELECT * FROM (SELECT user_id, product_id, score, ts, event_id,
-        row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, score DESC) AS rank
+        row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, score DESC, product_id DESC) AS rank
         FROM re) WHERE rank <= 40""",
     "sim": "SELECT product_id, rec_id, co / sqrt(n1::DOUBLE * n2) AS sim FROM cf",
     "cand": """SELECT * FROM (SELECT c.user_id, s.rec_id AS product_id, s.sim,
@@ -161,7 +161,7 @@ def oracle_sql() -> dict[str, str]:
     out["recent_ratings_topn"] = _with(f"{queue} rq WHERE rank <= 21", "rq")
     out["recent_ratings_queue_orders"] = _with(
         f"""{queue} (SELECT *, row_number() OVER (PARTITION BY user_id
-        ORDER BY ts DESC, event_id DESC, score DESC) AS rank FROM ro) WHERE rank <= 40""", "ro")
+        ORDER BY ts DESC, event_id DESC, score DESC, product_id DESC) AS rank FROM ro) WHERE rank <= 40""", "ro")
 
     out["load_products"] = _with("SELECT * FROM pr", "pr")
     out["load_ratings"] = out["write_table"] = _with(
@@ -180,7 +180,7 @@ def oracle_sql() -> dict[str, str]:
         WHERE product_id IN (SELECT product_id FROM re)) WHERE n = 1""", "ro", "re")
     upsert = """SELECT user_id, product_id, score, ts, event_id FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id, product_id
-            ORDER BY ts DESC, event_id DESC, score DESC) AS n FROM {}) WHERE n = 1"""
+            ORDER BY ts DESC, event_id DESC, score DESC, product_id DESC) AS n FROM {}) WHERE n = 1"""
     out["ratings_upsert"] = _with(upsert.format("re"), "re")
     out["ratings_upsert_orders"] = _with(upsert.format("ro"), "ro")
 
@@ -200,7 +200,10 @@ def oracle_sql() -> dict[str, str]:
     out["quarantined_events"] = _with(
         "SELECT event_id, value, 'bad field' AS reason FROM log WHERE product_id IS NULL", "log")
     out["stream_ratings"] = _with(f"SELECT {parsed} FROM log WHERE product_id IS NOT NULL", "log")
-    out["stream_tracking_filter"] = _with("SELECT 'logProcessor' AS key, value FROM log", "log")
+    out["stream_log"] = _with(
+        """SELECT 'INFO [http] event ' || re.event_id || ' ' || coalesce(marker || value,
+        'page ' || re.event_type) AS value FROM re LEFT JOIN log USING (event_id)""", "re", "log")
+    out["stream_tracking_filter"] = out["log_sink"] = _with("SELECT 'logProcessor' AS key, value FROM log", "log")
     out["enrich_products"] = _with(
         f"SELECT user_id, rank, product_id, {_FEED} FROM rq JOIN shop USING (product_id) "
         "WHERE rank <= 21", "rq", "shop")
@@ -293,7 +296,7 @@ def oracle_sql() -> dict[str, str]:
     out["rating_intake"] = _with(upsert.format("known"), "known")
     out["rating_intake_queue"] = _with(
         f"""{queue} (SELECT *, row_number() OVER (PARTITION BY user_id
-        ORDER BY ts DESC, event_id DESC, score DESC) AS rank FROM known) WHERE rank <= 40""",
+        ORDER BY ts DESC, event_id DESC, score DESC, product_id DESC) AS rank FROM known) WHERE rank <= 40""",
         "known")
     out["rating_intake_log"] = _with(
         """SELECT event_id, 'PRODUCT_RATING_PREFIX:' || user_id || '|' || product_id || '|'

@@ -38,7 +38,8 @@ def shared_root(spark: SparkSession) -> str:
     cluster a missing setting is an error, since no machine-local folder would do.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    root = (spark.conf.get("spark.checkpoint.dir", None)
+            or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir())
     if root:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(root)
@@ -52,8 +53,12 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_root(spark).rstrip('/')}/affinity/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; nothing is created yet.
+
+    All paths of one application share a folder, which can go when it has ended.
+    """
+    app = spark.sparkContext.applicationId
+    return f"{shared_root(spark).rstrip('/')}/affinity/{app}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -12,10 +12,13 @@ from pyspark.sql import types as T
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: str | None = None) -> None:
-    writer = df.write.mode("overwrite")
+    target = f"{path}/batch_id={batch_id}"
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(f"{path}/batch_id={batch_id}")
+        # One folder's rows come together, but a large folder is split again.
+        (df.hint("rebalance", partition_by).write.mode("overwrite")
+         .partitionBy(partition_by).parquet(target))
+    else:
+        df.write.mode("overwrite").parquet(target)
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -13,14 +13,9 @@ from affinity.schemas import QUEUE_SIZE
 from affinity.streaming.changelog import write_batch
 from affinity.streaming.tracking import BATCH_INTERVAL, trigger_options
 
-_COLUMNS = ["product_id", "score", "ts", "event_id"]
 _RATING = "user_id long, product_id long, score double, ts long, event_id long"
-QUEUE_SCHEMA = ("user_id long, rank int, product_id long, score double, ts long, event_id long")
-_STATE = ("product_id array<long>, score array<double>, ts array<long>, event_id array<long>")
-
-
-def _newest(rows: pd.DataFrame, size: int) -> pd.DataFrame:
-    return rows.sort_values(["ts", "event_id", "score"], ascending=False).head(size)
+QUEUE_SCHEMA = "user_id long, rank int, product_id long, score double, ts long, event_id long"
+_STATE = "ts array<long>, event_id array<long>, score array<double>, product_id array<long>"
 
 
 def recent_queue_updates(ratings: DataFrame, size: int = QUEUE_SIZE) -> DataFrame:
@@ -30,26 +25,30 @@ def recent_queue_updates(ratings: DataFrame, size: int = QUEUE_SIZE) -> DataFram
     rows. That is enough to find the newest overall, and a user who sends a large
     part of a batch sends little of it through the shuffle to their state.
     """
+    # Newest first, in this order. The functions stand by themselves, so workers
+    # need no copy of this package.
+    order = ["ts", "event_id", "score", "product_id"]
 
     def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            ordered = rows.sort_values(["ts", "event_id", "score"], ascending=False)
+            ordered = rows.sort_values(order, ascending=False)
             yield ordered.groupby("user_id", sort=False).head(size)
 
     def update(key: tuple, batches: Iterator[pd.DataFrame],
                state: GroupState) -> Iterator[pd.DataFrame]:
-        held = (pd.DataFrame(dict(zip(_COLUMNS, state.get))) if state.exists
-                else pd.DataFrame(columns=_COLUMNS))
+        held = list(zip(*state.get)) if state.exists else []
         for rows in batches:
-            rows = rows[_COLUMNS]
-            held = _newest(rows if held.empty else pd.concat([held, rows]), size)
-        state.update(tuple(held[c].tolist() for c in _COLUMNS))
-        out = held.reset_index(drop=True)
-        out.insert(0, "rank", out.index + 1)
-        out.insert(0, "user_id", key[0])
-        yield out
-
-    thinned = ratings.select("user_id", *_COLUMNS).mapInPandas(thin, _RATING)
+            held += zip(*(rows[name].tolist() for name in order))
+            held = sorted(held, reverse=True)[:size]
+        columns = [list(values) for values in zip(*held)]
+        state.update(tuple(columns))
+        ts, event_id, score, product_id = columns
+        yield pd.DataFrame({"user_id": key[0], "rank": range(1, len(held) + 1),
+                            "product_id": product_id, "score": score, "ts": ts,
+                            "event_id": event_id})
+
+    thinned = ratings.select("user_id", "product_id", "score", "ts", "event_id").mapInPandas(
+        thin, _RATING)
     return thinned.groupBy("user_id").applyInPandasWithState(
         update, QUEUE_SCHEMA, _STATE, "update", GroupStateTimeout.NoTimeout)
 

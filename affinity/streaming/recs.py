@@ -8,14 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from affinity.operators.realtime import (ranked_scores, realtime_candidates, realtime_inputs,
-                                         realtime_scores)
+from affinity.operators.realtime import (newest_rating, ranked_scores, realtime_candidates,
+                                         realtime_inputs, realtime_scores)
 from affinity.operators.topk import ranked_lists
 from affinity.schemas import LIST_SIZE, SCHEMAS, STREAM_RECS
 from affinity.streaming.changelog import read_batches, write_batch
 from affinity.streaming.tracking import BATCH_INTERVAL, trigger_options
 
 USER_BUCKETS = 32
+# Batch number of the ratings from before the stream.
+BEFORE_STREAM = -1
 HISTORY_SCHEMA = ("user_id long, product_id long, score double, ts long, event_id long, "
                   "user_bucket int")
 LISTS_SCHEMA = SCHEMAS[STREAM_RECS]
@@ -25,13 +27,11 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
 
 
-def user_lists(touched: DataFrame, history: DataFrame, sims: DataFrame,
+def user_lists(touched: DataFrame, recent: DataFrame, rated: DataFrame, sims: DataFrame,
                n: int = LIST_SIZE) -> DataFrame:
     """One nested list per touched user from the ratings known so far; may be empty."""
-    mine = history.join(touched, "user_id", "left_semi")
-    current, recent, rated = realtime_inputs(mine)
-    scores = realtime_scores(realtime_candidates(current, sims, rated, n), recent, sims)
-    lists = ranked_lists(ranked_scores(scores), "user_id", n)
+    candidates = realtime_candidates(newest_rating(recent), sims, rated, n)
+    lists = ranked_lists(ranked_scores(realtime_scores(candidates, recent, sims)), "user_id", n)
     empty = F.array().cast(LISTS_SCHEMA["recs"].dataType)
     return touched.join(lists, "user_id", "left").select(
         "user_id", F.coalesce("recs", empty).alias("recs"))
@@ -42,28 +42,37 @@ def stream_recs(ratings: DataFrame, sims: Callable[[], DataFrame], root: str,
                 buckets: int = USER_BUCKETS, n: int = LIST_SIZE) -> StreamingQuery:
     """Re-score the users of every micro-batch and store their new lists.
 
-    ``sims`` is asked for in each batch, so a refreshed similarity table is used
-    from the next batch on. A user's list depends on their newest rating by time,
-    not on the order of arrival. Ratings are kept by user bucket, and a batch
-    reads the buckets of its own users only.
+    ``base`` holds the ratings from before the stream. ``sims`` is asked for in
+    each batch, so a refreshed similarity table is used from the next batch on.
+    A user's list depends on their newest rating by time, not on the order of
+    arrival. Ratings are kept by user bucket, and a batch reads the buckets of
+    its own users only.
     """
     spark = ratings.sparkSession
     history_path, lists_path = f"{root}/history", f"{root}/lists"
 
+    def remember(rows: DataFrame, batch_id: int) -> None:
+        bucketed = rows.select("user_id", "product_id", "score", "ts", "event_id",
+                               _bucket(buckets).alias("user_bucket"))
+        write_batch(bucketed, history_path, batch_id, "user_bucket")
+
     def process(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("user_id", "product_id", "score", "ts", "event_id")
-        write_batch(rows.withColumn("user_bucket", _bucket(buckets)), history_path, batch_id,
-                    "user_bucket")
+        remember(batch, batch_id)
         stored = read_batches(spark, history_path, HISTORY_SCHEMA)
-        touched_rows = stored.where(F.col("batch_id") == batch_id)
+        new = stored.where(F.col("batch_id") == batch_id)
         # At most ``buckets`` values.
-        met = [r.user_bucket for r in touched_rows.select("user_bucket").distinct().collect()]
-        history = stored.where(F.col("user_bucket").isin(met)).drop("batch_id", "user_bucket")
-        if base is not None:
-            history = history.unionByName(base.where(_bucket(buckets).isin(met)))
-        touched = touched_rows.select("user_id").distinct()
-        write_batch(user_lists(touched, history, sims(), n), lists_path, batch_id)
+        met = [r.user_bucket for r in new.select("user_bucket").distinct().collect()]
+        touched = new.select("user_id").distinct()
+        mine = stored.where(F.col("user_bucket").isin(met)).join(touched, "user_id", "left_semi")
+        recent, rated = (df.persist() for df in realtime_inputs(mine))
+        try:
+            write_batch(user_lists(touched, recent, rated, sims(), n), lists_path, batch_id)
+        finally:
+            recent.unpersist()
+            rated.unpersist()
 
+    if base is not None:
+        remember(base, BEFORE_STREAM)
     return (ratings.writeStream.foreachBatch(process)
             .option("checkpointLocation", f"{root}/checkpoint")
             .trigger(**trigger_options(interval)).start())

@@ -60,8 +60,8 @@ def test_whole_flow_equals_brute_force(spark, ratings, n):
     df = ratings(data)
     pairs = itemcf.itemcf_pairs(df).select("product_id", "rec_id", "sim").cache()
     sims = {(r.product_id, r.rec_id): r.sim for r in pairs.collect()}
-    current, recent, rated = realtime.realtime_inputs(df)
-    candidates = realtime.realtime_candidates(current, pairs, rated, n)
+    recent, rated = realtime.realtime_inputs(df)
+    candidates = realtime.realtime_candidates(realtime.newest_rating(recent), pairs, rated, n)
     got = {(r.user_id, r.product_id): r.score
            for r in realtime.realtime_scores(candidates, recent, pairs).collect()}
     expected = brute(data, sims, n)

@@ -93,9 +93,9 @@ def test_queue_stream_equals_batch(spark, parts, shuffled):
 
 def batch_lists(spark, data, sims, n):
     df = spark.createDataFrame(data, SCHEMA)
-    current, recent, rated = realtime.realtime_inputs(df)
-    scores = realtime.realtime_scores(
-        realtime.realtime_candidates(current, sims, rated, n), recent, sims)
+    recent, rated = realtime.realtime_inputs(df)
+    scores = realtime.realtime_scores(realtime.realtime_candidates(
+        realtime.newest_rating(recent), sims, rated, n), recent, sims)
     out = {u: [] for u in {d[0] for d in data}}
     for r in realtime.ranked_scores(scores).orderBy("user_id", "rank").collect():
         out[r.user_id].append((r.product_id, round(r.score, 9)))
