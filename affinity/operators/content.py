@@ -65,8 +65,8 @@ def content_tfidf(bags: DataFrame) -> DataFrame:
     """Weights per product and term: ``tf * ln((m + 1) / (df + 1))``."""
     terms = bags.select("product_id", F.inline(_term_counts(F.col("tokens"))))
     total = bags.agg(F.count("*").alias("m")).scalar()
-    idf = terms.groupBy("term").agg(F.count("*").alias("df")).select(
-        "term", "df", _idf(F.col("df"), total).alias("idf"))
+    idf = cut_lineage(terms.groupBy("term").agg(F.count("*").alias("df")).select(
+        "term", "df", _idf(F.col("df"), total).alias("idf")))
     return terms.join(idf, "term").select(
         "product_id", "term", "tf", "df", (F.col("tf") * F.col("idf")).alias("weight"))
 
@@ -93,8 +93,9 @@ def unit_vectors(profiles: DataFrame) -> DataFrame:
     """
     terms = profiles.select("profile", "members", F.inline(_term_counts(F.col("bag"))))
     total = profiles.agg(F.sum("members").alias("m")).scalar()
-    idf = (terms.groupBy("term").agg(F.sum("members").alias("df"))
-           .select("term", "df", _idf(F.col("df"), total).alias("idf")).where("idf > 0"))
+    idf = cut_lineage(
+        terms.groupBy("term").agg(F.sum("members").alias("df"))
+        .select("term", "df", _idf(F.col("df"), total).alias("idf")).where("idf > 0"))
     # One entry per tag of the profile's own text.
     vectors = (terms.join(idf, "term")
                .groupBy("profile")
@@ -197,12 +198,13 @@ def content_topk(bags: DataFrame, k: int = LIST_SIZE,
         F.col("profile").alias("a"), F.col("profile").alias("b"), F.lit(1.0).alias("sim"))
     near = topk_per_key(both.unionByName(own).withColumn("alike", alike), "a",
                         [F.desc("alike"), F.asc("b")], k + 1).drop("rank")
-    smallest = topk_per_key(members, "profile", [F.asc("product_id")], k + 1, "place").select(
-        F.col("profile").alias("b"), F.col("product_id").alias("rec_id"))
-    lists = (topk_per_key(near.join(smallest, "b"), "a",
-                          [F.desc("alike"), F.asc("rec_id")], k + 1)
-             .groupBy(F.col("a").alias("profile"))
-             .agg(F.array_sort(F.collect_list(F.struct("rank", "rec_id", "sim"))).alias("recs")))
+    smallest = cut_lineage(
+        topk_per_key(members, "profile", [F.asc("product_id")], k + 1, "place")
+        .select(F.col("profile").alias("b"), F.col("product_id").alias("rec_id")))
+    lists = cut_lineage(
+        topk_per_key(near.join(smallest, "b"), "a", [F.desc("alike"), F.asc("rec_id")], k + 1)
+        .groupBy(F.col("a").alias("profile"))
+        .agg(F.array_sort(F.collect_list(F.struct("rank", "rec_id", "sim"))).alias("recs")))
     others = F.filter("recs", lambda r: r["rec_id"] != F.col("product_id"))
     return (members.join(lists, "profile")
             .select("product_id", F.posexplode(F.slice(others, 1, k)).alias("pos", "rec"))

@@ -27,12 +27,12 @@ HEAVY_USERS = 256
 def user_items(ratings: DataFrame, dedup: bool = False) -> DataFrame:
     """One row per user and product: multiplicity ``n`` and the product's count ``size``.
 
-    The rows are written once; all that follows reads that compact table several
-    times and the ratings never again.
+    The combined rows are written at once; all that follows reads that compact
+    table and the ratings never again.
     """
     n = F.lit(1).cast("long") if dedup else F.count("*")
-    rows = ratings.groupBy("user_id", "product_id").agg(n.alias("n"))
-    sizes = rows.groupBy("product_id").agg(F.sum("n").alias("size"))
+    rows = cut_lineage(ratings.groupBy("user_id", "product_id").agg(n.alias("n")))
+    sizes = cut_lineage(rows.groupBy("product_id").agg(F.sum("n").alias("size")))
     return cut_lineage(rows.join(sizes, "product_id")
                        .select("user_id", "product_id", "n", "size"))
 
@@ -76,9 +76,12 @@ def _strength(co: str, size: str) -> Column:
     return F.col(co).cast("double") * F.col(co) / F.col(size)
 
 
-def _top(both: DataFrame, k: int | None) -> DataFrame:
-    ranked = topk_per_key(both, "a", [F.desc(_strength("co", "size_b")), F.asc("b")], k)
-    return ranked.select(
+def _first(both: DataFrame, k: int) -> DataFrame:
+    return topk_per_key(both, "a", [F.desc(_strength("co", "size_b")), F.asc("b")], k)
+
+
+def _top(both: DataFrame, k: int) -> DataFrame:
+    return _first(both, k).select(
         F.col("a").alias("product_id"), "rank", F.col("b").alias("rec_id"),
         cooccurrence_sim(F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim"))
 
@@ -123,22 +126,24 @@ def _with_heavy(rows: DataFrame, heavy: list[int], k: int, cell_items: int) -> D
 
     # Products with the same multiplicities under the heavy users are alike to them:
     # one profile each. The list is at most HEAVY_USERS entries long.
-    shaped = (rows.where(is_heavy).groupBy("product_id", "size")
-              .agg(F.array_sort(F.collect_list(F.struct("user_id", "n"))).alias("shape")))
-    profiles = shaped.groupBy("shape").agg(F.min("product_id").alias("profile"))
+    shaped = cut_lineage(
+        rows.where(is_heavy).groupBy("product_id", "size")
+        .agg(F.array_sort(F.collect_list(F.struct("user_id", "n"))).alias("shape")))
+    profiles = cut_lineage(shaped.groupBy("shape").agg(F.min("product_id").alias("profile")))
     members = cut_lineage(shaped.join(profiles, "shape").select("product_id", "size", "profile"))
-    shapes = profiles.select("profile", F.inline("shape"))
+    shapes = cut_lineage(profiles.select("profile", F.inline("shape")))
     dots = cut_lineage(_profile_dots(shapes, cell_items))
 
-    best = topk_per_key(members, "profile", [F.asc("size"), F.asc("product_id")], k + 1, "place")
+    best = cut_lineage(topk_per_key(members, "profile", [F.asc("size"), F.asc("product_id")],
+                                    k + 1, "place"))
     first = best.where("place = 1").select(
         F.col("profile").alias("b"), F.col("size").alias("b_size"),
         F.col("product_id").alias("b_first"))
     near = topk_per_key(dots.join(first, "b"), "a",
                         [F.desc(_strength("co", "b_size")), F.asc("b_first")], k + 1)
-    lists = topk_per_key(
+    lists = cut_lineage(topk_per_key(
         near.select("a", "b", "co").join(best.withColumnRenamed("profile", "b"), "b"), "a",
-        [F.desc(_strength("co", "size")), F.asc("product_id")], k + 1)
+        [F.desc(_strength("co", "size")), F.asc("product_id")], k + 1))
     heavy_only = (members.select(F.col("profile").alias("a"), F.col("product_id").alias("owner"),
                                  F.col("size").alias("size_a"))
                   .join(lists.select("a", "product_id", "co", F.col("size").alias("size_b")), "a")
@@ -153,8 +158,10 @@ def _with_heavy(rows: DataFrame, heavy: list[int], k: int, cell_items: int) -> D
                  .join(share, ["pa", "pb"], "left")
                  .select("a", "b", (F.col("co") + F.coalesce("extra", F.lit(0))).alias("co"),
                          "size_a", "size_b"))
-    # Where both know a pair, the topped-up count is the larger and the true one.
-    return (mirrored(topped_up).unionByName(heavy_only).groupBy("a", "b")
+    # Where both know a pair, the topped-up count is the larger and the true one. A
+    # topped-up pair outside its own top k is out for good, whatever the other says.
+    known = _first(mirrored(topped_up), k).drop("rank")
+    return (known.unionByName(heavy_only).groupBy("a", "b")
             .agg(F.max("co").alias("co"), F.max("size_a").alias("size_a"),
                  F.max("size_b").alias("size_b")))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affinity.session import cut_lineage
+
 CELL_ITEMS = 1024
 TASK_ROWS = 20_000
 
@@ -32,9 +34,9 @@ def owner_pairs(rows: DataFrame, owner: str, item: str, cell_items: int = CELL_I
     ``cell_items`` squared pairs of one owner. Other owners have a single cell.
     """
     payload = [c for c in rows.columns if c != owner]
-    large = (rows.groupBy(owner).agg(F.count("*").alias("_n"))
-             .where(F.col("_n") > cell_items)
-             .select(owner, F.ceil(F.col("_n") / cell_items).cast("int").alias("_parts")))
+    large = cut_lineage(
+        rows.groupBy(owner).agg(F.count("*").alias("_n")).where(F.col("_n") > cell_items)
+        .select(owner, F.ceil(F.col("_n") / cell_items).cast("int").alias("_parts")))
     split = (rows.join(large, owner, "left")
              .withColumn("_parts", F.coalesce("_parts", F.lit(1)))
              .withColumn("_bucket", F.pmod(F.xxhash64(item), F.col("_parts")).cast("int")))

@@ -28,23 +28,30 @@ def newest_rating(recent: DataFrame) -> DataFrame:
     return recent.where("rank = 1").drop("rank")
 
 
-def realtime_candidates(current: DataFrame, sims: DataFrame, rated: DataFrame,
+def ranked_sims(sims: DataFrame) -> DataFrame:
+    """``product_id, rec_id, sim`` with each row's ``place`` in its product's list.
+
+    Write it before use: it is read for candidates and again for scores.
+    """
+    alike = F.round(F.col("sim"), 9)
+    return topk_per_key(sims.select("product_id", "rec_id", "sim"), "product_id",
+                        [F.desc(alike), F.asc("rec_id")], None, "place")
+
+
+def realtime_candidates(current: DataFrame, ranked: DataFrame, rated: DataFrame,
                         n: int = LIST_SIZE) -> DataFrame:
     """Products most like the one just rated and not rated by the user, best ``n``.
 
-    ``sims`` holds ``product_id, rec_id, sim``; ``rated`` one row per user and
-    product. A user who has rated r products
-    finds their n candidates among the first n + r of the list, so no more than
-    that of a long list is joined.
+    ``ranked`` is what ``ranked_sims`` gives, ``rated`` has one row per user and
+    product. A user who has rated r products finds their n candidates among the
+    first n + r of the list, so no more than that of a long list is joined.
     """
-    alike = F.round(F.col("sim"), 9)
-    ordered = topk_per_key(sims, "product_id", [F.desc(alike), F.asc("rec_id")], None, "place")
     mine = rated.select("user_id", "product_id")
     reach = mine.groupBy("user_id").agg((F.count("*") + n).alias("reach"))
     possible = (current.select("user_id", F.col("product_id").alias("just_rated"))
                 .join(reach, "user_id", "left")
                 .withColumn("reach", F.coalesce("reach", F.lit(n)))
-                .join(ordered.withColumnRenamed("product_id", "just_rated"), "just_rated")
+                .join(ranked.withColumnRenamed("product_id", "just_rated"), "just_rated")
                 .where("place <= reach")
                 .select("user_id", F.col("rec_id").alias("product_id"), "sim", "place"))
     return topk_per_key(not_yet_rated(possible, mine), "user_id", [F.asc("place")], n).select(

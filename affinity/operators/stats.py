@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.scalars import year_month
+from affinity.session import cut_lineage
 
 
 def product_counts(ratings: DataFrame) -> DataFrame:
@@ -50,4 +51,4 @@ def rating_triple(ratings: DataFrame) -> DataFrame:
 
 def attach_product_counts(ratings: DataFrame) -> DataFrame:
     """Each rating with the number of ratings of its product."""
-    return ratings.join(product_counts(ratings), "product_id")
+    return ratings.join(cut_lineage(product_counts(ratings)), "product_id")

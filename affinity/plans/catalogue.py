@@ -269,16 +269,20 @@ def quarantined_events(spark, d):
     return _parsed_log(spark, d).where("reason is not null").select("event_id", "value", "reason")
 
 
+def _details(spark, d, ratings):
+    return feeds.product_details(star.products(spark, d), stats.average_scores(ratings))
+
+
 @query
 def enrich_products(spark, d):
     ratings = star.ratings_events(spark, d)
     recent = topk.recent_ratings_topn(ratings).select("user_id", "rank", "product_id")
-    return feeds.enrich_products(recent, star.products(spark, d), stats.average_scores(ratings))
+    return feeds.enrich_products(recent, cut_lineage(_details(spark, d, ratings)))
 
 
 @query
 def user_resolve(spark, d):
-    users = upserts.user_dim(star.registrations(spark, d))
+    users = cut_lineage(upserts.user_dim(star.registrations(spark, d)))
     return upserts.resolve_users(star.rating_requests(spark, d), users)
 
 
@@ -406,8 +410,7 @@ def eval_rmse(spark, d):
 # --- re-scoring -------------------------------------------------------------------
 
 def _event_sims(spark, d):
-    return cut_lineage(itemcf.itemcf_pairs(star.ratings_events(spark, d))
-                       .select("product_id", "rec_id", "sim"))
+    return cut_lineage(realtime.ranked_sims(itemcf.itemcf_pairs(star.ratings_events(spark, d))))
 
 
 def _rescore_inputs(spark, d):
@@ -515,33 +518,28 @@ def stream_recs_upsert(spark, d):
 
 # --- feeds ------------------------------------------------------------------------
 
-def _shop(spark, d, ratings):
-    return star.products(spark, d), stats.average_scores(ratings)
-
-
 @query
 def top_rated_feed(spark, d):
     ratings = star.ratings_orders(spark, d)
-    return feeds.top_rated_feed(stats.product_counts(ratings), *_shop(spark, d, ratings))
+    return feeds.top_rated_feed(stats.product_counts(ratings), _details(spark, d, ratings))
 
 
 @query
 def hot_products_feed(spark, d):
     ratings = star.ratings_orders(spark, d)
-    return feeds.hot_products_feed(stats.rate_more_recently(ratings), *_shop(spark, d, ratings))
+    return feeds.hot_products_feed(stats.rate_more_recently(ratings), _details(spark, d, ratings))
 
 
 @query
 def itemcf_for_products(spark, d):
     ratings = star.ratings_events(spark, d)
-    products, averages = _shop(spark, d, ratings)
-    return feeds.lists_for_products(products, itemcf.itemcf_lists(ratings), products, averages)
+    return feeds.lists_for_products(star.products(spark, d), itemcf.itemcf_lists(ratings),
+                                    cut_lineage(_details(spark, d, ratings)))
 
 
 @query
 def content_for_products(spark, d):
     ratings = star.ratings_events(spark, d)
-    products, averages = _shop(spark, d, ratings)
     flat = content.content_topk(_bags(spark, d)).select(
         F.col("product_id").alias("owner"), "rank", F.col("rec_id").alias("product_id"),
         F.col("sim").alias("score"))
@@ -549,7 +547,7 @@ def content_for_products(spark, d):
     root = scratch_dir(spark, "tables")
     tables.write_table(lists, root, CONTENT_RECS)
     return feeds.lists_for_products(ratings, tables.read_table(spark, root, CONTENT_RECS),
-                                    products, averages)
+                                    cut_lineage(_details(spark, d, ratings)))
 
 
 def _customers(spark, d):
@@ -565,29 +563,30 @@ def als_for_users(spark, d):
     tables.write_table(lists, root, USER_RECS)
     users = _customers(spark, d)
     return feeds.lists_for_users(users, users, tables.read_table(spark, root, USER_RECS),
-                                 *_shop(spark, d, ratings))
+                                 cut_lineage(_details(spark, d, ratings)))
 
 
 @query
 def stream_for_users(spark, d):
     users = _customers(spark, d)
     return feeds.lists_for_users(users, users, _stream_lists(spark, d),
-                                 *_shop(spark, d, star.ratings_events(spark, d)))
+                                 cut_lineage(_details(spark, d, star.ratings_events(spark, d))))
 
 
 @query
 def product_info(spark, d):
-    ratings = star.ratings_events(spark, d)
-    return feeds.product_info(ratings, *_shop(spark, d, star.ratings_orders(spark, d)))
+    averages = stats.average_scores(star.ratings_orders(spark, d))
+    return feeds.product_info(star.ratings_events(spark, d), star.products(spark, d), averages)
 
 
 @query
 def product_search(spark, d):
-    return feeds.product_search(*_shop(spark, d, star.ratings_events(spark, d)), _SEARCH_PATTERN)
+    averages = stats.average_scores(star.ratings_events(spark, d))
+    return feeds.product_search(star.products(spark, d), averages, _SEARCH_PATTERN)
 
 
 def _intake(spark, d):
-    users = upserts.user_dim(star.registrations(spark, d))
+    users = cut_lineage(upserts.user_dim(star.registrations(spark, d)))
     return feeds.rating_intake(star.rating_requests(spark, d), users)
 
 

@@ -18,9 +18,13 @@ def product_details(products: DataFrame, averages: DataFrame) -> DataFrame:
             .withColumn("avg_score", F.coalesce("avg_score", F.lit(0.0))))
 
 
-def enrich_products(recs: DataFrame, products: DataFrame, averages: DataFrame) -> DataFrame:
-    """Recommendation rows with product details; unknown products give no row."""
-    return recs.join(product_details(products, averages), "product_id")
+def enrich_products(recs: DataFrame, details: DataFrame) -> DataFrame:
+    """Recommendation rows with product details; unknown products give no row.
+
+    For many rows ``details`` should be a written table of ``product_details``, so
+    that a product in a third of all lists is split over tasks.
+    """
+    return recs.join(details, "product_id")
 
 
 def _head(table: DataFrame, order: list, n: int) -> DataFrame:
@@ -31,39 +35,35 @@ def _head(table: DataFrame, order: list, n: int) -> DataFrame:
             .withColumn("score", F.lit(0.0)))
 
 
-def hot_products_feed(recently: DataFrame, products: DataFrame, averages: DataFrame,
-                      n: int = LIST_SIZE) -> DataFrame:
+def hot_products_feed(recently: DataFrame, details: DataFrame, n: int = LIST_SIZE) -> DataFrame:
     """Most rated products of the newest months."""
     order = [F.desc("yearmonth"), F.desc("count"), F.asc("product_id")]
-    return enrich_products(_head(recently, order, n), products, averages)
+    return enrich_products(_head(recently, order, n), details)
 
 
-def top_rated_feed(counts: DataFrame, products: DataFrame, averages: DataFrame,
-                   n: int = LIST_SIZE) -> DataFrame:
+def top_rated_feed(counts: DataFrame, details: DataFrame, n: int = LIST_SIZE) -> DataFrame:
     """Most rated products of all time."""
-    return enrich_products(_head(counts, [F.desc("count"), F.asc("product_id")], n),
-                           products, averages)
+    return enrich_products(_head(counts, [F.desc("count"), F.asc("product_id")], n), details)
 
 
-def lists_for_products(ids: DataFrame, lists: DataFrame, products: DataFrame,
-                       averages: DataFrame, n: int | None = None) -> DataFrame:
+def lists_for_products(ids: DataFrame, lists: DataFrame, details: DataFrame,
+                       n: int | None = None) -> DataFrame:
     """Stored lists of the wanted products, enriched: ``ids`` has ``product_id``."""
     wanted = lists.join(ids.select("product_id").distinct(), "product_id", "left_semi")
     flat = flatten_lists(wanted.withColumnRenamed("product_id", "for_product"), "for_product", k=n)
-    return enrich_products(flat, products, averages)
+    return enrich_products(flat, details)
 
 
 def lists_for_users(usernames: DataFrame, users: DataFrame, lists: DataFrame,
-                    products: DataFrame, averages: DataFrame, n: int = LIST_SIZE) -> DataFrame:
+                    details: DataFrame, n: int = LIST_SIZE) -> DataFrame:
     """Stored lists of the named users, enriched: ``usernames`` has ``username``."""
     ids = resolve_users(usernames.select("username").distinct(), users)
     flat = flatten_lists(lists.join(ids, "user_id"), "username", k=n)
-    return enrich_products(flat, products, averages)
+    return enrich_products(flat, details)
 
 
 def product_info(ids: DataFrame, products: DataFrame, averages: DataFrame) -> DataFrame:
-    return product_details(products.join(ids.select("product_id").distinct(), "product_id",
-                                         "left_semi"), averages)
+    return product_details(product_in_list(products, ids), averages)
 
 
 def product_search(products: DataFrame, averages: DataFrame, pattern: str,
@@ -82,9 +82,12 @@ def product_in_list(products: DataFrame, ids: DataFrame) -> DataFrame:
 
 def lookup_by_key(table: DataFrame, keys: DataFrame, key: str, first_by: list | None = None
                   ) -> DataFrame:
-    """Rows of many keys at once; the first row of a key where an order is given."""
-    found = table.join(keys.select(key).distinct(), key, "left_semi")
-    return found if first_by is None else topk_per_key(found, key, first_by, 1).drop("rank")
+    """Rows of many keys at once; the first row of a key where an order is given.
+
+    The first rows are found before the join, where a hot key costs a row per task.
+    """
+    rows = table if first_by is None else topk_per_key(table, key, first_by, 1).drop("rank")
+    return rows.join(keys.select(key).distinct(), key, "left_semi")
 
 
 def rating_intake(requests: DataFrame, users: DataFrame, base: DataFrame | None = None

@@ -66,6 +66,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     For results that several later steps read: they survive the loss of
     executors and are not computed again.
+
+    Also for the one-row-per-key side of a join whose other side may be skewed.
+    The adaptive planner splits a hot key only where both sides come straight from
+    their own shuffles, which an aggregate on the join key does not; and it
+    broadcasts a side only if it knows it to be small, which it does for files.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "stage")

@@ -27,11 +27,12 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
 
 
-def user_lists(touched: DataFrame, recent: DataFrame, rated: DataFrame, sims: DataFrame,
+def user_lists(touched: DataFrame, recent: DataFrame, rated: DataFrame, ranked: DataFrame,
                n: int = LIST_SIZE) -> DataFrame:
     """One nested list per touched user from the ratings known so far; may be empty."""
-    candidates = realtime_candidates(newest_rating(recent), sims, rated, n)
-    lists = ranked_lists(ranked_scores(realtime_scores(candidates, recent, sims)), "user_id", n)
+    candidates = realtime_candidates(newest_rating(recent), ranked, rated, n)
+    scores = ranked_scores(realtime_scores(candidates, recent, ranked))
+    lists = ranked_lists(scores, "user_id", n)
     empty = F.array().cast(LISTS_SCHEMA["recs"].dataType)
     return touched.join(lists, "user_id", "left").select(
         "user_id", F.coalesce("recs", empty).alias("recs"))
@@ -42,8 +43,9 @@ def stream_recs(ratings: DataFrame, sims: Callable[[], DataFrame], root: str,
                 buckets: int = USER_BUCKETS, n: int = LIST_SIZE) -> StreamingQuery:
     """Re-score the users of every micro-batch and store their new lists.
 
-    ``base`` holds the ratings from before the stream. ``sims`` is asked for in
-    each batch, so a refreshed similarity table is used from the next batch on.
+    ``base`` holds the ratings from before the stream. ``sims`` gives the written
+    table of ``ranked_sims``; it is asked for in each batch, so a refreshed table
+    is used from the next batch on.
     A user's list depends on their newest rating by time, not on the order of
     arrival. Ratings are kept by user bucket, and a batch reads the buckets of
     its own users only.

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from affinity.operators import itemcf, realtime, topk, upserts
+from affinity.session import cut_lineage
 
 
 def sims_of(spark, pairs):
@@ -58,7 +59,7 @@ def test_whole_flow_equals_brute_force(spark, ratings, n):
     data = [(u, rng.randrange(40), float(rng.randint(1, 5)), rng.randrange(50), e)
             for e, u in enumerate([0] * 60 + [rng.randrange(1, 12) for _ in range(120)])]
     df = ratings(data)
-    pairs = itemcf.itemcf_pairs(df).select("product_id", "rec_id", "sim").cache()
+    pairs = cut_lineage(realtime.ranked_sims(itemcf.itemcf_pairs(df)))
     sims = {(r.product_id, r.rec_id): r.sim for r in pairs.collect()}
     recent, rated = realtime.realtime_inputs(df)
     candidates = realtime.realtime_candidates(realtime.newest_rating(recent), pairs, rated, n)

@@ -75,7 +75,7 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_enrich_keeps_rank_and_drops_unknown(spark, shop):
     recs = spark.createDataFrame([(9, 1, 2, 0.5), (9, 2, 1, 0.4), (9, 3, 77, 0.3)],
                                  "user_id long, rank int, product_id long, score double")
-    got = feeds.enrich_products(recs, *shop).orderBy("rank").collect()
+    got = feeds.enrich_products(recs, feeds.product_details(*shop)).orderBy("rank").collect()
     assert [(r["rank"], r.product_id, r.avg_score) for r in got] == [(1, 2, 0.0), (2, 1, 4.5)]
 
 
@@ -83,13 +83,14 @@ def test_hot_feed_keeps_best_rank(spark, shop):
     recently = spark.createDataFrame(
         [(1, 5, 202401), (1, 9, 202402), (3, 9, 202402), (2, 50, 202312)],
         "product_id long, count long, yearmonth int")
-    got = feeds.hot_products_feed(recently, *shop, n=3).orderBy("rank").collect()
+    got = feeds.hot_products_feed(recently, feeds.product_details(*shop), n=3).orderBy("rank").collect()
     assert [(r["rank"], r.product_id) for r in got] == [(1, 1), (2, 3)]
 
 
 def test_top_rated_feed(spark, shop, ratings):
     df = ratings([(u, p, 1.0, 0, 0) for u, p in [(1, 3), (2, 3), (1, 2), (1, 1)]])
-    got = feeds.top_rated_feed(stats.product_counts(df), *shop, n=2).orderBy("rank").collect()
+    got = feeds.top_rated_feed(stats.product_counts(df), feeds.product_details(*shop),
+                               n=2).orderBy("rank").collect()
     assert [(r["rank"], r.product_id, r.score) for r in got] == [(1, 3, 0.0), (2, 1, 0.0)]
 
 
@@ -105,12 +106,13 @@ def test_lists_for_products_and_users(spark, shop):
         [(1, [(3, 0.9), (2, 0.8)]), (2, [(1, 0.7)])],
         "product_id long, recs array<struct<product_id:long,score:double>>")
     ids = spark.createDataFrame([(1,), (99,)], "product_id long")
-    got = feeds.lists_for_products(ids, lists, *shop, n=1).collect()
+    got = feeds.lists_for_products(ids, lists, feeds.product_details(*shop), n=1).collect()
     assert [(r.for_product, r["rank"], r.product_id, r.score) for r in got] == [(1, 1, 3, 0.9)]
     users = spark.createDataFrame([("ann", 1), ("bob", 2)], "username string, user_id long")
     names = spark.createDataFrame([("ann",), ("nobody",)], "username string")
     mine = lists.withColumnRenamed("product_id", "user_id")
-    got = feeds.lists_for_users(names, users, mine, *shop).orderBy("rank").collect()
+    got = feeds.lists_for_users(names, users, mine,
+                                feeds.product_details(*shop)).orderBy("rank").collect()
     assert [(r.username, r.product_id) for r in got] == [("ann", 3), ("ann", 2)]
 
 

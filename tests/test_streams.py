@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from affinity.operators import itemcf, realtime, topk
-from affinity.session import scratch_dir
+from affinity.session import cut_lineage, scratch_dir
 from affinity.streaming import changelog, queue, recs, tracking
 
 SCHEMA = "user_id long, product_id long, score double, ts long, event_id long"
@@ -106,8 +106,8 @@ def batch_lists(spark, data, sims, n):
 def test_list_stream_equals_batch(spark, parts, with_base):
     data = events(2, 200)
     random.Random(4).shuffle(data)
-    sims = itemcf.itemcf_pairs(spark.createDataFrame(events(5), SCHEMA)).select(
-        "product_id", "rec_id", "sim").cache()
+    sims = cut_lineage(realtime.ranked_sims(
+        itemcf.itemcf_pairs(spark.createDataFrame(events(5), SCHEMA))))
     base, new = (data[:80], data[80:]) if with_base else ([], data)
     root = scratch_dir(spark, "recs")
     recs.stream_recs(stream(spark, in_files(spark, new, parts)), lambda: sims, root,
