@@ -31,8 +31,11 @@ def recent_queue_updates(ratings: DataFrame, size: int = QUEUE_SIZE) -> DataFram
 
     def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            ordered = rows.sort_values(order, ascending=False)
-            yield ordered.groupby("user_id", sort=False).head(size)
+            counts = rows["user_id"].value_counts()
+            many = rows["user_id"].isin(counts.index[counts > size])
+            ordered = rows[many].sort_values(order, ascending=False)
+            newest = ordered.groupby("user_id", sort=False).head(size)
+            yield pd.concat([rows[~many], newest]) if many.any() else rows
 
     def update(key: tuple, batches: Iterator[pd.DataFrame],
                state: GroupState) -> Iterator[pd.DataFrame]:
