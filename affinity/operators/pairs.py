@@ -30,13 +30,15 @@ def owner_pairs(rows: DataFrame, owner: str, item: str, cell_items: int = CELL_I
     ``rows`` should be a written table: it is counted, and read for both sides.
     Other columns come back with the endings ``_a`` and ``_b``. An owner of more
     than ``cell_items`` items is split by item hash into buckets and each pair of
-    buckets becomes its own join key, so no task meets more than about
-    ``cell_items`` squared pairs of one owner. Other owners have a single cell.
+    buckets becomes its own join key. A row is copied once per bucket, so buckets
+    grow with the root of the items: n items have at most sqrt(n) / 4 buckets and
+    a cell about 16 n pairs. Other owners have a single cell.
     """
     payload = [c for c in rows.columns if c != owner]
+    bucket = F.greatest(F.lit(float(cell_items)), 4 * F.sqrt("_n"))
     large = cut_lineage(
         rows.groupBy(owner).agg(F.count("*").alias("_n")).where(F.col("_n") > cell_items)
-        .select(owner, F.ceil(F.col("_n") / cell_items).cast("int").alias("_parts")))
+        .select(owner, F.ceil(F.col("_n") / bucket).cast("int").alias("_parts")))
     split = (rows.join(large, owner, "left")
              .withColumn("_parts", F.coalesce("_parts", F.lit(1)))
              .withColumn("_bucket", F.pmod(F.xxhash64(item), F.col("_parts")).cast("int")))
