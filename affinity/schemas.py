@@ -48,7 +48,9 @@ SCHEMAS = {
     RATE_MORE_RECENTLY: _struct(("product_id", _long), ("count", _long), ("yearmonth", _int)),
     AVERAGE_PRODUCTS: _struct(("product_id", _long), ("avg", _dbl)),
     USER_RECS: _struct(("user_id", _long), ("recs", REC_LIST)),
-    PRODUCT_RECS: _struct(("product_id", _long), ("recs", REC_LIST)),
+    # Uncapped, so one row per pair rather than one list per product.
+    PRODUCT_RECS: _struct(("product_id", _long), ("rec_id", _long), ("sim", _dbl),
+                          ("place", _int)),
     ITEMCF_RECS: _struct(("product_id", _long), ("recs", REC_LIST)),
     CONTENT_RECS: _struct(("product_id", _long), ("recs", REC_LIST)),
     STREAM_RECS: _struct(("user_id", _long), ("recs", REC_LIST)),

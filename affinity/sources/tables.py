@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.operators.topk import flatten_lists
-from affinity.schemas import PRODUCT_RECS, SCHEMAS
+from affinity.schemas import ITEMCF_RECS, SCHEMAS
 
 
 def table_path(root: str, name: str) -> str:
@@ -44,7 +44,7 @@ def write_layout(df: DataFrame, path: str, key: str, files: int | None = None) -
     return path
 
 
-def read_similarity(spark: SparkSession, root: str, name: str = PRODUCT_RECS) -> DataFrame:
+def read_similarity(spark: SparkSession, root: str, name: str = ITEMCF_RECS) -> DataFrame:
     """Stored nested lists as long rows ``product_id, rec_id, sim``."""
     lists = read_table(spark, root, name)
     return flatten_lists(lists, "product_id", "rec_id").select(
