@@ -367,6 +367,13 @@ def als_user_recs(spark, d):
     return als.als_user_recs(als.als_train(star.ratings_events(spark, d)))
 
 
+@query
+def als_user_recs_unseen(spark, d):
+    ratings = star.ratings_events(spark, d)
+    rated = cut_lineage(ratings.select("user_id", "product_id").distinct())
+    return als.als_user_recs_unseen(als.als_train(ratings), rated)
+
+
 @query
 def als_product_recs(spark, d):
     return als.als_product_recs(als.als_train(star.ratings_events(spark, d)))

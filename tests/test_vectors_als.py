@@ -62,6 +62,20 @@ def test_als_lists(spark, blocks_of_taste):
     assert sims and all(s > 0.4 and p != q and (q, p) in sims for (p, q), s in sims.items())
 
 
+def test_als_lists_without_rated_products(blocks_of_taste):
+    model = als.als_train(blocks_of_taste)
+    rated = {(r.user_id, r.product_id) for r in blocks_of_taste.collect()}
+    expected = {}
+    for r in als.als_user_recs(model, 12).collect():
+        if (r.user_id, r.product_id) not in rated:
+            expected.setdefault(r.user_id, []).append((-r.score, r.product_id))
+    got = {}
+    for r in als.als_user_recs_unseen(model, blocks_of_taste, 2).collect():
+        got.setdefault(r.user_id, {})[r["rank"]] = r.product_id
+    assert got == {u: {i + 1: p for i, (_, p) in enumerate(sorted(recs)[:2])}
+                   for u, recs in expected.items()}
+
+
 def test_als_beats_the_mean(blocks_of_taste):
     model = als.als_train(blocks_of_taste)
     fitted = als.eval_rmse(als.als_predict(model, blocks_of_taste)).first()
