@@ -165,9 +165,9 @@ def content_pairs(bags: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFram
                    F.lit(1.0).alias("sim")))
     both = profile_pairs(vectors, threshold).select(
         F.stack(F.lit(2), "a", "b", "sim", "b", "a", "sim").alias("a", "b", "sim"))
-    return (both.unionByName(own)
-            .join(sizes.select(F.col("profile").alias("a"), F.col("members").alias("members1")), "a")
-            .join(sizes.select(F.col("profile").alias("b"), F.col("members").alias("members2")), "b")
+    of_a = sizes.select(F.col("profile").alias("a"), F.col("members").alias("members1"))
+    of_b = sizes.select(F.col("profile").alias("b"), F.col("members").alias("members2"))
+    return (both.unionByName(own).join(of_a, "a").join(of_b, "b")
             .select(F.col("a").alias("profile1"), F.col("b").alias("profile2"),
                     "members1", "members2", "sim"))
 

@@ -104,7 +104,7 @@ def itemcf_topk(ratings: DataFrame, k: int = LIST_SIZE, dedup: bool = False,
     """The ``k`` most similar products of every product: exact, whatever the skew.
 
     A user with d products has d^2 pairs. For the few users where that would
-    dominate, the pairs are not formed: see ``_with_heavy``.
+    dominate, pairs of like products are formed instead: see ``_with_heavy``.
     """
     rows = user_items(ratings, dedup)
     heavy = heavy_users(rows, min_heavy_items)

@@ -43,8 +43,8 @@ def dense_cosine_pairs(items: DataFrame, threshold: float = SIM_THRESHOLD,
     blocks = blocks or block_count(rows.count(), spark.sparkContext.defaultParallelism)
     placed = (rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-              .select(F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-                      "block", "id", "v"))
+              .select(F.least("block", "other").alias("lo"),
+                      F.greatest("block", "other").alias("hi"), "block", "id", "v"))
 
     # The function stands by itself, so workers need no copy of this package.
     def cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,6 +20,7 @@ def build_session(app: str = "affinity", cpus: int | None = None, **conf: str) -
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.driver.memory": "12g",
+        "spark.driver.extraJavaOptions": "-XX:+UseParallelGC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **conf,
     }

@@ -84,7 +84,8 @@ def test_ranked_lists_round_trip(spark):
     lists = topk.ranked_lists(flat, "user_id", 3)
     assert {len(r.recs) for r in lists.collect()} == {3}
     back = topk.flatten_lists(lists, "user_id")
-    assert {tuple(r) for r in back.collect()} == {tuple(r) for r in flat.collect() if r["rank"] <= 3}
+    assert {tuple(r) for r in back.collect()} == {
+        tuple(r) for r in flat.where("rank <= 3").collect()}
 
 
 def test_upsert_newest_wins_and_is_idempotent(ratings):
