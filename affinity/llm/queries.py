@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from affinity.llm import pieces
 from affinity.llm.quality import quality
 from affinity.llm.toxicity import toxicity
 
@@ -18,12 +20,18 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    proto = pieces.load(model or public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.round_trip(read(spark, sf_dir, "documents"), proto)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
+    "op5_pieces": op5_pieces,
     "op8_quality": op8_quality,
 }
 
