@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm import pieces
+from affinity.llm import pieces, reputation
 from affinity.llm.quality import quality
 from affinity.llm.toxicity import toxicity
 
@@ -29,10 +29,18 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return reputation.judge(pages, reputation.page_outcomes(pages, read(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op5_pieces": op5_pieces,
     "op8_quality": op8_quality,
+    "op9_reputation": op9_reputation,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_reputation": reputation.oracle_sql(),
+}
