@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm import pieces, reputation
+from affinity.llm import pieces, pseudonyms, reputation
 from affinity.llm.quality import quality
 from affinity.llm.toxicity import toxicity
 
@@ -34,11 +34,17 @@ def op9_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.judge(pages, reputation.page_outcomes(pages, read(spark, sf_dir, "labels")))
 
 
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(documents)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op5_pieces": op5_pieces,
     "op8_quality": op8_quality,
     "op9_reputation": op9_reputation,
+    "op10_pseudonyms": op10_pseudonyms,
 }
 
 ORACLES: dict[str, str] = {

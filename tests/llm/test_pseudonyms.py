@@ -1,0 +1,82 @@
+"""Pseudonyms against a plain-Python Feistel network; formats, checks, links, defined cases."""
+
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from affinity.llm.pseudonyms import DEFAULT_KEY, ROUNDS, feistel, pseudonymise
+
+
+def plain(values, radices, kind, key=DEFAULT_KEY, back=False):
+    state = list(values)
+    for turn in reversed(range(ROUNDS)) if back else range(ROUNDS):
+        other = ",".join(str(x) for i, x in enumerate(state) if i % 2 != turn % 2)
+        d = hashlib.sha512(f"{key}|{kind}|{turn}|{len(state)}|{other}".encode()).hexdigest()
+        for i in range(turn % 2, len(state), 2):
+            move = int(d[8 * (i // 2 % 16):8 * (i // 2 % 16) + 8], 16)
+            state[i] = (state[i] + (-move if back else move)) % radices[i]
+    return state
+
+
+def luhn(digits):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def replaced(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [(r.text, r.n_pseudonyms) for r in pseudonymise(docs).orderBy("doc_id").collect()]
+
+
+def test_network_is_the_plain_one_and_goes_back(spark):
+    rows = [([1, 2, 3, 4], [10] * 4), ([9], [10]), ([], []), ([0, 255, 17], [256] * 3),
+            (list(range(9)) * 5, [26] * 45)]
+    df = spark.createDataFrame(rows, "v array<int>, r array<int>")
+    got = [r[0] for r in df.select(feistel(F.col("v"), F.col("r"), "kind", DEFAULT_KEY)).collect()]
+    for (values, radices), out in zip(rows, got, strict=True):
+        assert out == plain(values, radices, "kind")
+        assert plain(out, radices, "kind", back=True) == values
+
+
+def test_values_by_kind(spark):
+    (card, n1), (spaced, _), (ip, _), (phone, _), (mail, _), (iban, _), (ssn, _), (date, n8) = replaced(spark, [
+        "no 4041894974608795.", "4041 8949 7460 8795", "at 70.123.182.155.", "+1 (988) 555-2485",
+        "bosbt.42@mail8.example.com", "GB82WEST12345698765432", "078-05-1120", "on 2024-02-29 31/12/1999"])
+    body = "4" + "".join(map(str, plain([int(c) for c in "04189497460879"], [10] * 14, "card")))
+    assert n1 == 1 and card[3:18] == body and luhn(card[3:19]) and card.endswith(".")
+    assert spaced.replace(" ", "") == card[3:19] and spaced[4] == " "
+    assert ip == "at " + ".".join(map(str, plain([70, 123, 182, 155], [256] * 4, "ipv4"))) + "."
+    moved = plain([7, 8, 8, 3, 5, 5, 2, 4, 8, 5], [8, 10, 10, 8] + [10] * 6, "phone")
+    moved[0], moved[3] = moved[0] + 2, moved[3] + 2
+    assert re.sub(r"\D", "", phone) == "1" + "".join(map(str, moved))
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", phone)
+    assert re.fullmatch(r"[a-z]{5}\.\d\d@mail8\.example\.com", mail) and mail != "bosbt.42@mail8.example.com"
+    numbers = "".join(str(int(c, 36)) for c in iban[4:] + iban[:4])
+    assert int(numbers) % 97 == 1 and iban[:2] == "GB"
+    assert re.fullmatch(r"\d{3}-\d{2}-\d{4}", ssn) and ssn != "078-05-1120"
+    assert n8 == 2 and re.fullmatch(r"on \d{4}-\d\d-\d\d \d\d/\d\d/\d{4}", date)
+
+
+def test_equal_values_stay_linked_and_different_ones_apart(spark):
+    got = replaced(spark, [f"ip {a}.2.3.4" for a in range(200)] + ["x 7.2.3.4 y"])
+    assert len({t for t, _ in got[:200]}) == 200
+    assert got[200][0] == f"x {got[7][0][3:]} y"
+
+
+@pytest.mark.parametrize("text", ["", None, "clean 4.0. text 12 3", "4041894974608796", "999.1.1.1",
+                                  "2023-02-30", "000-12-1234", "555-3296", "a@b", "v1.2.3.4.5",
+                                  "GB00WEST12345698765432"])
+def test_what_is_not_valid_stays(spark, text):
+    assert replaced(spark, [text]) == [(text, 0)]
+
+
+def test_all_columns_long_text_repeats_and_empty_table(spark):
+    text = "word " * 40_000 + "70.123.182.155 " * 500
+    docs = spark.createDataFrame([(1, text, "s", 3), (1, text, "s", 3)],
+                                 "doc_id long, text string, finds_0 string, `a.b` int")
+    out = pseudonymise(docs)
+    assert out.columns == ["doc_id", "text", "finds_0", "a.b", "n_pseudonyms"]
+    a, b = out.collect()
+    assert a == b and a.n_pseudonyms == 500 and "70.123" not in a.text and a.finds_0 == "s"
+    assert pseudonymise(docs.limit(0)).count() == 0
