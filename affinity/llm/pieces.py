@@ -24,8 +24,10 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2
 
+from affinity.llm.whole_rows import map_whole_rows
 from affinity.llm.words import slices
 
 ESCAPED = "▁".encode()
@@ -225,8 +227,6 @@ def round_trip(documents: DataFrame, proto: bytes) -> DataFrame:
 
 def with_ids(documents: DataFrame, proto: bytes) -> DataFrame:
     """All columns of ``documents`` and ``piece_ids array<int>``, ``decoded string`` of their texts."""
-    fields = documents.schema
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = PieceModel(proto)
         for batch in batches:
@@ -236,10 +236,8 @@ def with_ids(documents: DataFrame, proto: bytes) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.array(ids, pa.list_(pa.int32())),
                      pa.array([model.decode(one) for one in ids], pa.string())],
-                    [*rows.schema.names, "piece_ids", "decoded"])
+                    [*rows.schema.names, *added.names])
 
-    kept = [f for f in fields if f.name not in ("piece_ids", "decoded")]
-    names = [f.name for f in kept]
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return documents.select(*[f"`{n}`" for n in names]).mapInArrow(
-        run, f"{out}, piece_ids array<int>, decoded string")
+    added = T.StructType([T.StructField("piece_ids", T.ArrayType(T.IntegerType())),
+                          T.StructField("decoded", T.StringType())])
+    return map_whole_rows(documents.drop(*added.names), run, added)

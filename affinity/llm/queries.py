@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm import pieces, pseudonyms, reputation
+from affinity.llm import containment, pieces, pseudonyms, reputation
 from affinity.llm.quality import quality
 from affinity.llm.toxicity import toxicity
 
@@ -25,6 +25,10 @@ def op5_pieces(spark: SparkSession, sf_dir: str, model: str | None = None) -> Da
     return pieces.round_trip(read(spark, sf_dir, "documents"), proto)
 
 
+def op6_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containment.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -42,11 +46,13 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op5_pieces": op5_pieces,
+    "op6_containment": op6_containment,
     "op8_quality": op8_quality,
     "op9_reputation": op9_reputation,
     "op10_pseudonyms": op10_pseudonyms,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_containment": containment.oracle_sql(),
     "op9_reputation": reputation.oracle_sql(),
 }

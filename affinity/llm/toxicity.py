@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.llm.sampling import collect_features, fold_of, labelled_sample
+from affinity.llm.whole_rows import filter_by_text
 from affinity.llm.words import Slice, prefix_sums, rows_of, runs, slices, stretch_hashes
 from affinity.session import cut_lineage
 
@@ -219,14 +220,9 @@ def toxicity(documents: DataFrame, labels: DataFrame, **training: int) -> DataFr
 def drop_toxic(documents: DataFrame, labels: DataFrame, **training: int) -> DataFrame:
     """The rows of ``documents``, all columns, whose own text scores below the threshold."""
     model = train(documents, labels, **training)
-    fields = documents.schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch.column("text")):
-                hashes, row = terms(part)
-                found = model.scores(*model.find(hashes, row), part.n_rows)
-                rows = batch.slice(part.start, part.n_rows)
-                yield rows.filter(pa.array(found < THRESHOLD))
+    def keep(part: Slice) -> np.ndarray:
+        hashes, row = terms(part)
+        return model.scores(*model.find(hashes, row), part.n_rows) < THRESHOLD
 
-    return documents.mapInArrow(run, fields)
+    return filter_by_text(documents, keep)
