@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm import containment, pieces, pseudonyms, reputation
+from affinity.llm import bagminhash, containment, pieces, pseudonyms, reputation
 from affinity.llm.quality import quality
 from affinity.llm.toxicity import toxicity
 
@@ -29,6 +29,10 @@ def op6_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op5_pieces": op5_pieces,
     "op6_containment": op6_containment,
+    "op7_bagminhash": op7_bagminhash,
     "op8_quality": op8_quality,
     "op9_reputation": op9_reputation,
     "op10_pseudonyms": op10_pseudonyms,
