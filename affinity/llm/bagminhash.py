@@ -14,13 +14,12 @@ Jaccard similarity of their multisets is ``THRESHOLD`` or more, and a class is w
 * **Exact copies.** Texts with equal multisets (a 128-bit fingerprint) are one node from here on.
 * **Bands.** ``BANDS`` bands of ``SIZE / BANDS`` components: similarity 0.8 shares none with a
   probability of 5e-8. In each bucket every node is paired with one centre, so a bucket of n
-  nodes makes n - 1 pairs. Pairs whose signatures agree in too few places (five standard errors
-  below the threshold) end there; the others' multisets are compared exactly from the texts.
+  nodes makes n - 1 pairs. Pairs whose signatures agree in too few places (four and a half
+  standard errors below the threshold) end there; the others' multisets are compared exactly from the texts.
 * **Rounds.** Buckets whose nodes are still in several classes are paired again with another
-  centre, until a round joins no classes. Then all pairs between classes are compared: within a
-  bucket if they are ``SMALL_BUCKET`` or fewer, and otherwise where they share a second band too
-  (at similarity 0.8 all but one pair in a million do). So no link that shares bands is lost, and
-  copies of one another, which the rounds have brought into one class, never make all pairs.
+  centre, ``ROUNDS`` times in all. Copies of one another are in one class then. What is left,
+  pairs between classes of one bucket, is compared in cells of bounded size (below), so that no
+  link of nodes that share a band is lost, and no row is made per pair.
 
 Bucket centres and classes come from aggregates with map-side combining; joins with a possible hot key
 read the one-row-per-key side from a written table, so that the adaptive planner can split them.
@@ -49,9 +48,10 @@ from affinity.session import cut_lineage
 
 THRESHOLD = 0.8
 SIZE, BANDS = 128, 32
-SMALL_BUCKET = 256
-#: Fewest equal components of a pair that is compared exactly: five standard errors below.
-LEAST_EQUAL = math.floor(SIZE * THRESHOLD - 5 * math.sqrt(SIZE * THRESHOLD * (1 - THRESHOLD)))
+ROUNDS = 3
+CELL = 256
+#: Fewest equal components of a pair that is compared exactly.
+LEAST_EQUAL = math.floor(SIZE * THRESHOLD - 4.5 * math.sqrt(SIZE * THRESHOLD * (1 - THRESHOLD)))
 
 _STEP, _SPOT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -177,11 +177,12 @@ def _handle(node: Column | str) -> Column:
 
 
 def _band_rows(nodes: DataFrame) -> DataFrame:
-    """``bucket, handle``: one row per band of each node that has words."""
+    """``bucket, band, handle``: one row per band of each node that has words."""
     width = 2 * SIZE // BANDS
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(
         b, F.substring("signature", F.lit(1) + b * width, F.lit(width))))
-    return nodes.where("weight > 0").select(F.explode(keys).alias("bucket"), _handle("node").alias("handle"))
+    return (nodes.where("weight > 0").select(F.posexplode(keys).alias("band", "bucket"), "node")
+            .select("bucket", "band", _handle("node").alias("handle")))
 
 
 def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -244,12 +245,12 @@ def _texts(documents: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _mixed(bands: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """``bucket, handle, class`` of the buckets whose nodes are in several classes."""
+    """``bucket, band, handle, class`` of the buckets whose nodes are in several classes."""
     if labels is None:
         return bands.withColumn("class", F.col("handle"))
     classed = labels.select(_handle("node").alias("handle"), _handle("label").alias("class"))
     known = bands.join(classed, "handle", "left").select(
-        "bucket", "handle", F.coalesce("class", "handle").alias("class"))
+        "bucket", "band", "handle", F.coalesce("class", "handle").alias("class"))
     mixed = (known.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
              .where("low <> high").select("bucket"))
     return cut_lineage(known.join(cut_lineage(mixed), "bucket"))
@@ -264,25 +265,67 @@ def _centre_pairs(rows: DataFrame, turn: int) -> DataFrame:
             .select("handle", "centre").distinct())
 
 
-def _pairs_between(rows: DataFrame, limit: int | None) -> tuple[DataFrame, DataFrame]:
-    """All pairs of a bucket's nodes from different classes, and the buckets left out.
+def _links_between(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links ``a, b`` that join all linked classes of a bucket, from all its pairs between classes.
 
-    One end of every such pair is outside the bucket's largest class. Buckets that would make
-    more than ``limit`` pairs are left out, and returned.
+    A bucket's nodes are dealt into blocks of about ``CELL``; a cell is one block or two, a task
+    compares the pairs of a cell, and links alone leave it. A pair is compared in the first band
+    that it shares, in order of agreeing components, and not if its classes have met by then.
     """
-    by_class = rows.groupBy("bucket", "class").agg(F.count("*").alias("n"))
-    sizes = cut_lineage(by_class.groupBy("bucket").agg(
-        F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("top"))
-        .select("bucket", F.col("top.class").alias("largest"), (F.col("n") * (F.col("n") - F.col("top.n"))).alias("cost"))
-        .where("cost > 0"))
-    few = sizes if limit is None else sizes.where(F.col("cost") <= limit)
-    small = cut_lineage(rows.join(few.select("bucket", "largest"), "bucket"))
-    outside = small.where("class <> largest").select(
-        "bucket", F.col("handle").alias("centre"), F.col("class").alias("centre_class"))
-    pairs = (small.select("bucket", "handle", "class").join(outside, "bucket").where("class <> centre_class")
-             .select(F.least("handle", "centre").alias("handle"), F.greatest("handle", "centre").alias("centre"))
-             .distinct())
-    return pairs, sizes.where(F.col("cost") > (limit or 0)).select("bucket")
+    sizes = cut_lineage(rows.groupBy("bucket").agg(F.count("*").alias("n")).select(
+        "bucket", F.ceil(F.col("n") / CELL).cast("int").alias("blocks")))
+    known = nodes.select(_handle("node").alias("handle"), "node", "signature")
+    block = F.pmod(F.xxhash64("handle", F.lit("block")), F.col("blocks")).cast("int")
+    cells = (rows.join(sizes, "bucket").withColumn("block", block)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("bucket", "band", "handle", "class", "block",
+                     F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+             .join(known, "handle").join(texts, "node")
+             .select("bucket", "low", "high", "band", "class", "block", "node", "signature", "text"))
+
+    def compare(cell: pa.Table) -> pa.Table:
+        band, low, high = (cell.column(c)[0].as_py() for c in ("band", "low", "high"))
+        node, block = cell.column("node").to_pylist(), cell.column("block").to_numpy()
+        signs = np.frombuffer(b"".join(cell.column("signature").to_pylist()), np.uint16).reshape(-1, SIZE)
+        classes = cell.column("class").to_numpy()
+        pairs = []
+        for k in range(len(node)):
+            same = signs[k + 1:] == signs[k]
+            agree = same.sum(1)
+            earlier = same.reshape(-1, BANDS, SIZE // BANDS).all(2)[:, :band].any(1)
+            ok = (agree >= LEAST_EQUAL) & (classes[k + 1:] != classes[k]) & ~earlier
+            if low != high:
+                ok &= block[k + 1:] != block[k]
+            at = np.flatnonzero(ok)
+            pairs.append(np.stack([agree[at], np.full(len(at), k), at + k + 1]))
+        pairs = np.concatenate(pairs, axis=1)
+        pairs = pairs[:, np.argsort(-pairs[0], kind="stable")]
+        used = np.unique(pairs[1:])
+        bags = {}
+        for part in slices(cell.column("text").take(pa.array(used))):
+            row, shingle, times = multisets(part)
+            ends = np.searchsorted(row, np.arange(part.n_rows + 1))
+            for k in range(part.n_rows):
+                here = slice(ends[k], ends[k + 1])
+                bags[int(used[part.start + k])] = shingle[here], times[here]
+        met = {int(c): int(c) for c in classes}
+
+        def root(c: int) -> int:
+            while met[c] != c:
+                met[c] = met[met[c]]
+                c = met[c]
+            return c
+
+        links = []
+        for _, i, j in pairs.T.tolist():
+            one, two = root(int(classes[i])), root(int(classes[j]))
+            if one != two and overlap(bags[i], bags[j]) >= threshold - 1e-12:
+                met[one] = two
+                links.append((node[i], node[j]))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.binary()),
+                         "b": pa.array([x for _, x in links], pa.binary())})
+
+    return cells.groupBy("bucket", "low", "high").applyInArrow(compare, "a binary, b binary")
 
 
 def near_links(documents: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -296,23 +339,13 @@ def near_links(documents: DataFrame, nodes: DataFrame, threshold: float = THRESH
     def linked(pairs: DataFrame) -> DataFrame:
         return cut_lineage(_verified(cut_lineage(_agreeing(cut_lineage(pairs), nodes)), texts, threshold))
 
-    edges, labels, turn = None, None, 0
-    while True:
+    edges, labels = None, None
+    for turn in range(ROUNDS):
         rows = _mixed(bands, labels)
         links = linked(_centre_pairs(rows, turn))
-        if turn and links.isEmpty():
-            break
         edges = links if edges is None else edges.union(links)
-        labels, turn = components(edges), turn + 1
-    pairs, large = _pairs_between(rows, SMALL_BUCKET)
-    links = linked(pairs)
-    if not large.isEmpty():
-        crowded = rows.join(cut_lineage(large), "bucket").select("bucket", "handle", "class")
-        twice = (crowded.join(bands.select(F.col("bucket").alias("other"), "handle"), "handle")
-                 .where("bucket <> other").select(F.xxhash64(
-                     F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"), "handle", "class")
-                 .distinct())
-        links = links.union(linked(_pairs_between(cut_lineage(twice), None)[0]))
+        labels = components(edges)
+    links = cut_lineage(_links_between(_mixed(bands, labels), nodes, texts, threshold))
     return labels if links.isEmpty() else components(edges.union(links))
 
 
