@@ -42,9 +42,9 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from affinity.llm.components import components
+from affinity.llm.stage import written
 from affinity.llm.whole_rows import map_whole_rows
 from affinity.llm.words import Slice, mix, shingles, slices, words
-from affinity.session import cut_lineage
 
 THRESHOLD = 0.8
 SIZE, BANDS = 128, 32
@@ -241,7 +241,7 @@ def _texts(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, text``, one text for each of the ``nodes``; copies meet before they are shuffled."""
     name = "node"
     texts = with_node(documents.select("text"), name).groupBy(name).agg(F.first("text").alias("text"))
-    return cut_lineage(texts.join(nodes, name, "left_semi"))
+    return written(texts.join(nodes, name, "left_semi"))
 
 
 def _mixed(bands: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -253,13 +253,13 @@ def _mixed(bands: DataFrame, labels: DataFrame | None) -> DataFrame:
         "bucket", "band", "handle", F.coalesce("class", "handle").alias("class"))
     mixed = (known.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
              .where("low <> high").select("bucket"))
-    return cut_lineage(known.join(cut_lineage(mixed), "bucket"))
+    return written(known.join(written(mixed), "bucket"))
 
 
 def _centre_pairs(rows: DataFrame, turn: int) -> DataFrame:
     """``handle, centre``: each bucket's nodes with its centre, where their classes differ."""
     order = F.struct(F.xxhash64(F.lit(turn), "handle"), "handle", "class")
-    centres = cut_lineage(rows.groupBy("bucket").agg(F.min(order).alias("c")).select(
+    centres = written(rows.groupBy("bucket").agg(F.min(order).alias("c")).select(
         "bucket", F.col("c.handle").alias("centre"), F.col("c.class").alias("centre_class")))
     return (rows.join(centres, "bucket").where("class <> centre_class")
             .select("handle", "centre").distinct())
@@ -272,7 +272,7 @@ def _links_between(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshol
     compares the pairs of a cell, and links alone leave it. A pair is compared in the first band
     that it shares, in order of agreeing components, and not if its classes have met by then.
     """
-    sizes = cut_lineage(rows.groupBy("bucket").agg(F.count("*").alias("n")).select(
+    sizes = written(rows.groupBy("bucket").agg(F.count("*").alias("n")).select(
         "bucket", F.ceil(F.col("n") / CELL).cast("int").alias("blocks")))
     known = nodes.select(_handle("node").alias("handle"), "node", "signature")
     block = F.pmod(F.xxhash64("handle", F.lit("block")), F.col("blocks")).cast("int")
@@ -331,13 +331,13 @@ def _links_between(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshol
 def near_links(documents: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``node, label`` of the nodes that are linked to another, labelled by class."""
     bands = _band_rows(nodes)
-    shared = cut_lineage(bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"))
-    bands = cut_lineage(bands.join(shared, "bucket"))
+    shared = written(bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"))
+    bands = written(bands.join(shared, "bucket"))
     near = bands.select("handle").distinct()
     texts = _texts(documents, nodes.join(near, _handle("node") == F.col("handle"), "left_semi").select("node"))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return cut_lineage(_verified(cut_lineage(_agreeing(cut_lineage(pairs), nodes)), texts, threshold))
+        return written(_verified(written(_agreeing(written(pairs), nodes)), texts, threshold))
 
     edges, labels = None, None
     for turn in range(ROUNDS):
@@ -345,21 +345,21 @@ def near_links(documents: DataFrame, nodes: DataFrame, threshold: float = THRESH
         links = linked(_centre_pairs(rows, turn))
         edges = links if edges is None else edges.union(links)
         labels = components(edges)
-    links = cut_lineage(_links_between(_mixed(bands, labels), nodes, texts, threshold))
+    links = written(_links_between(_mixed(bands, labels), nodes, texts, threshold))
     return labels if links.isEmpty() else components(edges.union(links))
 
 
 def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, node, class_id`` of every row: the smallest id of the row's class."""
-    sketched = cut_lineage(sketches(documents))
-    nodes = cut_lineage(sketched.groupBy("node").agg(
+    sketched = written(sketches(documents))
+    nodes = written(sketched.groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.first("weight").alias("weight"),
         F.first("signature").alias("signature")))
     labels = near_links(documents, nodes, threshold)
     labelled = nodes.select("node", "first_id").join(labels, "node", "left").select(
         "node", "first_id", F.coalesce("label", "node").alias("label"))
     least = labelled.groupBy("label").agg(F.min("first_id").alias("class_id"))
-    of_node = cut_lineage(labelled.join(cut_lineage(least), "label").select("node", "class_id"))
+    of_node = written(labelled.join(written(least), "label").select("node", "class_id"))
     return sketched.select("doc_id", "node").join(of_node, "node").select("doc_id", "node", "class_id")
 
 
@@ -374,10 +374,10 @@ def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Rows of texts without words are one class. If several rows have that id and the same words,
     the first by text stays.
     """
-    found = cut_lineage(classes(documents, threshold))
+    found = written(classes(documents, threshold))
     chosen = (found.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
               .groupBy("class_id").agg(F.min("node").alias("node"), F.count("*").alias("rows")))
-    chosen = cut_lineage(chosen)
+    chosen = written(chosen)
     name = next(f"node_{i}" for i in range(len(documents.columns) + 1)
                 if f"node_{i}" not in {c.lower() for c in documents.columns})
     marked = with_node(documents, name)

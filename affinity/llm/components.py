@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.session import cut_lineage
+from affinity.llm.stage import written
+
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,16 +16,16 @@ def components(edges: DataFrame) -> DataFrame:
     its neighbours and itself, then the label of that label; a component is done after about
     the logarithm of its longest path. Each round is written; counts alone reach the driver.
     """
-    both = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
-    labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
+    both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
                          .select("node", F.least("node", "low").alias("label")))
     while True:
         near = (both.join(labels.select(F.col("node").alias("b"), "label"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
-        better = cut_lineage(labels.join(near, "node").select(
+        better = written(labels.join(near, "node").select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label")))
         jump = better.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        new = cut_lineage(better.join(jump, "label", "left").select(
+        new = written(better.join(jump, "label", "left").select(
             "node", "old", F.least("label", F.coalesce("next", "label")).alias("label")))
         labels = new.select("node", "label")
         if new.where("label <> old").isEmpty():

@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.llm.sampling import collect_features, fold_of, labelled_sample
+from affinity.llm.stage import written
 from affinity.llm.words import WHITE, Slice, mix, prefix_sums, rows_of, runs, slices, stretch_hashes
-from affinity.session import cut_lineage
 
 FOLDS, HELD_OUT = 4, 2
 SAMPLE_BOUND = 10_000
@@ -134,7 +134,7 @@ def fit(places: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, size:
 def train(documents: DataFrame, labels: DataFrame, label: str = "quality", folds: int = FOLDS,
           held_out: int = HELD_OUT, sample_bound: int = SAMPLE_BOUND) -> SparseLogistic:
     """Learn from at most ``sample_bound`` labelled texts outside the held-out fold."""
-    sample = cut_lineage(labelled_sample(documents, labels, label, folds, held_out, sample_bound))
+    sample = written(labelled_sample(documents, labels, label, folds, held_out, sample_bound))
     model = SparseLogistic(frequent_buckets(sample), np.zeros(0), 0.0)
 
     def extract(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

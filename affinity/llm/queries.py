@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm import bagminhash, containment, pieces, pseudonyms, reputation
+from affinity.llm import bagminhash, containment, pieces, pseudonyms, reputation, suffix_dedup
 from affinity.llm.quality import quality
 from affinity.llm.toxicity import toxicity
 
@@ -16,6 +16,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(read(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -48,6 +52,7 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_toxicity": op3_toxicity,
     "op5_pieces": op5_pieces,
     "op6_containment": op6_containment,

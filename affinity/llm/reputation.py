@@ -23,7 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.session import cut_lineage
+from affinity.llm.stage import written
+
 
 #: Fixed rules: host, path, verdict.
 RULES = (
@@ -97,7 +98,7 @@ def _strength(children: DataFrame) -> DataFrame:
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
     """``host, mean, bound, blocked`` of every host from rows ``host, bad`` (null: unlabelled)."""
-    hosts = cut_lineage(outcomes.groupBy("host").agg(
+    hosts = written(outcomes.groupBy("host").agg(
         F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).cast("double").alias("k"),
         F.count("bad").cast("double").alias("n")))
     domain, suffix = levels_of(F.col("host"))
@@ -106,8 +107,8 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     def total(rows: DataFrame, *keys: str) -> DataFrame:
         return rows.groupBy(*keys).agg(F.sum("k").alias("k"), F.sum("n").alias("n"))
 
-    domains = cut_lineage(total(hosts, "domain", "suffix"))
-    suffixes = cut_lineage(total(domains, "suffix"))
+    domains = written(total(hosts, "domain", "suffix"))
+    suffixes = written(total(domains, "suffix"))
     everything = suffixes.agg(F.coalesce(F.sum("k"), F.lit(0.0)).alias("all_k"),
                               F.coalesce(F.sum("n"), F.lit(0.0)).alias("all_n"))
 
@@ -141,7 +142,7 @@ def judge(pages: DataFrame, outcomes: DataFrame,
 
     ``outcomes`` has rows ``host, bad``, one per page: true or false where a label says so.
     """
-    blocked = cut_lineage(host_reputation(outcomes).where("blocked").select("host", "blocked"))
+    blocked = written(host_reputation(outcomes).where("blocked").select("host", "blocked"))
     judged = with_parts(pages).join(blocked, "host", "left")
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     learnt = F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow"))

@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.llm.sampling import collect_features, fold_of, labelled_sample
+from affinity.llm.stage import written
 from affinity.llm.whole_rows import filter_by_text
 from affinity.llm.words import Slice, prefix_sums, rows_of, runs, slices, stretch_hashes
-from affinity.session import cut_lineage
 
 FOLDS, HELD_OUT = 3, 1
 SAMPLE_BOUND = 20_000
@@ -168,7 +168,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", folds:
           held_out: int = HELD_OUT, sample_bound: int = SAMPLE_BOUND, n_terms: int = N_TERMS,
           n_factors: int = N_FACTORS) -> FactorizationMachine:
     """Learn from at most ``sample_bound`` labelled texts outside the held-out fold."""
-    sample = cut_lineage(labelled_sample(documents, labels, label, folds, held_out, sample_bound))
+    sample = written(labelled_sample(documents, labels, label, folds, held_out, sample_bound))
     counts = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)
     empty = FactorizationMachine(np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, n_factors)), 0.0)

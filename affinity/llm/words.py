@@ -44,10 +44,10 @@ class Words:
 
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
-    """The rows of a string column in slices of at most ``limit`` bytes or one row."""
+    """The rows of a string or binary column in slices of at most ``limit`` bytes or one row."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    column = column.cast(pa.large_binary()).fill_null(b"")
     n = len(column)
     if n == 0:
         return
