@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm import bagminhash, containment, pieces, pseudonyms, reputation, suffix_dedup
+from affinity.llm import bagminhash, containment, pieces, pseudonyms, reputation, suffix_dedup, templates
 from affinity.llm.quality import quality
 from affinity.llm.toxicity import toxicity
 
@@ -24,6 +24,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.extract(read(spark, sf_dir, "pages"))
+
+
 def op5_pieces(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     proto = pieces.load(model or public_tokenizers.path("piece_bpe_32k.model"))
     return pieces.round_trip(read(spark, sf_dir, "documents"), proto)
@@ -54,6 +58,7 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_templates": op4_templates,
     "op5_pieces": op5_pieces,
     "op6_containment": op6_containment,
     "op7_bagminhash": op7_bagminhash,
