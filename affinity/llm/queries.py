@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm import bagminhash, containment, pieces, pseudonyms, reputation, suffix_dedup, templates
+from affinity.llm import bagminhash, containment, outliers, pieces, pseudonyms, reputation, suffix_dedup, templates
 from affinity.llm.quality import quality
 from affinity.llm.toxicity import toxicity
 
@@ -16,6 +16,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.quality_rules(read(spark, sf_dir, "documents"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(read(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_outliers": op1_outliers,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_templates": op4_templates,
