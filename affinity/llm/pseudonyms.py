@@ -256,8 +256,12 @@ def pseudonym(found: Column, key: str) -> Column:
     return out
 
 
-def pseudonymise(documents: DataFrame, key: str = DEFAULT_KEY, count: str = "n_pseudonyms") -> DataFrame:
-    """All columns of ``documents`` with ``text`` pseudonymised, and the number of replacements."""
+def pseudonymise(documents: DataFrame, key: str = DEFAULT_KEY, count: str = "n_pseudonyms",
+                 chars: str | None = None) -> DataFrame:
+    """All columns of ``documents`` with ``text`` pseudonymised, and the number of replacements.
+
+    A column ``chars``, if it is named, gets the new texts' numbers of code points.
+    """
     taken = {name.lower() for name in documents.columns}
     work = next(name for name in (f"finds_{i}" for i in range(len(taken) + 1)) if name not in taken)
     text = F.col("text")
@@ -274,4 +278,5 @@ def pseudonymise(documents: DataFrame, key: str = DEFAULT_KEY, count: str = "n_p
     kept = [F.when(F.size(work) > 0, rebuilt).otherwise(text).alias("text") if name == "text"
             else F.col(f"`{name}`") for name in documents.columns if name != count]
     changed = F.size(F.filter(work, lambda f: f["old"] != f["new"])).cast("long")
-    return found.select(*kept, changed.alias(count))
+    out = found.select(*kept, changed.alias(count))
+    return out if chars is None else out.withColumn(chars, F.char_length("text").cast("long"))
