@@ -52,9 +52,24 @@ def hashed_bags(products: DataFrame, features: int = HASHED_FEATURES) -> DataFra
 
 
 def _term_counts(tokens: Column) -> Column:
-    """Distinct terms of one row with their counts, without a shuffle."""
-    return F.transform(F.array_distinct(tokens), lambda t: F.struct(
-        t.alias("term"), F.size(F.filter(tokens, lambda x: x == t)).alias("tf")))
+    """Distinct terms of one row with their counts, without a shuffle.
+
+    Equal terms are neighbours in the sorted tokens; a count is the distance between the
+    places where terms change, so the work is that of the sort.
+    """
+    def starts(words: Column) -> Column:
+        return F.filter(F.transform(words, lambda w, i: F.when(
+            (i == 0) | (w != F.get(words, i - 1)), i)), lambda i: i.isNotNull())
+
+    def counts(words: Column, places: Column) -> Column:
+        return F.transform(places, lambda p, k: F.struct(
+            F.get(words, p).alias("term"),
+            (F.coalesce(F.get(places, k + 1), F.size(words)) - p).alias("tf")))
+
+    def of(words: Column) -> Column:
+        return F.transform(F.array(starts(words)), lambda places: counts(words, places))[0]
+
+    return F.transform(F.array(F.array_sort(tokens)), of)[0]
 
 
 def _idf(df: Column, total: Column) -> Column:

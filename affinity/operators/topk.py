@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.schemas import LIST_SIZE, QUEUE_SIZE, RECENT_SIZE
+from affinity.schemas import QUEUE_SIZE, RECENT_SIZE
 
 
 def topk_per_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[Column],
@@ -22,9 +22,12 @@ def topk_per_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[Colum
     return ranked if k is None else ranked.where(F.col(rank) <= k)
 
 
-def ranked_lists(flat: DataFrame, key: str, k: int = LIST_SIZE) -> DataFrame:
-    """Flat ``(key, rank, product_id, score)`` rows to one nested list per key."""
-    kept = flat.where(F.col("rank") <= k)
+def ranked_lists(flat: DataFrame, key: str, k: int | None = None) -> DataFrame:
+    """Flat ``(key, rank, product_id, score)`` rows to one nested list per key.
+
+    All rows are kept unless ``k`` is given; a list is one value, so its rows should be bounded.
+    """
+    kept = flat if k is None else flat.where(F.col("rank") <= k)
     packed = kept.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("rank", "product_id", "score"))).alias("packed"))
     return packed.select(key, F.transform(

@@ -40,7 +40,13 @@ def dense_cosine_pairs(items: DataFrame, threshold: float = SIM_THRESHOLD,
     rows = items.select(F.col(id_col).cast("long").alias("id"),
                         F.col(vector_col).alias("v")).where("v is not null")
     tile_rows, slack = TILE_ROWS, SINGLE_SLACK
-    blocks = blocks or block_count(rows.count(), spark.sparkContext.defaultParallelism)
+    count, least, most, holes = rows.agg(
+        F.count("*"), F.min(F.size("v")), F.max(F.size("v")),
+        F.count_if(F.exists("v", lambda x: x.isNull()))).first()
+    if least != most or holes:
+        raise ValueError(f"vectors of one length without nulls are needed: lengths {least} to "
+                         f"{most}, {holes} with nulls")
+    blocks = blocks or block_count(count, spark.sparkContext.defaultParallelism)
     placed = (rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
               .select(F.least("block", "other").alias("lo"),

@@ -23,8 +23,6 @@ from affinity.streaming import changelog, queue, recs, tracking
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Grid of the model-selection query; the full grid is the operator's default.
-_RANKS, _LAMBDAS = (5, 10), (0.1, 0.01)
 _SEARCH_PATTERN = "ring"
 
 
@@ -393,13 +391,12 @@ def als_rmse(spark, d):
 
 @query
 def als_grid_search(spark, d):
-    return als.als_grid_search(star.ratings_events(spark, d), _RANKS, _LAMBDAS)
+    return als.als_grid_search(star.ratings_events(spark, d))
 
 
 @query
 def best_of_grid(spark, d):
-    return als.best_of_grid(
-        als.als_grid_search(star.ratings_events(spark, d), _RANKS[:1], _LAMBDAS))
+    return als.best_of_grid(als.als_grid_search(star.ratings_events(spark, d)))
 
 
 @query

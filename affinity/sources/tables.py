@@ -9,26 +9,60 @@ from affinity.operators.topk import flatten_lists
 from affinity.schemas import ITEMCF_RECS, SCHEMAS
 
 
+KEPT_VERSIONS = 2
+_VERSION = "version="
+
+
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def _complete_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the versions below a table's folder that were written to the end."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    done = hadoop.Path(f"{path}/{_VERSION}*/_SUCCESS")
+    found = done.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(done)
+    return sorted(int(f.getPath().getParent().getName().removeprefix(_VERSION)) for f in found or [])
+
+
+def current_path(spark: SparkSession, root: str, name: str) -> str:
+    """The folder of a table's newest complete version, or of a table without versions.
+
+    Ask once per job or micro-batch: the folder then stays as it is while the table is
+    replaced, until it has been replaced ``KEPT_VERSIONS`` times.
+    """
+    path = table_path(root, name)
+    versions = _complete_versions(spark, path)
+    return f"{path}/{_VERSION}{versions[-1]}" if versions else path
+
+
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
                **options: str) -> DataFrame:
     """A table in its fixed schema, whatever columns or widths the files have."""
     schema = SCHEMAS[name]
-    raw = spark.read.format(fmt).options(**options).load(table_path(root, name))
+    raw = spark.read.format(fmt).options(**options).load(current_path(spark, root, name))
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def write_table(df: DataFrame, root: str, name: str, fmt: str = "parquet",
                 **options: str) -> str:
-    """Replace a table. The target must not be a table that ``df`` reads."""
+    """Replace a table by a new version, which readers find when it is complete.
+
+    The versions before it stay for those who read them, ``KEPT_VERSIONS`` of them; older
+    ones are deleted. A job that fails leaves the table as it was, and ``df`` may read
+    the table that is replaced. One job at a time writes a table.
+    """
+    spark = df.sparkSession
     path = table_path(root, name)
     schema = SCHEMAS[name]
+    versions = _complete_versions(spark, path)
+    target = f"{path}/{_VERSION}{versions[-1] + 1 if versions else 1}"
     (df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-     .write.mode("overwrite").format(fmt).options(**options).save(path))
-    return path
+     .write.mode("overwrite").format(fmt).options(**options).save(target))
+    for old in versions[:-KEPT_VERSIONS]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_VERSION}{old}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return target
 
 
 def write_layout(df: DataFrame, path: str, key: str, files: int | None = None) -> str:
