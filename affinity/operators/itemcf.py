@@ -21,7 +21,6 @@ from affinity.schemas import LIST_SIZE
 from affinity.session import cut_lineage
 
 HEAVY_ITEMS = 2048
-HEAVY_USERS = 256
 
 
 def user_items(ratings: DataFrame, dedup: bool = False) -> DataFrame:
@@ -37,21 +36,22 @@ def user_items(ratings: DataFrame, dedup: bool = False) -> DataFrame:
                        .select("user_id", "product_id", "n", "size"))
 
 
-def pair_counts(rows: DataFrame, cell_items: int = CELL_ITEMS) -> DataFrame:
+def pair_counts(rows: DataFrame, cell_items: int = CELL_ITEMS,
+                of_product: tuple[str, ...] = ("size",)) -> DataFrame:
     """Co-rating counts of unordered pairs ``a < b`` from ``user_items`` rows.
 
     Half of the pairs are enough: the measure is symmetric, and mirroring after
-    the aggregation halves the shuffle.
+    the aggregation halves the shuffle. ``of_product`` names columns that depend
+    on the product alone; they come along for both ends of a pair.
     """
     a, b = F.col("product_id_a"), F.col("product_id_b")
-    ordered = a < b
+    ends = [(f"{c}_{end}", f"{c}_{other}") for c in of_product for end, other in ("ab", "ba")]
     pairs = owner_pairs(rows, "user_id", "product_id", cell_items).select(
         F.least(a, b).alias("a"), F.greatest(a, b).alias("b"),
         (F.col("n_a") * F.col("n_b")).alias("co"),
-        F.when(ordered, F.col("size_a")).otherwise(F.col("size_b")).alias("size_a"),
-        F.when(ordered, F.col("size_b")).otherwise(F.col("size_a")).alias("size_b"))
+        *[F.when(a < b, F.col(end)).otherwise(F.col(other)).alias(end) for end, other in ends])
     return pairs.groupBy("a", "b").agg(
-        F.sum("co").alias("co"), F.max("size_a").alias("size_a"), F.max("size_b").alias("size_b"))
+        F.sum("co").alias("co"), *[F.max(end).alias(end) for end, _ in ends])
 
 
 def mirrored(pairs: DataFrame) -> DataFrame:
@@ -86,34 +86,27 @@ def _top(both: DataFrame, k: int) -> DataFrame:
         cooccurrence_sim(F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim"))
 
 
-def heavy_users(rows: DataFrame, min_items: int = HEAVY_ITEMS,
-                limit: int = HEAVY_USERS) -> list[int]:
-    """Users with more than ``min_items`` products, the ``limit`` largest of them.
-
-    The list is bounded by ``limit``. Users beyond it stay on the ordinary path,
-    so the bound decides only how a user is computed, not whether.
-    """
-    wide = (rows.groupBy("user_id").agg(F.count("*").alias("items"))
-            .where(F.col("items") > min_items)
-            .orderBy(F.desc("items"), "user_id").limit(limit))
-    return sorted(r.user_id for r in wide.collect())
+def heavy_users(rows: DataFrame, min_items: int = HEAVY_ITEMS) -> DataFrame:
+    """``user_id`` of the users with more than ``min_items`` products, written."""
+    return cut_lineage(rows.groupBy("user_id").agg(F.count("*").alias("items"))
+                       .where(F.col("items") > min_items).select("user_id"))
 
 
 def itemcf_topk(ratings: DataFrame, k: int = LIST_SIZE, dedup: bool = False,
                 min_heavy_items: int = HEAVY_ITEMS, cell_items: int = CELL_ITEMS) -> DataFrame:
     """The ``k`` most similar products of every product: exact, whatever the skew.
 
-    A user with d products has d^2 pairs. For the few users where that would
+    A user with d products has d^2 pairs. For the users where that would
     dominate, pairs of like products are formed instead: see ``_with_heavy``.
     """
     rows = user_items(ratings, dedup)
     heavy = heavy_users(rows, min_heavy_items)
-    if not heavy:
+    if heavy.isEmpty():
         return _top(mirrored(pair_counts(rows, cell_items)), k)
     return _top(_with_heavy(rows, heavy, k, cell_items), k)
 
 
-def _with_heavy(rows: DataFrame, heavy: list[int], k: int, cell_items: int) -> DataFrame:
+def _with_heavy(rows: DataFrame, heavy: DataFrame, k: int, cell_items: int) -> DataFrame:
     """Candidate pairs with exact counts that hold every product's top ``k``.
 
     A product in the true list either shares a light user with the owner of the
@@ -121,17 +114,20 @@ def _with_heavy(rows: DataFrame, heavy: list[int], k: int, cell_items: int) -> D
     it is among the owner's top ``k`` counting heavy users only: with no light
     share its score is its heavy score, and nobody's score is below that.
     """
-    is_heavy = F.col("user_id").isin(heavy)
-    light = pair_counts(rows.where(~is_heavy), cell_items)
-
-    # Products with the same multiplicities under the heavy users are alike to them:
-    # one profile each. The list is at most HEAVY_USERS entries long.
-    shaped = cut_lineage(
-        rows.where(is_heavy).groupBy("product_id", "size")
-        .agg(F.array_sort(F.collect_list(F.struct("user_id", "n"))).alias("shape")))
-    profiles = cut_lineage(shaped.groupBy("shape").agg(F.min("product_id").alias("profile")))
-    members = cut_lineage(shaped.join(profiles, "shape").select("product_id", "size", "profile"))
-    shapes = cut_lineage(profiles.select("profile", F.inline("shape")))
+    wide = cut_lineage(rows.join(heavy, "user_id", "left_semi"))
+
+    # Products with the same multiplicities under the heavy users are alike to them: one
+    # profile each, found by a fingerprint of 128 bits and named by its smallest product.
+    shape = [F.bit_xor(F.xxhash64("user_id", "n", F.lit(seed))).alias(f"shape{seed}")
+             for seed in (1, 2)]
+    shaped = cut_lineage(wide.groupBy("product_id", "size").agg(*shape))
+    profiles = cut_lineage(shaped.groupBy("shape1", "shape2")
+                           .agg(F.min("product_id").alias("profile")))
+    members = cut_lineage(shaped.join(profiles, ["shape1", "shape2"])
+                          .select("product_id", "size", "profile"))
+    shapes = cut_lineage(wide.join(profiles.select(F.col("profile").alias("product_id")),
+                                   "product_id", "left_semi")
+                         .select(F.col("product_id").alias("profile"), "user_id", "n"))
     dots = cut_lineage(_profile_dots(shapes, cell_items))
 
     best = cut_lineage(topk_per_key(members, "profile", [F.asc("size"), F.asc("product_id")],
@@ -151,13 +147,15 @@ def _with_heavy(rows: DataFrame, heavy: list[int], k: int, cell_items: int) -> D
                   .select(F.col("owner").alias("a"), F.col("product_id").alias("b"),
                           "co", "size_a", "size_b"))
 
-    of_a = members.select(F.col("product_id").alias("a"), F.col("profile").alias("pa"))
-    of_b = members.select(F.col("product_id").alias("b"), F.col("profile").alias("pb"))
-    share = dots.select(F.col("a").alias("pa"), F.col("b").alias("pb"), F.col("co").alias("extra"))
-    topped_up = (light.join(of_a, "a", "left").join(of_b, "b", "left")
-                 .join(share, ["pa", "pb"], "left")
-                 .select("a", "b", (F.col("co") + F.coalesce("extra", F.lit(0))).alias("co"),
-                         "size_a", "size_b"))
+    # The profile travels with the product, so the light pairs are joined once.
+    light_rows = cut_lineage(
+        rows.join(heavy, "user_id", "left_anti")
+        .join(members.select("product_id", "profile"), "product_id", "left"))
+    light = pair_counts(light_rows, cell_items, ("size", "profile"))
+    share = dots.select(F.col("a").alias("profile_a"), F.col("b").alias("profile_b"),
+                        F.col("co").alias("extra"))
+    topped_up = light.join(share, ["profile_a", "profile_b"], "left").select(
+        "a", "b", (F.col("co") + F.coalesce("extra", F.lit(0))).alias("co"), "size_a", "size_b")
     # Where both know a pair, the topped-up count is the larger and the true one. A
     # topped-up pair outside its own top k is out for good, whatever the other says.
     known = _first(mirrored(topped_up), k).drop("rank")

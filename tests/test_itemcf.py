@@ -81,22 +81,51 @@ def test_heavy_users_give_the_same_lists(ratings, seed, hot):
     df = ratings(data)
     expected = brute(data, 5)
     rows = itemcf.user_items(df)
-    assert set(itemcf.heavy_users(rows, min_items=20)) == set(hot)
+    assert {r.user_id for r in itemcf.heavy_users(rows, min_items=20).collect()} == set(hot)
     got = flat(itemcf.itemcf_topk(df, 5, min_heavy_items=20, cell_items=8))
     assert got.keys() == expected.keys()
     assert all(got[key] == pytest.approx(expected[key]) for key in got)
     assert flat(itemcf.itemcf_topk(df, 5)).keys() == expected.keys()
 
 
-def test_heavy_limit_only_moves_work(ratings):
+def test_which_users_are_heavy_only_moves_work(ratings):
     data = skewed(5, hot=(0, 1, 2, 3))
     rows = itemcf.user_items(ratings(data))
-    some = itemcf.heavy_users(rows, min_items=20, limit=2)
-    assert len(some) == 2
+    some = itemcf.heavy_users(rows, min_items=20).where("user_id in (0, 2)")
+    assert some.count() == 2
     got = flat(itemcf._top(itemcf._with_heavy(rows, some, 4, 16), 4))
     assert got.keys() == brute(data, 4).keys()
 
 
+def test_four_hundred_wide_users_form_no_pairs_of_their_products(ratings, monkeypatch):
+    rng = random.Random(9)
+    tastes = [[(p, rng.randint(1, 5)) for p in range(60) if rng.random() < 0.7] for _ in range(3)]
+    data = [(u, p, float(x), 0, 0) for u in range(400) for p, x in tastes[u % 3]]
+    data += [(1000 + u, rng.randrange(60), 1.0, 0, 0) for u in range(300)]
+    paired = []
+    whole = itemcf.pair_counts
+
+    def noted(rows, *args):
+        paired.append(rows)
+        return whole(rows, *args)
+
+    monkeypatch.setattr(itemcf, "pair_counts", noted)
+    got = flat(itemcf.itemcf_topk(ratings(data), 6, min_heavy_items=20))
+    assert got.keys() == brute(data, 6).keys()
+    widest = [rows.groupBy("user_id").count().agg({"count": "max"}).first()[0] or 0 for rows in paired]
+    assert sorted(widest)[0] < 20  # light users' own products
+    assert sorted(widest)[-1] <= 8  # profiles: at most one per set of tastes
+
+
+def test_light_pairs_are_joined_once_after_aggregation(ratings):
+    data = skewed(5, hot=(0, 1))
+    rows = itemcf.user_items(ratings(data))
+    plan = itemcf._with_heavy(rows, itemcf.heavy_users(rows, 20), 4, 16)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    above = text.split("sum(co")[0]
+    assert above.count("Join LeftOuter") == 1
+
+
 def test_only_heavy_users(ratings):
     data = [(u, p, 1.0, 0, 0) for u in (1, 2) for p in range(30) if (p + u) % 3]
     got = flat(itemcf.itemcf_topk(ratings(data), 4, min_heavy_items=5, cell_items=4))
