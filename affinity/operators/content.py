@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.scalars import tags_to_text
@@ -102,66 +102,58 @@ def profile_members(bags: DataFrame, profiles: DataFrame) -> DataFrame:
 
 
 def unit_vectors(profiles: DataFrame) -> DataFrame:
-    """Unit TF-IDF vector per profile, rarest term first; empty ones are left out.
+    """Unit TF-IDF vectors as rows ``profile, place, term, w``, rarest term first.
 
-    Written once, for both sides of the join that pairs them.
+    Profiles whose vector is empty have no rows. Written once, for all steps that read it.
     """
     terms = profiles.select("profile", "members", F.inline(_term_counts(F.col("bag"))))
     total = profiles.agg(F.sum("members").alias("m")).scalar()
     idf = cut_lineage(
         terms.groupBy("term").agg(F.sum("members").alias("df"))
         .select("term", "df", _idf(F.col("df"), total).alias("idf")).where("idf > 0"))
-    # One entry per tag of the profile's own text.
-    vectors = (terms.join(idf, "term")
-               .groupBy("profile")
-               .agg(F.array_sort(F.collect_list(F.struct(
-                   "df", "term", (F.col("tf") * F.col("idf")).alias("w")))).alias("vec")))
-    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
-    return cut_lineage(vectors.withColumn("norm", norm).where("norm > 0").select(
-        "profile",
-        F.transform("vec", lambda x: F.struct(
-            x["term"].alias("term"), (x["w"] / F.col("norm")).alias("w"))).alias("vec")))
+    weighted = cut_lineage(terms.join(idf, "term").select(
+        "profile", "term", "df", (F.col("tf") * F.col("idf")).alias("w")))
+    norms = weighted.groupBy("profile").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    place = F.row_number().over(Window.partitionBy("profile").orderBy("df", "term"))
+    return cut_lineage(weighted.join(norms, "profile").select(
+        "profile", place.alias("place"), "term", (F.col("w") / F.col("norm")).alias("w")))
 
 
 def _postings(vectors: DataFrame, threshold: float) -> DataFrame:
-    """Index entries of the leading terms of every vector.
+    """Index entries ``term, profile, w, rest`` of the leading terms of every vector.
 
     Two unit vectors whose rarest common term lies where the rest of one of them
     has length at most ``threshold`` cannot reach it, so only terms before that
-    point are indexed; very common terms mostly fall behind it.
+    point are indexed; very common terms mostly fall behind it. ``rest`` is the
+    length of what follows a term, from one running sum.
     """
-    size = F.size("vec")
-    squares = F.transform(F.sequence(F.lit(1), size), lambda i: F.aggregate(
-        F.slice("vec", i, size), F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
-    entries = F.transform(F.col("vec"), lambda x, i: F.struct(
-        x["term"].alias("term"), x["w"].alias("w"),
-        F.sqrt(F.element_at("tails", i + 1)).alias("tail"),
-        F.sqrt(F.coalesce(F.get("tails", i + 1), F.lit(0.0))).alias("rest"),
-        F.transform(F.slice("vec", F.lit(1), i), lambda y: y["term"]).alias("before")))
-    indexed = F.filter("entries", lambda e: e["tail"] > threshold - _SLACK)
-    return (vectors.withColumn("tails", squares).withColumn("entries", entries)
-            .withColumn("weights", F.map_from_entries("vec"))
-            .select("profile", "vec", "weights", F.explode(indexed).alias("e"))
-            .select(F.col("e.term").alias("term"), "profile", F.col("e.w").alias("w"),
-                    F.col("e.rest").alias("rest"), F.col("e.before").alias("before"), "vec",
-                    "weights"))
+    onward = Window.partitionBy("profile").orderBy(F.desc("place"))
+    square = F.col("w") * F.col("w")
+    tails = vectors.withColumn("tail", F.sum(square).over(
+        onward.rowsBetween(Window.unboundedPreceding, 0)))
+    return (tails.where(F.sqrt("tail") > threshold - _SLACK)
+            .select("term", "profile", "w",
+                    F.sqrt(F.greatest(F.col("tail") - square, F.lit(0.0))).alias("rest")))
 
 
 def profile_pairs(vectors: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFrame:
     """Unordered profile pairs ``a < b`` with cosine above the threshold.
 
-    A pair is looked at only under its rarest common term, and only if that term
-    plus the best case for the rest can pass; then the whole cosine is taken.
+    A pair that reaches it passes the bound under its rarest common term: before
+    that term they share nothing, and behind it at best the product of the rests.
+    What passes under any term is taken once, and the whole cosine is summed over
+    the terms of both.
     """
-    pairs = owner_pairs(_postings(vectors, threshold), "term", "profile",
-                        CELL_PROFILES, pair_tasks(vectors))
-    possible = pairs.where(
-        (F.col("w_a") * F.col("w_b") + F.col("rest_a") * F.col("rest_b") > threshold - _SLACK)
-        & ~F.arrays_overlap("before_a", "before_b"))
-    dot = F.aggregate("vec_a", F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(
-        F.try_element_at("weights_b", x["term"]), F.lit(0.0)))
-    return (possible.select(F.least("profile_a", "profile_b").alias("a"),
-                            F.greatest("profile_a", "profile_b").alias("b"), dot.alias("sim"))
+    postings = cut_lineage(_postings(vectors, threshold))
+    found = owner_pairs(postings, "term", "profile", CELL_PROFILES, pair_tasks(vectors))
+    possible = (found.where(F.col("w_a") * F.col("w_b") + F.col("rest_a") * F.col("rest_b")
+                            > threshold - _SLACK)
+                .select(F.least("profile_a", "profile_b").alias("a"),
+                        F.greatest("profile_a", "profile_b").alias("b")).distinct())
+    one = vectors.select(F.col("profile").alias("a"), "term", F.col("w").alias("w_a"))
+    two = vectors.select(F.col("profile").alias("b"), "term", F.col("w").alias("w_b"))
+    return (cut_lineage(possible).join(one, "a").join(two, ["b", "term"])
+            .groupBy("a", "b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("sim"))
             .where(F.col("sim") > threshold))
 
 
@@ -175,7 +167,7 @@ def content_pairs(bags: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFram
     profiles = tag_profiles(bags)
     vectors = unit_vectors(profiles)
     sizes = profiles.select("profile", "members")
-    own = (vectors.join(sizes, "profile").where("members > 1")
+    own = (vectors.where("place = 1").join(sizes, "profile").where("members > 1")
            .select(F.col("profile").alias("a"), F.col("profile").alias("b"),
                    F.lit(1.0).alias("sim")))
     both = profile_pairs(vectors, threshold).select(
@@ -209,7 +201,7 @@ def content_topk(bags: DataFrame, k: int = LIST_SIZE,
     alike = (F.round(F.col("sim") * _SCALE)).cast("long")
     both = profile_pairs(vectors, threshold).select(
         F.stack(F.lit(2), "a", "b", "sim", "b", "a", "sim").alias("a", "b", "sim"))
-    own = vectors.select(
+    own = vectors.where("place = 1").select(
         F.col("profile").alias("a"), F.col("profile").alias("b"), F.lit(1.0).alias("sim"))
     near = topk_per_key(both.unionByName(own).withColumn("alike", alike), "a",
                         [F.desc("alike"), F.asc("b")], k + 1).drop("rank")
