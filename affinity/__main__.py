@@ -10,7 +10,8 @@ from affinity.plans import jobs
 from affinity.streaming import tracking
 
 BATCH = {"statistics": jobs.statistics, "itemcf": jobs.itemcf_lists,
-         "content": jobs.content_lists, "offline": jobs.offline}
+         "content": jobs.content_lists, "offline": jobs.offline,
+         "publish": jobs.publish_stream_lists}
 
 
 def main() -> None:

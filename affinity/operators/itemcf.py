@@ -93,17 +93,45 @@ def heavy_users(rows: DataFrame, min_items: int = HEAVY_ITEMS) -> DataFrame:
 
 
 def itemcf_topk(ratings: DataFrame, k: int = LIST_SIZE, dedup: bool = False,
-                min_heavy_items: int = HEAVY_ITEMS, cell_items: int = CELL_ITEMS) -> DataFrame:
+                min_heavy_items: int = HEAVY_ITEMS, cell_items: int = CELL_ITEMS,
+                owners: DataFrame | None = None) -> DataFrame:
     """The ``k`` most similar products of every product: exact, whatever the skew.
 
+    ``owners``, a written table of one row per ``product_id``, restricts whose lists are made.
+
     A user with d products has d^2 pairs. For the users where that would
     dominate, pairs of like products are formed instead: see ``_with_heavy``.
     """
     rows = user_items(ratings, dedup)
     heavy = heavy_users(rows, min_heavy_items)
-    if heavy.isEmpty():
-        return _top(mirrored(pair_counts(rows, cell_items)), k)
-    return _top(_with_heavy(rows, heavy, k, cell_items), k)
+    both = (mirrored(pair_counts(rows, cell_items)) if heavy.isEmpty()
+            else _with_heavy(rows, heavy, k, cell_items))
+    if owners is not None:
+        both = both.join(owners.select(F.col("product_id").alias("a")), "a", "left_semi")
+    return _top(both, k)
+
+
+def pair_sims(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``product_id, rec_id, sim`` of the given pairs only, from ``user_items`` rows.
+
+    ``keys`` has distinct pairs ``product_id, rec_id``. The ratings of the less rated product
+    of a pair are looked up under the other one, so no other pairs are formed.
+    """
+    sizes = cut_lineage(rows.groupBy("product_id").agg(F.max("size").alias("size")))
+    first = sizes.withColumnRenamed("size", "size_a")
+    second = sizes.select(F.col("product_id").alias("rec_id"), F.col("size").alias("size_b"))
+    fewer = F.col("size_a") <= F.col("size_b")
+    sized = cut_lineage(
+        keys.join(first, "product_id").join(second, "rec_id")
+        .withColumns({"few": F.when(fewer, F.col("product_id")).otherwise(F.col("rec_id")),
+                      "many": F.when(fewer, F.col("rec_id")).otherwise(F.col("product_id"))}))
+    few = rows.select(F.col("product_id").alias("few"), "user_id", F.col("n").alias("n_few"))
+    many = rows.select(F.col("product_id").alias("many"), "user_id", F.col("n").alias("n_many"))
+    return (sized.join(few, "few").join(many, ["many", "user_id"])
+            .groupBy("product_id", "rec_id", "size_a", "size_b")
+            .agg(F.sum(F.col("n_few") * F.col("n_many")).alias("co"))
+            .select("product_id", "rec_id",
+                    cooccurrence_sim(F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim")))
 
 
 def _with_heavy(rows: DataFrame, heavy: DataFrame, k: int, cell_items: int) -> DataFrame:

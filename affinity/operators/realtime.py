@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affinity.operators.itemcf import itemcf_topk
 from affinity.operators.topk import recent_ratings_topn, topk_per_key
 from affinity.schemas import LIKE_ABOVE, LIST_SIZE, SIM_THRESHOLD
 
@@ -38,6 +39,34 @@ def ranked_sims(sims: DataFrame) -> DataFrame:
                         [F.desc(alike), F.asc("rec_id")], None, "place")
 
 
+def list_depths(current: DataFrame, rated: DataFrame, n: int = LIST_SIZE) -> DataFrame:
+    """``product_id, depth``: how deep the lists of the just rated products are read.
+
+    Among the first n + r of a list are n that a user with r rated products has not rated.
+    """
+    reach = rated.groupBy("user_id").agg((F.count("*") + n).alias("reach"))
+    return (current.join(reach, "user_id", "left").groupBy("product_id")
+            .agg(F.max(F.coalesce("reach", F.lit(n))).alias("depth")))
+
+
+def deep_lists(ratings: DataFrame, depths: DataFrame) -> DataFrame:
+    """What ``ranked_sims`` gives, as deep as ``depths`` asks for and for its products only.
+
+    ``depths`` is a written table. The pairs of all products are never a table.
+    """
+    deepest = depths.agg(F.max("depth")).first()[0] or 0
+    lists = itemcf_topk(ratings, int(deepest), owners=depths)
+    return (lists.join(depths, "product_id").where("rank <= depth")
+            .select("product_id", "rec_id", "sim", F.col("rank").alias("place")))
+
+
+def scoring_keys(candidates: DataFrame, recent: DataFrame) -> DataFrame:
+    """``product_id, rec_id``: the pairs of candidate and recently rated product that occur."""
+    return (candidates.select("user_id", "product_id")
+            .join(recent.select("user_id", F.col("product_id").alias("rec_id")), "user_id")
+            .where("product_id <> rec_id").select("product_id", "rec_id").distinct())
+
+
 def realtime_candidates(current: DataFrame, ranked: DataFrame, rated: DataFrame,
                         n: int = LIST_SIZE) -> DataFrame:
     """Products most like the one just rated and not rated by the user, best ``n``.

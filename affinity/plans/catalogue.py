@@ -24,6 +24,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 _SEARCH_PATTERN = "ring"
+# Customers share few parts, so their similarities are small.
+_ORDER_THRESHOLD = 0.05
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -435,6 +437,30 @@ def realtime_scores(spark, d):
     return realtime.ranked_scores(realtime.realtime_scores(candidates, recent, sims))
 
 
+def _order_candidates(spark, d):
+    """Inputs and candidates on the order tables, without a table of all pairs."""
+    ratings = star.ratings_orders(spark, d)
+    recent, rated = (cut_lineage(df) for df in realtime.realtime_inputs(ratings))
+    current = realtime.newest_rating(recent)
+    lists = cut_lineage(realtime.deep_lists(ratings, cut_lineage(
+        realtime.list_depths(current, rated))))
+    return ratings, recent, cut_lineage(realtime.realtime_candidates(current, lists, rated))
+
+
+@query
+def realtime_candidates_orders(spark, d):
+    return _order_candidates(spark, d)[2]
+
+
+@query
+def realtime_scores_orders(spark, d):
+    ratings, recent, candidates = _order_candidates(spark, d)
+    keys = cut_lineage(realtime.scoring_keys(candidates, recent))
+    sims = cut_lineage(itemcf.pair_sims(itemcf.user_items(ratings), keys))
+    return realtime.ranked_scores(
+        realtime.realtime_scores(candidates, recent, sims, _ORDER_THRESHOLD))
+
+
 # --- streams ----------------------------------------------------------------------
 
 def _events_as_stream(spark, d):
@@ -506,7 +532,7 @@ def _stream_lists(spark, d):
     sims = _event_sims(spark, d)
     recs.stream_recs(_event_stream(spark, d), lambda: sims, root,
                      interval=None).awaitTermination()
-    return changelog.read_latest(spark, f"{root}/lists", "user_id", recs.LISTS_SCHEMA)
+    return recs.stored_lists(spark, root)
 
 
 @query

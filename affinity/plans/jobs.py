@@ -15,7 +15,7 @@ from affinity.operators import als, content, itemcf, realtime, stats, topk
 from affinity.plans import feeds
 from affinity.session import cut_lineage
 from affinity.sources import files, tables
-from affinity.streaming import changelog, recs, tracking
+from affinity.streaming import recs, tracking
 
 
 def load(spark: SparkSession, root: str, products_path: str, ratings_path: str) -> None:
@@ -81,6 +81,11 @@ def track(log: DataFrame, root: str, interval: str | None = tracking.BATCH_INTER
     return tracking.log_sink(payloads, checkpoint, path, fmt, interval, **sink)
 
 
+def online_state(root: str) -> str:
+    """Where the online job keeps ratings, lists and its checkpoint, apart from the tables."""
+    return tables.table_path(root, "online_state")
+
+
 def online(payloads: DataFrame, root: str, interval: str | None = tracking.BATCH_INTERVAL,
            n: int = schemas.LIST_SIZE) -> StreamingQuery:
     """Personal lists from a stream of payloads, on the offline job's similar products."""
@@ -92,7 +97,7 @@ def online(payloads: DataFrame, root: str, interval: str | None = tracking.BATCH
         "event_id", F.lit(0).cast("long"))
     return recs.stream_recs(
         events, lambda: tables.read_table(spark, root, schemas.PRODUCT_RECS),
-        tables.table_path(root, schemas.STREAM_RECS), base=base, interval=interval, n=n)
+        online_state(root), base=base, interval=interval, n=n)
 
 
 def served_details(spark: SparkSession, root: str) -> DataFrame:
@@ -103,8 +108,13 @@ def served_details(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stream_lists(spark: SparkSession, root: str) -> DataFrame:
-    path = tables.table_path(root, schemas.STREAM_RECS)
-    return changelog.read_latest(spark, f"{path}/lists", "user_id", recs.LISTS_SCHEMA)
+    """The newest personal lists, straight from the stream's own files."""
+    return recs.stored_lists(spark, online_state(root))
+
+
+def publish_stream_lists(spark: SparkSession, root: str) -> None:
+    """The newest personal lists as the named table."""
+    tables.write_table(stream_lists(spark, root), root, schemas.STREAM_RECS)
 
 
 def similar_products(ratings: DataFrame) -> DataFrame:

@@ -6,6 +6,9 @@ the long way, over all product pairs, with none of the operators' short cuts.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 _VIEWS = {
     "re": r"""SELECT user_id, CAST(regexp_extract(props, '"k": *(\d+)', 1) AS BIGINT) AS product_id,
         CAST(least(5, greatest(1, ceil(value / 20))) AS DOUBLE) AS score,
@@ -103,13 +106,21 @@ _VIEWS = {
         FROM re WHERE event_type IN ('purchase', 'error')""",
 }
 
+# The same re-scoring over the order ratings.
+_OF_ORDERS = {r"\bre\b": "ro", r"\brq\b": "rqo", r"\bsim s\b": "simo s", r"\bcf\b": "cfo",
+              r"\bcand\b": "cando", r"\brts\b": "rtso", r"s\.sim > 0\.4": "s.sim > 0.05"}
+for _name in ("rq", "sim", "cand", "rts", "rtl"):
+    _VIEWS[f"{_name}o"] = reduce(lambda sql, swap: re.sub(swap[0], swap[1], sql),
+                                 _OF_ORDERS.items(), _VIEWS[_name])
+
 _USES = {
     "ave": ["re"], "avo": ["ro"], "shop": ["pr", "ave"], "shopo": ["pr", "avo"],
     "cnt": ["re"], "cf": ["re", "cnt"], "cfk": ["cf"], "cnto": ["ro"], "cfo": ["ro", "cnto"],
     "bag": ["pr"], "tf": ["bag"], "df": ["tf"], "tfidf": ["bag", "tf", "df"],
     "len": ["tfidf"], "cos": ["tfidf", "len"], "ctk": ["cos"], "prof": ["bag"],
     "vcos": ["vec"], "rq": ["re"], "sim": ["cf"], "cand": ["rq", "sim", "re"],
-    "rts": ["cand", "rq", "sim"], "rtl": ["rts"], "known": ["req", "usr"], "log": ["re"],
+    "rts": ["cand", "rq", "sim"], "rtl": ["rts"], "rqo": ["ro"], "simo": ["cfo"],
+    "cando": ["rqo", "simo", "ro"], "rtso": ["cando", "rqo", "simo"], "rtlo": ["rtso"], "known": ["req", "usr"], "log": ["re"],
 }
 
 
@@ -261,6 +272,10 @@ def oracle_sql() -> dict[str, str]:
         "SELECT user_id, rank, product_id, round(sim, 6) AS sim FROM cand", "cand")
     out["realtime_scores"] = _with(
         "SELECT user_id, rank, product_id, round(score, 6) AS score FROM rtl", "rtl")
+    out["realtime_candidates_orders"] = _with(
+        "SELECT user_id, rank, product_id, round(sim, 6) AS sim FROM cando", "cando")
+    out["realtime_scores_orders"] = _with(
+        "SELECT user_id, rank, product_id, round(score, 6) AS score FROM rtlo", "rtlo")
     out["stream_recs"] = out["realtime_scores"]
     out["stream_recs_upsert"] = _with(
         """SELECT user_id, count(product_id) AS products

@@ -15,8 +15,8 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: str | Non
     target = f"{path}/batch_id={batch_id}"
     if partition_by:
         # One folder's rows come together, but a large folder is split again.
-        (df.hint("rebalance", partition_by).write.mode("overwrite")
-         .partitionBy(partition_by).parquet(target))
+        (df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *df.columns[:1])
+         .write.mode("overwrite").partitionBy(partition_by).parquet(target))
     else:
         df.write.mode("overwrite").parquet(target)
 
@@ -36,6 +36,36 @@ def read_latest(spark: SparkSession, path: str, key: str, schema: T.StructType |
     return rows.join(newest, [key, "batch_id"], "left_semi").drop("batch_id")
 
 
+def generation(batch_id: int, every: int) -> int:
+    """The first batch of the generation that a batch belongs to: one for ``every`` batches."""
+    return batch_id // every * every
+
+
+def generation_path(path: str, first: int) -> str:
+    return f"{path}/generation={first}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder was written to the end."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return bool(done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done))
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nobody reads any more; none is fine too."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def newest_generation(spark: SparkSession, path: str) -> str:
+    """The folder of the newest generation that has begun."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(f"{path}/generation=*/batch_id=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    firsts = {int(f.getPath().getParent().getParent().getName().split("=")[1]) for f in found}
+    return generation_path(path, max(firsts, default=0))
+
+
 def compact(spark: SparkSession, path: str, target: str, key: str,
             schema: T.StructType | str) -> None:
     """Newest rows of all keys as the first batch of a fresh folder."""

@@ -19,6 +19,7 @@ HEADLINE = [
     "hot_products_feed", "ratings_upsert_orders", "recent_ratings_queue_orders",
     "itemcf_pairs", "itemcf_topk", "itemcf_topk_orders", "content_tfidf", "content_pairs",
     "content_topk", "dense_cosine_pairs", "realtime_candidates", "realtime_scores",
+    "realtime_candidates_orders", "realtime_scores_orders",
     "als_user_recs", "als_product_recs", "eval_rmse", "stream_tracking_filter",
     "stream_recent_queue", "stream_recs",
 ]

@@ -130,3 +130,30 @@ def test_not_yet_rated(spark):
                               "user_id long, likeness double, score double"), ["user_id"])
     assert [(r.likes, r.dislikes) for r in liked.select(F.col("likes"), "dislikes").collect()] == [
         (2, 1)]
+
+
+def test_lists_keep_what_they_are_given(spark):
+    flat = spark.createDataFrame([(1, r, r * 10, 1.0 / r) for r in range(1, 31)],
+                                 "user_id long, rank int, product_id long, score double")
+    assert topk.flatten_lists(topk.ranked_lists(flat, "user_id"), "user_id").count() == 30
+
+
+def test_deep_lists_and_pair_sims_equal_all_pairs(spark):
+    rng = random.Random(12)
+    data = sorted({(u, rng.randrange(25), float(rng.randint(1, 5)), rng.randrange(1000), k)
+                   for u in range(40) for k in range(rng.randint(1, 12))})
+    ratings = spark.createDataFrame(data, "user_id long, product_id long, score double, ts long, event_id long")
+    recent, rated = realtime.realtime_inputs(ratings)
+    current = realtime.newest_rating(recent)
+    sims = realtime.ranked_sims(itemcf.itemcf_pairs(ratings))
+    lists = realtime.deep_lists(ratings, cut_lineage(realtime.list_depths(current, rated, 4)))
+    wanted = realtime.realtime_candidates(current, sims, rated, 4)
+    got = realtime.realtime_candidates(current, lists, rated, 4)
+    key = ["user_id", "rank", "product_id"]
+    assert sorted(map(tuple, got.select(key).collect())) == sorted(map(tuple, wanted.select(key).collect()))
+    keys = cut_lineage(realtime.scoring_keys(got, recent))
+    some = {(r.product_id, r.rec_id): round(r.sim, 12)
+            for r in itemcf.pair_sims(itemcf.user_items(ratings), keys).collect()}
+    all_ = {(r.product_id, r.rec_id): round(r.sim, 12) for r in sims.collect()}
+    asked = {(r.product_id, r.rec_id) for r in keys.collect()}
+    assert some == {k: v for k, v in all_.items() if k in asked} and some

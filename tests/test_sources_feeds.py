@@ -132,3 +132,28 @@ def test_rating_intake(spark):
     assert [r.score for r in queue.orderBy("rank").collect()] == [2.0, 4.68]
     assert {r.value for r in lines.collect()} == {
         "PRODUCT_RATING_PREFIX:7|1|4.68|10", "PRODUCT_RATING_PREFIX:7|1|2.0|20"}
+
+
+def test_a_refresh_does_not_disturb_readers(spark, tmp_path):
+    root = str(tmp_path / "tables")
+
+    def similar(n):
+        return spark.range(n).select(F.col("id").alias("product_id"), F.col("id").alias("rec_id"),
+                                     F.lit(0.5).alias("sim"), F.lit(1).alias("place"))
+
+    tables.write_table(similar(5), root, schemas.PRODUCT_RECS)
+    open_reader = tables.read_table(spark, root, schemas.PRODUCT_RECS)
+    tables.write_table(similar(7), root, schemas.PRODUCT_RECS)
+    assert open_reader.count() == 5
+    assert tables.read_table(spark, root, schemas.PRODUCT_RECS).count() == 7
+    # A job may read the table that it replaces; one that fails leaves the table as it was.
+    tables.write_table(tables.read_table(spark, root, schemas.PRODUCT_RECS).where("rec_id > 0"),
+                       root, schemas.PRODUCT_RECS)
+    broken = similar(3).withColumn("sim", F.raise_error(F.lit("no")).cast("double"))
+    with pytest.raises(Exception, match="no"):
+        tables.write_table(broken, root, schemas.PRODUCT_RECS)
+    assert tables.read_table(spark, root, schemas.PRODUCT_RECS).count() == 6
+    tables.write_table(similar(1), root, schemas.PRODUCT_RECS)
+    assert tables.read_table(spark, root, schemas.PRODUCT_RECS).count() == 1
+    kept = list((tmp_path / "tables" / schemas.PRODUCT_RECS).glob("version=*"))
+    assert len(kept) <= tables.KEPT_VERSIONS + 1

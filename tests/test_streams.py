@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,8 +103,8 @@ def batch_lists(spark, data, sims, n):
     return out
 
 
-@pytest.mark.parametrize("parts, with_base", [(3, False), (2, True)])
-def test_list_stream_equals_batch(spark, parts, with_base):
+@pytest.mark.parametrize("parts, with_base, every", [(3, False, 64), (2, True, 64), (7, True, 2)])
+def test_list_stream_equals_batch(spark, parts, with_base, every):
     data = events(2, 200)
     random.Random(4).shuffle(data)
     sims = cut_lineage(realtime.ranked_sims(
@@ -112,8 +113,11 @@ def test_list_stream_equals_batch(spark, parts, with_base):
     root = scratch_dir(spark, "recs")
     recs.stream_recs(stream(spark, in_files(spark, new, parts)), lambda: sims, root,
                      base=spark.createDataFrame(base, SCHEMA) if base else None,
-                     interval=None, buckets=4, n=5).awaitTermination()
-    lists = changelog.read_latest(spark, f"{root}/lists", "user_id", recs.LISTS_SCHEMA)
+                     interval=None, buckets=4, n=5, compact_every=every).awaitTermination()
+    kept = sorted(p.name for p in Path(root, "history").iterdir() if p.is_dir())
+    assert kept == (["generation=4", "generation=6"] if every == 2 else ["generation=0"])
+    assert max(len(list(p.glob("batch_id=*"))) for p in Path(root, "history").iterdir()) <= every + 1
+    lists = recs.stored_lists(spark, root)
     got = {r.user_id: [(x.product_id, round(x.score, 9)) for x in r.recs] for r in lists.collect()}
     touched = {d[0] for d in new}
     expected = {u: v for u, v in batch_lists(spark, data, sims, 5).items() if u in touched}
@@ -135,3 +139,21 @@ def test_hot_user_is_thinned_before_the_state_shuffle(spark):
     plan = queue.recent_queue_updates(stream(spark, path)).select(F.col("user_id"))
     text = plan._jdf.queryExecution().analyzed().toString()
     assert text.index("FlatMapGroupsInPandasWithState") < text.index("MapInPandas")
+
+
+def test_base_is_written_once_and_buckets_stay(spark):
+    root = scratch_dir(spark, "layout")
+    base = spark.createDataFrame(events(3, 50), SCHEMA)
+    assert recs.stored_buckets(spark, root, base, 7) == 7
+    assert recs.stored_buckets(spark, root, base) == 7
+
+
+def test_generations_of_a_change_log(spark):
+    assert [changelog.generation(b, 3) for b in range(7)] == [0, 0, 0, 3, 3, 3, 6]
+    root = scratch_dir(spark, "generations")
+    assert changelog.newest_generation(spark, root).endswith("generation=0")
+    for first in (0, 3):
+        changelog.write_batch(spark.range(1), changelog.generation_path(root, first), first)
+    assert changelog.newest_generation(spark, root).endswith("generation=3")
+    changelog.drop_folder(spark, changelog.generation_path(root, 0))
+    assert not changelog.exists(spark, f"{changelog.generation_path(root, 0)}/batch_id=0")

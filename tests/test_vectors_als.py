@@ -114,3 +114,11 @@ def test_statistics(ratings):
     assert [tuple(r) for r in stats.rate_more_recently(df).collect()] == [
         (1, 1, 201404), (1, 1, 201403), (2, 1, 201403)]
     assert stats.attach_product_counts(df).agg(F.sum("count")).first()[0] == 5
+
+
+@pytest.mark.parametrize("vectors_", [[[1.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0, 1.0]],
+                                      [[1.0, 0.0], [1.0]], [[1.0, None], [1.0, 0.0]]])
+def test_mixed_lengths_and_nulls_are_refused(spark, vectors_):
+    df = spark.createDataFrame(list(enumerate(vectors_)), "product_id long, features array<double>")
+    with pytest.raises(ValueError, match="one length"):
+        vectors.dense_cosine_pairs(df)
