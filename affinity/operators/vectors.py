@@ -29,9 +29,12 @@ def block_count(rows: int, parallelism: int) -> int:
 
 def dense_cosine_pairs(items: DataFrame, threshold: float = SIM_THRESHOLD,
                        id_col: str = "product_id", vector_col: str = "features",
-                       blocks: int | None = None) -> DataFrame:
+                       blocks: int | None = None, k: int | None = None) -> DataFrame:
     """All ordered pairs of different items with cosine above the threshold.
 
+    With ``k``, only pairs that may be among an item's ``k`` most similar leave a
+    cell: the ``k`` best of each tile, so there are k rows per item and tile at most.
+
     Items are hashed into blocks of bounded size, every row is sent to the cells
     its block takes part in, and a cell is one matrix product. Only pairs that
     pass leave the worker, a tile at a time. Zero vectors give no pairs.
@@ -78,6 +81,12 @@ def dense_cosine_pairs(items: DataFrame, threshold: float = SIM_THRESHOLD,
             a, b, sim = a[keep], b[keep], sim[keep]
             if low != high:
                 a, b, sim = np.append(a, b), np.append(b, a), np.append(sim, sim)
+            if k is not None:
+                order = np.lexsort((b, -np.round(sim, 9), a))
+                a, b, sim = a[order], b[order], sim[order]
+                first = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else order
+                place = np.arange(len(a)) - np.repeat(first, np.diff(np.append(first, len(a))))
+                a, b, sim = a[place < k], b[place < k], sim[place < k]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())],
                 names=["a", "b", "sim"])

@@ -352,7 +352,9 @@ def dense_cosine_pairs(spark, d):
 
 @query
 def dense_cosine_topk(spark, d):
-    return vectors.ranked_pairs(dense_cosine_pairs(spark, d), "vec_id", 20)
+    pairs = vectors.dense_cosine_pairs(star.item_vectors(spark, d), id_col="vec_id",
+                                       vector_col="embedding", k=20)
+    return vectors.ranked_pairs(pairs, "vec_id", 20)
 
 
 # --- matrix factorisation ----------------------------------------------------------
@@ -642,7 +644,12 @@ def user_dim(spark, d):
 
 @query
 def user_id_collisions(spark, d):
-    return upserts.user_id_collisions(upserts.user_dim(star.registrations(spark, d)))
+    """Each customer registers under two more names, which differ in letters of equal hash."""
+    users = star.registrations(spark, d)
+    named = [users.withColumn("username", F.concat(F.lit(lead), F.col("username")))
+             for lead in ("", "Aa", "BB")]
+    everyone = named[0].unionByName(named[1]).unionByName(named[2])
+    return upserts.user_id_collisions(upserts.user_dim(everyone))
 
 
 @query

@@ -53,12 +53,17 @@ def content_lists(spark: SparkSession, root: str, k: int = schemas.LIST_SIZE,
     tables.write_table(lists, root, schemas.CONTENT_RECS)
 
 
-def offline(spark: SparkSession, root: str, k: int = schemas.LIST_SIZE) -> None:
-    """Lists per user and similar products from the learned factors."""
+def offline(spark: SparkSession, root: str, k: int = schemas.LIST_SIZE,
+            similar_k: int | None = None) -> None:
+    """Lists per user and similar products from the learned factors.
+
+    ``similar_k`` bounds the stored similar products of a product; the online job finds
+    candidates for a user who has rated r products among the first n + r of them.
+    """
     model = als.als_train(tables.read_table(spark, root, schemas.RATING))
     tables.write_table(topk.ranked_lists(als.als_user_recs(model, k), "user_id", k), root,
                        schemas.USER_RECS)
-    similar = als.als_product_recs(model).withColumnRenamed("rank", "place")
+    similar = als.als_product_recs(model, k=similar_k).withColumnRenamed("rank", "place")
     tables.write_table(similar, root, schemas.PRODUCT_RECS)
 
 

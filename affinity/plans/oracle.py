@@ -106,6 +106,10 @@ _VIEWS = {
         FROM re WHERE event_type IN ('purchase', 'error')""",
 }
 
+# Three names per customer.
+_VIEWS["usr3"] = _VIEWS["usr"].replace("FROM customer GROUP", """FROM (
+            SELECT lead || c_name AS c_name, c_custkey FROM customer,
+            (VALUES (''), ('Aa'), ('BB')) AS leads(lead)) GROUP""")
 # The same re-scoring over the order ratings.
 _OF_ORDERS = {r"\bre\b": "ro", r"\brq\b": "rqo", r"\bsim s\b": "simo s", r"\bcf\b": "cfo",
               r"\bcand\b": "cando", r"\brts\b": "rtso", r"s\.sim > 0\.4": "s.sim > 0.05"}
@@ -319,7 +323,7 @@ def oracle_sql() -> dict[str, str]:
     out["user_dim"] = _with("SELECT * FROM usr", "usr")
     out["user_id_collisions"] = _with(
         """SELECT user_id, count(*) AS names, min(username) AS first_name,
-        max(username) AS last_name FROM usr GROUP BY 1 HAVING count(*) > 1""", "usr")
+        max(username) AS last_name FROM usr3 GROUP BY 1 HAVING count(*) > 1""", "usr3")
     out["user_profile_upsert"] = _with(
         """SELECT c_custkey AS user_id, c_name AS username, n.user_id IS NULL AS first,
         coalesce(n.categories, '') AS pref_genres FROM customer LEFT JOIN (

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -122,3 +124,16 @@ def test_mixed_lengths_and_nulls_are_refused(spark, vectors_):
     df = spark.createDataFrame(list(enumerate(vectors_)), "product_id long, features array<double>")
     with pytest.raises(ValueError, match="one length"):
         vectors.dense_cosine_pairs(df)
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_best_k_of_the_cells_are_the_best_k(spark, blocks):
+    rng = random.Random(4)
+    rows = [(i, [rng.choice([0.0, 1.0, 2.0]) for _ in range(4)]) for i in range(150)]
+    df = spark.createDataFrame(rows, "product_id long, features array<double>")
+    whole = vectors.ranked_pairs(vectors.dense_cosine_pairs(df, 0.3, blocks=blocks), k=4)
+    best = vectors.dense_cosine_pairs(df, 0.3, blocks=blocks, k=4)
+    key = ["product_id", "rank", "rec_id"]
+    assert sorted(map(tuple, vectors.ranked_pairs(best, k=4).select(key).collect())) == sorted(
+        map(tuple, whole.select(key).collect()))
+    assert best.count() < vectors.dense_cosine_pairs(df, 0.3, blocks=blocks).count()
