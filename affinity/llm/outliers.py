@@ -190,3 +190,92 @@ def quality_rules(documents: DataFrame) -> DataFrame:
     return _measured(rows, estimate, "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~outlier).alias("kept"))
+
+
+def oracle_sql() -> str:
+    """The same as ``quality_rules`` over the table of documents, in SQL."""
+    pairs = [(i, j) for i in range(SIZE) for j in range(i + 1)]
+    floor2 = FLOOR ** 2
+
+    def quantile(name: str, rows: str, keys: str, value: str, share: float) -> str:
+        return f"""
+{name}_n AS (SELECT {keys}, CAST(floor({value} * {FINE}) AS BIGINT) AS bin, count(*) AS n FROM {rows} GROUP BY ALL),
+{name}_c AS (SELECT *, sum(n) OVER (PARTITION BY {keys} ORDER BY bin) AS below,
+    sum(n) OVER (PARTITION BY {keys}) AS total FROM {name}_n),
+{name} AS (SELECT {keys}, min(bin) AS bin FROM {name}_c WHERE below >= {share} * total GROUP BY {keys}),"""
+
+    distance = " + ".join("pow(" + " + ".join(f"w{i}{j} * (x{j} - m{j})" for j in range(i + 1)) + ", 2)"
+                          for i in range(SIZE))
+    out = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+word AS (
+  SELECT rid, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM doc),
+win AS (
+  SELECT rid, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM word WHERE len(w) > 2)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS n FROM win) WHERE n > 1),
+covered AS (
+  SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY rid),
+line AS (
+  SELECT rid, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l
+  FROM doc),
+stat AS (
+  SELECT rid, doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
+    coalesce(c.n, 0) AS n_repeat_words
+  FROM doc JOIN word USING (rid) JOIN line USING (rid) LEFT JOIN covered c USING (rid)),
+vec AS (
+  SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    ln(greatest(n_words, 1)) AS x0, ln(greatest(word_chars, 1) / greatest(n_words, 1)) AS x1,
+    sqrt(n_symbols / greatest(n_words, 1)) AS x2, sqrt(n_dup_lines / greatest(n_words, 1)) AS x3,
+    sqrt(n_repeat_words / greatest(n_words, 1)) AS x4,
+    coalesce('=' || lang, 'null') AS lg, coalesce('=' || lang, 'null') || chr(1) || coalesce('=' || source, 'null') AS ls
+  FROM stat),
+size AS (SELECT lg, ls, count(*) FILTER (NOT base_failed) AS n FROM vec GROUP BY lg, ls),
+named AS (
+  SELECT ls, CASE WHEN n >= {LEAST_GROUP} THEN ls
+    WHEN sum(CASE WHEN n < {LEAST_GROUP} THEN n ELSE 0 END) OVER (PARTITION BY lg) >= {LEAST_GROUP} THEN lg
+    ELSE '' END AS g FROM size),
+rows_ AS (SELECT * FROM vec JOIN named USING (ls)),
+fit AS (SELECT rid, g, x0, x1, x2, x3, x4 FROM rows_ WHERE NOT base_failed),
+long AS (SELECT g, unnest([0, 1, 2, 3, 4]) AS i, unnest([x0, x1, x2, x3, x4]) AS x FROM fit),"""
+    out += quantile("mid", "long", "g, i", "x", 0.5)
+    out += f"""
+off AS (SELECT l.g, l.i, abs(x - (bin + 0.5) / {FINE}) AS x FROM long l JOIN mid ON l.g = mid.g AND l.i = mid.i),"""
+    out += quantile("mad", "off", "g, i", "x", 0.5)
+    out += f"""
+start AS (
+  SELECT mid.g, mid.i, (mid.bin + 0.5) / {FINE} AS m,
+    1 / sqrt(pow(1.4826 * (mad.bin + 0.5) / {FINE}, 2) + {floor2}) AS w
+  FROM mid JOIN mad ON mid.g = mad.g AND mid.i = mad.i),
+est0 AS (SELECT g, {", ".join(f"max(m) FILTER (i = {i}) AS m{i}" for i in range(SIZE))},
+  {", ".join(f"max(w) FILTER (i = {i}) AS w{i}{i}" if i == j else f"0.0 AS w{i}{j}" for i, j in pairs)}
+  FROM start GROUP BY g),"""
+    for step in range(STEPS):
+        out += f"""
+d{step} AS MATERIALIZED (SELECT fit.*, ln({distance} + 1e-9) AS near FROM fit JOIN est{step} USING (g)),"""
+        out += quantile(f"q{step}", f"d{step}", "g", "near", SUBSET)
+        out += f"""
+s{step}_0 AS (SELECT g, count(*) AS n, {", ".join(f"avg(x{i}) AS m{i}" for i in range(SIZE))},
+  {", ".join(f"covar_pop(x{i}, x{j}) AS c{i}{j}" for i, j in pairs)}
+  FROM d{step} JOIN q{step} USING (g) WHERE floor(near * {FINE}) <= bin GROUP BY g),"""
+        last = f"s{step}_0"
+        for i, j in pairs:
+            left = f"{CONSISTENCY} * c{i}{j}" + (f" + {floor2}" if i == j else "") + "".join(
+                f" - l{i}{k} * l{j}{k}" for k in range(j))
+            value = f"sqrt({left})" if i == j else f"({left}) / l{j}{j}"
+            out += f"\ns{step}_{i}{j}l AS (SELECT *, {value} AS l{i}{j} FROM {last}),"
+            last = f"s{step}_{i}{j}l"
+        for j in range(SIZE):
+            for i in range(j, SIZE):
+                under = " + ".join(f"l{i}{k} * w{k}{j}" for k in range(j, i))
+                value = "1.0" if i == j else f"-({under})"
+                out += f"\ns{step}_{i}{j}w AS (SELECT *, {value} / l{i}{i} AS w{i}{j} FROM {last}),"
+                last = f"s{step}_{i}{j}w"
+        out += f"\nest{step + 1} AS MATERIALIZED (SELECT * FROM {last} WHERE n >= {LEAST_GROUP * SUBSET}),"
+    return out + f"""
+judged AS (SELECT rows_.*, {distance} AS distance FROM rows_ LEFT JOIN est{STEPS} e ON e.g = rows_.g)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT coalesce(distance > {CUTOFF}, false) AS kept
+FROM judged"""

@@ -73,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_outliers": outliers.oracle_sql(),
     "op6_containment": containment.oracle_sql(),
     "op9_reputation": reputation.oracle_sql(),
 }
