@@ -24,6 +24,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 _SEARCH_PATTERN = "ring"
+# Micro-batches of the streaming queries.
+_BATCHES = 3
 # Customers share few parts, so their similarities are small.
 _ORDER_THRESHOLD = 0.05
 
@@ -466,9 +468,10 @@ def realtime_scores_orders(spark, d):
 # --- streams ----------------------------------------------------------------------
 
 def _events_as_stream(spark, d):
-    # A pattern, since the source takes a plain path for a folder only.
-    return tracking.stream_source(spark, "parquet", star.table(spark, d, "events").schema,
-                                  f"{d}/events.parque[t]")
+    """The events in several micro-batches, so that state lives on from one to the next."""
+    events, parts = star.table(spark, d, "events"), scratch_dir(spark, "events")
+    events.repartition(_BATCHES, "event_id").write.parquet(parts)
+    return tracking.stream_source(spark, "parquet", events.schema, parts, maxFilesPerTrigger="1")
 
 
 def _event_stream(spark, d):

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from affinity import schemas
-from affinity.operators import als, content, itemcf, realtime, stats, topk
+from affinity.operators import als, content, itemcf, realtime, stats, topk, upserts
 from affinity.plans import feeds
 from affinity.session import cut_lineage
 from affinity.sources import files, tables
-from affinity.streaming import recs, tracking
+from affinity.streaming import queue, recs, tracking
 
 
 def load(spark: SparkSession, root: str, products_path: str, ratings_path: str) -> None:
@@ -86,6 +86,53 @@ def track(log: DataFrame, root: str, interval: str | None = tracking.BATCH_INTER
     return tracking.log_sink(payloads, checkpoint, path, fmt, interval, **sink)
 
 
+def register_users(registrations: DataFrame, root: str) -> None:
+    """Add the users of ``username, ts`` rows whose names are not registered yet."""
+    spark = registrations.sparkSession
+    users = upserts.user_dim(registrations)
+    if tables.has_table(spark, root, schemas.USER):
+        known = tables.read_table(spark, root, schemas.USER)
+        users = known.unionByName(users.join(known, "username", "left_anti"))
+    tables.write_table(users, root, schemas.USER)
+
+
+def update_profiles(changes: DataFrame, root: str) -> None:
+    """Apply ``user_id, ts, event_id, first, pref_genres`` rows to the users."""
+    users = tables.read_table(changes.sparkSession, root, schemas.USER)
+    tables.write_table(upserts.user_profile_upsert(users, changes), root, schemas.USER)
+
+
+def intake(requests: DataFrame, root: str) -> None:
+    """Submitted ratings to the rating table, and their log lines to the log folder.
+
+    Rows have ``username, product_id, score, ts, event_id``; without ``ts`` it is now.
+    """
+    spark = requests.sparkSession
+    if "ts" not in requests.columns:
+        requests = requests.withColumn("ts", F.unix_timestamp())
+    users = tables.read_table(spark, root, schemas.USER)
+    base = None
+    if tables.has_table(spark, root, schemas.RATING):
+        base = tables.read_table(spark, root, schemas.RATING).withColumn(
+            "event_id", F.lit(0).cast("long"))
+    ratings, _, lines = feeds.rating_intake(cut_lineage(requests), users, base)
+    tables.write_table(ratings, root, schemas.RATING)
+    lines.select("value").write.mode("append").text(tables.table_path(root, "log"))
+
+
+def queue_ratings(payloads: DataFrame, root: str,
+                  interval: str | None = tracking.BATCH_INTERVAL) -> StreamingQuery:
+    """Each user's recent ratings from a stream of payloads, as a change log."""
+    state = tables.table_path(root, "queue_state")
+    return queue.stream_recent_queue(_events(payloads), f"{state}/queues", f"{state}/checkpoint",
+                                     interval=interval)
+
+
+def _events(payloads: DataFrame) -> DataFrame:
+    return tracking.parse_rating_event(payloads).where("reason is null").select(
+        "user_id", "product_id", "score", "ts", F.xxhash64("value").alias("event_id"))
+
+
 def online_state(root: str) -> str:
     """Where the online job keeps ratings, lists and its checkpoint, apart from the tables."""
     return tables.table_path(root, "online_state")
@@ -95,9 +142,7 @@ def online(payloads: DataFrame, root: str, interval: str | None = tracking.BATCH
            n: int = schemas.LIST_SIZE) -> StreamingQuery:
     """Personal lists from a stream of payloads, on the offline job's similar products."""
     spark = payloads.sparkSession
-    parsed = tracking.parse_rating_event(payloads)
-    events = parsed.where("reason is null").select(
-        "user_id", "product_id", "score", "ts", F.xxhash64("value").alias("event_id"))
+    events = _events(payloads)
     base = tables.read_table(spark, root, schemas.RATING).withColumn(
         "event_id", F.lit(0).cast("long"))
     return recs.stream_recs(

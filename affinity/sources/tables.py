@@ -36,6 +36,11 @@ def current_path(spark: SparkSession, root: str, name: str) -> str:
     return f"{path}/{_VERSION}{versions[-1]}" if versions else path
 
 
+def has_table(spark: SparkSession, root: str, name: str) -> bool:
+    """Whether a version of the table was ever written to the end."""
+    return bool(_complete_versions(spark, table_path(root, name)))
+
+
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
                **options: str) -> DataFrame:
     """A table in its fixed schema, whatever columns or widths the files have."""

@@ -9,7 +9,7 @@ from affinity import schemas
 from affinity.plans import feeds, jobs
 from affinity.session import scratch_dir
 from affinity.sources import tables
-from affinity.streaming import tracking
+from affinity.streaming import changelog, queue, tracking
 
 
 @pytest.fixture(scope="module")
@@ -78,3 +78,32 @@ def test_log_to_personal_lists(spark, root):
     assert lists.agg(F.max(F.size("recs"))).first()[0] <= 4
     similar = jobs.similar_products(rated)
     assert similar.columns == tables.read_table(spark, root, schemas.PRODUCT_RECS).columns
+
+
+def test_users_ratings_and_queues(spark, tmp_path):
+    root = str(tmp_path / "shop")
+
+    def register(*rows):
+        jobs.register_users(spark.createDataFrame(rows, "username string, ts long"), root)
+
+    register(("ann", 5), ("ann", 3), ("bob", 4))
+    register(("ann", 1), ("cid", 9))
+    users = {r.username: r for r in tables.read_table(spark, root, schemas.USER).collect()}
+    assert {n: u.ts for n, u in users.items()} == {"ann": 3, "bob": 4, "cid": 9}
+    jobs.update_profiles(spark.createDataFrame(
+        [(users["bob"].user_id, 7, 1, False, ["tea"])],
+        "user_id long, ts long, event_id long, first boolean, pref_genres array<string>"), root)
+    bob = tables.read_table(spark, root, schemas.USER).where("username = 'bob'").first()
+    assert bob.pref_genres == ["tea"] and not bob.first
+    columns = "username string, product_id long, score double, ts long, event_id long"
+    jobs.intake(spark.createDataFrame([("ann", 1, 10.0, 100, 1), ("nobody", 1, 9.0, 100, 2)], columns), root)
+    jobs.intake(spark.createDataFrame([("ann", 1, 4.0, 200, 3), ("bob", 2, 7.0, 150, 4)], columns), root)
+    rated = tables.read_table(spark, root, schemas.RATING)
+    assert sorted((r.product_id, r.score) for r in rated.collect()) == [(1, 2.0), (2, 3.5)]
+    jobs.intake(spark.createDataFrame([("cid", 5, 8.0, 6)], "username string, product_id long, score double, "
+                                      "event_id long"), root)
+    assert tables.read_table(spark, root, schemas.RATING).where("product_id = 5").first().ts > 1.6e9
+    jobs.track(tracking.stream_log(spark, f"{root}/log"), root, interval=None).awaitTermination()
+    jobs.queue_ratings(tracking.stream_log(spark, f"{root}/payloads"), root, interval=None).awaitTermination()
+    queues = changelog.read_latest(spark, f"{root}/queue_state/queues", "user_id", queue.QUEUE_SCHEMA)
+    assert queues.select("user_id").distinct().count() == 3
