@@ -1,6 +1,6 @@
 """Words of whole texts as 64-bit hashes, computed for a slice of an Arrow batch at once.
 
-Executors hand over Arrow batches; a batch is cut into slices of a few megabytes, so that
+Executors hand over Arrow batches; a batch is cut into slices of half a megabyte, so that
 the working arrays stay small whatever the batch holds. A single longer text is a slice of
 its own. A null text counts as empty.
 """
@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _ROOT = 0x9E3779B97F4A7C15
 
@@ -72,7 +72,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     root = np.uint64(0xD1342543DE82EF95)
     inverse = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
