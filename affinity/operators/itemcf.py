@@ -115,7 +115,9 @@ def pair_sims(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """``product_id, rec_id, sim`` of the given pairs only, from ``user_items`` rows.
 
     ``keys`` has distinct pairs ``product_id, rec_id``. The ratings of the less rated product
-    of a pair are looked up under the other one, so no other pairs are formed.
+    of a pair are looked up under the other one, so no other pairs are formed. Where the
+    users' own pairs are fewer than the ratings to look up, they are formed and the keys
+    picked from them; both ways give the same.
     """
     sizes = cut_lineage(rows.groupBy("product_id").agg(F.max("size").alias("size")))
     first = sizes.withColumnRenamed("size", "size_a")
@@ -125,6 +127,13 @@ def pair_sims(rows: DataFrame, keys: DataFrame) -> DataFrame:
         keys.join(first, "product_id").join(second, "rec_id")
         .withColumns({"few": F.when(fewer, F.col("product_id")).otherwise(F.col("rec_id")),
                       "many": F.when(fewer, F.col("rec_id")).otherwise(F.col("product_id"))}))
+    lookups = sized.agg(F.sum(F.least("size_a", "size_b"))).first()[0] or 0
+    per_user = rows.groupBy("user_id").agg(F.count("*").cast("double").alias("d"))
+    if (per_user.agg(F.sum(F.col("d") * F.col("d"))).first()[0] or 0) <= lookups:
+        met = mirrored(pair_counts(rows)).withColumnsRenamed({"a": "product_id", "b": "rec_id"})
+        return (met.join(keys, ["product_id", "rec_id"], "left_semi")
+                .select("product_id", "rec_id", cooccurrence_sim(
+                    F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim")))
     few = rows.select(F.col("product_id").alias("few"), "user_id", F.col("n").alias("n_few"))
     many = rows.select(F.col("product_id").alias("many"), "user_id", F.col("n").alias("n_many"))
     return (sized.join(few, "few").join(many, ["many", "user_id"])

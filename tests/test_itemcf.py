@@ -150,3 +150,17 @@ def test_nested_lists_keep_the_order(ratings):
     for p, _, q in sorted(flat(itemcf.itemcf_topk(df, 5))):
         expected[p].append(q)
     assert nested == dict(expected)
+
+
+@pytest.mark.parametrize("users, items", [(3, 40), (60, 6)])
+def test_pair_sims_by_either_way(ratings, users, items):
+    rng = random.Random(users)
+    data = [(u, rng.randrange(50), 1.0, 0, 0) for u in range(users) for _ in range(items)]
+    df = ratings(data)
+    every = {(r.product_id, r.rec_id): r.sim for r in itemcf.itemcf_pairs(df).collect()}
+    for share in (0.05, 1.0):
+        asked = [k for k in sorted(every) if rng.random() < share] + [(1000, 1)]
+        keys = df.sparkSession.createDataFrame(asked, "product_id long, rec_id long")
+        got = {(r.product_id, r.rec_id): r.sim
+               for r in itemcf.pair_sims(itemcf.user_items(df), keys).collect()}
+        assert got == pytest.approx({k: every[k] for k in asked if k in every})
