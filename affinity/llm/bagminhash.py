@@ -297,7 +297,7 @@ def _links_between(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshol
             if low != high:
                 ok &= block[k + 1:] != block[k]
             at = np.flatnonzero(ok)
-            pairs.append(np.stack([agree[at], np.full(len(at), k), at + k + 1]))
+            pairs.append(np.stack([agree[at], np.full(len(at), k), at + k + 1]).astype(np.int32))
         pairs = np.concatenate(pairs, axis=1)
         pairs = pairs[:, np.argsort(-pairs[0], kind="stable")]
         used = np.unique(pairs[1:])
@@ -317,7 +317,8 @@ def _links_between(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshol
             return c
 
         links = []
-        for _, i, j in pairs.T.tolist():
+        for i, j in zip(pairs[1], pairs[2], strict=True):
+            i, j = int(i), int(j)
             one, two = root(int(classes[i])), root(int(classes[j]))
             if one != two and overlap(bags[i], bags[j]) >= threshold - 1e-12:
                 met[one] = two
