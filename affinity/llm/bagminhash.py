@@ -16,10 +16,9 @@ Jaccard similarity of their multisets is ``THRESHOLD`` or more, and a class is w
   probability of 5e-8. In each bucket every node is paired with one centre, so a bucket of n
   nodes makes n - 1 pairs. Pairs whose signatures agree in too few places (four and a half
   standard errors below the threshold) end there; the others' multisets are compared exactly from the texts.
-* **Rounds.** Buckets whose nodes are still in several classes are paired again with another
-  centre, ``ROUNDS`` times in all. Copies of one another are in one class then. What is left,
-  pairs between classes of one bucket, is compared in cells of bounded size (below), so that no
-  link of nodes that share a band is lost, and no row is made per pair.
+* **Cells.** Copies of one another are in one class then. What is left, pairs between classes of
+  one bucket, is compared in cells of bounded size (below), so that no link of nodes that share
+  a band is lost, and no row is made per pair.
 
 Bucket centres and classes come from aggregates with map-side combining; joins with a possible hot key
 read the one-row-per-key side from a written table, so that the adaptive planner can split them.
@@ -48,8 +47,8 @@ from affinity.llm.words import Slice, mix, shingles, slices, words
 
 THRESHOLD = 0.8
 SIZE, BANDS = 128, 32
-ROUNDS = 3
-CELL = 256
+#: Nodes in a block of a cell, about.
+CELL = 1024
 #: Fewest equal components of a pair that is compared exactly.
 LEAST_EQUAL = math.floor(SIZE * THRESHOLD - 4.5 * math.sqrt(SIZE * THRESHOLD * (1 - THRESHOLD)))
 
@@ -256,9 +255,9 @@ def _mixed(bands: DataFrame, labels: DataFrame | None) -> DataFrame:
     return written(known.join(written(mixed), "bucket"))
 
 
-def _centre_pairs(rows: DataFrame, turn: int) -> DataFrame:
+def _centre_pairs(rows: DataFrame) -> DataFrame:
     """``handle, centre``: each bucket's nodes with its centre, where their classes differ."""
-    order = F.struct(F.xxhash64(F.lit(turn), "handle"), "handle", "class")
+    order = F.struct("handle", "class")
     centres = written(rows.groupBy("bucket").agg(F.min(order).alias("c")).select(
         "bucket", F.col("c.handle").alias("centre"), F.col("c.class").alias("centre_class")))
     return (rows.join(centres, "bucket").where("class <> centre_class")
@@ -340,14 +339,10 @@ def near_links(documents: DataFrame, nodes: DataFrame, threshold: float = THRESH
     def linked(pairs: DataFrame) -> DataFrame:
         return written(_verified(written(_agreeing(written(pairs), nodes)), texts, threshold))
 
-    edges, labels = None, None
-    for turn in range(ROUNDS):
-        rows = _mixed(bands, labels)
-        links = linked(_centre_pairs(rows, turn))
-        edges = links if edges is None else edges.union(links)
-        labels = components(edges)
-    links = written(_links_between(_mixed(bands, labels), nodes, texts, threshold))
-    return labels if links.isEmpty() else components(edges.union(links))
+    links = linked(_centre_pairs(_mixed(bands, None)))
+    # Labels that meet early are enough here: what they leave apart is compared once more.
+    rows = _mixed(bands, components(links, rounds=1))
+    return components(links.union(written(_links_between(rows, nodes, texts, threshold))))
 
 
 def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
