@@ -24,7 +24,8 @@ Bucket centres and classes come from aggregates with map-side combining; joins w
 read the one-row-per-key side from a written table, so that the adaptive planner can split them.
 
 Defined cases: texts without words, null or empty, are equal to each other; fewer than five words
-are one shingle; repeated rows are copies; a null id never names a class that has another id.
+are one shingle; repeated rows are copies; a null id never names a class that has another id. Ids
+may be null or repeat, so classes of different texts may have one ``class_id``; their nodes differ.
 Other columns are not read, and kept by ``keep_one``.
 """
 
@@ -346,33 +347,35 @@ def near_links(documents: DataFrame, nodes: DataFrame, threshold: float = THRESH
 
 
 def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, node, class_id`` of every row: the smallest id of the row's class."""
+    """``doc_id, node, class_node, class_id`` of every row: its class's smallest node and smallest id."""
     sketched = written(sketches(documents))
     nodes = written(sketched.groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.first("weight").alias("weight"),
         F.first("signature").alias("signature")))
     labels = near_links(documents, nodes, threshold)
     labelled = nodes.select("node", "first_id").join(labels, "node", "left").select(
-        "node", "first_id", F.coalesce("label", "node").alias("label"))
-    least = labelled.groupBy("label").agg(F.min("first_id").alias("class_id"))
-    of_node = written(labelled.join(written(least), "label").select("node", "class_id"))
-    return sketched.select("doc_id", "node").join(of_node, "node").select("doc_id", "node", "class_id")
+        "node", "first_id", F.coalesce("label", "node").alias("class_node"))
+    least = labelled.groupBy("class_node").agg(F.min("first_id").alias("class_id"))
+    of_node = written(labelled.join(written(least), "class_node").select("node", "class_node", "class_id"))
+    return sketched.select("doc_id", "node").join(of_node, "node").select(
+        "doc_id", "node", "class_node", "class_id")
 
 
 def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, class_id`` of every row."""
-    return classes(documents, threshold).select("doc_id", "class_id")
+    """``doc_id, class_id, class_key`` of every row; classes have one ``class_key`` each."""
+    return classes(documents, threshold).select("doc_id", "class_id", F.hex("class_node").alias("class_key"))
 
 
 def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row of each class, all columns: a row with the class's smallest id.
 
-    Rows of texts without words are one class. If several rows have that id and the same words,
-    the first by text stays.
+    Rows of texts without words are one class. If several rows of a class have that id, or none has
+    an id, the first by node and then by text stays.
     """
     found = written(classes(documents, threshold))
     chosen = (found.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-              .groupBy("class_id").agg(F.min("node").alias("node"), F.count("*").alias("rows")))
+              .groupBy("class_node").agg(F.min("class_id").alias("class_id"), F.min("node").alias("node"),
+                                         F.count("*").alias("rows")))
     chosen = written(chosen)
     name = next(f"node_{i}" for i in range(len(documents.columns) + 1)
                 if f"node_{i}" not in {c.lower() for c in documents.columns})

@@ -82,6 +82,19 @@ def test_keep_one_of_each_class(spark):
     assert keep_one(docs.limit(0)).count() == 0
 
 
+def test_keep_one_of_classes_with_one_smallest_id(spark):
+    """Texts without ids, and different texts of one id, are classes of their own."""
+    rows = [(None, "first text without id"), (None, "second text without id"), (None, "Second  text without id"),
+            (7, "one text of seven"), (7, "quite another one"), (9, "Quite another  one"), (9, "nine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = keep_one(docs).collect()
+    wanted = [(7, "one text of seven"), (7, "quite another one"), (9, "nine"), (None, "Second  text without id"),
+              (None, "first text without id")]
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(wanted, key=str)
+    out = near_duplicates(docs).collect()
+    assert len(out) == 7 and len({r.class_key for r in out}) == 5
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(5)
     size, wanted, got = 128, [], []
