@@ -3,21 +3,22 @@
 * **Tokens.** A page is read into tags, told apart by role, the path of open elements with their
   classes, and text blocks, told apart by role and words.
 * **Equivalence classes.** Each token has an occurrence vector over the pages of its host: how
-  often it occurs in each. Vectors are compared by a fingerprint, a sum over pages that partial
-  aggregates build up, so no task sees the pages of a host together. Tokens of one vector are
-  a class; it is large and frequent enough if it has two tokens, or occurs once in each page,
-  and is in half of the host's pages.
+  often it occurs in each. Pages of one body (all text that may be main) count once. Vectors are
+  compared by a fingerprint, a sum over pages that partial aggregates build up, so no task sees
+  the pages of a host together. Tokens of one vector are a class; it is large and frequent enough if
+  it has two tokens, or occurs once in each page, and is in half of the host's pages.
 * **Template.** A class is valid if it nests: each of its tokens lies, by its path, within
   tokens of valid classes. Valid classes, from the root down, are the host's template.
 * **Slots.** What the template leaves open is extracted: text blocks whose own token is not in
   the template, by the path of template elements around them. The main slot is an article or main
-  element if the template has one, and otherwise the deepest element that holds most of the text
-  of the host's slots. Menus, headers, footers, sidebars, notices, adverts, forms and comments,
-  known by their elements or classes, are no part of it. Within an article all blocks count,
-  also those that other pages repeat.
+  element of the template if that holds half of the host's slot text, and otherwise the deepest element
+  that holds most of it, with the article or main element around it. In a slot without one, those
+  of the page are preferred if they hold half of its text. Menus, headers, footers, sidebars, notices,
+  adverts, forms and comments, known by their elements or classes, are no part of a slot. Blocks
+  that are mostly links do not count in the choice of the slot, and are kept within it.
 
-A host with few pages has no template; its pages are read by their own elements, and if they have
-no article or main element, by where their own text is.
+A host with few different pages has no template; its pages, and those without text in the main
+slot, are read by their own elements: article or main, or else where their own text is.
 
 Hosts' templates are joined to the pages; a template is bounded by what half of the pages share.
 Defined cases: a null html is empty, a page without text gives an empty text; null and odd urls
@@ -42,8 +43,8 @@ from affinity.llm.stage import written
 
 #: Pages that a host needs for a template, and the share of them that a class must be in.
 LEAST_PAGES, SHARE = 4, 0.5
-#: Share of the host's slot text that the main slot holds at least.
-MAIN_SHARE = 0.7
+#: Shares of the host's slot text that the main slot holds at least, without a name and with one.
+MAIN_SHARE, NAMED_SHARE = 0.7, 0.5
 
 #: Fixed names of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -131,7 +132,7 @@ def parse(text: str) -> Page:
                 _close_open(stack, name)
             top = stack[-1]
             called = " ".join(v for _, a, b, c in _NAMES.findall(rest) for v in (a or b or c,)) if "=" in rest else ""
-            shown = f"{name}.{re.sub(r'[0-9]{3,}', '', called)[:60]}" if called else name
+            shown = f"{name}.{re.sub(r'[0-9]{3,}', '', called)[:60].replace('/', '|')}" if called else name
             role = f"{top.role}/{shown}" if name not in INLINE else top.role
             if name not in INLINE:
                 page.tags[role] += 1
@@ -162,115 +163,136 @@ def _hash(role: str, block: str) -> int:
     return int.from_bytes(made.digest(), "little") >> 1
 
 
+ROOT = _hash("", "")
+
+
+def slot_text(page: Page) -> Counter:
+    """Characters of text that may be main within each role; the root's are those of the page."""
+    chars: Counter = Counter()
+    for role, block, linked, out, _ in page.blocks:
+        if not out and linked <= len(block) / 2:
+            chars[role] += len(block)
+            while role:
+                role = role.rpartition("/")[0]
+                chars[role] += len(block)
+    return chars
+
+
 def host_tokens(pages: DataFrame) -> DataFrame:
-    """``host, token, role, pages, times, vector, chars, links``, summed over a batch's pages.
+    """``host, token, body, longest, role, times, chars``, once for each body within a batch.
 
-    Tags have a role and the characters of slot text directly within them; text blocks a null role.
-    ``vector`` is the fingerprint of the occurrence vector, a sum modulo 2**64.
+    Tags, and the root, have a role and the characters of slot text within them; text blocks a null
+    role. ``body`` and ``longest`` are hashes of the text that may be main and of its longest block.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums: dict[tuple, list[int]] = {}
+            most: dict[tuple, list[int]] = {}
             tokens: dict[tuple, int] = {}
-            for host, key, text in zip(*(batch.column(c).to_pylist() for c in ("host", "key", "html")), strict=True):
+            for host, text in zip(*(batch.column(c).to_pylist() for c in ("host", "html")), strict=True):
                 page = parse(text or "")
-                chars, linked = Counter(), Counter()
-                seen = Counter((role, None) for role in page.tags.elements())
-                for role, block, in_links, out, _ in page.blocks:
-                    seen[role, block] += 1
-                    if not out:
-                        chars[role] += len(block)
-                        linked[role] += in_links
+                chars = slot_text(page)
+                own = [block for _, block, _, out, _ in page.blocks if not out]
+                body = _hash("", "\0".join(own))
+                longest = _hash("", max(own, key=lambda block: (len(block), block), default=""))
+                seen = Counter({("", None): 1})
+                seen.update((role, None) for role in page.tags.elements())
+                seen.update((role, block) for role, block, _, _, _ in page.blocks)
                 for (role, block), n in seen.items():
                     token = tokens.get((role, block))
                     if token is None:
                         token = tokens[role, block] = _hash(role, block or "")
-                    row = sums.setdefault((host, token, None if block else role), [0] * 5)
-                    row[0] += 1
-                    row[1] += n
-                    row[2] = (row[2] + (key | 1) * n) & 0xFFFFFFFFFFFFFFFF
-                    if not block:
-                        row[3] += chars[role]
-                        row[4] += linked[role]
-            names = ["host", "token", "role", "pages", "times", "vector", "chars", "links"]
-            columns = [pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.int64()),
-                       pa.array([k[2] for k in sums], pa.string())]
-            for i in range(5):
-                values = [v[i] for v in sums.values()]
-                if i == 2:  # in 32-bit halves, so that sums of them do not overflow
-                    columns.append(pa.array([v & 0xFFFFFFFF for v in values], pa.int64()))
-                    names[5:6] = ["vector", "vector_high"]
-                    columns.append(pa.array([v >> 32 for v in values], pa.int64()))
-                else:
-                    columns.append(pa.array(values, pa.int64()))
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    return pages.select("host", "key", "html").mapInArrow(
-        run, "host string, token long, role string, pages long, times long, vector long, vector_high long, "
-             "chars long, links long")
+                    row = most.setdefault((host, token, body, longest, None if block else role), [0, 0])
+                    row[0] = max(row[0], n)
+                    row[1] = max(row[1], 0 if block else chars[role])
+            types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array([k[i] for k in most], kind) for i, kind in enumerate(types)],
+                 *[pa.array([v[i] for v in most.values()], pa.int64()) for i in range(2)]],
+                ["host", "token", "body", "longest", "role", "times", "chars"])
+
+    return pages.select("host", "html").mapInArrow(
+        run, "host string, token long, body long, longest long, role string, times long, chars long")
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
     """``host, template, slots``: the tokens of valid classes; slot roles with their text.
 
-    ``template`` has the hashes of the tokens, tags and text blocks, of all classes that are large and frequent
+    ``template`` has the hashes of the tokens, text blocks, of all classes that are large and frequent
     enough; ``slots`` has the roles of the tags among them, in order of paths, with the characters
-    of slot text and of links directly within. Nesting is checked where the template is used.
+    of slot text within. Nesting is checked where the template is used.
     """
-    counts = pages.groupBy("host").agg(F.count("*").alias("host_pages")).where(F.col("host_pages") >= LEAST_PAGES)
-    names = ("pages", "times", "vector", "vector_high", "chars", "links")
-    tokens = host_tokens(pages).groupBy("host", "token").agg(
-        F.max("role").alias("role"), *[F.sum(c).alias(c) for c in names])
+    once_a_body = host_tokens(pages).groupBy("host", "token", "body", "longest").agg(
+        *[F.max(c).alias(c) for c in ("role", "times", "chars")])
+    mark = F.xxhash64("body", "times")
+    halves = mark.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(mark, 32)  # sums do not overflow
+    sums = ("pages", "times", "vector", "vector_high", "chars")
+    tokens = (once_a_body.groupBy("host", "token", "longest").agg(
+        F.max("role").alias("role"), F.count("*").alias("pages"), F.sum("times").alias("times"),
+        F.sum(halves[0]).alias("vector"), F.sum(halves[1]).alias("vector_high"), F.sum("chars").alias("chars"))
+        .groupBy("host", "token").agg(F.max("role").alias("role"), F.count("*").alias("beside"),
+                                      *[F.sum(c).alias(c) for c in sums]))
+    tokens = written(tokens.where((F.col("pages") >= SHARE * LEAST_PAGES) | (F.col("token") == ROOT)))
+    counts = tokens.where((F.col("token") == ROOT) & (F.col("pages") >= LEAST_PAGES)).select(
+        "host", F.col("pages").alias("host_pages"), F.col("beside").alias("host_longest"))
     frequent = written(tokens.join(written(counts), "host").where(F.col("pages") >= SHARE * F.col("host_pages")))
     sizes = frequent.groupBy("host", "vector", "vector_high").agg(F.count("*").alias("size"))
     once = (F.col("times") == F.col("pages")) & (F.col("pages") == F.col("host_pages"))
-    slot = F.struct("role", "chars", "links", ((F.col("size") > 1) | once).alias("large"))
+    large = (F.col("size") > 1) | once
     return (frequent.join(sizes, ["host", "vector", "vector_high"])
             .groupBy("host").agg(
-                F.collect_list(F.when(F.col("role").isNull() & ((F.col("size") > 1) | once), F.col("token")))
-                .alias("template"),
-                F.collect_list(F.when(F.col("role").isNotNull(), slot)).alias("slots")))
+                F.collect_list(F.when(F.col("role").isNull() & large, F.col("token"))).alias("template"),
+                F.collect_list(F.when(F.col("role").isNotNull(), F.struct("role", "chars", large.alias("large"))))
+                .alias("slots")))
 
 
-def valid_roles(slots: list[dict]) -> dict[str, tuple[int, int]]:
-    """Roles of valid classes, from the root down, with their slot text and link characters."""
-    valid: dict[str, tuple[int, int]] = {"": (0, 0)}
-    for slot in sorted(slots, key=lambda s: s["role"].count("/")):
+def valid_roles(slots: list[dict]) -> dict[str, int]:
+    """Roles of valid classes, from the root down, with the slot text within them."""
+    valid = {"": 0}
+    for slot in sorted(slots, key=lambda s: (s["role"].count("/"), s["role"])):
         if slot["large"] and slot["role"].rpartition("/")[0] in valid:
-            valid[slot["role"]] = slot["chars"], slot["links"]
+            valid[slot["role"]] = slot["chars"]
     return valid
 
 
-def main_slot(valid: dict[str, tuple[int, int]], text: dict[str, tuple[int, int]]) -> str:
-    """The deepest role of the template that holds most of the slot text."""
-    total: Counter = Counter()
-    for role, (chars, links) in text.items():
-        own = chars if links <= chars / 2 else 0
-        while True:
-            total[role] += own
-            if not role:
-                break
-            role = role.rpartition("/")[0]
-    enough = [r for r in valid if r and total[r] >= MAIN_SHARE * total[""] > 0]
-    return max(enough, key=lambda r: (r.count("/"), r), default="")
+def is_main(role: str) -> bool:
+    """Whether a role's element is an article or main element, or is called so."""
+    name, _, called = role.rpartition("/")[2].partition(".")
+    return name in MAIN or bool(IS_MAIN.search(called))
+
+
+def main_slot(text: dict[str, int]) -> str:
+    """The role, among those of ``text``, that holds the main text: named so, or the deepest with most of it."""
+    named = [r for r in text if is_main(r) and text[r] >= NAMED_SHARE * text[""] > 0]
+    if named:
+        return min(named, key=lambda r: (r.count("/"), -text[r], r))
+    enough = [r for r in text if r and text[r] >= MAIN_SHARE * text[""] > 0]
+    slot = max(enough, key=lambda r: (r.count("/"), r), default="")
+    ends = [k for k, c in enumerate(slot) if c == "/" and k] + [len(slot)]
+    return next((slot[:k] for k in ends if is_main(slot[:k])), slot)
+
+
+def _within(blocks: list[tuple], slot: str) -> list[tuple]:
+    return [b for b in blocks if b[0] == slot or b[0].startswith(f"{slot}/") or not slot]
 
 
 def main_text(page: Page, template: frozenset[int], slots: list[dict] | None) -> str:
     """The blocks of the page's main slots, joined by one space."""
-    kept = [b for b in page.blocks if not b[3]]
-    if any(b[4] for b in kept):
-        return " ".join(b[1] for b in kept if b[4])
+    kept = [b for b in page.blocks if not b[3] and _hash(b[0], b[1]) not in template]
+    named = [b for b in kept if b[4]]
+    inside = []
     if slots:
-        slot = main_slot(valid_roles(slots), {s["role"]: (s["chars"], s["links"]) for s in slots})
-    else:
-        text: dict[str, tuple[int, int]] = {}
-        for role, block, links, _, _ in kept:
-            chars, linked = text.get(role, (0, 0))
-            text[role] = chars + len(block), linked + links
-        roles = {role: text.get(role, (0, 0)) for role in page.tags}
-        slot = main_slot({"": (0, 0), **roles}, text)
-    inside = [b for b in kept if b[0] == slot or b[0].startswith(f"{slot}/") or not slot]
-    return " ".join(b[1] for b in inside if b[2] <= len(b[1]) / 2 and _hash(b[0], b[1]) not in template)
+        slot = main_slot(valid_roles(slots))
+        inside = _within(kept, slot)
+        of_slot = [b for b in inside if b[4]]
+        if not is_main(slot) and sum(len(b[1]) for b in of_slot) >= NAMED_SHARE * sum(
+                len(b[1]) for b in inside if b[2] <= len(b[1]) / 2):
+            inside = of_slot or inside
+    if not inside and named:
+        inside = named
+    elif not inside:
+        text = slot_text(page)
+        inside = _within(kept, main_slot({"": text[""], **{role: text[role] for role in page.tags}}))
+    return " ".join(b[1] for b in inside)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -291,7 +313,6 @@ def extract(pages: DataFrame) -> DataFrame:
 
     host, _ = parts_of(F.coalesce("url", F.lit("")))
     read = pages.select("page_id", "url", "html", host.alias("host"))
-    keyed = read.withColumn("key", F.xxhash64("page_id", "url").bitwiseAND(F.lit((1 << 62) - 1)))
-    templates = written(host_templates(keyed))
+    templates = written(host_templates(read))
     return read.join(templates, "host", "left").mapInArrow(
         run, "page_id long, url string, text string, n_chars long")

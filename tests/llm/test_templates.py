@@ -66,6 +66,18 @@ def test_repeated_articles_stay_whole(spark):
     assert {r.text for r in out} == {"the same text"} and len(out) == 20
 
 
+def test_template_decides_where_articles_are_boxes_or_have_repeated_blocks(spark):
+    rng = random.Random(4)
+    rows, texts = site(rng, "boxes.example", 12)
+    rows = [(u, h.replace("<div class='t4'>", "<article class='t4'>").replace("friend</div>", "friend</article>"))
+            for u, h in rows]
+    more, wanted = site(rng, "inner.example", 12)
+    rows += [(u, h.replace("<div class='t2'>", "<article>").replace("friend</div></div>", "friend</div></article>"))
+             for u, h in more]
+    out = found(spark, [(i, u, h) for i, (u, h) in enumerate(rows)]).collect()
+    assert {r.page_id: r.text for r in out} == dict(enumerate(texts + wanted))
+
+
 def test_classes_nest_from_the_root():
     slots = [{"role": r, "large": large, "chars": 1, "links": 0} for r, large in
              [("/html", True), ("/html/body", False), ("/html/body/div", True), ("/html/head", True)]]
