@@ -6,7 +6,9 @@
   often it occurs in each. Pages of one body (all text that may be main) count once. Vectors are
   compared by a fingerprint, a sum over pages that partial aggregates build up, so no task sees
   the pages of a host together. Tokens of one vector are a class; it is large and frequent enough if
-  it has two tokens, or occurs once in each page, and is in half of the host's pages.
+  it has two tokens, or occurs once in each page, and is in half of the host's pages. A text block
+  must also be beside half of the host's different longest blocks, so that copies and near copies of an
+  article, whatever their share of the pages, are no template.
 * **Template.** A class is valid if it nests: each of its tokens lies, by its path, within
   tokens of valid classes. Valid classes, from the root down, are the host's template.
 * **Slots.** What the template leaves open is extracted: text blocks whose own token is not in
@@ -221,16 +223,15 @@ def host_templates(pages: DataFrame) -> DataFrame:
     enough; ``slots`` has the roles of the tags among them, in order of paths, with the characters
     of slot text within. Nesting is checked where the template is used.
     """
-    once_a_body = host_tokens(pages).groupBy("host", "token", "body", "longest").agg(
-        *[F.max(c).alias(c) for c in ("role", "times", "chars")])
+    once_a_body = host_tokens(pages).groupBy("host", "token", "role", "body", "longest").agg(
+        *[F.max(c).alias(c) for c in ("times", "chars")])
     mark = F.xxhash64("body", "times")
     halves = mark.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(mark, 32)  # sums do not overflow
     sums = ("pages", "times", "vector", "vector_high", "chars")
-    tokens = (once_a_body.groupBy("host", "token", "longest").agg(
-        F.max("role").alias("role"), F.count("*").alias("pages"), F.sum("times").alias("times"),
+    tokens = (once_a_body.groupBy("host", "token", "role", "longest").agg(
+        F.count("*").alias("pages"), F.sum("times").alias("times"),
         F.sum(halves[0]).alias("vector"), F.sum(halves[1]).alias("vector_high"), F.sum("chars").alias("chars"))
-        .groupBy("host", "token").agg(F.max("role").alias("role"), F.count("*").alias("beside"),
-                                      *[F.sum(c).alias(c) for c in sums]))
+        .groupBy("host", "token", "role").agg(F.count("*").alias("beside"), *[F.sum(c).alias(c) for c in sums]))
     tokens = written(tokens.where((F.col("pages") >= SHARE * LEAST_PAGES) | (F.col("token") == ROOT)))
     counts = tokens.where((F.col("token") == ROOT) & (F.col("pages") >= LEAST_PAGES)).select(
         "host", F.col("pages").alias("host_pages"), F.col("beside").alias("host_longest"))
@@ -238,9 +239,10 @@ def host_templates(pages: DataFrame) -> DataFrame:
     sizes = frequent.groupBy("host", "vector", "vector_high").agg(F.count("*").alias("size"))
     once = (F.col("times") == F.col("pages")) & (F.col("pages") == F.col("host_pages"))
     large = (F.col("size") > 1) | once
+    various = (F.col("host_longest") >= LEAST_PAGES) & (F.col("beside") >= SHARE * F.col("host_longest"))
     return (frequent.join(sizes, ["host", "vector", "vector_high"])
             .groupBy("host").agg(
-                F.collect_list(F.when(F.col("role").isNull() & large, F.col("token"))).alias("template"),
+                F.collect_list(F.when(F.col("role").isNull() & large & various, F.col("token"))).alias("template"),
                 F.collect_list(F.when(F.col("role").isNotNull(), F.struct("role", "chars", large.alias("large"))))
                 .alias("slots")))
 

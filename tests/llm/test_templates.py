@@ -78,6 +78,21 @@ def test_template_decides_where_articles_are_boxes_or_have_repeated_blocks(spark
     assert {r.page_id: r.text for r in out} == dict(enumerate(texts + wanted))
 
 
+def test_copies_and_links_stay_on_hosts_without_articles(spark):
+    rng = random.Random(5)
+    page = ("<body><div class='t1'>Dear readers</div><div class='t2'><p>{} one</p><p>{} two</p>"
+            "<p><a href='/x'>mostly a link {}</a> here</p></div><div class='t5'>Made in {}</div></body>")
+    rows, texts = [], []
+    for host, n, copies in (("few.example", 4, 2), ("many.example", 24, 16)):
+        for k in range(n):
+            of = "copy" if k < copies else f"page{k}"
+            text = f"{of} " + " ".join(rng.choices(WORDS, k=40)) if k == 0 or k >= copies else text
+            rows.append((f"http://{host}/{k}", page.format(text, text[::-1], of, k)))
+            texts.append(f"{text} one {text[::-1]} two mostly a link {of} here")
+    out = found(spark, [(i, u, h) for i, (u, h) in enumerate(rows)]).collect()
+    assert {r.page_id: r.text for r in out} == dict(enumerate(texts))
+
+
 def test_classes_nest_from_the_root():
     slots = [{"role": r, "large": large, "chars": 1, "links": 0} for r, large in
              [("/html", True), ("/html/body", False), ("/html/body/div", True), ("/html/head", True)]]
