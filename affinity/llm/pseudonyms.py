@@ -9,7 +9,7 @@ ones, and the holder of the key can go back. Checksums are computed anew.
 | kind | validated by | permuted |
 | --- | --- | --- |
 | email | shape | letters and digits of the name, each within its class |
-| iban | length, remainder modulo 97 | digits and letters after the check digits |
+| iban | length (the country's, if in groups of four), remainder modulo 97 | digits and letters after the check digits |
 | ipv4 | four numbers up to 255 | the four numbers |
 | date | the calendar, within ``FIRST_DAY`` and ``DATE_SIDE**2`` days | the day's number |
 | ssn | no zero group, first group not 666 or above 899 | the three groups |
@@ -36,23 +36,41 @@ DEFAULT_KEY = "change this key"
 FIRST_DAY = "1900-01-01"
 DATE_SIDE = 270
 
+#: Countries by the length of their IBANs, to tell where one in groups of four ends.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU", 31: "MT SC", 32: "LC"}
+
+
+def _grouped_ibans() -> str:
+    """IBANs in groups of four, the last one of what is left, with one separator throughout."""
+    return "|".join(
+        f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:{gap}[A-Z0-9]{{4}}){{{n // 4 - 1}}}"
+        + (f"{gap}[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+        for n, countries in IBAN_LENGTHS.items() for gap in " -")
+
+
 #: Shapes by kind; at one place the first kind that fits wins.
 SHAPES = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "key": r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|[0-9a-f]{32,64}+)(?![A-Za-z0-9])"
            r"|(?<![A-Za-z])password=[A-Za-z0-9]{6,}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}|{_grouped_ibans()})(?![A-Za-z0-9])",
     "ipv4": r"(?<![0-9A-Za-z.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.?[0-9A-Za-z])",
     "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}"
-            r"|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z])",
+            r"|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z])"
+            r"|(?<![0-9A-Za-z./-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?=[Tt][0-9]{2})",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "phone": r"(?<![0-9A-Za-z+])(?:(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
              r"|\+[0-9](?:[ .-]?\(?[0-9]{1,4}\)?){2,6})(?![0-9A-Za-z])",
-    "card": r"(?<![0-9A-Za-z])(?:[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{13,19}+)(?![0-9A-Za-z])",
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}"
+            r"|[0-9]{4} [0-9]{6} [0-9]{4,5}|[0-9]{4}-[0-9]{6}-[0-9]{4,5}|[0-9]{13,19}+)(?![0-9A-Za-z])",
 }
 ANY_SHAPE = "|".join(f"(?:{shape})" for shape in SHAPES.values())
-#: Of a text without any of these there is nothing to find.
-HINT = r"[0-9@]"
+#: Of a text without any of these there is nothing to find: keys alone need neither a digit nor an @.
+HINT = r"[0-9@]|AKIA|password=|[a-f]{32}"
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -106,13 +124,13 @@ def _joined(numbers: Column) -> Column:
     return F.array_join(numbers.cast("array<string>"), "")
 
 
-def _relaid(shape: Column, digits: Column) -> Column:
-    """``shape`` with its digits replaced, one by one, by ``digits``."""
+def _relaid(shape: Column, new: Column, places: str = "0-9") -> Column:
+    """``shape`` with its digits, or other ``places``, replaced, one by one, by ``new``."""
     def at(i: Column) -> Column:
-        return F.lit(1) + F.length(_digits(F.substr(shape, F.lit(1), i)))
+        return F.lit(1) + F.length(F.regexp_replace(F.substr(shape, F.lit(1), i), f"[^{places}]", ""))
 
     return F.array_join(F.transform(_characters(shape), lambda c, i: F.when(
-        c.rlike("[0-9]"), F.substr(digits, at(i), F.lit(1))).otherwise(c)), "")
+        c.rlike(f"[{places}]"), F.substr(new, at(i), F.lit(1))).otherwise(c)), "")
 
 
 def _permuted_characters(value: Column, kind: str, key: str, letters: int = 26) -> Column:
@@ -150,10 +168,17 @@ def _mod97(value: Column) -> Column:
 
 
 def _iban(m: Column, key: str) -> Column:
-    country = _part(m, 1, 2)
-    new = bound(_permuted_characters(_from(m, 5), "iban", key), lambda rest: F.concat(
-        country, F.lpad((98 - _mod97(F.concat(rest, country, F.lit("00")))).cast("string"), 2, "0"), rest))
-    return F.when(_mod97(F.concat(_from(m, 5), _part(m, 1, 4))) == 1, new).otherwise(m)
+    def of(plain: Column) -> Column:
+        country = _part(plain, 1, 2)
+        new = bound(_permuted_characters(_from(plain, 5), "iban", key), lambda rest: F.concat(
+            country, F.lpad((98 - _mod97(F.concat(rest, country, F.lit("00")))).cast("string"), 2, "0"), rest))
+        # What is no IBAN may have hidden a card in groups of four.
+        card = F.when(m.rlike("^.{4}([ -])[0-9]{4}(?:\\1[0-9]{4}){3}"),
+                      F.concat(_part(m, 1, 5), _card(_part(m, 6, 19), key), _from(m, 25))).otherwise(m)
+        return (F.when(_mod97(F.concat(_from(plain, 5), _part(plain, 1, 4))) != 1, card)
+                .otherwise(_relaid(m, new, "A-Z0-9")))
+
+    return bound(F.regexp_replace(m, "[ -]", ""), of)
 
 
 def _ipv4(m: Column, key: str) -> Column:
