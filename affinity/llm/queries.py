@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm import bagminhash, containment, outliers, pieces, pseudonyms, reputation, suffix_dedup, templates
+from affinity.llm import bagminhash, containment, merkle, outliers, pieces, pseudonyms, reputation, suffix_dedup, templates
 from affinity.llm.quality import quality
 from affinity.llm.toxicity import toxicity
 
@@ -59,6 +59,10 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymise(documents)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_outliers": op1_outliers,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -70,10 +74,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_reputation": op9_reputation,
     "op10_pseudonyms": op10_pseudonyms,
+    "op11_merkle": op11_merkle,
 }
 
 ORACLES: dict[str, str] = {
     "op1_outliers": outliers.oracle_sql(),
     "op6_containment": containment.oracle_sql(),
     "op9_reputation": reputation.oracle_sql(),
+    "op11_merkle": merkle.oracle_sql(),
 }
