@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm import bagminhash, containment, merkle, outliers, pieces, pseudonyms, reputation, suffix_dedup, templates
+from affinity.llm import bagminhash, containment, golay, merkle, outliers, pieces, pseudonyms, reputation, suffix_dedup, templates
 from affinity.llm.quality import quality
 from affinity.llm.toxicity import toxicity
 
@@ -63,6 +63,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(read(spark, sf_dir, "documents"))
 
 
+def op12_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golay.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_outliers": op1_outliers,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_reputation": op9_reputation,
     "op10_pseudonyms": op10_pseudonyms,
     "op11_merkle": op11_merkle,
+    "op12_golay_simhash": op12_golay_simhash,
 }
 
 ORACLES: dict[str, str] = {
