@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm import bagminhash, containment, golay, merkle, outliers, pieces, pseudonyms, reputation, suffix_dedup, templates
+from affinity.llm import bagminhash, containment, golay, merkle, outliers, pieces, pseudonyms, reputation, suffix_dedup, templates, whitening
 from affinity.llm.quality import quality
 from affinity.llm.toxicity import toxicity
 
@@ -67,6 +67,10 @@ def op12_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golay.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_outliers": op1_outliers,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pseudonyms": op10_pseudonyms,
     "op11_merkle": op11_merkle,
     "op12_golay_simhash": op12_golay_simhash,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
