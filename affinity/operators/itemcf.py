@@ -15,12 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.scalars import cooccurrence_sim
-from affinity.operators.pairs import CELL_ITEMS, owner_pairs
-from affinity.operators.topk import ranked_lists, topk_per_key
+from affinity.operators.pairs import CELL_ITEMS, owner_pairs, pair_tasks
+from affinity.operators.tiles import BLOCK_COLUMNS, row_products, tiles_for
+from affinity.operators.topk import ranked_lists, topk_per_key, topk_to_depth
 from affinity.schemas import LIST_SIZE
 from affinity.session import cut_lineage
 
 HEAVY_ITEMS = 2048
+#: Summed pairs of a list's owner that one task ranks, about.
+CELL_PAIRS = 1_000_000
 
 
 def user_items(ratings: DataFrame, dedup: bool = False) -> DataFrame:
@@ -76,16 +79,24 @@ def _strength(co: str, size: str) -> Column:
     return F.col(co).cast("double") * F.col(co) / F.col(size)
 
 
+def _strongest() -> list[Column]:
+    return [F.desc(_strength("co", "size_b")), F.asc("b")]
+
+
 def _first(both: DataFrame, k: int) -> DataFrame:
-    return topk_per_key(both, "a", [F.desc(_strength("co", "size_b")), F.asc("b")], k)
+    return topk_per_key(both, "a", _strongest(), k)
 
 
-def _top(both: DataFrame, k: int) -> DataFrame:
-    return _first(both, k).select(
+def _listed(ranked: DataFrame) -> DataFrame:
+    return ranked.select(
         F.col("a").alias("product_id"), "rank", F.col("b").alias("rec_id"),
         cooccurrence_sim(F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim"))
 
 
+def _top(both: DataFrame, k: int) -> DataFrame:
+    return _listed(_first(both, k))
+
+
 def heavy_users(rows: DataFrame, min_items: int = HEAVY_ITEMS) -> DataFrame:
     """``user_id`` of the users with more than ``min_items`` products, written."""
     return cut_lineage(rows.groupBy("user_id").agg(F.count("*").alias("items"))
@@ -93,12 +104,9 @@ def heavy_users(rows: DataFrame, min_items: int = HEAVY_ITEMS) -> DataFrame:
 
 
 def itemcf_topk(ratings: DataFrame, k: int = LIST_SIZE, dedup: bool = False,
-                min_heavy_items: int = HEAVY_ITEMS, cell_items: int = CELL_ITEMS,
-                owners: DataFrame | None = None) -> DataFrame:
+                min_heavy_items: int = HEAVY_ITEMS, cell_items: int = CELL_ITEMS) -> DataFrame:
     """The ``k`` most similar products of every product: exact, whatever the skew.
 
-    ``owners``, a written table of one row per ``product_id``, restricts whose lists are made.
-
     A user with d products has d^2 pairs. For the users where that would
     dominate, pairs of like products are formed instead: see ``_with_heavy``.
     """
@@ -106,11 +114,62 @@ def itemcf_topk(ratings: DataFrame, k: int = LIST_SIZE, dedup: bool = False,
     heavy = heavy_users(rows, min_heavy_items)
     both = (mirrored(pair_counts(rows, cell_items)) if heavy.isEmpty()
             else _with_heavy(rows, heavy, k, cell_items))
-    if owners is not None:
-        both = both.join(owners.select(F.col("product_id").alias("a")), "a", "left_semi")
     return _top(both, k)
 
 
+def lists_to_depth(rows: DataFrame, depths: DataFrame, min_heavy_items: int = HEAVY_ITEMS,
+                   cell_items: int = CELL_ITEMS) -> DataFrame:
+    """What ``itemcf_topk`` gives, for the products of ``depths`` only and to their own depths.
+
+    ``rows`` are ``user_items`` rows, ``depths`` a written table ``product_id, depth``. Only pairs
+    whose first product has a list are formed and summed, and a list's depth is with its pairs
+    from the start, so a deep list costs nothing to the others.
+    """
+    heavy = heavy_users(rows, min_heavy_items)
+    if heavy.isEmpty():
+        return _listed(_ranked_to_depth(_owner_pair_counts(rows, depths)))
+    return _listed(_ranked_to_depth(_with_heavy(rows, heavy, None, cell_items, depths)))
+
+
+def _owner_pair_counts(rows: DataFrame, depths: DataFrame,
+                       of_product: tuple[str, ...] = ("size",)) -> DataFrame:
+    """Co-rating counts of ordered pairs ``a, b`` where ``a`` has a list, dealt out by ``a, cell``.
+
+    The lists' owners meet the ratings before pairs are made. A product's pairs are cut into cells
+    by how many its users will form. Where pairs repeat a lot they are summed before they
+    are dealt out as well.
+    """
+    degrees = cut_lineage(rows.groupBy("user_id").agg(F.count("*").alias("degree")))
+    owned = rows.join(depths, "product_id")
+    formed = cut_lineage(owned.join(degrees, "user_id").groupBy("product_id").agg(
+        F.sum("degree").alias("formed"), F.max("depth").alias("depth")))
+    total, owners = formed.agg(F.sum("formed"), F.count("*")).first()
+    products = rows.agg(F.count_distinct("product_id")).first()[0]
+    lists = formed.select("product_id", "depth",
+                          F.ceil(F.col("formed") / CELL_PAIRS).cast("int").alias("parts"))
+    tasks = pair_tasks(rows)
+    left = rows.join(lists, "product_id").select(
+        "user_id", "depth", "parts", F.col("product_id").alias("a"), F.col("n").alias("n_a"),
+        *[F.col(c).alias(f"{c}_a") for c in of_product])
+    right = rows.select("user_id", F.col("product_id").alias("b"), F.col("n").alias("n_b"),
+                        *[F.col(c).alias(f"{c}_b") for c in of_product])
+    of_pair = ["depth", "parts", *[f"{c}_{end}" for c in of_product for end in "ab"]]
+
+    def summed(pairs: DataFrame, *keys: str) -> DataFrame:
+        return pairs.groupBy(*keys).agg(F.sum("co").alias("co"), *[F.max(c).alias(c) for c in of_pair])
+
+    pairs = (left.repartition(tasks, "user_id").join(right.repartition(tasks, "user_id"), "user_id")
+             .where("a <> b").select("a", "b", (F.col("n_a") * F.col("n_b")).alias("co"), *of_pair))
+    if (total or 0) > 4 * owners * products:
+        pairs = summed(pairs, "a", "b")
+    cell = F.pmod(F.xxhash64("b"), F.col("parts")).alias("cell")
+    return summed(pairs.withColumn("cell", cell).repartition(tasks, "a", "cell"), "a", "cell", "b")
+
+
+def _ranked_to_depth(counts: DataFrame) -> DataFrame:
+    return topk_to_depth(counts, "a", "cell", _strongest(), "depth")
+
+
 def pair_sims(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """``product_id, rec_id, sim`` of the given pairs only, from ``user_items`` rows.
 
@@ -130,10 +189,16 @@ def pair_sims(rows: DataFrame, keys: DataFrame) -> DataFrame:
     lookups = sized.agg(F.sum(F.least("size_a", "size_b"))).first()[0] or 0
     per_user = rows.groupBy("user_id").agg(F.count("*").cast("double").alias("d"))
     if (per_user.agg(F.sum(F.col("d") * F.col("d"))).first()[0] or 0) <= lookups:
-        met = mirrored(pair_counts(rows)).withColumnsRenamed({"a": "product_id", "b": "rec_id"})
-        return (met.join(keys, ["product_id", "rec_id"], "left_semi")
-                .select("product_id", "rec_id", cooccurrence_sim(
-                    F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim")))
+        # Pairs and keys are dealt out alike, by the smaller and the larger product, and meet there.
+        one, two = F.col("product_id"), F.col("rec_id")
+        asked = keys.groupBy(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).agg(
+            F.bool_or(one < two).alias("up"), F.bool_or(one > two).alias("down"))
+        ways = F.array(F.when(F.col("up"), F.struct(F.col("a").alias("product_id"), F.col("b").alias("rec_id"))),
+                       F.when(F.col("down"), F.struct(F.col("b").alias("product_id"), F.col("a").alias("rec_id"))))
+        return (pair_counts(rows).join(asked, ["a", "b"])
+                .select(F.explode(F.array_compact(ways)).alias("way"), cooccurrence_sim(
+                    F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim"))
+                .select("way.product_id", "way.rec_id", "sim"))
     few = rows.select(F.col("product_id").alias("few"), "user_id", F.col("n").alias("n_few"))
     many = rows.select(F.col("product_id").alias("many"), "user_id", F.col("n").alias("n_many"))
     return (sized.join(few, "few").join(many, ["many", "user_id"])
@@ -143,9 +208,13 @@ def pair_sims(rows: DataFrame, keys: DataFrame) -> DataFrame:
                     cooccurrence_sim(F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim")))
 
 
-def _with_heavy(rows: DataFrame, heavy: DataFrame, k: int, cell_items: int) -> DataFrame:
+def _with_heavy(rows: DataFrame, heavy: DataFrame, k: int | None, cell_items: int,
+                depths: DataFrame | None = None) -> DataFrame:
     """Candidate pairs with exact counts that hold every product's top ``k``.
 
+    With ``depths``, a written table ``product_id, depth``, in place of ``k``: the pairs of
+    these products only, each to its own depth, dealt into cells by ``a, cell``.
+
     A product in the true list either shares a light user with the owner of the
     list (those pairs are all formed, and get the heavy users' share added), or
     it is among the owner's top ``k`` counting heavy users only: with no light
@@ -167,18 +236,32 @@ def _with_heavy(rows: DataFrame, heavy: DataFrame, k: int, cell_items: int) -> D
                          .select(F.col("product_id").alias("profile"), "user_id", "n"))
     dots = cut_lineage(_profile_dots(shapes, cell_items))
 
+    # A product's list is at most as deep as its profile's, which leaves out nobody but itself.
+    if depths is None:
+        reach = profiles.select(F.col("profile").alias("a"), F.lit(k + 1).alias("reach"))
+        deepest = k + 1
+    else:
+        reach = cut_lineage(members.join(depths, "product_id").groupBy(F.col("profile").alias("a"))
+                            .agg((F.max("depth") + 1).alias("reach")))
+        deepest = reach.agg(F.max("reach")).first()[0] or 1
     best = cut_lineage(topk_per_key(members, "profile", [F.asc("size"), F.asc("product_id")],
-                                    k + 1, "place"))
+                                    deepest, "place"))
     first = best.where("place = 1").select(
         F.col("profile").alias("b"), F.col("size").alias("b_size"),
         F.col("product_id").alias("b_first"))
-    near = topk_per_key(dots.join(first, "b"), "a",
-                        [F.desc(_strength("co", "b_size")), F.asc("b_first")], k + 1)
+    # A member is beaten by the members before it and by the first ones of the profiles before its own.
+    near = topk_per_key(dots.join(first, "b").join(reach, "a"), "a",
+                        [F.desc(_strength("co", "b_size")), F.asc("b_first")],
+                        None if depths is not None else deepest, "turn").where("turn <= reach")
     lists = cut_lineage(topk_per_key(
-        near.select("a", "b", "co").join(best.withColumnRenamed("profile", "b"), "b"), "a",
-        [F.desc(_strength("co", "size")), F.asc("product_id")], k + 1))
-    heavy_only = (members.select(F.col("profile").alias("a"), F.col("product_id").alias("owner"),
-                                 F.col("size").alias("size_a"))
+        near.select("a", "b", "co", "turn", "reach").join(best.withColumnRenamed("profile", "b"), "b")
+        .where("turn + place - 1 <= reach"), "a",
+        [F.desc(_strength("co", "size")), F.asc("product_id")],
+        None if depths is not None else deepest).where("rank <= reach"))
+    owners = members if depths is None else members.join(
+        depths.select("product_id"), "product_id", "left_semi")
+    heavy_only = (owners.select(F.col("profile").alias("a"), F.col("product_id").alias("owner"),
+                                F.col("size").alias("size_a"))
                   .join(lists.select("a", "product_id", "co", F.col("size").alias("size_b")), "a")
                   .where("owner <> product_id")
                   .select(F.col("owner").alias("a"), F.col("product_id").alias("b"),
@@ -188,21 +271,44 @@ def _with_heavy(rows: DataFrame, heavy: DataFrame, k: int, cell_items: int) -> D
     light_rows = cut_lineage(
         rows.join(heavy, "user_id", "left_anti")
         .join(members.select("product_id", "profile"), "product_id", "left"))
-    light = pair_counts(light_rows, cell_items, ("size", "profile"))
     share = dots.select(F.col("a").alias("profile_a"), F.col("b").alias("profile_b"),
                         F.col("co").alias("extra"))
-    topped_up = light.join(share, ["profile_a", "profile_b"], "left").select(
-        "a", "b", (F.col("co") + F.coalesce("extra", F.lit(0))).alias("co"), "size_a", "size_b")
+
+    def topped_up(light: DataFrame, *more: str) -> DataFrame:
+        return light.join(share, ["profile_a", "profile_b"], "left").select(
+            "a", "b", (F.col("co") + F.coalesce("extra", F.lit(0))).alias("co"), "size_a", "size_b", *more)
+
     # Where both know a pair, the topped-up count is the larger and the true one. A
     # topped-up pair outside its own top k is out for good, whatever the other says.
-    known = _first(mirrored(topped_up), k).drop("rank")
-    return (known.unionByName(heavy_only).groupBy("a", "b")
+    if depths is None:
+        light = pair_counts(light_rows, cell_items, ("size", "profile"))
+        known = _first(mirrored(topped_up(light)), k).drop("rank")
+    else:
+        light = _owner_pair_counts(light_rows, depths, ("size", "profile"))
+        known = _ranked_to_depth(topped_up(light, "cell", "depth")).drop("rank", "cell", "depth")
+    both = (known.unionByName(heavy_only).groupBy("a", "b")
             .agg(F.max("co").alias("co"), F.max("size_a").alias("size_a"),
                  F.max("size_b").alias("size_b")))
+    if depths is None:
+        return both
+    # Two lists of at most ``depth`` rows each: no product has more than one cell of them.
+    return both.join(depths.select(F.col("product_id").alias("a"), "depth"), "a").withColumn(
+        "cell", F.pmod(F.xxhash64("b"), F.ceil(F.col("depth") / CELL_PAIRS).cast("int")))
 
 
 def _profile_dots(shapes: DataFrame, cell_items: int) -> DataFrame:
-    """Sum of multiplicity products for all profile pairs, both ways and with itself."""
+    """Sum of multiplicity products for all profile pairs, both ways and with itself.
+
+    Users of different taste make many profiles. Their products are taken tile by tile where that
+    ships fewer rows than the users have pairs of profiles, and user by user otherwise.
+    """
+    per_user = shapes.groupBy("user_id").agg(F.count("*").cast("double").alias("d"))
+    users, entries, pairs = per_user.agg(F.count("*"), F.sum("d"), F.sum(F.col("d") * F.col("d") / 2)).first()
+    profiles = shapes.agg(F.count_distinct("profile")).first()[0]
+    tiles = tiles_for(profiles, int(entries or 0))
+    if entries and entries * tiles < pairs:
+        entries = shapes.select(F.col("profile").alias("item"), F.col("user_id").alias("col"), "n")
+        return row_products(entries, tiles, -(-users // BLOCK_COLUMNS))
     as_items = shapes.select("user_id", F.col("profile").alias("product_id"), "n",
                              F.lit(0).cast("long").alias("size"))
     own = shapes.groupBy(F.col("profile").alias("a")).agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.operators.itemcf import itemcf_topk
+from affinity.operators.itemcf import lists_to_depth, user_items
 from affinity.operators.topk import recent_ratings_topn, topk_per_key
 from affinity.schemas import LIKE_ABOVE, LIST_SIZE, SIM_THRESHOLD
 
@@ -49,15 +49,14 @@ def list_depths(current: DataFrame, rated: DataFrame, n: int = LIST_SIZE) -> Dat
             .agg(F.max(F.coalesce("reach", F.lit(n))).alias("depth")))
 
 
-def deep_lists(ratings: DataFrame, depths: DataFrame) -> DataFrame:
+def deep_lists(ratings: DataFrame, depths: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     """What ``ranked_sims`` gives, as deep as ``depths`` asks for and for its products only.
 
-    ``depths`` is a written table. The pairs of all products are never a table.
+    ``depths`` is a written table; so is ``rows``, the ``user_items`` of the ratings where these are
+    at hand. Every list has its own depth, and pairs of other products are not formed.
     """
-    deepest = depths.agg(F.max("depth")).first()[0] or 0
-    lists = itemcf_topk(ratings, int(deepest), owners=depths)
-    return (lists.join(depths, "product_id").where("rank <= depth")
-            .select("product_id", "rec_id", "sim", F.col("rank").alias("place")))
+    return lists_to_depth(user_items(ratings) if rows is None else rows, depths).select(
+        "product_id", "rec_id", "sim", F.col("rank").alias("place"))
 
 
 def scoring_keys(candidates: DataFrame, recent: DataFrame) -> DataFrame:

@@ -22,6 +22,21 @@ def topk_per_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[Colum
     return ranked if k is None else ranked.where(F.col(rank) <= k)
 
 
+def topk_to_depth(df: DataFrame, key: str, cell: str, order: Sequence[Column], depth: str,
+                  rank: str = "rank") -> DataFrame:
+    """The first rows of every key, as many as its own column ``depth`` says, with their rank.
+
+    A key's rows are first ranked within its cells, so that a key with very many of them is the work
+    of several tasks; where ``df`` is dealt out by key and cell already, that takes no shuffle.
+    The rows that a cell passes on are ``depth`` at most, whatever other keys ask for.
+    """
+    kept = df
+    for keys in ([key, cell], [key]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        kept = kept.withColumn(rank, place).where(F.col(rank) <= F.col(depth))
+    return kept
+
+
 def ranked_lists(flat: DataFrame, key: str, k: int | None = None) -> DataFrame:
     """Flat ``(key, rank, product_id, score)`` rows to one nested list per key.
 

@@ -446,9 +446,10 @@ def _order_candidates(spark, d):
     ratings = star.ratings_orders(spark, d)
     recent, rated = (cut_lineage(df) for df in realtime.realtime_inputs(ratings))
     current = realtime.newest_rating(recent)
+    rows = itemcf.user_items(ratings)
     lists = cut_lineage(realtime.deep_lists(ratings, cut_lineage(
-        realtime.list_depths(current, rated))))
-    return ratings, recent, cut_lineage(realtime.realtime_candidates(current, lists, rated))
+        realtime.list_depths(current, rated)), rows))
+    return rows, recent, cut_lineage(realtime.realtime_candidates(current, lists, rated))
 
 
 @query
@@ -458,9 +459,9 @@ def realtime_candidates_orders(spark, d):
 
 @query
 def realtime_scores_orders(spark, d):
-    ratings, recent, candidates = _order_candidates(spark, d)
+    rows, recent, candidates = _order_candidates(spark, d)
     keys = cut_lineage(realtime.scoring_keys(candidates, recent))
-    sims = cut_lineage(itemcf.pair_sims(itemcf.user_items(ratings), keys))
+    sims = cut_lineage(itemcf.pair_sims(rows, keys))
     return realtime.ranked_scores(
         realtime.realtime_scores(candidates, recent, sims, _ORDER_THRESHOLD))
 

@@ -4,7 +4,9 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from affinity.operators import itemcf
+from affinity.operators import itemcf, realtime, topk
+from affinity.operators.tiles import row_products
+from affinity.session import cut_lineage
 
 
 def brute(data, k=None):
@@ -164,3 +166,89 @@ def test_pair_sims_by_either_way(ratings, users, items):
         got = {(r.product_id, r.rec_id): r.sim
                for r in itemcf.pair_sims(itemcf.user_items(df), keys).collect()}
         assert got == pytest.approx({k: every[k] for k in asked if k in every})
+
+
+@pytest.mark.parametrize("seed, hot", [(2, ()), (3, (0, 1, 2)), (4, tuple(range(12)))])
+def test_every_list_has_its_own_depth(ratings, seed, hot):
+    """One deep list, some shallow ones, and no rows of the products without a list."""
+    data = skewed(seed, hot=hot)
+    rows = itemcf.user_items(ratings(data))
+    depths = {p: 40 if p == 7 else 1 + p % 4 for p in range(0, 60, 2)} | {7: 40, 999: 5}
+    table = cut_lineage(rows.sparkSession.createDataFrame(list(depths.items()), "product_id long, depth long"))
+    got = flat(itemcf.lists_to_depth(rows, table, min_heavy_items=20, cell_items=8))
+    wanted = {key: s for key, s in brute(data).items() if key[1] <= depths.get(key[0], 0)}
+    assert got == pytest.approx(wanted)
+    without = cut_lineage(table.where("product_id <> 7"))
+    others = flat(itemcf.lists_to_depth(rows, without, min_heavy_items=20, cell_items=8))
+    assert others == pytest.approx({key: s for key, s in wanted.items() if key[0] != 7})
+
+
+def test_a_deep_list_adds_no_rows_to_the_others(ratings, monkeypatch):
+    """A user with nearly all ratings makes one list as deep; what is ranked for the others stays."""
+    rng = random.Random(8)
+    data = [(0, p, 1.0, 0, 0) for p in range(1500)]
+    data += [(u, rng.randrange(1500), 1.0, 0, 0) for u in range(1, 200) for _ in range(4)]
+    df = ratings(data)
+    rows = itemcf.user_items(df)
+    counted = []
+
+    def ranked(counts, *args):
+        out = cut_lineage(topk.topk_to_depth(counts, *args))
+        counted.append({r.a: r["count"] for r in out.groupBy("a").count().collect()})
+        return out
+
+    monkeypatch.setattr(itemcf, "topk_to_depth", ranked)
+    rated = cut_lineage(rows.select("user_id", "product_id"))
+    current = rated.groupBy("user_id").agg({"product_id": "min"}).toDF("user_id", "product_id")
+    depths = cut_lineage(realtime.list_depths(current, rated))
+    itemcf.lists_to_depth(rows, depths, min_heavy_items=1000).count()
+    own = {r.product_id: r.depth for r in depths.collect()}
+    assert max(own.values()) == 1520 and sorted(own.values())[-2] <= 24 + 4
+    assert all(n <= own[a] for found in counted for a, n in found.items())
+    assert counted[-1][0] == 1499
+
+
+@pytest.mark.parametrize("hot", [(), (0, 1)])
+def test_lists_owners_come_before_the_sums(ratings, hot):
+    rows = itemcf.user_items(ratings(skewed(5, hot=hot)))
+    depths = cut_lineage(rows.select("product_id").distinct().limit(5).selectExpr("product_id", "3L as depth"))
+    plan = itemcf.lists_to_depth(rows, depths, min_heavy_items=20)._jdf.queryExecution().optimizedPlan().toString()
+    last_sum = plan[plan.rindex("sum(co"):]
+    assert "depth" in last_sum and "Join Inner, (product_id" in last_sum
+
+
+@pytest.mark.parametrize("tiles, blocks", [(1, 1), (3, 1), (4, 3)])
+def test_row_products(spark, tiles, blocks):
+    rng = random.Random(tiles)
+    entries = {(rng.randrange(40), rng.randrange(25)): rng.randint(1, 9) for _ in range(300)}
+    wanted = Counter()
+    for (i, u), n in entries.items():
+        for (j, v), m in entries.items():
+            if u == v:
+                wanted[i, j] += n * m
+    df = spark.createDataFrame([(i, u, n) for (i, u), n in entries.items()], "item long, col long, n long")
+    got = row_products(df, tiles, blocks).collect()
+    assert {(r.a, r.b): r.co for r in got} == dict(wanted) and len(got) == len(wanted)
+    large = df.withColumn("n", df.n * 10**8)
+    assert {(r.a, r.b): r.co for r in row_products(large, tiles, blocks).collect()} == {
+        k: v * 10**16 for k, v in wanted.items()}
+
+
+def test_wide_users_of_different_taste_sum_cells_not_pairs(ratings, monkeypatch):
+    """400 users of random taste: all products are profiles, and cells are far fewer than pairs."""
+    rng = random.Random(10)
+    data = [(u, p, 1.0, 0, 0) for u in range(400) for p in rng.sample(range(150), 60)]
+    data += [(1000 + u, rng.randrange(150), 1.0, 0, 0) for u in range(100) for _ in range(3)]
+    cells = []
+    whole = itemcf.row_products
+
+    def noted(*args):
+        out = cut_lineage(whole(*args))
+        cells.append(out.count())
+        return out
+
+    monkeypatch.setattr(itemcf, "row_products", noted)
+    got = flat(itemcf.itemcf_topk(ratings(data), 6, min_heavy_items=20))
+    wanted = brute(data, 6)
+    assert got == pytest.approx(wanted)
+    assert cells == [150 * 150] and 400 * 60 * 60 > 60 * cells[0]
