@@ -246,7 +246,8 @@ def links(nodes: DataFrame) -> DataFrame:
     sizes = written(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(
         "key", F.ceil(F.col("n") / CELL).cast("long").alias("blocks")))
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    cells = (rows.join(sizes, "key").withColumn("block", block)
+    # The shared keys grow with the documents, so they are not broadcast even where they could be.
+    cells = (rows.join(sizes.hint("merge"), "key").withColumn("block", block)
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
              .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node"))
     return written(_cell_links(cells).distinct())
