@@ -137,3 +137,58 @@ def test_best_k_of_the_cells_are_the_best_k(spark, blocks):
     assert sorted(map(tuple, vectors.ranked_pairs(best, k=4).select(key).collect())) == sorted(
         map(tuple, whole.select(key).collect()))
     assert best.count() < vectors.dense_cosine_pairs(df, 0.3, blocks=blocks).count()
+
+
+def clustered(n, d, clusters, spread, seed=5):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(clusters, d))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    return centres[rng.integers(0, clusters, n)] + spread * rng.normal(size=(n, d)) / np.sqrt(d)
+
+
+@pytest.mark.parametrize("k", [None, 3])
+@pytest.mark.parametrize("kind", ["random", "clustered", "copies"])
+def test_skipped_blocks_lose_nothing(spark, kind, k):
+    rng = np.random.default_rng(6)
+    v = {"random": rng.normal(size=(300, 6)), "clustered": clustered(300, 12, 9, 0.3),
+         "copies": np.repeat(rng.normal(size=(30, 6)), 10, axis=0)}[kind]
+    items = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)],
+                                  "product_id long, features array<double>")
+    lists = {}
+    for (i, j), s in brute(v, 0.4).items():
+        lists.setdefault(i, []).append((-round(s, 9), j))
+    wanted = {(i, r + 1, j) for i, rest in lists.items() for r, (_, j) in enumerate(sorted(rest)[:k])}
+    pairs = vectors.dense_cosine_pairs(items, 0.4, blocks=9, k=k)
+    got = vectors.ranked_pairs(pairs, k=k).select("product_id", "rank", "rec_id").collect()
+    assert {tuple(r) for r in got} == wanted and len(got) == len(wanted)
+
+
+def test_far_blocks_are_not_shipped(spark, monkeypatch):
+    """Rows that cells receive, against one copy per block; a k-th best cuts them further."""
+    sent = []
+    whole = vectors._cell_hits
+
+    def noted(cells, *args):
+        sent.append(cells.count())
+        return whole(cells, *args)
+
+    monkeypatch.setattr(vectors, "_cell_hits", noted)
+
+    def rows_sent(v, k):
+        sent.clear()
+        items = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)],
+                                      "product_id long, features array<double>")
+        vectors.dense_cosine_pairs(items, 0.4, blocks=16, k=k).count()
+        return sum(sent)
+
+    near = clustered(2000, 24, 16, 0.2)
+    assert rows_sent(near, None) < 2000 * 16 * 0.5
+    assert rows_sent(near, 5) < 2 * 2000 + 2000 * 16 * 0.1
+    few_dims = np.random.default_rng(7).normal(size=(2000, 3))
+    assert rows_sent(few_dims, 5) < rows_sent(few_dims, None) * 0.7 < 2000 * 16 * 0.7
+
+
+def test_vectors_without_direction(spark):
+    schema = "product_id long, features array<double>"
+    assert vectors.dense_cosine_pairs(spark.createDataFrame([], schema)).count() == 0
+    assert vectors.dense_cosine_pairs(spark.createDataFrame([(1, [0.0]), (2, [0.0])], schema)).count() == 0
