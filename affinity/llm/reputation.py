@@ -70,7 +70,10 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
 
 
 def levels_of(host: Column) -> tuple[Column, Column]:
-    """Registered domain and suffix of a host; an address in digits is its own domain."""
+    """Registered domain and suffix of a host; an address in digits is its own domain.
+
+    A domain is its name and its suffix: the address ``3.4`` is another domain than that of ``a.3.4``.
+    """
     bare = F.regexp_replace(host, r":[0-9]*$", "")
     last = F.substring_index(bare, ".", -1)
     two = F.substring_index(bare, ".", -2)
@@ -112,25 +115,25 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     everything = suffixes.agg(F.coalesce(F.sum("k"), F.lit(0.0)).alias("all_k"),
                               F.coalesce(F.sum("n"), F.lit(0.0)).alias("all_n"))
 
-    def under(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-        named = parents.select(key, F.col("k").alias("parent_k"), F.col("n").alias("parent_n"))
-        return rows.join(named, key)
+    def under(rows: DataFrame, parents: DataFrame, *keys: str) -> DataFrame:
+        named = parents.select(*keys, F.col("k").alias("parent_k"), F.col("n").alias("parent_n"))
+        return rows.join(named, list(keys))
 
     top = everything.select(F.col("all_k").alias("parent_k"), F.col("all_n").alias("parent_n"))
     # The single rows below hold one number each.
     of_suffix = _strength(suffixes.crossJoin(F.broadcast(top))).withColumnRenamed("strength", "s1")
     of_domain = _strength(under(domains, suffixes, "suffix")).withColumnRenamed("strength", "s2")
-    of_host = _strength(under(hosts, domains, "domain")).withColumnRenamed("strength", "s3")
+    of_host = _strength(under(hosts, domains, "domain", "suffix")).withColumnRenamed("strength", "s3")
     numbers = everything.crossJoin(of_suffix).crossJoin(of_domain).crossJoin(of_host).first()
     s1, s2, s3 = (F.lit(float(numbers[s])) for s in ("s1", "s2", "s3"))
     mean0 = F.lit((numbers["all_k"] + 0.5) / (numbers["all_n"] + 1.0))
 
     suffixes = suffixes.select("suffix", ((F.col("k") + s1 * mean0) / (F.col("n") + s1)).alias("mean1"))
     domains = domains.join(suffixes, "suffix").select(
-        "domain", ((F.col("k") + s2 * F.col("mean1")) / (F.col("n") + s2)).alias("mean2"))
+        "domain", "suffix", ((F.col("k") + s2 * F.col("mean1")) / (F.col("n") + s2)).alias("mean2"))
     a, b = F.col("k") + s3 * F.col("mean2"), F.col("n") - F.col("k") + s3 * (1 - F.col("mean2"))
     mean = a / (a + b)
-    return (hosts.join(domains, "domain")
+    return (hosts.join(domains, ["domain", "suffix"])
             .select("host", mean.alias("mean"),
                     (mean - Z * F.sqrt(mean * (1 - mean) / (a + b + 1))).alias("bound"))
             .withColumn("blocked", F.col("bound") > BAD_RATE))
@@ -194,7 +197,7 @@ every AS (SELECT coalesce(sum(k), 0) AS k, coalesce(sum(n), 0) AS n FROM suffixe
 children AS (
   SELECT 1 AS level, c.k, c.n, p.k AS pk, p.n AS pn FROM suffixes c CROSS JOIN every p WHERE c.n > 0
   UNION ALL SELECT 2, c.k, c.n, p.k, p.n FROM domains c JOIN suffixes p USING (suffix) WHERE c.n > 0
-  UNION ALL SELECT 3, c.k, c.n, p.k, p.n FROM hosts c JOIN domains p USING (domain) WHERE c.n > 0),
+  UNION ALL SELECT 3, c.k, c.n, p.k, p.n FROM hosts c JOIN domains p USING (domain, suffix) WHERE c.n > 0),
 terms AS (
   SELECT level, n * pow(k / n - m, 2) / (m * (1 - m)) AS spread, 1 - n / pn AS free, n - n * n / pn AS weight
   FROM (SELECT *, (pk + 0.5) / (pn + 1.0) AS m FROM children)),
@@ -207,9 +210,9 @@ s AS (SELECT max(CASE level WHEN 1 THEN s END) AS s1, max(CASE level WHEN 2 THEN
   max(CASE level WHEN 3 THEN s END) AS s3 FROM strength),
 m1 AS (SELECT suffix, (c.k + s1 * (e.k + 0.5) / (e.n + 1.0)) / (c.n + s1) AS mean1
   FROM suffixes c CROSS JOIN every e CROSS JOIN s),
-m2 AS (SELECT domain, (k + s2 * mean1) / (n + s2) AS mean2 FROM domains JOIN m1 USING (suffix) CROSS JOIN s),
+m2 AS (SELECT domain, suffix, (k + s2 * mean1) / (n + s2) AS mean2 FROM domains JOIN m1 USING (suffix) CROSS JOIN s),
 post AS (SELECT host, k + s3 * mean2 AS a, n - k + s3 * (1 - mean2) AS b
-  FROM hosts JOIN m2 USING (domain) CROSS JOIN s),
+  FROM hosts JOIN m2 USING (domain, suffix) CROSS JOIN s),
 reputation AS (
   SELECT host, a / (a + b) - {Z} * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)) > {BAD_RATE} AS blocked
   FROM post),

@@ -4,6 +4,7 @@ import math
 import random
 from collections import defaultdict
 
+import duckdb
 import pytest
 
 from affinity.llm import reputation as r
@@ -128,3 +129,25 @@ def test_empty_tables_repeats_and_clashing_names(spark):
     assert r.judge(pages.limit(0), none).count() == 0
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert r.judge(pages, r.page_outcomes(pages, labels)).count() == 3
+
+
+def test_hosts_that_end_in_digits_come_once(spark, tmp_path):
+    """``3.4`` has no suffix and ``a.3.4`` has one; both have a domain of that name."""
+    rng = random.Random(4)
+    names = ["3.4", "a.3.4", "b.3.4", "1.2.3.4", "4", "x.4"]
+    pages = [(k, f"http://{rng.choice(names)}/p/{k}") for k in range(300)]
+    labels = [(k, int(rng.random() < 0.3 + 0.1 * (k % 5)), 0) for k in range(0, 300, 2)]
+    tables = {"pages": spark.createDataFrame(pages, "page_id long, url string"),
+              "labels": spark.createDataFrame(labels, "doc_id long, quality int, toxic int")}
+    out = r.judge(tables["pages"], r.page_outcomes(*tables.values()))
+    bad = dict((d, q == 0) for d, q, _ in labels)
+    wanted = blocked([(parts(u)[0], bad.get(k)) for k, u in pages])
+    assert wanted and len(wanted) < len(names)
+    got = sorted(map(tuple, out.collect()))
+    assert [(row[0], row[4]) for row in got] == [
+        (k, "block" if parts(u)[0] in wanted else "allow") for k, u in pages]
+    with duckdb.connect() as db:
+        for name, table in tables.items():
+            table.write.parquet(f"{tmp_path}/{name}")
+            db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}/*.parquet'")
+        assert sorted(db.execute(r.oracle_sql()).fetchall()) == got
