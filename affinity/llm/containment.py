@@ -10,14 +10,17 @@ chosen so that an item that reaches the threshold shares a bin minimum with the
 probability ``1 - MISS`` or more, whatever the document's size: with ``s`` shared shingles at
 least and ``x`` the load of a bin, ``(1 - (1 - exp(-x)) / x)**s <= MISS``. Where few shared
 shingles leave no such load, the signature is all shingles. Candidates from shared minima are
-then verified: the item's distinct shingles in the whole document are counted exactly.
+then verified: the item's distinct shingles in the whole document are counted exactly. Items are
+partitioned by size, too: each has the load that its own number of shingles allows, so a few short
+items are searched by all shingles without a change for the long ones.
 
 Items are the stated query set. They are searched in blocks of bounded text size, each sent to
-all tasks, against all documents; documents are never shuffled. An item of fewer than five words
-is searched as one shingle of its words.
+all tasks, against all documents, and written before the next block is read; documents are never
+shuffled. An item of fewer than five words is searched as one shingle of its words.
 
 Defined cases: null or empty texts have no shingles, match nothing and, as items, are in nothing;
-repeated rows of either table are judged each; other columns are not read.
+items without an id are searched as any other, and found with a null id; repeated rows of either table
+are judged each; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,13 +28,14 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affinity.llm.stage import written
 from affinity.llm.whole_rows import filter_by_text
 from affinity.llm.words import Slice, Words, shingles, slices, words
 
@@ -53,27 +57,39 @@ def bin_load(shared: int, miss: float = MISS) -> float:
 
 @dataclass
 class Block:
-    """Items of one shingle size: sorted distinct shingles, and the items of each of them."""
+    """Items of one shingle size and load: sorted distinct shingles, and the items of each of them."""
 
     size: int
     found: np.ndarray
     starts: np.ndarray
     members: np.ndarray
-    item_ids: np.ndarray
+    item_ids: pa.Array
     counts: np.ndarray
     needed: np.ndarray
     load: float
 
     @classmethod
-    def of(cls, size: int, item_ids: np.ndarray, item: np.ndarray, shingle: np.ndarray,
-           threshold: float) -> Block:
-        """From distinct (place of the item, shingle) pairs."""
+    def of(cls, size: int, item_ids: pa.Array, item: np.ndarray, shingle: np.ndarray,
+           threshold: float) -> list[Block]:
+        """From distinct (place of the item, shingle) pairs: a block for each load that items have."""
+        counts = np.bincount(item, minlength=len(item_ids))
+        loads = np.array([bin_load(math.ceil(threshold * n - 1e-9)) for n in counts.tolist()])
+        out = []
+        for load in np.unique(loads):
+            mine = np.flatnonzero(loads == load)
+            ours = loads[item] == load
+            out.append(cls._of(size, item_ids.take(pa.array(mine)), np.searchsorted(mine, item[ours]),
+                               shingle[ours], threshold, float(load)))
+        return out
+
+    @classmethod
+    def _of(cls, size: int, item_ids: pa.Array, item: np.ndarray, shingle: np.ndarray, threshold: float,
+            load: float) -> Block:
         order = np.lexsort((item, shingle))
         found, starts = np.unique(shingle[order], return_index=True)
         counts = np.bincount(item, minlength=len(item_ids))
         needed = np.ceil(threshold * counts - 1e-9).astype(np.int64)
-        return cls(size, found, np.append(starts, len(order)), item[order], item_ids, counts, needed,
-                   bin_load(int(needed.min())))
+        return cls(size, found, np.append(starts, len(order)), item[order], item_ids, counts, needed, load)
 
     def hits(self, shingle: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, item) for every item that has one of the shingles, with repetitions."""
@@ -135,10 +151,10 @@ def exact_size(found: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return shingle[full], row[full]
 
 
-def item_blocks(items: list[tuple[int, str]], threshold: float) -> list[Block]:
-    """Blocks by shingle size of collected items ``(item_id, text)``."""
+def item_blocks(items: list[tuple[int | None, str]], threshold: float) -> list[Block]:
+    """Blocks by shingle size and load of collected items ``(item_id, text)``."""
     texts = pa.array([text for _, text in items], pa.large_string())
-    ids = np.array([i for i, _ in items], dtype=np.int64)
+    ids = pa.array([i for i, _ in items], pa.int64())
     by_size: dict[int, list] = {}
     for part in slices(texts):
         found = words(part, fold=True)
@@ -149,22 +165,22 @@ def item_blocks(items: list[tuple[int, str]], threshold: float) -> list[Block]:
                 shingle, row = distinct(*exact_size(found, size))
                 ours = np.isin(row, mine)
                 by_size.setdefault(size, []).append(
-                    (ids[part.start:part.stop][mine], np.searchsorted(mine, row[ours]), shingle[ours]))
+                    (ids[part.start:part.stop].take(pa.array(mine)), np.searchsorted(mine, row[ours]), shingle[ours]))
     out = []
     for size, found in by_size.items():
         firsts = np.cumsum([0] + [len(i) for i, _, _ in found])
-        out.append(Block.of(size, np.concatenate([i for i, _, _ in found]),
-                            np.concatenate([r + f for (_, r, _), f in zip(found, firsts)]),
-                            np.concatenate([s for _, _, s in found]), threshold))
+        out += Block.of(size, pa.concat_arrays([i for i, _, _ in found]),
+                        np.concatenate([r + f for (_, r, _), f in zip(found, firsts)]),
+                        np.concatenate([s for _, _, s in found]), threshold)
     return out
 
 
 def part_search(part: Slice, blocks: list[Block]) -> Iterator[tuple[np.ndarray, ...]]:
     """Per block: rows of the slice, items they contain, shared shingles; and the block."""
     found = words(part, fold=True)
+    of_size = {size: distinct(*exact_size(found, size)) for size in {block.size for block in blocks}}
     for block in blocks:
-        shingle, row = distinct(*exact_size(found, block.size))
-        yield *block.search(shingle, row, part.n_rows), block
+        yield *block.search(*of_size[block.size], part.n_rows), block
 
 
 def _search(documents: DataFrame, blocks: list[Block]) -> DataFrame:
@@ -174,7 +190,7 @@ def _search(documents: DataFrame, blocks: list[Block]) -> DataFrame:
                 doc_id = batch.column("doc_id")[part.start:part.stop]
                 for rows, items, shared, block in part_search(part, blocks):
                     yield pa.RecordBatch.from_arrays(
-                        [doc_id.take(pa.array(rows)), pa.array(block.item_ids[items]),
+                        [doc_id.take(pa.array(rows)), block.item_ids.take(pa.array(items)),
                          pa.array(block.counts[items]), pa.array(shared),
                          pa.array(shared / block.counts[items])],
                         ["doc_id", "item_id", "n_shingles", "n_shared", "containment"])
@@ -183,29 +199,45 @@ def _search(documents: DataFrame, blocks: list[Block]) -> DataFrame:
         run, "doc_id long, item_id long, n_shingles long, n_shared long, containment double")
 
 
-def item_search(items: DataFrame, threshold: float, block_bytes: int) -> Iterator[list[Block]]:
-    """The items in groups of about ``block_bytes`` of text, each ready to be searched."""
-    items = items.select("item_id", "text").where("item_id is not null and text is not null")
+def item_search(items: DataFrame, threshold: float, block_bytes: int) -> list[Callable[[], list[Block]]]:
+    """The items in groups of about ``block_bytes`` of text; each is read when it is to be searched.
+
+    Rows are dealt out in turn, so repeated items are spread over the groups.
+    """
+    items = items.select("item_id", "text").where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, math.ceil(2 * total / block_bytes))
-    block_of = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    for k in range(n_blocks):
-        yield item_blocks([(r.item_id, r.text) for r in items.where(block_of == k).collect()], threshold)
+    if n_blocks > 1:
+        items = written(items.repartition(n_blocks).withColumn("block", F.spark_partition_id()))
+
+    def read(k: int) -> list[Block]:
+        mine = items if n_blocks == 1 else items.where(F.col("block") == k)
+        return item_blocks([(r.item_id, r.text) for r in mine.collect()], threshold)
+
+    return [partial(read, k) for k in range(n_blocks)]
 
 
 def contained_items(documents: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, item_id, n_shingles, n_shared, containment`` of all contained items.
 
-    One row for each row of ``documents`` and each row of ``items`` that it contains.
+    One row for each row of ``documents`` and each row of ``items`` that it contains. Of several
+    blocks each is written before the next is read.
     """
-    return reduce(DataFrame.unionAll, [_search(documents, blocks)
-                                       for blocks in item_search(items, threshold, block_bytes)])
+    first, *more = item_search(items, threshold, block_bytes)
+    found = _search(documents, first())
+    if not more:
+        return found
+    return reduce(DataFrame.unionAll, [written(_search(documents, read()) if k else found)
+                                       for k, read in enumerate([first, *more])])
 
 
 def drop_contaminated(documents: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``documents``, all columns, whose own text contains no item."""
+    """The rows of ``documents``, all columns, whose own text contains no item.
+
+    Of several blocks each leaves its rows written before the next is read.
+    """
     def without(blocks: list[Block]) -> Callable[[Slice], np.ndarray]:
         def keep(part: Slice) -> np.ndarray:
             clean = np.ones(part.n_rows, bool)
@@ -214,9 +246,10 @@ def drop_contaminated(documents: DataFrame, items: DataFrame, threshold: float =
             return clean
         return keep
 
-    for blocks in item_search(items, threshold, block_bytes):
-        documents = filter_by_text(documents, without(blocks))
-    return documents
+    *before, last = item_search(items, threshold, block_bytes)
+    for read in before:
+        documents = written(filter_by_text(documents, without(read())))
+    return filter_by_text(documents, without(last()))
 
 
 ORACLE_SQL = """
