@@ -1,10 +1,13 @@
 """Main text of pages: element cases by hand, hosts without article elements by their template."""
 
 import random
+import time
+import tracemalloc
+from collections import Counter
 
 import pytest
 
-from affinity.llm.templates import extract, main_text, parse, valid_roles
+from affinity.llm.templates import _hash, extract, host_templates, main_text, parse, valid_roles
 
 WORDS = [f"word{i}" for i in range(500)]
 
@@ -94,9 +97,77 @@ def test_copies_and_links_stay_on_hosts_without_articles(spark):
 
 
 def test_classes_nest_from_the_root():
-    slots = [{"role": r, "large": large, "chars": 1, "links": 0} for r, large in
-             [("/html", True), ("/html/body", False), ("/html/body/div", True), ("/html/head", True)]]
-    assert set(valid_roles(slots)) == {"", "/html", "/html/head"}
+    page = parse("<html><head></head><body><div>x</div></body></html>")
+    by_name = {name: (page.hashes[r], page.hashes[page.parents[r]], page.depths[r]) for r, name in enumerate(page.shown)}
+    slots = [dict(zip(("role", "parent", "depth"), by_name[name]), shown=name, large=large, chars=1) for name, large in
+             [("html", True), ("body", False), ("div", True), ("head", True)]]
+    random.Random(1).shuffle(slots)
+    assert {r["shown"] for r in valid_roles(slots).values()} == {"", "html", "head"}
+
+
+def test_names_within_an_article_must_say_it_all():
+    kept = ('<h1 class="article-header">one</h1><div class="share-price-table">two</div>'
+            '<p class="search-results">three</p><p>four</p>')
+    gone = '<div class="comments">x</div><div class="ad-box">x</div><ul class="big share-links">x</ul><div id=related>x</div>'
+    assert text_of(f"<article>{kept}{gone}</article>") == "one two three four"
+
+
+def test_rows_without_end_tags_are_neighbours():
+    page = parse("<table><tr><td>a<td>b<tr><td>c<tr><th>d</table><ul><li><p>e<li><p>f</ul>")
+    assert max(page.depths) == 3 and page.shown.count("tr") == 1 and page.times[page.shown.index("tr")] == 3
+    assert len({b[0] for b in page.blocks if b[1] in "abc"}) == 1
+
+
+@pytest.mark.parametrize("html, chars", [
+    ("<article><table>" + "<tr><td>x<td>y" * 50_000, 199_999), ("<article>" + "<div>" * 40_000 + "deep", 4),
+    ("<b>" * 20_000 + "<hr>" * 20_000, 0), ("<div>" * 20_000 + "</span>" * 20_000 + "x", 1), ("<a " * 30_000, 89_999),
+    ("<p title='" * 20_000 + ">x", None)])
+def test_long_and_deep_pages_take_linear_time_and_memory(html, chars):
+    tracemalloc.start()
+    start = time.process_time()
+    text = text_of(html)
+    took, (_, peak) = time.process_time() - start, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert chars is None or len(text) == chars
+    assert took < 40 and peak < 200e6  # seconds while memory is traced, which costs five times the work
+
+
+def test_deep_pages_in_a_table(spark):
+    rows = [(k, f"http://deep.example/{k}", "<article>" + "<div>" * 20_000 + f"<p>page {k}</p>") for k in range(5)]
+    assert sorted((r.page_id, r.text) for r in found(spark, rows).collect()) == [(k, f"page {k}") for k in range(5)]
+
+
+def plain_template(pages):
+    """Tokens by whole occurrence vectors over a host's different bodies: those of large, frequent, various classes."""
+    seen, vectors, beside = {}, {}, {}
+    for html in pages:
+        page = parse(html)
+        own = [b[1] for b in page.blocks if not b[3]]
+        seen["\0".join(own)] = page, max(own, key=lambda b: (len(b), b), default="")
+    for k, (page, longest) in enumerate(seen.values()):
+        tokens = Counter({("tag", h): n for h, n in zip(page.hashes, page.times, strict=True)})
+        tokens.update(("text", page.hashes[b[0]], b[1]) for b in page.blocks)
+        for token, n in tokens.items():
+            vectors.setdefault(token, [0] * len(seen))[k] = n
+            beside.setdefault(token, set()).add(longest)
+    frequent = {t: tuple(v) for t, v in vectors.items() if sum(n > 0 for n in v) >= len(seen) / 2}
+    sizes = Counter(frequent.values())
+    large = {t for t, v in frequent.items() if sizes[v] > 1 or set(v) == {1}}
+    every = {longest for _, longest in seen.values()}
+    texts = {t[1:] for t in large if t[0] == "text" and len(every) >= 4 and len(beside[t]) >= len(every) / 2}
+    return {t[1] for t in large if t[0] == "tag"}, {t[1] for t in frequent if t[0] == "tag"}, texts
+
+
+def test_classes_by_whole_vectors(spark):
+    """Fingerprints of occurrence vectors give the classes that the vectors themselves give."""
+    rng = random.Random(6)
+    html = [h for _, h in site(rng, "one.example", 9)[0]]
+    html += [html[0]] * 3 + [h.replace("<ul>", "<ul><li>more</li>").replace("dear", "old") for h in html[:4]]
+    rows = spark.createDataFrame([("one.example", h) for h in html], "host string, html string")
+    (row,) = host_templates(rows.repartition(5)).collect()
+    large, frequent, texts = plain_template(html)
+    assert {s.role for s in row.slots} == frequent and {s.role for s in row.slots if s.large} == large
+    assert set(row.template) == {_hash(role, block) for role, block in texts} and texts
 
 
 def test_nulls_repeats_clashes_and_empty_table(spark):
