@@ -19,9 +19,10 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, folds:
                     held_out: int, bound: int) -> DataFrame:
     """At most ``bound`` labelled texts outside the held-out fold: ``doc_id, y, text``.
 
-    The rows with the smallest hashes of their ids are taken, so the sample does not depend
-    on the order of the tables. A document labelled more than once has its largest label.
-    The sampled ids, at most ``bound`` of them, are broadcast to the scan of the texts.
+    The ids with the smallest hashes are taken, so the sample does not depend on the order of the
+    tables. A document labelled more than once has its largest label, an id of several rows its first text
+    in order, so the bound is one of rows. The sampled ids, ``bound`` at most, are broadcast to the
+    scan of the texts.
     """
     picked = (labels.select("doc_id", F.col(label).alias("y"))
               .where(F.col("doc_id").isNotNull() & F.col("y").isNotNull()
@@ -29,7 +30,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, folds:
               .groupBy("doc_id").agg(F.max("y").cast("int").alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound))
     return (documents.select("doc_id", "text")
-            .join(F.broadcast(picked), "doc_id").select("doc_id", "y", "text"))
+            .join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(
+                F.max("y").alias("y"), F.min("text").alias("text")))
 
 
 def collect_features(sample: DataFrame, extract: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],

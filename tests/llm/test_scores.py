@@ -130,3 +130,14 @@ def test_sample_is_bounded_and_does_not_depend_on_order(spark):
     a = labelled_sample(docs, labels, "toxic", 3, 1, 20).orderBy("doc_id").collect()
     b = labelled_sample(docs, labels.orderBy("toxic"), "toxic", 3, 1, 20).orderBy("doc_id").collect()
     assert a == b and len(a) == 20 and all(zlib.crc32(str(r.doc_id).encode()) % 3 != 1 for r in a)
+
+
+def test_one_id_on_many_rows_is_one_text(spark):
+    """The bound is one of rows: what goes to the driver does not grow with the rows of an id."""
+    rows = [(3, f"text {k:05}") for k in range(5000)] + [(k, None if k == 9 else "t") for k in range(4, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(3, 30)] * 3, "doc_id long, toxic int")
+    got = labelled_sample(docs, labels, "toxic", 3, 1, 10).collect()
+    assert len(got) == len({r.doc_id for r in got}) == 10
+    every = {r.doc_id: r.text for r in labelled_sample(docs, labels, "toxic", 3, 1, 100).collect()}
+    assert every.get(3, "text 00000") == "text 00000" and len(every) <= 27
