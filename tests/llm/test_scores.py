@@ -141,3 +141,104 @@ def test_one_id_on_many_rows_is_one_text(spark):
     assert len(got) == len({r.doc_id for r in got}) == 10
     every = {r.doc_id: r.text for r in labelled_sample(docs, labels, "toxic", 3, 1, 100).collect()}
     assert every.get(3, "text 00000") == "text 00000" and len(every) <= 27
+
+
+def pair_corpus(n, seed, vocabulary=300, length=20):
+    """Texts that are labelled 1 if they have one of two words, and not both: each says nothing alone."""
+    rng = np.random.default_rng(seed)
+    rows, y = [], []
+    for k in range(n):
+        words = [f"word{v:04d}" for v in rng.integers(0, vocabulary, length)]
+        a, b = rng.random(2) < 0.5
+        for there, word in ((a, "villagers"), (b, "vermin")):
+            if there:
+                words.insert(int(rng.integers(len(words))), word)
+        rows.append((k, " ".join(words)))
+        y.append((k, int(a != b)))
+    return rows, y
+
+
+def test_train_learns_a_pair_whose_terms_say_nothing_alone(spark):
+    rows, y = pair_corpus(4000, 1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(y, "doc_id long, toxic int")
+    scored = toxicity.toxicity(docs, labels).where("held_out").collect()
+    right = sum(r.predicted == y[r.doc_id][1] for r in scored) / len(scored)
+    assert len(scored) > 1000 and right > 0.95
+
+
+def test_random_labels_give_no_factors():
+    """Residuals that no pair explains: the eigenvalues are not beyond chance."""
+    rng = np.random.default_rng(4)
+    index = np.concatenate([np.sort(rng.choice(60, 20, replace=False)) for _ in range(1500)])
+    texts = toxicity.Texts(index, np.arange(0, len(index) + 1, 20), (rng.random(1500) < 0.3).astype(float))
+    residual = texts.y - texts.y.mean()
+    assert not toxicity.pair_factors(texts, residual, 60, 4).any()
+    has = np.array([[t in index[20 * k:20 * k + 20] for t in (5, 9)] for k in range(1500)])
+    pair = has[:, 0] == has[:, 1]
+    found = toxicity.pair_factors(texts, residual + pair - pair.mean(), 60, 4)
+    assert set(np.flatnonzero((np.abs(found) > 0.5 * np.abs(found).max()).any(1))) == {5, 9}
+
+
+def test_sparse_products():
+    rng = np.random.default_rng(5)
+    dense = rng.random((30, 12)) < 0.3
+    dense[7] = dense[29] = False
+    texts = toxicity.Texts(np.nonzero(dense)[1], np.append(0, np.cumsum(dense.sum(1))), np.zeros(30))
+    v, u = rng.normal(size=(12, 3)), rng.normal(size=(30, 2))
+    assert np.allclose(texts.times(v), dense @ v) and np.allclose(texts.back(u, 12), dense.T @ u)
+    chosen = np.array([2, 5, 11])
+    assert [x.tolist() for x in texts.only(chosen, 12)] == [np.flatnonzero(row[chosen]).tolist() for row in dense]
+
+
+def test_gradient_steps_against_plain_ones():
+    """One epoch of one batch: the step of each parameter is the sign of its plain gradient, times the rate."""
+    rng = np.random.default_rng(6)
+    sets = [np.flatnonzero(rng.random(8) < 0.5) for _ in range(40)]
+    y = (rng.random(40) < 0.4).astype(float)
+    start = rng.normal(0, 0.3, (8, 2))
+    w, v, b = toxicity.fit(sets, y, 8, epochs=1, rate=0.01, decay=0.0, pair_decay=0.0, factors=start)
+    bias = np.log(y.mean() / (1 - y.mean()))
+    grad_w, grad_v, grad_b = np.zeros(8), np.zeros((8, 2)), 0.0
+    for s, label in zip(sets, y, strict=True):
+        z = bias + sum(start[i] @ start[j] for i in s for j in s if i < j)
+        slope = (1 / (1 + np.exp(-z)) - label) / 40
+        grad_b += slope
+        for i in s:
+            grad_w[i] += slope
+            grad_v[i] += slope * sum(start[j] for j in s if j != i)
+    assert np.allclose(w, -0.01 * np.sign(grad_w), atol=1e-5) and np.allclose(v, start - 0.01 * np.sign(grad_v), atol=1e-5)
+    assert abs(b - (bias - 0.01 * np.sign(grad_b))) < 1e-5
+
+
+def test_ftrl_against_plain_steps():
+    """Follow the regularised leader, one coordinate at a time, in the order that the seed gives."""
+    rng = np.random.default_rng(7)
+    places = [np.flatnonzero(rng.random(6) < 0.5) for _ in range(50)]
+    values = [rng.random(len(p)) + 0.5 for p in places]
+    y = (rng.random(50) < 0.5).astype(float)
+    got, bias = quality.fit(places, values, y, 6, epochs=2, l1=0.2, seed=3)
+    z, n = [0.0] * 7, [0.0] * 7
+
+    def weight(j):
+        l1, l2 = (0.0, 0.0) if j == 6 else (0.2, 1.0)
+        return 0.0 if abs(z[j]) <= l1 else -(z[j] - np.sign(z[j]) * l1) / ((1.0 + np.sqrt(n[j])) / 0.1 + l2)
+
+    order = np.random.default_rng(3)
+    for _ in range(2):
+        for i in order.permutation(50):
+            x = dict(zip(places[i].tolist(), values[i].tolist(), strict=True)) | {6: 1.0}
+            w = {j: weight(j) for j in x}
+            p = 1 / (1 + np.exp(-sum(w[j] * x[j] for j in x)))
+            for j in x:
+                g = (p - y[i]) * x[j]
+                z[j] += g - (np.sqrt(n[j] + g * g) - np.sqrt(n[j])) / 0.1 * w[j]
+                n[j] += g * g
+    assert np.allclose(got, [weight(j) for j in range(6)]) and np.isclose(bias, weight(6))
+
+
+def test_sample_is_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr("affinity.llm.sampling.SAMPLE_BYTES", 1000)
+    docs = spark.createDataFrame([(k, "x" * 100) for k in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(50)], "doc_id long, toxic int")
+    assert labelled_sample(docs, labels, "toxic", 3, 1, 40).count() == 10
