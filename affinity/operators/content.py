@@ -13,12 +13,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.scalars import tags_to_text
-from affinity.operators.pairs import owner_pairs, pair_tasks
+from affinity.operators.pairs import meeting_pairs, owner_pairs, pair_tasks
+from affinity.operators.tiles import nearest_rows, tiles_for
 from affinity.operators.topk import topk_per_key
 from affinity.schemas import HASHED_FEATURES, LIST_SIZE, SIM_THRESHOLD
 from affinity.session import cut_lineage
 
 CELL_PROFILES = 256
+#: Cells of a table of products that cost as much as a pair looked up by its terms, and what a
+#: column adds to a cell, about; only which way the lists are made depends on it.
+CELLS_PER_PAIR, COLUMN_SHARE = 400, 0.02
 _SLACK = 1e-9
 _SCALE = 1_000_000_000
 
@@ -119,21 +123,97 @@ def unit_vectors(profiles: DataFrame) -> DataFrame:
         "profile", place.alias("place"), "term", (F.col("w") / F.col("norm")).alias("w")))
 
 
+def _with_rests(vectors: DataFrame) -> DataFrame:
+    """``tail`` and ``rest``: the lengths of a vector from a term on, and behind it, from one running sum."""
+    onward = Window.partitionBy("profile").orderBy(F.desc("place"))
+    square = F.col("w") * F.col("w")
+    tails = vectors.withColumn("tail", F.sum(square).over(
+        onward.rowsBetween(Window.unboundedPreceding, 0)))
+    return tails.withColumns({"rest": F.sqrt(F.greatest(F.col("tail") - square, F.lit(0.0))),
+                              "tail": F.sqrt("tail")})
+
+
 def _postings(vectors: DataFrame, threshold: float) -> DataFrame:
     """Index entries ``term, profile, w, rest`` of the leading terms of every vector.
 
     Two unit vectors whose rarest common term lies where the rest of one of them
     has length at most ``threshold`` cannot reach it, so only terms before that
-    point are indexed; very common terms mostly fall behind it. ``rest`` is the
-    length of what follows a term, from one running sum.
+    point are indexed; very common terms mostly fall behind it.
     """
-    onward = Window.partitionBy("profile").orderBy(F.desc("place"))
-    square = F.col("w") * F.col("w")
-    tails = vectors.withColumn("tail", F.sum(square).over(
-        onward.rowsBetween(Window.unboundedPreceding, 0)))
-    return (tails.where(F.sqrt("tail") > threshold - _SLACK)
-            .select("term", "profile", "w",
-                    F.sqrt(F.greatest(F.col("tail") - square, F.lit(0.0))).alias("rest")))
+    return (_with_rests(vectors).where(F.col("tail") > threshold - _SLACK)
+            .select("term", "profile", "w", "rest"))
+
+
+def _cosines(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``a, b, sim`` of the given distinct pairs that have a term in common."""
+    one = vectors.select(F.col("profile").alias("a"), "term", F.col("w").alias("w_a"))
+    two = vectors.select(F.col("profile").alias("b"), "term", F.col("w").alias("w_b"))
+    return (pairs.join(one, "a").join(two, ["b", "term"])
+            .groupBy("a", "b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("sim")))
+
+
+def _alike() -> Column:
+    return F.round(F.col("sim") * _SCALE).cast("long")
+
+
+def possible_neighbours(seekers: DataFrame, index: DataFrame, tasks: int) -> DataFrame:
+    """``a, b``: the profiles that may be nearer to a seeker than its ``least``, by what one term tells.
+
+    Under their rarest common term a pair has nothing in common before, and behind it at best the
+    product of the rests. Pairs of profiles that have met already are among them.
+    """
+    return (meeting_pairs(seekers, index, "term", CELL_PROFILES, tasks)
+            .where((F.col("a") != F.col("b")) & (
+                F.col("w_a") * F.col("w_b") + F.col("rest_a") * F.col("rest_b") >= F.col("least")))
+            .select("a", "b").distinct())
+
+
+def list_neighbours(vectors: DataFrame, k: int, threshold: float = SIM_THRESHOLD) -> DataFrame:
+    """``a, b, sim``: the first ``k`` of every profile above the threshold, itself included.
+
+    Where few terms are shared by many profiles, a table of all products, tile by tile, costs less than
+    looking pairs up; both ways give the same.
+    """
+    of_term = vectors.groupBy("term").agg(F.count("*").alias("n"), F.count_if(F.col("place") == 1).alias("firsts"))
+    terms, entries, profiles, pairs = of_term.agg(
+        F.count("*"), F.sum("n"), F.sum("firsts"), F.sum(F.col("n").cast("double") * F.col("firsts"))).first()
+    if not terms or pairs * CELLS_PER_PAIR < float(profiles) ** 2 * (1 + COLUMN_SHARE * terms):
+        return nearest_profiles(vectors, k, threshold)
+    rows = vectors.select(F.col("profile").alias("item"), F.xxhash64("term").alias("col"), "w")
+    near = nearest_rows(rows, tiles_for(profiles, entries), k, threshold, float(_SCALE))
+    return topk_per_key(near.withColumn("alike", _alike()), "a", [F.desc("alike"), F.asc("b")], k).drop("rank", "alike")
+
+
+def nearest_profiles(vectors: DataFrame, k: int, threshold: float = SIM_THRESHOLD) -> DataFrame:
+    """``a, b, sim``: the first ``k`` of every profile above the threshold, itself included.
+
+    Terms are taken in blocks of doubling width, the rarest first. A profile that has ``k`` neighbours looks
+    only for others as near as its k-th, so its terms end where the rest of its vector is shorter
+    than that: after the first block most profiles have few terms left to look under. The lists so far
+    are written after each block and are the bounds of the next.
+    """
+    rests = cut_lineage(_with_rests(vectors))
+    index = cut_lineage(rests.select("term", F.col("profile").alias("b"), F.col("w").alias("w_b"),
+                                     F.col("rest").alias("rest_b")))
+    lists = cut_lineage(rests.where("place = 1").select(
+        F.col("profile").alias("a"), F.col("profile").alias("b"), F.lit(1.0).alias("sim")))
+    tasks, start, width = pair_tasks(rests), 1, 1
+    while True:
+        full = cut_lineage(lists.groupBy("a").agg(F.count("*").alias("n"), F.min("sim").alias("kth"))
+                           .where(F.col("n") >= k).select("a", "kth"))
+        least = F.coalesce(F.greatest(F.col("kth"), F.lit(float(threshold))), F.lit(float(threshold))) - 2 * _SLACK
+        open_ = rests.where(F.col("place") >= start).withColumnRenamed("profile", "a").join(
+            full, "a", "left").withColumn("least", least).where(F.col("tail") >= F.col("least"))
+        seekers = cut_lineage(open_.where(F.col("place") < start + width).select(
+            "term", "a", F.col("w").alias("w_a"), F.col("rest").alias("rest_a"), "least"))
+        if seekers.isEmpty():  # tails fall, so no later term is open either
+            return lists
+        met = lists.select("a", "b")
+        possible = cut_lineage(possible_neighbours(seekers, index, tasks).join(met, ["a", "b"], "left_anti"))
+        found = _cosines(possible, vectors).where(F.col("sim") > threshold)
+        lists = cut_lineage(topk_per_key(lists.unionByName(found).withColumn("alike", _alike()), "a",
+                                         [F.desc("alike"), F.asc("b")], k).drop("rank", "alike"))
+        start, width = start + width, 2 * width
 
 
 def profile_pairs(vectors: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFrame:
@@ -150,11 +230,7 @@ def profile_pairs(vectors: DataFrame, threshold: float = SIM_THRESHOLD) -> DataF
                             > threshold - _SLACK)
                 .select(F.least("profile_a", "profile_b").alias("a"),
                         F.greatest("profile_a", "profile_b").alias("b")).distinct())
-    one = vectors.select(F.col("profile").alias("a"), "term", F.col("w").alias("w_a"))
-    two = vectors.select(F.col("profile").alias("b"), "term", F.col("w").alias("w_b"))
-    return (cut_lineage(possible).join(one, "a").join(two, ["b", "term"])
-            .groupBy("a", "b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("sim"))
-            .where(F.col("sim") > threshold))
+    return _cosines(cut_lineage(possible), vectors).where(F.col("sim") > threshold)
 
 
 def content_pairs(bags: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFrame:
@@ -198,13 +274,7 @@ def content_topk(bags: DataFrame, k: int = LIST_SIZE,
     profiles = tag_profiles(bags)
     vectors = unit_vectors(profiles)
     members = profile_members(bags, profiles)
-    alike = (F.round(F.col("sim") * _SCALE)).cast("long")
-    both = profile_pairs(vectors, threshold).select(
-        F.stack(F.lit(2), "a", "b", "sim", "b", "a", "sim").alias("a", "b", "sim"))
-    own = vectors.where("place = 1").select(
-        F.col("profile").alias("a"), F.col("profile").alias("b"), F.lit(1.0).alias("sim"))
-    near = topk_per_key(both.unionByName(own).withColumn("alike", alike), "a",
-                        [F.desc("alike"), F.asc("b")], k + 1).drop("rank")
+    near = list_neighbours(vectors, k + 1, threshold).withColumn("alike", _alike())
     smallest = cut_lineage(
         topk_per_key(members, "profile", [F.asc("product_id")], k + 1, "place")
         .select(F.col("profile").alias("b"), F.col("product_id").alias("rec_id")))

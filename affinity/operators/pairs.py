@@ -57,3 +57,27 @@ def owner_pairs(rows: DataFrame, owner: str, item: str, cell_items: int = CELL_I
     return (left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
             .where((F.col("_lo") < F.col("_hi")) | (F.col(f"{item}_a") < F.col(f"{item}_b")))
             .drop("_lo", "_hi"))
+
+
+def meeting_pairs(left: DataFrame, right: DataFrame, key: str, cell_rows: int = CELL_ITEMS,
+                  tasks: int | None = None) -> DataFrame:
+    """Every row of ``left`` with every row of ``right`` that has the same key, in bounded cells.
+
+    Both should be written tables. The rows of a large key are dealt into buckets on either side, and each
+    pair of buckets is its own join key; a row is copied once per bucket of the other side.
+    """
+    def sizes(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy(key).agg(F.ceil(F.count("*") / cell_rows).cast("int").alias(name))
+
+    parts = cut_lineage(sizes(left, "_left").join(sizes(right, "_right"), key))
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        columns = [F.col(c) for c in rows.columns]
+        return (rows.join(parts, key)
+                .withColumn(own, F.pmod(F.xxhash64(*columns), F.col(own)))
+                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other).cast("long") - 1))))
+
+    keys = [key, "_left", "_right"]
+    tasks = tasks or pair_tasks(left)
+    return (dealt(left, "_left", "_right").repartition(tasks, *keys)
+            .join(dealt(right, "_right", "_left").repartition(tasks, *keys), keys).drop("_left", "_right"))

@@ -5,6 +5,8 @@ from collections import Counter, defaultdict
 import pytest
 
 from affinity.operators import content
+from affinity.operators.pairs import meeting_pairs, owner_pairs
+from affinity.session import cut_lineage
 
 
 def products(spark, tags):
@@ -94,3 +96,63 @@ def test_hashed_bags_keep_counts(spark):
     all_tokens = {t for r in content.hashed_bags(products(spark, tags)).collect()
                   for t in r.tokens}
     assert all(0 <= int(t) < 800 for t in all_tokens)
+
+
+def random_bags(spark, seed, products=120, words=40, longest=8):
+    rng = random.Random(seed)
+    rows = [(p, [f"t{int(rng.paretovariate(0.7)) % words}" for _ in range(rng.randint(0, longest))]) for p in range(products)]
+    return spark.createDataFrame(rows, "product_id long, tokens array<string>")
+
+
+@pytest.mark.parametrize("seed, words", [(1, 40), (2, 400), (3, 6)])
+def test_lists_by_either_way_are_the_first_of_all_pairs(spark, seed, words, monkeypatch):
+    bags = random_bags(spark, seed, words=words)
+    vectors = content.unit_vectors(content.tag_profiles(bags))
+    every = {}
+    for r in content.profile_pairs(vectors, 0.3).collect():
+        every.setdefault(r.a, []).append((-round(r.sim * 1e9), r.b))
+        every.setdefault(r.b, []).append((-round(r.sim * 1e9), r.a))
+    for profile in [r.profile for r in vectors.where("place = 1").collect()]:
+        every.setdefault(profile, []).append((-10**9, profile))
+    wanted = {a: [b for _, b in sorted(rest)[:5]] for a, rest in every.items()}
+
+    def lists(df):
+        out = {}
+        for r in df.collect():
+            out.setdefault(r.a, []).append((-round(r.sim * 1e9), r.b))
+        return {a: [b for _, b in sorted(rest)] for a, rest in out.items()}
+
+    assert lists(content.nearest_profiles(vectors, 5, 0.3)) == wanted
+    for cells in (0, 10**9):
+        monkeypatch.setattr(content, "CELLS_PER_PAIR", cells)
+        assert lists(content.list_neighbours(vectors, 5, 0.3)) == wanted
+    monkeypatch.setattr(content, "tiles_for", lambda *args: 4)
+    assert lists(content.list_neighbours(vectors, 5, 0.3)) == wanted
+
+
+def test_bounds_rise_with_the_lists(spark, monkeypatch):
+    """Pairs that are looked up, against those above the threshold alone: a k-th best closes most terms."""
+    bags = random_bags(spark, 5, products=600, words=3000, longest=12)
+    vectors = content.unit_vectors(content.tag_profiles(bags))
+    looked_up = []
+    whole = content.possible_neighbours
+
+    def noted(*args):
+        out = cut_lineage(whole(*args))
+        looked_up.append(out.count())
+        return out
+
+    monkeypatch.setattr(content, "possible_neighbours", noted)
+    content.nearest_profiles(vectors, 4, 0.05)
+    postings = cut_lineage(content._postings(vectors, 0.05))
+    every = owner_pairs(postings, "term", "profile").where(
+        "w_a * w_b + rest_a * rest_b > 0.05").selectExpr("least(profile_a, profile_b)", "greatest(profile_a, profile_b)")
+    assert sum(looked_up) * 3 < 2 * every.distinct().count()
+
+
+@pytest.mark.parametrize("cell", [2, 1000])
+def test_meeting_pairs(spark, cell):
+    left = cut_lineage(spark.createDataFrame([(k % 3, k) for k in range(30)], "key long, x long"))
+    right = cut_lineage(spark.createDataFrame([(k % 4, k) for k in range(20)], "key long, y long"))
+    got = sorted((r.x, r.y) for r in meeting_pairs(left, right, "key", cell).collect())
+    assert got == sorted((x, y) for x in range(30) for y in range(20) if x % 3 == y % 4)
