@@ -48,6 +48,8 @@ N_FACTORS = 4
 MIN_TEXTS = 5
 #: Steps of the subspace iteration, and how far an eigenvalue must be beyond chance.
 SUBSPACE_STEPS, BEYOND_CHANCE, LEAST_SUPPORT = 8, 1.25, 5.0
+#: Entries of the sample that the driver works on at a time.
+PART_ENTRIES = 1 << 20
 #: Texts that are added to a term's count where its part in a pair is scaled by that count.
 SMOOTH = 10.0
 LEAST_Z = 4.0
@@ -59,13 +61,13 @@ _INSIDE = np.zeros(256, bool)
 _INSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def terms(part: Slice) -> tuple[np.ndarray, np.ndarray]:
+def terms(part: Slice, prefixes: tuple[int, ...] = PREFIXES) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words and word beginnings of a slice, with their rows."""
     begin, end = runs(_INSIDE[part.data], part.offsets)
     sums = prefix_sums(part.data, fold=True)
     row = rows_of(begin, part.offsets)
     hashes, rows = [stretch_hashes(sums, begin, end)], [row]
-    for size in PREFIXES:
+    for size in prefixes:
         longer = end - begin > size
         cut = begin[longer]
         hashes.append(stretch_hashes(sums, cut, cut + size) ^ np.uint64(size * 0x1F3D5B79))
@@ -109,25 +111,27 @@ class FactorizationMachine:
         return distinct_terms(row[hit], at[hit])
 
 
-def frequent_terms(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets that at least ``MIN_TEXTS`` texts have, ascending, with the texts and positive texts that do."""
+def frequent_terms(sample: DataFrame) -> tuple[np.ndarray, ...]:
+    """Buckets that at least ``MIN_TEXTS`` texts have, ascending: texts and positive texts that do, whether a word is one."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             y = batch.column("y").to_numpy(zero_copy_only=False)
             for part in slices(batch.column("text")):
                 hashes, row = terms(part)
+                words = np.unique(terms(part, ())[0])
                 row, hashes = distinct_terms(row, hashes)
                 found, place = np.unique(hashes, return_inverse=True)
                 pos = np.bincount(place, y[part.start:part.stop][row], len(found))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.view(np.int64)), pa.array(np.bincount(place, minlength=len(found))),
-                     pa.array(pos.astype(np.int64))], ["term", "n", "pos"])
+                     pa.array(pos.astype(np.int64)), pa.array(np.isin(found, words).astype(np.int32))],
+                    ["term", "n", "pos", "word"])
 
-    found = (sample.select("y", "text").mapInArrow(count, "term long, n long, pos long")
-             .groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    found = (sample.select("y", "text").mapInArrow(count, "term long, n long, pos long, word int")
+             .groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.max("word").alias("word"))
              .where(F.col("n") >= MIN_TEXTS).toArrow().sort_by("term"))
-    term, n, pos = (found.column(c).to_numpy() for c in ("term", "n", "pos"))
-    return term.view(np.uint64), n, pos
+    term, n, pos, word = (found.column(c).to_numpy() for c in ("term", "n", "pos", "word"))
+    return term.view(np.uint64), n, pos, word == 1
 
 
 @dataclass
@@ -142,25 +146,43 @@ class Texts:
     def sizes(self) -> np.ndarray:
         return np.diff(self.starts)
 
+    def parts(self) -> Iterator[tuple[slice, Texts]]:
+        """The texts in parts of about ``PART_ENTRIES`` terms, which bounds what is worked on at once."""
+        first = 0
+        while first < len(self.y):
+            end = int(np.searchsorted(self.starts, self.starts[first] + PART_ENTRIES, "right")) - 1
+            rows = slice(first, min(len(self.y), max(end, first + 1)))
+            low, high = self.starts[rows.start], self.starts[rows.stop]
+            yield rows, Texts(self.index[low:high], self.starts[rows.start:rows.stop + 1] - low, self.y[rows])
+            first = rows.stop
+
     def times(self, v: np.ndarray) -> np.ndarray:
         """The sums of ``v``'s rows over the terms of each text."""
         out = np.zeros((len(self.y), v.shape[1]))
-        some = self.sizes > 0
-        if some.any():
-            out[some] = np.add.reduceat(v[self.index], self.starts[:-1][some], axis=0)
+        for rows, part in self.parts():
+            some = part.sizes > 0
+            if some.any():
+                out[rows][some] = np.add.reduceat(v[part.index], part.starts[:-1][some], axis=0)
         return out
 
     def back(self, u: np.ndarray, size: int) -> np.ndarray:
         """The sums of ``u``'s rows over the texts of each term."""
-        return np.stack([np.bincount(self.index, np.repeat(column, self.sizes), size) for column in u.T], 1)
+        out = np.zeros((size, u.shape[1]))
+        for rows, part in self.parts():
+            for f in range(u.shape[1]):
+                out[:, f] += np.bincount(part.index, np.repeat(u[rows, f], part.sizes), size)
+        return out
 
     def only(self, chosen: np.ndarray, size: int) -> list[np.ndarray]:
         """Per text the places within ``chosen`` of its terms that are among them."""
-        place = np.full(size, -1)
+        place = np.full(size, -1, np.int32)
         place[chosen] = np.arange(len(chosen))
-        found = place[self.index]
-        ends = np.append(0, np.cumsum(found >= 0))[self.starts]
-        return np.split(found[found >= 0], ends[1:-1])
+        out = []
+        for _, part in self.parts():
+            found = place[part.index]
+            ends = np.append(0, np.cumsum(found >= 0))[part.starts]
+            out += np.split(found[found >= 0], ends[1:-1])
+        return out
 
 
 def pair_factors(texts: Texts, residual: np.ndarray, size: int, n_factors: int, seed: int = 3) -> np.ndarray:
@@ -259,14 +281,16 @@ def fit(indexes: list[np.ndarray], y: np.ndarray, n_terms: int, n_factors: int =
     return model[0], model[1], float(model[2][0])
 
 
-def learn(texts: Texts, n: np.ndarray, pos: np.ndarray, n_factors: int) -> tuple[np.ndarray, ...]:
-    """Places of the terms that the model keeps, their weights and factors, and the bias."""
-    size, y = len(n), texts.y
-    n_pos, n_neg = y.sum(), (1 - y).sum()
-    share = n / len(y)
+def strong_terms(n: np.ndarray, pos: np.ndarray, n_pos: int, n_neg: int) -> np.ndarray:
+    """Whether each term's share of texts differs enough between the labels."""
+    share = n / (n_pos + n_neg)
     gap = np.abs(pos / n_pos - (n - pos) / n_neg)
-    strong = gap / np.sqrt((share * (1 - share) + 1e-9) * (1 / n_pos + 1 / n_neg)) >= LEAST_Z
-    alone = np.flatnonzero(strong)
+    return gap / np.sqrt((share * (1 - share) + 1e-9) * (1 / n_pos + 1 / n_neg)) >= LEAST_Z
+
+
+def learn(texts: Texts, strong: np.ndarray, n_factors: int) -> tuple[np.ndarray, ...]:
+    """Places of the terms that the model keeps, their weights and factors, and the bias."""
+    size, y, alone = len(strong), texts.y, np.flatnonzero(strong)
     none = np.zeros((len(alone), n_factors))
     lists = texts.only(alone, size)
     weights, _, bias = fit(lists, y, len(alone), n_factors, factors=none)
@@ -291,7 +315,10 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", folds:
     if not n_pos or not n_neg:
         every.bias = 40.0 if n_pos else -40.0 if n_neg else 0.0
         return every
-    every.kept, n, pos = frequent_terms(sample)
+    found, n, pos, word = frequent_terms(sample)
+    strong = strong_terms(n, pos, n_pos, n_neg)
+    # Words pair, and beginnings of words have weights only.
+    every.kept, strong = found[word | strong], strong[word | strong]
 
     def extract(part_of: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in slices(part_of.column("text")):
@@ -303,10 +330,11 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", folds:
                 ["doc_id", "y", "terms"])
 
     table = collect_features(sample, extract, "doc_id long, y int, terms array<int>")
-    lists = table.column("terms").combine_chunks()
-    sizes = pc.list_value_length(lists).to_numpy()
-    texts = Texts(lists.flatten().to_numpy(), np.append(0, np.cumsum(sizes)), table.column("y").to_numpy().astype(float))
-    kept, weights, factors, bias = learn(texts, n, pos, n_factors)
+    sizes = np.concatenate([pc.list_value_length(x).to_numpy() for x in table.column("terms").chunks])
+    texts = Texts(np.concatenate([x.flatten().to_numpy() for x in table.column("terms").chunks]),
+                  np.append(0, np.cumsum(sizes, dtype=np.int64)), table.column("y").to_numpy().astype(float))
+    del table
+    kept, weights, factors, bias = learn(texts, strong, n_factors)
     return FactorizationMachine(every.kept[kept], weights, factors, bias)
 
 
