@@ -18,7 +18,7 @@ from affinity.schemas import (AVERAGE_PRODUCTS, CONTENT_RECS, ITEMCF_RECS, RATIN
                               USER_RECS)
 from affinity.session import cut_lineage, scratch_dir
 from affinity.sources import files, star, tables
-from affinity.streaming import changelog, queue, recs, tracking
+from affinity.streaming import queue, recs, tracking
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -530,7 +530,7 @@ def stream_recent_queue(spark, d):
     root = scratch_dir(spark, "queue")
     queue.stream_recent_queue(_event_stream(spark, d), f"{root}/out", f"{root}/checkpoint",
                               interval=None).awaitTermination()
-    return changelog.read_latest(spark, f"{root}/out", "user_id", queue.QUEUE_SCHEMA)
+    return queue.stored_queues(spark, f"{root}/out")
 
 
 def _stream_lists(spark, d):

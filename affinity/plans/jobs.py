@@ -14,7 +14,7 @@ from affinity import schemas
 from affinity.operators import als, content, itemcf, realtime, stats, topk, upserts
 from affinity.plans import feeds
 from affinity.session import cut_lineage
-from affinity.sources import files, tables
+from affinity.sources import files, merged, tables
 from affinity.streaming import queue, recs, tracking
 
 
@@ -102,32 +102,46 @@ def update_profiles(changes: DataFrame, root: str) -> None:
     tables.write_table(upserts.user_profile_upsert(users, changes), root, schemas.USER)
 
 
-def intake(requests: DataFrame, root: str) -> None:
+def intake(requests: DataFrame, root: str, commit: str | None = None) -> bool:
     """Submitted ratings to the rating table, and their log lines to the log folder.
 
-    Rows have ``username, product_id, score, ts, event_id``; without ``ts`` it is now.
+    Rows have ``username, product_id, score, ts, event_id``; without ``ts`` it is now. What is written is
+    of the size of the requests. ``commit`` names them, by default after their content: a job that is
+    repeated adds nothing, and finishes what one that failed has left. False if it was applied before.
     """
     spark = requests.sparkSession
+    requests = cut_lineage(requests)
+    if commit is None:
+        whole = requests.agg(F.count("*"), F.sum(F.xxhash64(*requests.columns).cast("decimal(38, 0)"))).first()
+        commit = f"intake-{whole[0]}-{whole[1]}"
     if "ts" not in requests.columns:
-        requests = requests.withColumn("ts", F.unix_timestamp())
+        requests = cut_lineage(requests.withColumn("ts", F.unix_timestamp()))
     users = tables.read_table(spark, root, schemas.USER)
-    base = None
-    if tables.has_table(spark, root, schemas.RATING):
-        base = tables.read_table(spark, root, schemas.RATING).withColumn(
-            "event_id", F.lit(0).cast("long"))
-    ratings, _, lines = feeds.rating_intake(cut_lineage(requests), users, base)
-    tables.write_table(ratings, root, schemas.RATING)
-    lines.select("value").write.mode("append").text(tables.table_path(root, "log"))
+    ratings, _, lines = feeds.rating_intake(requests, users)
+    stored = tables.rating_table(spark, root)
+    if not merged.exists(spark, stored.path) and tables.has_table(spark, root, schemas.RATING):
+        stored.reset(tables.current_path(spark, root, schemas.RATING))
+    staged = f"{tables.table_path(root, 'log_staged')}/{commit}"
+    if not stored.applied(commit):
+        lines.select("value").write.mode("overwrite").text(staged)
+    added = stored.add(ratings, commit)
+    files.move_files(spark, staged, tables.table_path(root, "log"), commit)
+    return added
 
 
 def queue_ratings(payloads: DataFrame, root: str,
                   interval: str | None = tracking.BATCH_INTERVAL) -> StreamingQuery:
-    """Each user's recent ratings from a stream of payloads, as a change log."""
+    """Each user's recent ratings from a stream of payloads; ``stored_queues`` reads them."""
     state = tables.table_path(root, "queue_state")
     return queue.stream_recent_queue(_events(payloads), f"{state}/queues", f"{state}/checkpoint",
                                      interval=interval)
 
 
+def stored_queues(spark: SparkSession, root: str) -> DataFrame:
+    """Each user's newest ratings so far, as the stream left them."""
+    return queue.stored_queues(spark, f"{tables.table_path(root, 'queue_state')}/queues")
+
+
 def _events(payloads: DataFrame) -> DataFrame:
     return tracking.parse_rating_event(payloads).where("reason is null").select(
         "user_id", "product_id", "score", "ts", F.xxhash64("value").alias("event_id"))
@@ -143,8 +157,8 @@ def online(payloads: DataFrame, root: str, interval: str | None = tracking.BATCH
     """Personal lists from a stream of payloads, on the offline job's similar products."""
     spark = payloads.sparkSession
     events = _events(payloads)
-    base = tables.read_table(spark, root, schemas.RATING).withColumn(
-        "event_id", F.lit(0).cast("long"))
+    base = (tables.rating_table(spark, root).read() if merged.exists(spark, tables.table_path(root, schemas.RATING))
+            else tables.read_table(spark, root, schemas.RATING).withColumn("event_id", F.lit(tables.NO_EVENT)))
     return recs.stream_recs(
         events, lambda: tables.read_table(spark, root, schemas.PRODUCT_RECS),
         online_state(root), base=base, interval=interval, n=n)

@@ -56,3 +56,21 @@ def accepted(parsed: DataFrame) -> DataFrame:
 
 def quarantined(parsed: DataFrame) -> DataFrame:
     return parsed.where("reason is not null").select("value", "reason")
+
+
+def move_files(spark: SparkSession, source: str, target: str, name: str) -> None:
+    """Move the files of a written folder into another, under names that begin with ``name``.
+
+    A file is moved as a whole. One that is there already, or a folder that is gone, is no error: a move
+    that was cut short can be repeated.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    pattern, into = hadoop.Path(f"{source}/part-*"), hadoop.Path(target)
+    fs = into.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(into)
+    for file in [f.getPath() for f in fs.globStatus(pattern) or []]:
+        number = file.getName().split("-")[1]
+        to = hadoop.Path(into, f"{name}-{number}.txt")
+        if not fs.exists(to):
+            fs.rename(file, to)
+    fs.delete(hadoop.Path(source), True)

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.operators.topk import flatten_lists
-from affinity.schemas import ITEMCF_RECS, SCHEMAS
+from affinity.operators.topk import flatten_lists, newest_first
+from affinity.schemas import ITEMCF_RECS, RATING, SCHEMAS
+from affinity.sources import merged
 
 
 KEPT_VERSIONS = 2
 _VERSION = "version="
+#: The event id of ratings that came without one: any event of the same second is newer.
+NO_EVENT = -(1 << 63)
 
 
 def table_path(root: str, name: str) -> str:
@@ -38,17 +41,32 @@ def current_path(spark: SparkSession, root: str, name: str) -> str:
 
 def has_table(spark: SparkSession, root: str, name: str) -> bool:
     """Whether a version of the table was ever written to the end."""
-    return bool(_complete_versions(spark, table_path(root, name)))
+    path = table_path(root, name)
+    return bool(_complete_versions(spark, path)) or merged.exists(spark, path)
+
+
+def rating_table(spark: SparkSession, root: str) -> merged.MergedTable:
+    """The ratings with their event ids, as a table that takes changes; older than any where there is none."""
+    return merged.MergedTable(
+        spark, table_path(root, RATING), "user_id long, product_id long, score double, ts long, event_id long",
+        ["user_id", "product_id"], newest_first(), {"event_id": F.lit(NO_EVENT)})
 
 
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
                **options: str) -> DataFrame:
     """A table in its fixed schema, whatever columns or widths the files have."""
     schema = SCHEMAS[name]
-    raw = spark.read.format(fmt).options(**options).load(current_path(spark, root, name))
+    if name == RATING and merged.exists(spark, table_path(root, name)):
+        raw = rating_table(spark, root).read()
+    else:
+        raw = _stored(spark, root, name, fmt, **options)
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
+def _stored(spark: SparkSession, root: str, name: str, fmt: str, **options: str) -> DataFrame:
+    return spark.read.format(fmt).options(**options).load(current_path(spark, root, name))
+
+
 def write_table(df: DataFrame, root: str, name: str, fmt: str = "parquet",
                 **options: str) -> str:
     """Replace a table by a new version, which readers find when it is complete.
@@ -64,6 +82,8 @@ def write_table(df: DataFrame, root: str, name: str, fmt: str = "parquet",
     target = f"{path}/{_VERSION}{versions[-1] + 1 if versions else 1}"
     (df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
      .write.mode("overwrite").format(fmt).options(**options).save(target))
+    if name == RATING and merged.exists(spark, path):
+        rating_table(spark, root).reset(target)
     for old in versions[:-KEPT_VERSIONS]:
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_VERSION}{old}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -26,7 +26,7 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType | str) ->
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(full).option("basePath", path).parquet(path)
+    return spark.read.schema(full).option("basePath", path).parquet(path).select(*full.names)
 
 
 def read_latest(spark: SparkSession, path: str, key: str, schema: T.StructType | str) -> DataFrame:

@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from affinity.schemas import QUEUE_SIZE
-from affinity.streaming.changelog import write_batch
+from affinity.streaming.changelog import (drop_folder, generation, generation_path, newest_generation,
+                                          read_latest, write_batch)
 from affinity.streaming.tracking import BATCH_INTERVAL, trigger_options
 
+#: Batches in a generation of the queues, and the batch number of what came before it.
+COMPACT_EVERY, BEFORE_GENERATION = 64, -1
 _RATING = "user_id long, product_id long, score double, ts long, event_id long"
 QUEUE_SCHEMA = "user_id long, rank int, product_id long, score double, ts long, event_id long"
 _STATE = "ts array<long>, event_id array<long>, score array<double>, product_id array<long>"
@@ -57,12 +60,30 @@ def recent_queue_updates(ratings: DataFrame, size: int = QUEUE_SIZE) -> DataFram
 
 
 def stream_recent_queue(ratings: DataFrame, path: str, checkpoint: str,
-                        size: int = QUEUE_SIZE,
-                        interval: str | None = BATCH_INTERVAL) -> StreamingQuery:
-    """Keep the queues up to date in a change log at ``path``."""
+                        size: int = QUEUE_SIZE, interval: str | None = BATCH_INTERVAL,
+                        compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Keep the queues up to date below ``path``; ``stored_queues`` reads them.
+
+    Every ``compact_every`` batches a new generation begins, which holds the queues so far as one
+    batch, so a reader never lists more folders than that. It is made of finished batches only, so a
+    batch that is run again makes it again. The generation before the last goes.
+    """
+    spark = ratings.sparkSession
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id)
+        first = generation(batch_id, compact_every)
+        if batch_id == first > 0:
+            before = generation(first - 1, compact_every)
+            queues = read_latest(spark, generation_path(path, before), "user_id", QUEUE_SCHEMA)
+            write_batch(queues, generation_path(path, first), BEFORE_GENERATION)
+            drop_folder(spark, generation_path(path, before - compact_every))
+        write_batch(batch, generation_path(path, first), batch_id)
 
     return (recent_queue_updates(ratings, size).writeStream.outputMode("update")
             .foreachBatch(store).option("checkpointLocation", checkpoint)
             .trigger(**trigger_options(interval)).start())
+
+
+def stored_queues(spark: SparkSession, path: str) -> DataFrame:
+    """Every user's newest queue, ``user_id, rank, product_id, score, ts, event_id``."""
+    return read_latest(spark, newest_generation(spark, path), "user_id", QUEUE_SCHEMA)

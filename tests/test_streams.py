@@ -1,3 +1,4 @@
+import os
 import random
 from pathlib import Path
 
@@ -92,6 +93,21 @@ def test_queue_stream_equals_batch(spark, parts, shuffled):
     assert again.exceptAll(got).isEmpty() and got.exceptAll(again).isEmpty()
 
 
+def test_queue_files_stay_bounded(spark):
+    """Twelve batches in generations of three: readers see a few folders, and the same queues."""
+    data = events(4)
+    root = scratch_dir(spark, "queue")
+    queue.stream_recent_queue(stream(spark, in_files(spark, data, 12)), f"{root}/out", f"{root}/cp", size=5,
+                              interval=None, compact_every=3).awaitTermination()
+    got = queue.stored_queues(spark, f"{root}/out")
+    batch = topk.recent_ratings_queue(spark.createDataFrame(data, SCHEMA), 5)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in batch.collect()}
+    assert got.count() == batch.count()
+    generations = os.listdir(f"{root}/out")
+    assert len(generations) <= 2
+    assert max(len(os.listdir(f"{root}/out/{g}")) for g in generations) <= 3 + 1
+
+
 def batch_lists(spark, data, sims, n):
     df = spark.createDataFrame(data, SCHEMA)
     recent, rated = realtime.realtime_inputs(df)
