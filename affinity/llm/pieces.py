@@ -226,7 +226,10 @@ def round_trip(documents: DataFrame, proto: bytes) -> DataFrame:
 
 
 def with_ids(documents: DataFrame, proto: bytes) -> DataFrame:
-    """All columns of ``documents`` and ``piece_ids array<int>``, ``decoded string`` of their texts."""
+    """All columns of ``documents`` and ``piece_ids array<int>``, ``decoded string`` of their texts.
+
+    Columns of these two names in ``documents`` are replaced.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = PieceModel(proto)
         for batch in batches:

@@ -31,6 +31,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinity.llm.stage import free_name
+
 ROUNDS = 8
 DEFAULT_KEY = "change this key"
 FIRST_DAY = "1900-01-01"
@@ -285,10 +287,10 @@ def pseudonymise(documents: DataFrame, key: str = DEFAULT_KEY, count: str = "n_p
                  chars: str | None = None) -> DataFrame:
     """All columns of ``documents`` with ``text`` pseudonymised, and the number of replacements.
 
+    The number is in the column ``count``, or in the first numbered one of that name that is free.
     A column ``chars``, if it is named, gets the new texts' numbers of code points.
     """
-    taken = {name.lower() for name in documents.columns}
-    work = next(name for name in (f"finds_{i}" for i in range(len(taken) + 1)) if name not in taken)
+    work, count = free_name("finds", [*documents.columns, count]), free_name(count, documents.columns)
     text = F.col("text")
     none = F.array().cast("array<struct<old:string,new:string>>")
     finds = F.when(text.rlike(HINT), F.transform(
@@ -301,7 +303,7 @@ def pseudonymise(documents: DataFrame, key: str = DEFAULT_KEY, count: str = "n_p
     rebuilt = F.array_join(F.flatten(F.zip_with(
         between, new, lambda gap, name: F.array(gap, F.coalesce(name, F.lit(""))))), "")
     kept = [F.when(F.size(work) > 0, rebuilt).otherwise(text).alias("text") if name == "text"
-            else F.col(f"`{name}`") for name in documents.columns if name != count]
+            else F.col(f"`{name}`") for name in documents.columns]
     changed = F.size(F.filter(work, lambda f: f["old"] != f["new"])).cast("long")
     out = found.select(*kept, changed.alias(count))
     return out if chars is None else out.withColumn(chars, F.char_length("text").cast("long"))

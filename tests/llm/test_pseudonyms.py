@@ -97,3 +97,11 @@ def test_all_columns_long_text_repeats_and_empty_table(spark):
     a, b = out.collect()
     assert a == b and a.n_pseudonyms == 500 and "70.123" not in a.text and a.finds_0 == "s"
     assert pseudonymise(docs.limit(0)).count() == 0
+
+
+def test_columns_of_the_same_names_are_kept(spark):
+    docs = spark.createDataFrame([(1, "ip 70.123.182.155", "mine")], "doc_id long, text string, N_PSEUDONYMS string")
+    out = pseudonymise(docs)
+    assert out.columns == ["doc_id", "text", "N_PSEUDONYMS", "n_pseudonyms_1"]
+    (row,) = out.collect()
+    assert row.N_PSEUDONYMS == "mine" and row.n_pseudonyms_1 == 1
