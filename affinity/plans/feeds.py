@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.scalars import recode_latin1_utf8, score_normalize
+from affinity.operators.search import matching
 from affinity.operators.topk import flatten_lists, recent_ratings_queue, topk_per_key
 from affinity.operators.upserts import ratings_upsert, resolve_users
 from affinity.schemas import LIST_SIZE, RATING_MARKER
@@ -67,11 +68,16 @@ def product_info(ids: DataFrame, products: DataFrame, averages: DataFrame) -> Da
 
 
 def product_search(products: DataFrame, averages: DataFrame, pattern: str,
-                   mojibake: bool = False) -> DataFrame:
+                   mojibake: bool = False, index: DataFrame | None = None) -> DataFrame:
     """Products whose name matches a pattern anywhere, case-sensitively.
 
-    With ``mojibake`` the pattern's UTF-8 bytes are taken to have been read as Latin-1.
+    With ``mojibake`` the pattern's UTF-8 bytes are taken to have been read as Latin-1. With a
+    written ``name_index`` only the names that have the pattern's trigrams are read.
     """
+    if index is not None:
+        if mojibake:
+            pattern = pattern.encode("latin-1", "replace").decode("utf-8", "replace")
+        return product_details(matching(products, index, pattern), averages)
     wanted = recode_latin1_utf8(F.lit(pattern)) if mojibake else F.lit(pattern)
     return product_details(products.where(F.regexp_like("name", wanted)), averages)
 

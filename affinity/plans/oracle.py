@@ -310,7 +310,8 @@ def oracle_sql() -> dict[str, str]:
         "rtl", "shop")
     out["product_info"] = _with(
         "SELECT * FROM shopo WHERE product_id IN (SELECT product_id FROM re)", "shopo", "re")
-    out["product_search"] = _with("SELECT * FROM shop WHERE regexp_matches(name, 'ring')", "shop")
+    for name in ("product_search", "product_search_indexed"):
+        out[name] = _with("SELECT * FROM shop WHERE regexp_matches(name, 'ring')", "shop")
 
     out["rating_intake"] = _with(upsert.format("known"), "known")
     out["rating_intake_queue"] = _with(
