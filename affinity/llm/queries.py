@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm import bagminhash, containment, golay, merkle, outliers, pieces, pseudonyms, reputation, suffix_dedup, templates, whitening
+from affinity.llm import (bagminhash, containment, golay, merkle, outliers, pieces, pseudonyms, reputation,
+                          suffix_dedup, templates, whitening)
 from affinity.llm.quality import quality
 from affinity.llm.toxicity import toxicity
 
