@@ -11,7 +11,13 @@ equal as floating-point numbers too, so ties always fall back to the product id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+from collections.abc import Callable
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.scalars import cooccurrence_sim
@@ -19,11 +25,13 @@ from affinity.operators.pairs import CELL_ITEMS, owner_pairs, pair_tasks
 from affinity.operators.tiles import BLOCK_COLUMNS, row_products, tiles_for
 from affinity.operators.topk import ranked_lists, topk_per_key, topk_to_depth
 from affinity.schemas import LIST_SIZE
-from affinity.session import cut_lineage
+from affinity.session import cut_lineage, discard
 
 HEAVY_ITEMS = 2048
 #: Summed pairs of a list's owner that one task ranks, about.
 CELL_PAIRS = 1_000_000
+#: Pairs that a round forms: so many for each row of the table, and at least so many in all.
+ROUND_PAIRS, LEAST_ROUND = 4, 50_000_000
 
 
 def user_items(ratings: DataFrame, dedup: bool = False) -> DataFrame:
@@ -112,9 +120,9 @@ def itemcf_topk(ratings: DataFrame, k: int = LIST_SIZE, dedup: bool = False,
     """
     rows = user_items(ratings, dedup)
     heavy = heavy_users(rows, min_heavy_items)
-    both = (mirrored(pair_counts(rows, cell_items)) if heavy.isEmpty()
-            else _with_heavy(rows, heavy, k, cell_items))
-    return _top(both, k)
+    if heavy.isEmpty():
+        return _listed(_owner_pair_counts(rows, k, _ranked_cells, cell_items=cell_items, best=True))
+    return _top(_with_heavy(rows, heavy, k, cell_items), k)
 
 
 def lists_to_depth(rows: DataFrame, depths: DataFrame, min_heavy_items: int = HEAVY_ITEMS,
@@ -127,51 +135,154 @@ def lists_to_depth(rows: DataFrame, depths: DataFrame, min_heavy_items: int = HE
     """
     heavy = heavy_users(rows, min_heavy_items)
     if heavy.isEmpty():
-        return _listed(_ranked_to_depth(_owner_pair_counts(rows, depths)))
+        return _listed(_owner_pair_counts(rows, depths, _ranked_cells, cell_items=cell_items, best=True))
     return _listed(_ranked_to_depth(_with_heavy(rows, heavy, None, cell_items, depths)))
 
 
-def _owner_pair_counts(rows: DataFrame, depths: DataFrame,
-                       of_product: tuple[str, ...] = ("size",)) -> DataFrame:
-    """Co-rating counts of ordered pairs ``a, b`` where ``a`` has a list, dealt out by ``a, cell``.
+def _packed(rows: DataFrame, cell_items: int, of_product: tuple[str, ...]) -> tuple[DataFrame, DataFrame | None]:
+    """Every user's products as one list ``user_id, items``, and the rows of users with too many for one."""
+    wide = heavy_users(rows, cell_items)
+    if wide.isEmpty():
+        narrow, rest = rows, None
+    else:
+        narrow = rows.join(wide, "user_id", "left_anti")
+        rest = cut_lineage(rows.join(wide, "user_id", "left_semi"))
+    item = F.struct(F.col("product_id").alias("b"), "n", *of_product, "depth")
+    return cut_lineage(narrow.groupBy("user_id").agg(F.collect_list(item).alias("items"))), rest
+
+
+def _owner_pair_counts(rows: DataFrame, depths: DataFrame | int, wanted: Callable[[DataFrame], DataFrame],
+                       of_product: tuple[str, ...] = ("size",), cell_items: int = CELL_ITEMS,
+                       best: bool = False, least: float = 0.0) -> DataFrame:
+    """What ``wanted`` makes of the co-rating counts of ordered pairs ``a, b`` where ``a`` has a list, written.
 
-    The lists' owners meet the ratings before pairs are made. A product's pairs are cut into cells
-    by how many its users will form. Where pairs repeat a lot they are summed before they
-    are dealt out as well.
+    The counts are ``a, cell, b, co, depth, size_a, size_b``, all of an owner's in one table.
+
+    The lists' owners are those of ``depths`` or, with one depth for all, all products. A user's products
+    are shuffled as lists, once per owner among them, and become pairs only where these are counted. A
+    product's pairs are cut into cells by how many its users will form. With ``best``, a cell gives its
+    first ``depth`` pairs only; pairs less similar than ``least`` are left out.
+
+    Owners come in rounds, as many as keep the pairs of one within ``ROUND_PAIRS`` per row, and what
+    is wanted of a round is written before the next, so the pairs of all are never on disk together.
     """
-    degrees = cut_lineage(rows.groupBy("user_id").agg(F.count("*").alias("degree")))
-    owned = rows.join(depths, "product_id")
-    formed = cut_lineage(owned.join(degrees, "user_id").groupBy("product_id").agg(
-        F.sum("degree").alias("formed"), F.max("depth").alias("depth")))
-    total, owners = formed.agg(F.sum("formed"), F.count("*")).first()
-    products = rows.agg(F.count_distinct("product_id")).first()[0]
-    lists = formed.select("product_id", "depth",
-                          F.ceil(F.col("formed") / CELL_PAIRS).cast("int").alias("parts"))
-    tasks = pair_tasks(rows)
-    left = rows.join(lists, "product_id").select(
-        "user_id", "depth", "parts", F.col("product_id").alias("a"), F.col("n").alias("n_a"),
-        *[F.col(c).alias(f"{c}_a") for c in of_product])
-    right = rows.select("user_id", F.col("product_id").alias("b"), F.col("n").alias("n_b"),
-                        *[F.col(c).alias(f"{c}_b") for c in of_product])
-    of_pair = ["depth", "parts", *[f"{c}_{end}" for c in of_product for end in "ab"]]
-
-    def summed(pairs: DataFrame, *keys: str) -> DataFrame:
-        return pairs.groupBy(*keys).agg(F.sum("co").alias("co"), *[F.max(c).alias(c) for c in of_pair])
-
-    pairs = (left.repartition(tasks, "user_id").join(right.repartition(tasks, "user_id"), "user_id")
-             .where("a <> b").select("a", "b", (F.col("n_a") * F.col("n_b")).alias("co"), *of_pair))
-    if (total or 0) > 4 * owners * products:
-        pairs = summed(pairs, "a", "b")
-    cell = F.pmod(F.xxhash64("b"), F.col("parts")).alias("cell")
-    return summed(pairs.withColumn("cell", cell).repartition(tasks, "a", "cell"), "a", "cell", "b")
+    rated = rows.where(F.col("user_id").isNotNull())
+    owned = (rated.withColumn("depth", F.lit(depths)) if isinstance(depths, int)
+             else rated.join(depths, "product_id", "left")).withColumn("depth", F.col("depth").cast("long"))
+    lists, wide = _packed(owned, cell_items, of_product)
+    formed = lists.select(F.size("items").cast("long").alias("degree"), F.explode("items").alias("own"))
+    formed = formed.where("own.depth is not null").select(F.col("own.b").alias("product_id"), "degree")
+    if wide is not None:
+        degrees = cut_lineage(wide.groupBy("user_id").agg(F.count("*").alias("degree")))
+        formed = formed.unionByName(wide.where("depth is not null").join(degrees, "user_id")
+                                    .select("product_id", "degree"))
+    formed = cut_lineage(formed.groupBy("product_id").agg(F.sum("degree").alias("formed")))
+    total, entries = formed.agg(F.sum("formed")).first()[0] or 0, rows.count()
+    hot = cut_lineage(formed.where(F.col("formed") > CELL_PAIRS).select(
+        F.col("product_id").alias("a"), F.ceil(F.col("formed") / CELL_PAIRS).cast("int").alias("parts")))
+    rounds = max(1, math.ceil(total / max(LEAST_ROUND, ROUND_PAIRS * entries)))
+    groups = max(pair_tasks(rows), math.ceil(total / rounds / CELL_PAIRS))
+    own = ("n", *of_product, "depth")
+    other = ("b", "n", *of_product)
+    counted = _cell_counts(of_product, best, least)
+
+    def part(k: int) -> DataFrame:
+        def mine(product: Column) -> Column:
+            return F.pmod(F.xxhash64(product, F.lit("round")), F.lit(rounds)) == k
+
+        met = lists.select("items", F.explode(F.filter(
+            "items", lambda x: x["depth"].isNotNull() & mine(x["b"]))).alias("own"))
+        if wide is not None:
+            item = F.struct(F.col("product_id").alias("b"), *own)
+            left = wide.where(F.col("depth").isNotNull() & mine(F.col("product_id"))).select(
+                "user_id", item.alias("own"))
+            right = wide.select("user_id", F.array(item).alias("items"))
+            many = pair_tasks(wide)
+            met = met.unionByName(left.repartition(many, "user_id").join(
+                right.repartition(many, "user_id"), "user_id").select("items", "own"))
+        # A product with several cells sends each of them its share of the list.
+        met = met.select("items", F.col("own.b").alias("a"), *[F.col(f"own.{c}").alias(c) for c in own])
+        met = met.join(hot, "a", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        met = met.withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        met = met.withColumn("items", F.when(F.col("parts") == 1, F.col("items")).otherwise(F.filter(
+            "items", lambda x: F.pmod(F.xxhash64(x["b"]), F.col("parts")) == F.col("cell"))))
+        return (met.select(F.pmod(F.xxhash64("a", "cell"), F.lit(groups)).cast("int").alias("group"), "a", "cell",
+                           *own, *[F.col(f"items.{c}").alias(f"{c}s") for c in other])
+                .repartition(groups, "group").groupBy("group").applyInArrow(
+                    counted, "a long, cell int, b long, co long, depth long, "
+                    + ", ".join(f"{c}_{end} long" for c in of_product for end in "ab")))
+
+    written = [cut_lineage(wanted(part(k))) for k in range(rounds)]
+    for table in (lists, wide):
+        if table is not None:
+            discard(table)
+    return reduce(DataFrame.unionByName, written)
+
+
+def _cell_counts(of_product: tuple[str, ...], best: bool, least: float) -> Callable[[pa.Table], pa.Table]:
+    """Counts the pairs of the owners ``a, cell`` of a table with their users' lists."""
+    # The functions stand by themselves, so workers need no copy of this package.
+    def sorted_places(owner: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The order by ``owner``, then ``b``; as one key where both fit in it."""
+        low, high = (int(b.min()), int(b.max())) if len(b) else (0, 0)
+        width = high - low + 1
+        if len(b) and (int(owner.max()) + 1) * width < 1 << 62:
+            return np.argsort(owner * width + (b - low))
+        return np.lexsort((b, owner))
+
+    def count(table: pa.Table) -> pa.Table:
+        lists = table.column("bs").combine_chunks()
+        # Owners are pairs of product and cell: the cells of a product share no ``b``.
+        a, cell = table.column("a").to_numpy(), table.column("cell").to_numpy()
+        order = np.lexsort((cell, a))
+        new = np.append(True, (np.diff(a[order]) != 0) | (np.diff(cell[order]) != 0))[:len(a)]
+        owner = np.empty(len(a), np.int64)
+        owner[order] = np.cumsum(new) - 1
+        row = np.repeat(np.arange(len(a)), np.diff(lists.offsets.to_numpy()))
+        b = lists.flatten().to_numpy()
+        at = np.flatnonzero(a[row] != b)
+        at = at[sorted_places(owner[row[at]], b[at])]
+        row, b = row[at], b[at]
+
+        def mine(name: str) -> np.ndarray:
+            return table.column(name).to_numpy()
+
+        def others(name: str) -> np.ndarray:
+            return table.column(f"{name}s").combine_chunks().flatten().to_numpy()[at]
+
+        first = np.flatnonzero(np.append(True, (np.diff(owner[row]) != 0) | (np.diff(b) != 0))[:len(b)])
+        co = np.add.reduceat(mine("n")[row] * others("n"), first) if len(first) else np.zeros(0, np.int64)
+        row, b = row[first], b[first]
+        out = {"a": a[row], "cell": cell[row], "b": b, "co": co, "depth": mine("depth")[row]}
+        for c in of_product:
+            out |= {f"{c}_a": mine(c)[row], f"{c}_b": others(c)[first]}
+        if best:
+            order = np.lexsort((-(co.astype(np.float64) * co / out["size_b"]), owner[row]))  # stable, so by b
+            starts = np.flatnonzero(np.append(True, np.diff(owner[row]) != 0)[:len(row)])
+            place = np.arange(len(row)) - np.repeat(starts, np.diff(np.append(starts, len(row))))
+            kept = order[place < out["depth"][order]]
+            out = {c: x[kept] for c, x in out.items()}
+        elif least > 0:
+            near = out["co"] > least * (1 - 1e-9) * np.sqrt(out["size_a"].astype(np.float64) * out["size_b"])
+            out = {c: x[near] for c, x in out.items()}
+        return pa.table({c: pa.array(x) for c, x in out.items()})
+
+    return count
 
 
 def _ranked_to_depth(counts: DataFrame) -> DataFrame:
     return topk_to_depth(counts, "a", "cell", _strongest(), "depth")
 
 
-def pair_sims(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """``product_id, rec_id, sim`` of the given pairs only, from ``user_items`` rows.
+def _ranked_cells(counts: DataFrame) -> DataFrame:
+    """The first ``depth`` pairs of every product, from what is first in its cells."""
+    place = F.row_number().over(Window.partitionBy("a").orderBy(*_strongest()))
+    return counts.withColumn("rank", place).where("rank <= depth").select(
+        "a", "b", "co", "size_a", "size_b", "rank")
+
+
+def pair_sims(rows: DataFrame, keys: DataFrame, least: float = 0.0) -> DataFrame:
+    """``product_id, rec_id, sim`` of the given pairs above ``least`` only, from ``user_items`` rows.
 
     ``keys`` has distinct pairs ``product_id, rec_id``. The ratings of the less rated product
     of a pair are looked up under the other one, so no other pairs are formed. Where the
@@ -182,30 +293,28 @@ def pair_sims(rows: DataFrame, keys: DataFrame) -> DataFrame:
     first = sizes.withColumnRenamed("size", "size_a")
     second = sizes.select(F.col("product_id").alias("rec_id"), F.col("size").alias("size_b"))
     fewer = F.col("size_a") <= F.col("size_b")
-    sized = cut_lineage(
+    sized = (
         keys.join(first, "product_id").join(second, "rec_id")
         .withColumns({"few": F.when(fewer, F.col("product_id")).otherwise(F.col("rec_id")),
                       "many": F.when(fewer, F.col("rec_id")).otherwise(F.col("product_id"))}))
     lookups = sized.agg(F.sum(F.least("size_a", "size_b"))).first()[0] or 0
+    owners = cut_lineage(keys.select("product_id").distinct().withColumn("depth", F.lit(1)))
     per_user = rows.groupBy("user_id").agg(F.count("*").cast("double").alias("d"))
+    close = F.col("sim") > least
     if (per_user.agg(F.sum(F.col("d") * F.col("d"))).first()[0] or 0) <= lookups:
-        # Pairs and keys are dealt out alike, by the smaller and the larger product, and meet there.
-        one, two = F.col("product_id"), F.col("rec_id")
-        asked = keys.groupBy(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).agg(
-            F.bool_or(one < two).alias("up"), F.bool_or(one > two).alias("down"))
-        ways = F.array(F.when(F.col("up"), F.struct(F.col("a").alias("product_id"), F.col("b").alias("rec_id"))),
-                       F.when(F.col("down"), F.struct(F.col("b").alias("product_id"), F.col("a").alias("rec_id"))))
-        return (pair_counts(rows).join(asked, ["a", "b"])
-                .select(F.explode(F.array_compact(ways)).alias("way"), cooccurrence_sim(
-                    F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim"))
-                .select("way.product_id", "way.rec_id", "sim"))
+        asked = keys.select(F.col("product_id").alias("a"), F.col("rec_id").alias("b"))
+        return _owner_pair_counts(rows, owners, lambda counts: counts.select("a", "b", cooccurrence_sim(
+            F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim")).where(close).join(asked, ["a", "b"]).select(
+                F.col("a").alias("product_id"), F.col("b").alias("rec_id"), "sim"), least=least)
+    sized = cut_lineage(sized)
     few = rows.select(F.col("product_id").alias("few"), "user_id", F.col("n").alias("n_few"))
     many = rows.select(F.col("product_id").alias("many"), "user_id", F.col("n").alias("n_many"))
     return (sized.join(few, "few").join(many, ["many", "user_id"])
             .groupBy("product_id", "rec_id", "size_a", "size_b")
             .agg(F.sum(F.col("n_few") * F.col("n_many")).alias("co"))
             .select("product_id", "rec_id",
-                    cooccurrence_sim(F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim")))
+                    cooccurrence_sim(F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim"))
+            .where(close))
 
 
 def _with_heavy(rows: DataFrame, heavy: DataFrame, k: int | None, cell_items: int,
@@ -284,8 +393,9 @@ def _with_heavy(rows: DataFrame, heavy: DataFrame, k: int | None, cell_items: in
         light = pair_counts(light_rows, cell_items, ("size", "profile"))
         known = _first(mirrored(topped_up(light)), k).drop("rank")
     else:
-        light = _owner_pair_counts(light_rows, depths, ("size", "profile"))
-        known = _ranked_to_depth(topped_up(light, "cell", "depth")).drop("rank", "cell", "depth")
+        known = _owner_pair_counts(
+            light_rows, depths, lambda light: _ranked_to_depth(topped_up(light, "cell", "depth"))
+            .drop("rank", "cell", "depth"), ("size", "profile"), cell_items)
     both = (known.unionByName(heavy_only).groupBy("a", "b")
             .agg(F.max("co").alias("co"), F.max("size_a").alias("size_a"),
                  F.max("size_b").alias("size_b")))
