@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from affinity.operators.itemcf import lists_to_depth, user_items
 from affinity.operators.topk import recent_ratings_topn, topk_per_key
 from affinity.schemas import LIKE_ABOVE, LIST_SIZE, SIM_THRESHOLD
 
+#: Pairs of candidate and recent rating in a part: for each rating so many, and at least so many in all.
+PART_PAIRS, LEAST_PART = 2, 25_000_000
+
 
 def not_yet_rated(candidates: DataFrame, rated: DataFrame) -> DataFrame:
     """Candidates without those the user has rated."""
@@ -66,6 +71,18 @@ def scoring_keys(candidates: DataFrame, recent: DataFrame) -> DataFrame:
             .where("product_id <> rec_id").select("product_id", "rec_id").distinct())
 
 
+def candidate_parts(candidates: DataFrame, recent: DataFrame, rows: DataFrame) -> list[DataFrame]:
+    """The candidates in parts by product, each with a bounded number of pairs to score per rating.
+
+    All are written tables. Who writes the scores of a part before the next needs disk for the pairs of one.
+    """
+    mine = recent.groupBy("user_id").agg(F.count("*").alias("seen"))
+    pairs = candidates.join(mine, "user_id").agg(F.sum("seen")).first()[0] or 0
+    parts = max(1, math.ceil(pairs / max(LEAST_PART, PART_PAIRS * rows.count())))
+    part = F.pmod(F.xxhash64("product_id", F.lit("part")), F.lit(parts))
+    return [candidates.where(part == k) for k in range(parts)]
+
+
 def realtime_candidates(current: DataFrame, ranked: DataFrame, rated: DataFrame,
                         n: int = LIST_SIZE) -> DataFrame:
     """Products most like the one just rated and not rated by the user, best ``n``.

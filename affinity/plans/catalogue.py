@@ -7,6 +7,7 @@ fractions rounded to six places, so that results compare with other engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from affinity.operators import als, content, itemcf, realtime, search, stats, to
 from affinity.plans import feeds
 from affinity.schemas import (AVERAGE_PRODUCTS, CONTENT_RECS, ITEMCF_RECS, RATING, SIM_THRESHOLD,
                               USER_RECS)
-from affinity.session import cut_lineage, scratch_dir
+from affinity.session import cut_lineage, discard, scratch_dir
 from affinity.sources import files, star, tables
 from affinity.streaming import queue, recs, tracking
 
@@ -460,10 +461,14 @@ def realtime_candidates_orders(spark, d):
 @query
 def realtime_scores_orders(spark, d):
     rows, recent, candidates = _order_candidates(spark, d)
-    keys = cut_lineage(realtime.scoring_keys(candidates, recent))
-    sims = cut_lineage(itemcf.pair_sims(rows, keys))
-    return realtime.ranked_scores(
-        realtime.realtime_scores(candidates, recent, sims, _ORDER_THRESHOLD))
+    scores = []
+    for part in realtime.candidate_parts(candidates, recent, rows):
+        keys = cut_lineage(realtime.scoring_keys(part, recent))
+        sims = cut_lineage(itemcf.pair_sims(rows, keys, _ORDER_THRESHOLD))
+        discard(keys)
+        scores.append(cut_lineage(realtime.realtime_scores(part, recent, sims, _ORDER_THRESHOLD)))
+        discard(sims)
+    return realtime.ranked_scores(reduce(DataFrame.unionByName, scores))
 
 
 # --- streams ----------------------------------------------------------------------
