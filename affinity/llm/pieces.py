@@ -19,6 +19,7 @@ import hashlib
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -167,7 +168,7 @@ def load(path: str) -> bytes:
 
 
 def _encoded(proto: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Per slice: its ids' column, model, texts, and the ids and spans of each text."""
+    """Per slice: its rows, model, texts, and the ids and spans of each text."""
     model = PieceModel(proto)
     for batch in batches:
         for part in slices(batch.column("text")):
@@ -175,16 +176,16 @@ def _encoded(proto: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]
             texts = [raw[a:b] for a, b in zip(part.offsets[:-1], part.offsets[1:], strict=True)]
             ids = model.encode([t.decode() for t in texts])
             spans = [model.spans(t, np.array(i, dtype=np.int64)) for t, i in zip(texts, ids, strict=True)]
-            yield batch.column("doc_id")[part.start:part.stop], model, texts, ids, spans
+            yield batch.slice(part.start, part.n_rows), model, texts, ids, spans
 
 
 def encode(documents: DataFrame, proto: bytes) -> DataFrame:
     """``doc_id, ids, begins, ends``: piece ids of the whole text and their source byte spans."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ints = pa.list_(pa.int32())
-        for doc_id, _, _, ids, spans in _encoded(proto, batches):
+        for rows, _, _, ids, spans in _encoded(proto, batches):
             yield pa.RecordBatch.from_arrays(
-                [doc_id, pa.array(ids, ints), pa.array([s[:-1].astype(np.int32) for s in spans], ints),
+                [rows.column("doc_id"), pa.array(ids, ints), pa.array([s[:-1].astype(np.int32) for s in spans], ints),
                  pa.array([s[1:].astype(np.int32) for s in spans], ints)], ["doc_id", "ids", "begins", "ends"])
 
     return documents.select("doc_id", "text").mapInArrow(
@@ -211,12 +212,12 @@ def round_trip(documents: DataFrame, proto: bytes) -> DataFrame:
     that the spans of the pieces cover together.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_id, model, _, ids, spans in _encoded(proto, batches):
+        for rows, model, _, ids, spans in _encoded(proto, batches):
             names = model.names
             listed = [hashlib.sha256(",".join([names[i] for i in one]).encode()).hexdigest() for one in ids]
             decoded = [hashlib.sha256(model.decode(one).encode()).hexdigest() for one in ids]
             yield pa.RecordBatch.from_arrays(
-                [doc_id, pa.array([len(one) for one in ids], pa.int64()), pa.array(listed, pa.string()),
+                [rows.column("doc_id"), pa.array([len(one) for one in ids], pa.int64()), pa.array(listed, pa.string()),
                  pa.array(decoded, pa.string()),
                  pa.array([int(s[-1] - s[0]) for s in spans], pa.int64())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_spanned_bytes"])
@@ -225,22 +226,25 @@ def round_trip(documents: DataFrame, proto: bytes) -> DataFrame:
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_spanned_bytes long")
 
 
+_ADDED = T.StructType([T.StructField("piece_ids", T.ArrayType(T.IntegerType())),
+                       T.StructField("decoded", T.StringType())])
+
+
+def _rows_with_ids(proto: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, model, texts, ids, spans in _encoded(proto, batches):
+        for text, span in zip(texts, spans, strict=True):
+            if not model.trim and (int(span[0]), int(span[-1])) != (0, len(text)):
+                raise ValueError("the spans of the pieces do not tile the text")
+        yield pa.RecordBatch.from_arrays(
+            [*rows.columns, pa.array(ids, pa.list_(pa.int32())),
+             pa.array([model.decode(one) for one in ids], pa.string())],
+            [*rows.schema.names, *_ADDED.names])
+
+
 def with_ids(documents: DataFrame, proto: bytes) -> DataFrame:
     """All columns of ``documents`` and ``piece_ids array<int>``, ``decoded string`` of their texts.
 
-    Columns of these two names in ``documents`` are replaced.
+    Columns of these two names in ``documents`` are replaced. The pieces are aligned with the source as
+    in ``encode``; a text that they do not tile is an error.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(proto)
-        for batch in batches:
-            for part in slices(batch.column("text")):
-                rows = batch.slice(part.start, part.n_rows)
-                ids = model.encode([t or "" for t in rows.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array(ids, pa.list_(pa.int32())),
-                     pa.array([model.decode(one) for one in ids], pa.string())],
-                    [*rows.schema.names, *added.names])
-
-    added = T.StructType([T.StructField("piece_ids", T.ArrayType(T.IntegerType())),
-                          T.StructField("decoded", T.StringType())])
-    return map_whole_rows(documents.drop(*added.names), run, added)
+    return map_whole_rows(documents.drop(*_ADDED.names), partial(_rows_with_ids, proto), _ADDED)

@@ -3,12 +3,14 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from affinity.llm import pieces
 from affinity.llm.pieces import CharacterMap, PieceModel, decode, encode, load, round_trip, with_ids
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -82,3 +84,15 @@ def test_empty_repeated_and_clashing_columns(spark):
     out = with_ids(docs, PROTO)
     assert out.columns == ["doc_id", "text", "ids", "piece_ids", "decoded"]
     assert sorted(r.decoded for r in out.collect()) == ["", "a b", "a b"]
+
+
+def test_rows_with_ids_are_aligned_with_their_texts(monkeypatch):
+    seen, spans = [], PieceModel.spans
+    monkeypatch.setattr(PieceModel, "spans", lambda self, text, ids: seen.append(text) or spans(self, text, ids))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": ["a  b", None, "naïve 😀"]})
+    out = pa.Table.from_batches(pieces._rows_with_ids(PROTO, iter([batch])))
+    assert seen == [b"a  b", b"", "naïve 😀".encode()]
+    assert out.column("piece_ids").to_pylist() == [MODEL.encode([t])[0] for t in ("a  b", "", "naïve 😀")]
+    monkeypatch.setattr(PieceModel, "spans", lambda self, text, ids: spans(self, text, ids)[:-1])
+    with pytest.raises(ValueError):
+        list(pieces._rows_with_ids(PROTO, iter([batch])))
