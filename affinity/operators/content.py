@@ -8,7 +8,6 @@ back to products only where the answer is bounded by ``k`` per product.
 from __future__ import annotations
 
 from pyspark.ml.feature import HashingTF, Tokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,20 +38,24 @@ def content_tokens(products: DataFrame) -> DataFrame:
 
 
 def content_hashed_tf(products: DataFrame, features: int = HASHED_FEATURES) -> DataFrame:
-    """Term counts in hash buckets, as a sparse vector per product."""
+    """Term counts in hash buckets, as a sparse vector per product.
+
+    Products come in few files, so they are dealt out before words are cut and hashed.
+    """
     text = products.select("product_id",
                            tags_to_text(F.coalesce("tags", F.lit(""))).alias("text"))
-    words = Tokenizer(inputCol="text", outputCol="words").transform(text)
+    dealt = text.repartition(pair_tasks(products), "product_id")
+    words = Tokenizer(inputCol="text", outputCol="words").transform(dealt)
     return (HashingTF(inputCol="words", outputCol="tf", numFeatures=features)
             .transform(words).select("product_id", "tf"))
 
 
 def hashed_bags(products: DataFrame, features: int = HASHED_FEATURES) -> DataFrame:
-    """Like ``content_tokens`` with hash buckets in place of words."""
-    counts = vector_to_array("tf", dtype="float64")
-    pairs = F.transform(counts, lambda c, i: F.array_repeat(i.cast("string"), c.cast("int")))
-    return (content_hashed_tf(products, features)
-            .select("product_id", F.flatten(pairs).alias("tokens")))
+    """Like ``content_tokens`` with hash buckets in place of words; only a vector's entries are read."""
+    entries = F.arrays_zip(F.col("parts.indices").alias("at"), F.col("parts.values").alias("n"))
+    repeated = F.transform(entries, lambda e: F.array_repeat(e["at"].cast("string"), e["n"].cast("int")))
+    return (content_hashed_tf(products, features).select("product_id", F.unwrap_udt("tf").alias("parts"))
+            .select("product_id", F.flatten(repeated).alias("tokens")))
 
 
 def _term_counts(tokens: Column) -> Column:

@@ -344,7 +344,7 @@ def content_topk(spark, d):
 
 @query
 def content_topk_hashed(spark, d):
-    return content.content_topk(content.hashed_bags(star.products(spark, d)))
+    return content.content_topk(cut_lineage(content.hashed_bags(star.products(spark, d))))
 
 
 @query
