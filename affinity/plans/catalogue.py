@@ -6,6 +6,7 @@ fractions rounded to six places, so that results compare with other engines.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -27,6 +28,8 @@ QUERIES: dict[str, Query] = {}
 _SEARCH_PATTERN = "ring"
 # Micro-batches of the streaming queries.
 _BATCHES = 3
+# Events in a file of the streaming queries, about; a micro-batch reads as many files as it takes.
+_FILE_EVENTS = 100_000
 # Customers share few parts, so their similarities are small.
 _ORDER_THRESHOLD = 0.05
 
@@ -476,8 +479,9 @@ def realtime_scores_orders(spark, d):
 def _events_as_stream(spark, d):
     """The events in several micro-batches, so that state lives on from one to the next."""
     events, parts = star.table(spark, d, "events"), scratch_dir(spark, "events")
-    events.repartition(_BATCHES, "event_id").write.parquet(parts)
-    return tracking.stream_source(spark, "parquet", events.schema, parts, maxFilesPerTrigger="1")
+    files = max(1, math.ceil(events.count() / _BATCHES / _FILE_EVENTS))
+    events.repartition(_BATCHES * files, "event_id").write.parquet(parts)
+    return tracking.stream_source(spark, "parquet", events.schema, parts, maxFilesPerTrigger=str(files))
 
 
 def _event_stream(spark, d):
