@@ -17,7 +17,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.scalars import cooccurrence_sim
@@ -30,8 +30,8 @@ from affinity.session import cut_lineage, discard
 HEAVY_ITEMS = 2048
 #: Summed pairs of a list's owner that one task ranks, about.
 CELL_PAIRS = 1_000_000
-#: Pairs that a round forms: so many for each row of the table, and at least so many in all.
-ROUND_PAIRS, LEAST_ROUND = 4, 50_000_000
+#: Pairs that a round forms: so many for each row of the table, and at least so many in all. Fewer take one plan.
+ROUND_PAIRS, LEAST_ROUND = 4, 10_000_000
 
 
 def user_items(ratings: DataFrame, dedup: bool = False) -> DataFrame:
@@ -120,9 +120,11 @@ def itemcf_topk(ratings: DataFrame, k: int = LIST_SIZE, dedup: bool = False,
     """
     rows = user_items(ratings, dedup)
     heavy = heavy_users(rows, min_heavy_items)
-    if heavy.isEmpty():
-        return _listed(_owner_pair_counts(rows, k, _ranked_cells, cell_items=cell_items, best=True))
-    return _top(_with_heavy(rows, heavy, k, cell_items), k)
+    if heavy.isEmpty() and not _forms_few(rows):
+        return _listed(_owner_rounds(rows, k, _ranked_cells, cell_items=cell_items, best=True))
+    both = (mirrored(pair_counts(rows, cell_items)) if heavy.isEmpty()
+            else _with_heavy(rows, heavy, k, cell_items))
+    return _top(both, k)
 
 
 def lists_to_depth(rows: DataFrame, depths: DataFrame, min_heavy_items: int = HEAVY_ITEMS,
@@ -134,11 +136,54 @@ def lists_to_depth(rows: DataFrame, depths: DataFrame, min_heavy_items: int = HE
     from the start, so a deep list costs nothing to the others.
     """
     heavy = heavy_users(rows, min_heavy_items)
+    if heavy.isEmpty() and _forms_few(rows):
+        return _listed(_ranked_to_depth(_owner_pair_counts(rows, depths)))
     if heavy.isEmpty():
-        return _listed(_owner_pair_counts(rows, depths, _ranked_cells, cell_items=cell_items, best=True))
+        return _listed(_owner_rounds(rows, depths, _ranked_cells, cell_items=cell_items, best=True))
     return _listed(_ranked_to_depth(_with_heavy(rows, heavy, None, cell_items, depths)))
 
 
+def _owner_pair_counts(rows: DataFrame, depths: DataFrame,
+                       of_product: tuple[str, ...] = ("size",)) -> DataFrame:
+    """Co-rating counts of ordered pairs ``a, b`` where ``a`` has a list, dealt out by ``a, cell``.
+
+    The lists' owners meet the ratings before pairs are made. A product's pairs are cut into cells
+    by how many its users will form. Where pairs repeat a lot they are summed before they
+    are dealt out as well.
+    """
+    degrees = cut_lineage(rows.groupBy("user_id").agg(F.count("*").alias("degree")))
+    owned = rows.join(depths, "product_id")
+    formed = cut_lineage(owned.join(degrees, "user_id").groupBy("product_id").agg(
+        F.sum("degree").alias("formed"), F.max("depth").alias("depth")))
+    total, owners = formed.agg(F.sum("formed"), F.count("*")).first()
+    products = rows.agg(F.count_distinct("product_id")).first()[0]
+    lists = formed.select("product_id", "depth",
+                          F.ceil(F.col("formed") / CELL_PAIRS).cast("int").alias("parts"))
+    tasks = pair_tasks(rows)
+    left = rows.join(lists, "product_id").select(
+        "user_id", "depth", "parts", F.col("product_id").alias("a"), F.col("n").alias("n_a"),
+        *[F.col(c).alias(f"{c}_a") for c in of_product])
+    right = rows.select("user_id", F.col("product_id").alias("b"), F.col("n").alias("n_b"),
+                        *[F.col(c).alias(f"{c}_b") for c in of_product])
+    of_pair = ["depth", "parts", *[f"{c}_{end}" for c in of_product for end in "ab"]]
+
+    def summed(pairs: DataFrame, *keys: str) -> DataFrame:
+        return pairs.groupBy(*keys).agg(F.sum("co").alias("co"), *[F.max(c).alias(c) for c in of_pair])
+
+    pairs = (left.repartition(tasks, "user_id").join(right.repartition(tasks, "user_id"), "user_id")
+             .where("a <> b").select("a", "b", (F.col("n_a") * F.col("n_b")).alias("co"), *of_pair))
+    if (total or 0) > 4 * owners * products:
+        pairs = summed(pairs, "a", "b")
+    cell = F.pmod(F.xxhash64("b"), F.col("parts")).alias("cell")
+    return summed(pairs.withColumn("cell", cell).repartition(tasks, "a", "cell"), "a", "cell", "b")
+
+
+def _forms_few(rows: DataFrame) -> bool:
+    """Whether the users' pairs are few enough to be counted as one plan."""
+    per_user = rows.groupBy("user_id").agg(F.count("*").cast("double").alias("d"))
+    return (per_user.agg(F.sum(F.col("d") * F.col("d"))).first()[0] or 0) <= LEAST_ROUND
+
+
 def _packed(rows: DataFrame, cell_items: int, of_product: tuple[str, ...]) -> tuple[DataFrame, DataFrame | None]:
     """Every user's products as one list ``user_id, items``, and the rows of users with too many for one."""
     wide = heavy_users(rows, cell_items)
@@ -151,7 +196,7 @@ def _packed(rows: DataFrame, cell_items: int, of_product: tuple[str, ...]) -> tu
     return cut_lineage(narrow.groupBy("user_id").agg(F.collect_list(item).alias("items"))), rest
 
 
-def _owner_pair_counts(rows: DataFrame, depths: DataFrame | int, wanted: Callable[[DataFrame], DataFrame],
+def _owner_rounds(rows: DataFrame, depths: DataFrame | int, wanted: Callable[[DataFrame], DataFrame],
                        of_product: tuple[str, ...] = ("size",), cell_items: int = CELL_ITEMS,
                        best: bool = False, least: float = 0.0) -> DataFrame:
     """What ``wanted`` makes of the co-rating counts of ordered pairs ``a, b`` where ``a`` has a list, written.
@@ -275,10 +320,7 @@ def _ranked_to_depth(counts: DataFrame) -> DataFrame:
 
 
 def _ranked_cells(counts: DataFrame) -> DataFrame:
-    """The first ``depth`` pairs of every product, from what is first in its cells."""
-    place = F.row_number().over(Window.partitionBy("a").orderBy(*_strongest()))
-    return counts.withColumn("rank", place).where("rank <= depth").select(
-        "a", "b", "co", "size_a", "size_b", "rank")
+    return _ranked_to_depth(counts).select("a", "b", "co", "size_a", "size_b", "rank")
 
 
 def pair_sims(rows: DataFrame, keys: DataFrame, least: float = 0.0) -> DataFrame:
@@ -298,12 +340,23 @@ def pair_sims(rows: DataFrame, keys: DataFrame, least: float = 0.0) -> DataFrame
         .withColumns({"few": F.when(fewer, F.col("product_id")).otherwise(F.col("rec_id")),
                       "many": F.when(fewer, F.col("rec_id")).otherwise(F.col("product_id"))}))
     lookups = sized.agg(F.sum(F.least("size_a", "size_b"))).first()[0] or 0
-    owners = cut_lineage(keys.select("product_id").distinct().withColumn("depth", F.lit(1)))
     per_user = rows.groupBy("user_id").agg(F.count("*").cast("double").alias("d"))
     close = F.col("sim") > least
     if (per_user.agg(F.sum(F.col("d") * F.col("d"))).first()[0] or 0) <= lookups:
+        if _forms_few(rows):
+            # Pairs and keys are dealt out alike, by the smaller and the larger product, and meet there.
+            one, two = F.col("product_id"), F.col("rec_id")
+            asked = keys.groupBy(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).agg(
+                F.bool_or(one < two).alias("up"), F.bool_or(one > two).alias("down"))
+            ways = F.array(F.when(F.col("up"), F.struct(F.col("a").alias("product_id"), F.col("b").alias("rec_id"))),
+                           F.when(F.col("down"), F.struct(F.col("b").alias("product_id"), F.col("a").alias("rec_id"))))
+            return (pair_counts(rows).join(asked, ["a", "b"])
+                    .select(F.explode(F.array_compact(ways)).alias("way"), cooccurrence_sim(
+                        F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim"))
+                    .select("way.product_id", "way.rec_id", "sim").where(close))
+        owners = cut_lineage(keys.select("product_id").distinct().withColumn("depth", F.lit(1)))
         asked = keys.select(F.col("product_id").alias("a"), F.col("rec_id").alias("b"))
-        return _owner_pair_counts(rows, owners, lambda counts: counts.select("a", "b", cooccurrence_sim(
+        return _owner_rounds(rows, owners, lambda counts: counts.select("a", "b", cooccurrence_sim(
             F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim")).where(close).join(asked, ["a", "b"]).select(
                 F.col("a").alias("product_id"), F.col("b").alias("rec_id"), "sim"), least=least)
     sized = cut_lineage(sized)
@@ -393,9 +446,8 @@ def _with_heavy(rows: DataFrame, heavy: DataFrame, k: int | None, cell_items: in
         light = pair_counts(light_rows, cell_items, ("size", "profile"))
         known = _first(mirrored(topped_up(light)), k).drop("rank")
     else:
-        known = _owner_pair_counts(
-            light_rows, depths, lambda light: _ranked_to_depth(topped_up(light, "cell", "depth"))
-            .drop("rank", "cell", "depth"), ("size", "profile"), cell_items)
+        light = _owner_pair_counts(light_rows, depths, ("size", "profile"))
+        known = _ranked_to_depth(topped_up(light, "cell", "depth")).drop("rank", "cell", "depth")
     both = (known.unionByName(heavy_only).groupBy("a", "b")
             .agg(F.max("co").alias("co"), F.max("size_a").alias("size_a"),
                  F.max("size_b").alias("size_b")))

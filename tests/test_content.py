@@ -156,3 +156,10 @@ def test_meeting_pairs(spark, cell):
     right = cut_lineage(spark.createDataFrame([(k % 4, k) for k in range(20)], "key long, y long"))
     got = sorted((r.x, r.y) for r in meeting_pairs(left, right, "key", cell).collect())
     assert got == sorted((x, y) for x in range(30) for y in range(20) if x % 3 == y % 4)
+
+
+def test_products_of_one_file_are_hashed_by_several_tasks(spark):
+    one = products(spark, [f"red|t{i}|t{i}" for i in range(50)]).coalesce(1)
+    assert content.content_hashed_tf(one).rdd.getNumPartitions() > 1
+    assert "vector_to_array" not in content.hashed_bags(one)._jdf.queryExecution().toString()
+    assert {len(r.tokens) for r in content.hashed_bags(one).collect()} == {3}

@@ -252,3 +252,40 @@ def test_wide_users_of_different_taste_sum_cells_not_pairs(ratings, monkeypatch)
     wanted = brute(data, 6)
     assert got == pytest.approx(wanted)
     assert cells == [150 * 150] and 400 * 60 * 60 > 60 * cells[0]
+
+
+@pytest.mark.parametrize("cell", [8, 1024])
+def test_rounds_and_cells_give_the_same_lists(ratings, monkeypatch, cell):
+    """Owners in rounds, products in cells and users too wide for a list change no row; null users pair nothing."""
+    data = [*skewed(6), (None, 1, 1.0, 0, 900), (None, 2, 1.0, 0, 901)]
+    wanted = brute([row for row in data if row[0] is not None], 5)
+    plain = flat(itemcf.itemcf_topk(ratings(data), 5, min_heavy_items=1000))
+    rounds, write = [], itemcf.cut_lineage
+    monkeypatch.setattr(itemcf, "cut_lineage", lambda df: rounds.append(df.columns) or write(df))
+    monkeypatch.setattr(itemcf, "LEAST_ROUND", 200)
+    monkeypatch.setattr(itemcf, "ROUND_PAIRS", 1)
+    monkeypatch.setattr(itemcf, "CELL_PAIRS", 50)
+    got = flat(itemcf.itemcf_topk(ratings(data), 5, min_heavy_items=1000, cell_items=cell))
+    assert got == pytest.approx(plain) and {k[::2] for k in got} and len(got) == len(wanted)
+    assert sum("rank" in columns for columns in rounds) > 3
+
+
+def test_similarities_below_the_least_are_left_out(ratings):
+    df = ratings(skewed(7))
+    every = {(r.product_id, r.rec_id): r.sim for r in itemcf.itemcf_pairs(df).collect()}
+    keys = df.sparkSession.createDataFrame(list(every), "product_id long, rec_id long")
+    got = {(r.product_id, r.rec_id): r.sim for r in itemcf.pair_sims(itemcf.user_items(df), keys, 0.3).collect()}
+    assert got == pytest.approx({k: s for k, s in every.items() if s > 0.3})
+
+
+def test_written_stages_leave_no_shuffle_files(ratings):
+    df = ratings(skewed(8))
+    blocks = df.sparkSession._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return sum(name.startswith("shuffle_") for name in
+                   (blocks.getAllFiles().apply(i).getName() for i in range(blocks.getAllFiles().size())))
+
+    before = files()
+    cut_lineage(df.groupBy("product_id").count())
+    assert files() <= before

@@ -157,3 +157,13 @@ def test_deep_lists_and_pair_sims_equal_all_pairs(spark):
     all_ = {(r.product_id, r.rec_id): round(r.sim, 12) for r in sims.collect()}
     asked = {(r.product_id, r.rec_id) for r in keys.collect()}
     assert some == {k: v for k, v in all_.items() if k in asked} and some
+
+
+def test_candidates_in_parts_are_all_there_once(spark, monkeypatch):
+    monkeypatch.setattr(realtime, "LEAST_PART", 10)
+    monkeypatch.setattr(realtime, "PART_PAIRS", 0)
+    candidates = spark.createDataFrame([(u, p) for u in range(5) for p in range(20)], "user_id long, product_id long")
+    recent = spark.createDataFrame([(u, p) for u in range(5) for p in (100, 101)], "user_id long, product_id long")
+    parts = realtime.candidate_parts(candidates, recent, recent)
+    rows = [tuple(r) for part in parts for r in part.collect()]
+    assert len(parts) == 20 and sorted(rows) == sorted(tuple(r) for r in candidates.collect())

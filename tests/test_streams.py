@@ -173,3 +173,15 @@ def test_generations_of_a_change_log(spark):
     assert changelog.newest_generation(spark, root).endswith("generation=3")
     changelog.drop_folder(spark, changelog.generation_path(root, 0))
     assert not changelog.exists(spark, f"{changelog.generation_path(root, 0)}/batch_id=0")
+
+
+def test_a_micro_batch_has_as_many_files_as_its_events_ask_for(spark, tmp_path, monkeypatch):
+    from affinity.plans import catalogue
+    spark.range(120).selectExpr("id as event_id", "id % 7 as user_id").write.parquet(f"{tmp_path}/events.parquet")
+    asked = []
+    monkeypatch.setattr(catalogue, "_FILE_EVENTS", 10)
+    monkeypatch.setattr(catalogue.tracking, "stream_source", lambda spark, kind, schema, path, maxFilesPerTrigger:
+                        asked.append((maxFilesPerTrigger, spark.read.parquet(path))))
+    catalogue._events_as_stream(spark, str(tmp_path))
+    files, events = asked[0]
+    assert files == "4" and len(events.inputFiles()) > 4 and events.count() == 120
