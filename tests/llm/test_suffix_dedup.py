@@ -107,3 +107,33 @@ def test_sliding_minimum():
     for n in (5, 6, 17, 100):
         x = rng.integers(0, 1000, n).astype(np.uint64)
         assert (sliding_minimum(x, 5) == [x[i:i + 5].min() for i in range(n - 4)]).all()
+
+
+def test_index_merges_and_scans_once_per_batch(spark, monkeypatch):
+    from affinity.llm import suffix_dedup as s
+    rng, sizes, plain = random.Random(6), [], s.written
+    batches = [[(p := rng.randrange(150), p * 10 + rng.randrange(1 + p % 4)) for _ in range(40)] for _ in range(7)]
+    monkeypatch.setattr(s, "written", lambda df: (sizes.append(df.columns), plain(df))[1])
+    index = s.SuffixIndex()
+    for k, batch in enumerate(batches, 1):
+        index.add(spark.createDataFrame(batch, "prefix long, context long"))
+        assert [level is not None for level in index.levels] == [bool(k >> i & 1) for i in range(k.bit_length())]
+        assert len(sizes) == 2 * k
+    n = Counter(x for batch in batches for x in batch)
+    places, kinds = Counter(), Counter(p for p, _ in n)
+    for (p, _), many in n.items():
+        places[p] += many
+    assert sorted(map(tuple, index.repeats().collect())) == sorted(
+        (p, c, many > 1, kinds[p] > 1) for (p, c), many in n.items() if places[p] > 1)
+
+
+def test_number_of_jobs(spark):
+    docs = corpus(7)
+    spark.sparkContext.setJobGroup("suffixes", "count the jobs")
+    try:
+        got = found(spark, docs)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == brute(docs)
+    # Each one has tasks for every partition, however small the table is; there were 91.
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("suffixes")) <= 70
