@@ -12,7 +12,7 @@ equal as floating-point numbers too, so ties always fall back to the product id.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -31,7 +31,9 @@ HEAVY_ITEMS = 2048
 #: Summed pairs of a list's owner that one task ranks, about.
 CELL_PAIRS = 1_000_000
 #: Pairs that a round forms: so many for each row of the table, and at least so many in all. Fewer take one plan.
-ROUND_PAIRS, LEAST_ROUND = 4, 10_000_000
+ROUND_PAIRS, LEAST_ROUND = 8, 10_000_000
+#: Pairs of one user that take the work of one lookup, about.
+LOOKUP_PAIRS = 8
 
 
 def user_items(ratings: DataFrame, dedup: bool = False) -> DataFrame:
@@ -43,8 +45,11 @@ def user_items(ratings: DataFrame, dedup: bool = False) -> DataFrame:
     n = F.lit(1).cast("long") if dedup else F.count("*")
     rows = cut_lineage(ratings.groupBy("user_id", "product_id").agg(n.alias("n")))
     sizes = cut_lineage(rows.groupBy("product_id").agg(F.sum("n").alias("size")))
-    return cut_lineage(rows.join(sizes, "product_id")
-                       .select("user_id", "product_id", "n", "size"))
+    sized = cut_lineage(rows.join(sizes, "product_id")
+                        .select("user_id", "product_id", "n", "size"))
+    for table in (rows, sizes):
+        discard(table)
+    return sized
 
 
 def pair_counts(rows: DataFrame, cell_items: int = CELL_ITEMS,
@@ -184,133 +189,253 @@ def _forms_few(rows: DataFrame) -> bool:
     return (per_user.agg(F.sum(F.col("d") * F.col("d"))).first()[0] or 0) <= LEAST_ROUND
 
 
-def _packed(rows: DataFrame, cell_items: int, of_product: tuple[str, ...]) -> tuple[DataFrame, DataFrame | None]:
-    """Every user's products as one list ``user_id, items``, and the rows of users with too many for one."""
-    wide = heavy_users(rows, cell_items)
-    if wide.isEmpty():
-        narrow, rest = rows, None
-    else:
-        narrow = rows.join(wide, "user_id", "left_anti")
-        rest = cut_lineage(rows.join(wide, "user_id", "left_semi"))
-    item = F.struct(F.col("product_id").alias("b"), "n", *of_product, "depth")
-    return cut_lineage(narrow.groupBy("user_id").agg(F.collect_list(item).alias("items"))), rest
-
-
-def _owner_rounds(rows: DataFrame, depths: DataFrame | int, wanted: Callable[[DataFrame], DataFrame],
-                       of_product: tuple[str, ...] = ("size",), cell_items: int = CELL_ITEMS,
-                       best: bool = False, least: float = 0.0) -> DataFrame:
+def _whole_type(least: int, most: int) -> str:
+    """The smallest type of whole numbers that holds both."""
+    return str(np.result_type(np.min_scalar_type(min(least, 0)), np.min_scalar_type(max(most, 0))))
+
+
+def _types(rows: DataFrame) -> dict[str, str]:
+    """Of a list's columns ``b``, ``n`` and ``size``, the types that hold all their values."""
+    bounds = rows.agg(*[f(c).alias(f"{name}_{c}") for c in ("product_id", "n", "size")
+                        for name, f in (("least", F.min), ("most", F.max))]).first()
+    found = {c: (bounds[f"least_{c}"] or 0, bounds[f"most_{c}"] or 0) for c in ("product_id", "n", "size")}
+    kinds = {c: _whole_type(*pair) for c, pair in found.items()}
+    # Values of both signs beyond 32 bits have no common type but a fraction.
+    return {name: "int64" if "float" in kinds[c] or kinds[c] == "uint64" else kinds[c]
+            for name, c in (("b", "product_id"), ("n", "n"), ("size", "size"))}
+
+
+def _packer(types: dict[str, str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Makes a list of each ``user_id, chunk`` of a partition: its columns as bytes, and the owners among its products."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = [batch for batch in batches if batch.num_rows]
+        if not batches:
+            return
+        whole = pa.Table.from_batches(batches)
+        user, chunk, b, n, size, depth = (whole.column(c).to_numpy() for c in (
+            "user_id", "chunk", "b", "n", "size", "depth"))
+        order = np.lexsort((chunk, user)) if (chunk > 0).any() else np.argsort(user, kind="stable")
+        user, chunk, b, n, size, depth = (x[order] for x in (user, chunk, b, n, size, depth))
+        begins = np.flatnonzero(np.append(True, (np.diff(user) != 0) | (np.diff(chunk) != 0)))
+        for first in range(0, len(begins), 4096):
+            ends = np.append(begins, len(user))[first:first + 4097]
+            here = slice(ends[0], ends[-1])
+            mine = np.flatnonzero(depth[here] > 0)
+            owners = pa.StructArray.from_arrays(
+                [pa.array(x[here][mine]) for x in (b, n, size, depth)], ["a", "n", "size", "depth"])
+            columns = [pa.array(user[ends[:-1]]), pa.array(chunk[ends[:-1]]), pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(mine, ends - ends[0]).astype(np.int32)), owners)]
+            for name, x in (("b", b), ("n", n), ("size", size)):
+                kind = np.dtype(types[name])
+                columns.append(pa.Array.from_buffers(pa.binary(), len(ends) - 1, [
+                    None, pa.py_buffer(((ends - ends[0]) * kind.itemsize).astype(np.int32)),
+                    pa.py_buffer(np.ascontiguousarray(x[here].astype(kind)))]))
+            yield pa.RecordBatch.from_arrays(columns, ["user_id", "chunk", "owns", "bs", "ns", "sizes"])
+
+    return pack
+
+
+_OWN = "struct<a:long,n:long,size:long,depth:long>"
+_LISTS = f"user_id long, chunk int, owns array<{_OWN}>, bs binary, ns binary, sizes binary"
+
+
+def _packed(owned: DataFrame, types: dict[str, str], cell_items: int) -> tuple[DataFrame, DataFrame | None]:
+    """Every user's products as one list, written; users with too many have several, and their owners apart.
+
+    ``owned`` is a written table, ``depth`` null where a product has no list of its own. The lists of a wide
+    user have a ``chunk`` from 0 on; their owners are ``user_id, chunk, own``, once for each list that they meet.
+    """
+    wide = cut_lineage(owned.groupBy("user_id").agg(F.count("*").alias("items")).where(F.col("items") > cell_items)
+                       .select("user_id", F.ceil(F.col("items") / cell_items).cast("int").alias("chunks")))
+    many = not wide.isEmpty()
+    item = [F.col("product_id").alias("b"), "n", "size"]
+    narrow = owned.join(wide, "user_id", "left_anti") if many else owned
+    rows = narrow.select("user_id", F.lit(-1).alias("chunk"), *item, F.coalesce("depth", F.lit(0)).alias("depth"))
+    rest = None
+    if many:
+        of_wide = cut_lineage(owned.join(wide, "user_id"))
+        chunk = F.pmod(F.xxhash64("product_id", F.lit("chunk")), F.col("chunks")).cast("int")
+        rows = rows.unionByName(of_wide.select("user_id", chunk.alias("chunk"), *item, F.lit(0).cast("long").alias("depth")))
+        own = F.struct(F.col("product_id").alias("a"), "n", "size", "depth")
+        rest = of_wide.where(F.col("depth").isNotNull()).select(
+            "user_id", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), own.alias("own"))
+    tasks = max(pair_tasks(owned), math.ceil(owned.count() / CELL_PAIRS))
+    lists = cut_lineage(rows.repartition(tasks, "user_id", "chunk").mapInArrow(_packer(types), _LISTS))
+    return lists, rest
+
+
+def _owner_rounds(rows: DataFrame, depths: DataFrame | int, wanted: Callable[[DataFrame, Callable], DataFrame],
+                  cell_items: int = CELL_ITEMS, best: bool = False, least: float = 0.0) -> DataFrame:
     """What ``wanted`` makes of the co-rating counts of ordered pairs ``a, b`` where ``a`` has a list, written.
 
-    The counts are ``a, cell, b, co, depth, size_a, size_b``, all of an owner's in one table.
+    The counts are ``a, cell, b, co, depth, size_a, size_b``, all of an owner's in one table; ``wanted`` gets them
+    and a function that tells a product's owners of the round.
 
     The lists' owners are those of ``depths`` or, with one depth for all, all products. A user's products
-    are shuffled as lists, once per owner among them, and become pairs only where these are counted. A
+    are shuffled as lists of bytes, once per owner among them, and become pairs only where these are counted. A
     product's pairs are cut into cells by how many its users will form. With ``best``, a cell gives its
-    first ``depth`` pairs only; pairs less similar than ``least`` are left out.
+    first ``depth`` pairs only, with their ``rank`` in the cell; pairs less similar than ``least`` are left out.
 
     Owners come in rounds, as many as keep the pairs of one within ``ROUND_PAIRS`` per row, and what
     is wanted of a round is written before the next, so the pairs of all are never on disk together.
     """
     rated = rows.where(F.col("user_id").isNotNull())
-    owned = (rated.withColumn("depth", F.lit(depths)) if isinstance(depths, int)
-             else rated.join(depths, "product_id", "left")).withColumn("depth", F.col("depth").cast("long"))
-    lists, wide = _packed(owned, cell_items, of_product)
-    formed = lists.select(F.size("items").cast("long").alias("degree"), F.explode("items").alias("own"))
-    formed = formed.where("own.depth is not null").select(F.col("own.b").alias("product_id"), "degree")
-    if wide is not None:
-        degrees = cut_lineage(wide.groupBy("user_id").agg(F.count("*").alias("degree")))
-        formed = formed.unionByName(wide.where("depth is not null").join(degrees, "user_id")
-                                    .select("product_id", "degree"))
-    formed = cut_lineage(formed.groupBy("product_id").agg(F.sum("degree").alias("formed")))
+    owned = cut_lineage(
+        (rated.withColumn("depth", F.lit(depths)) if isinstance(depths, int)
+         else rated.join(depths, "product_id", "left")).withColumn("depth", F.col("depth").cast("long")))
+    types = _types(rows)
+    lists, rest = _packed(owned, types, cell_items)
+    discard(owned)
+    degree = F.length("bs") / np.dtype(types["b"]).itemsize
+    formed = lists.select(degree.cast("long").alias("degree"), F.explode("owns").alias("own")).select("own.a", "degree")
+    if rest is not None:
+        rest = cut_lineage(rest)
+        parts_of_wide = lists.where("chunk >= 0")
+        formed = formed.unionByName(rest.join(parts_of_wide.select(
+            "user_id", "chunk", degree.cast("long").alias("degree")), ["user_id", "chunk"]).select("own.a", "degree"))
+    formed = cut_lineage(formed.groupBy("a").agg(F.sum("degree").alias("formed")))
     total, entries = formed.agg(F.sum("formed")).first()[0] or 0, rows.count()
     hot = cut_lineage(formed.where(F.col("formed") > CELL_PAIRS).select(
-        F.col("product_id").alias("a"), F.ceil(F.col("formed") / CELL_PAIRS).cast("int").alias("parts")))
+        "a", F.ceil(F.col("formed") / CELL_PAIRS).cast("int").alias("parts")))
+    no_hot = hot.isEmpty()
     rounds = max(1, math.ceil(total / max(LEAST_ROUND, ROUND_PAIRS * entries)))
     groups = max(pair_tasks(rows), math.ceil(total / rounds / CELL_PAIRS))
-    own = ("n", *of_product, "depth")
-    other = ("b", "n", *of_product)
-    counted = _cell_counts(of_product, best, least)
+    columns = ("a", "cell", "n", "size", "depth", "bs", "ns", "sizes")
 
     def part(k: int) -> DataFrame:
         def mine(product: Column) -> Column:
             return F.pmod(F.xxhash64(product, F.lit("round")), F.lit(rounds)) == k
 
-        met = lists.select("items", F.explode(F.filter(
-            "items", lambda x: x["depth"].isNotNull() & mine(x["b"]))).alias("own"))
-        if wide is not None:
-            item = F.struct(F.col("product_id").alias("b"), *own)
-            left = wide.where(F.col("depth").isNotNull() & mine(F.col("product_id"))).select(
-                "user_id", item.alias("own"))
-            right = wide.select("user_id", F.array(item).alias("items"))
-            many = pair_tasks(wide)
-            met = met.unionByName(left.repartition(many, "user_id").join(
-                right.repartition(many, "user_id"), "user_id").select("items", "own"))
-        # A product with several cells sends each of them its share of the list.
-        met = met.select("items", F.col("own.b").alias("a"), *[F.col(f"own.{c}").alias(c) for c in own])
-        met = met.join(hot, "a", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-        met = met.withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        met = met.withColumn("items", F.when(F.col("parts") == 1, F.col("items")).otherwise(F.filter(
-            "items", lambda x: F.pmod(F.xxhash64(x["b"]), F.col("parts")) == F.col("cell"))))
-        return (met.select(F.pmod(F.xxhash64("a", "cell"), F.lit(groups)).cast("int").alias("group"), "a", "cell",
-                           *own, *[F.col(f"items.{c}").alias(f"{c}s") for c in other])
-                .repartition(groups, "group").groupBy("group").applyInArrow(
-                    counted, "a long, cell int, b long, co long, depth long, "
-                    + ", ".join(f"{c}_{end} long" for c in of_product for end in "ab")))
-
-    written = [cut_lineage(wanted(part(k))) for k in range(rounds)]
-    for table in (lists, wide):
+        of_list = ("bs", "ns", "sizes")
+        met = lists.select(*of_list, F.explode(F.filter("owns", lambda x: mine(x["a"]))).alias("own"))
+        if rest is not None:
+            keys = ["user_id", "chunk"]
+            met = met.unionByName(rest.where(mine(F.col("own.a"))).repartition(groups, *keys).join(
+                parts_of_wide.select(*keys, *of_list).repartition(groups, *keys), keys).select(*of_list, "own"))
+        met = met.select("own.a", F.lit(0).alias("cell"), "own.n", "own.size", "own.depth", *of_list)
+        if not no_hot:
+            # One product in so many pairs at most: few. A product with several cells sends each its share of the list.
+            met = met.join(F.broadcast(hot), "a", "left")
+            met = met.where("parts is null").select(*columns).unionByName(
+                met.where("parts is not null").select(*columns, "parts").mapInArrow(
+                    _shares(types), "a long, cell int, n long, size long, depth long, bs binary, ns binary, sizes binary"))
+        out = "a long, cell int, b long, co long, depth long, size_a long, size_b long"
+        return wanted(met.repartition(groups, "a", "cell").mapInArrow(
+            _cell_counts(types, best, least), f"{out}, rank int" if best else out), mine)
+
+    written = [cut_lineage(part(k)) for k in range(rounds)]
+    for table in (lists, rest):
         if table is not None:
             discard(table)
-    return reduce(DataFrame.unionByName, written)
-
-
-def _cell_counts(of_product: tuple[str, ...], best: bool, least: float) -> Callable[[pa.Table], pa.Table]:
-    """Counts the pairs of the owners ``a, cell`` of a table with their users' lists."""
+    made = reduce(DataFrame.unionByName, written)
+    if not best or no_hot:
+        return made
+    several = made.join(F.broadcast(hot), "a", "left_semi").drop("rank")
+    return made.join(F.broadcast(hot), "a", "left_anti").unionByName(_ranked_to_depth(several).select(made.columns))
+
+
+def _shares(types: dict[str, str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Cuts every list into the shares of its owner's ``parts`` cells, by product."""
+    def cut(row: dict) -> Iterator[dict]:
+        parts = row.pop("parts")
+        found = [np.frombuffer(row[f"{c}s"], types[c]) for c in ("b", "n", "size")]
+        # Neighbouring numbers are spread; the same product has the same cell in every list.
+        spread = found[0].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        cell = (spread >> np.uint64(32)) % np.uint64(parts)
+        order = np.argsort(cell, kind="stable")
+        cells, begins = np.unique(cell[order], return_index=True)
+        for c, i, j in zip(cells, begins, np.append(begins, len(cell))[1:], strict=True):
+            yield row | {"cell": int(c)} | {f"{name}s": x[order[i:j]].tobytes()
+                                            for name, x in zip(("b", "n", "size"), found, strict=True)}
+
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            schema = pa.schema([field for field in batch.schema if field.name != "parts"])
+            for first in range(0, batch.num_rows, 256):
+                rows = [made for row in batch.slice(first, 256).to_pylist() for made in cut(row)]
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return share
+
+
+def _cell_counts(types: dict[str, str], best: bool, least: float
+                 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts the pairs of the owners ``a, cell`` of a partition with their users' lists."""
     # The functions stand by themselves, so workers need no copy of this package.
-    def sorted_places(owner: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """The order by ``owner``, then ``b``; as one key where both fit in it."""
-        low, high = (int(b.min()), int(b.max())) if len(b) else (0, 0)
-        width = high - low + 1
-        if len(b) and (int(owner.max()) + 1) * width < 1 << 62:
-            return np.argsort(owner * width + (b - low))
-        return np.lexsort((b, owner))
-
-    def count(table: pa.Table) -> pa.Table:
-        lists = table.column("bs").combine_chunks()
+    def values(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+        """All lists of a column end to end, and where each ends."""
+        kind, found, ends, done = np.dtype(types[name]), [], [], 0
+        for chunk in table.column(f"{name}s").chunks:
+            at = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset:chunk.offset + len(chunk) + 1]
+            found.append(np.frombuffer(chunk.buffers()[2], np.uint8)[at[0]:at[-1]].view(kind))
+            ends.append((at[1:].astype(np.int64) - at[0]) // kind.itemsize + done)
+            done += len(found[-1])
+        return np.concatenate(found), np.concatenate(ends)
+
+    def summed(owner: np.ndarray, b: np.ndarray, size: np.ndarray, co: np.ndarray
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """One row per owner and ``b``, in that order, with the sum of ``co``."""
+        low = int(b.min())
+        width, sizes, most = int(b.max()) - low + 1, int(size.max()).bit_length(), int(co.max()).bit_length()
+        if int(size.min()) >= 0 and int(co.min()) >= 0 and ((int(owner.max()) + 1) * width) << (sizes + most) < 1 << 62:
+            # All as one number, which is sorted fastest.
+            row = np.sort((((owner * width + (b - low)) << sizes | size) << most) | co)
+            pair = row >> most
+            first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+            co, pair = np.add.reduceat(row & ((1 << most) - 1), first), pair[first]
+            owner, b = np.divmod(pair >> sizes, width)
+            return owner, b + low, pair & ((1 << sizes) - 1), co
+        order = np.lexsort((b, owner))
+        owner, b, size, co = (x[order] for x in (owner, b, size, co))
+        first = np.flatnonzero(np.append(True, (np.diff(owner) != 0) | (np.diff(b) != 0)))
+        return owner[first], b[first], size[first], np.add.reduceat(co, first)
+
+    def first_places(owner: np.ndarray, strength: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of each owner that are its strongest, in order and with their ranks; equal ones by place."""
+        begins = np.flatnonzero(np.append(True, np.diff(owner) != 0))
+        ends = np.append(begins[1:], len(owner))
+        kept = np.ones(len(owner), bool)
+        for i in np.flatnonzero(ends - begins > 2 * depth[begins]):
+            mine, k = strength[begins[i]:ends[i]], depth[begins[i]]
+            kept[begins[i]:ends[i]] = mine >= np.partition(mine, len(mine) - k)[len(mine) - k]
+        at = np.flatnonzero(kept)
+        at = at[np.lexsort((-strength[at], owner[at]))]  # stable
+        begins = np.flatnonzero(np.append(True, np.diff(owner[at]) != 0))
+        place = np.arange(len(at)) - np.repeat(begins, np.diff(np.append(begins, len(at)))) + 1
+        inside = place <= depth[at]
+        return at[inside], place[inside]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = [batch for batch in batches if batch.num_rows]
+        if not batches:
+            return
+        table = pa.Table.from_batches(batches)
         # Owners are pairs of product and cell: the cells of a product share no ``b``.
-        a, cell = table.column("a").to_numpy(), table.column("cell").to_numpy()
+        a, cell, n_a, size_a, depth = (table.column(c).to_numpy() for c in ("a", "cell", "n", "size", "depth"))
         order = np.lexsort((cell, a))
-        new = np.append(True, (np.diff(a[order]) != 0) | (np.diff(cell[order]) != 0))[:len(a)]
-        owner = np.empty(len(a), np.int64)
-        owner[order] = np.cumsum(new) - 1
-        row = np.repeat(np.arange(len(a)), np.diff(lists.offsets.to_numpy()))
-        b = lists.flatten().to_numpy()
-        at = np.flatnonzero(a[row] != b)
-        at = at[sorted_places(owner[row[at]], b[at])]
-        row, b = row[at], b[at]
-
-        def mine(name: str) -> np.ndarray:
-            return table.column(name).to_numpy()
-
-        def others(name: str) -> np.ndarray:
-            return table.column(f"{name}s").combine_chunks().flatten().to_numpy()[at]
-
-        first = np.flatnonzero(np.append(True, (np.diff(owner[row]) != 0) | (np.diff(b) != 0))[:len(b)])
-        co = np.add.reduceat(mine("n")[row] * others("n"), first) if len(first) else np.zeros(0, np.int64)
-        row, b = row[first], b[first]
-        out = {"a": a[row], "cell": cell[row], "b": b, "co": co, "depth": mine("depth")[row]}
-        for c in of_product:
-            out |= {f"{c}_a": mine(c)[row], f"{c}_b": others(c)[first]}
+        new = np.append(True, (np.diff(a[order]) != 0) | (np.diff(cell[order]) != 0))
+        number = np.empty(len(a), np.int64)
+        number[order] = np.cumsum(new) - 1
+        of_owner = order[new]
+        (b, ends), (n_b, _), (size_b, _) = (values(table, c) for c in ("b", "n", "size"))
+        row = np.repeat(np.arange(len(a)), np.diff(np.append(0, ends)))
+        other = a[row] != b
+        row, b, n_b, size_b = row[other], b[other].astype(np.int64), n_b[other], size_b[other].astype(np.int64)
+        if not len(b):
+            return
+        owner, b, size_b, co = summed(number[row], b, size_b, n_a[row] * n_b.astype(np.int64))
         if best:
-            order = np.lexsort((-(co.astype(np.float64) * co / out["size_b"]), owner[row]))  # stable, so by b
-            starts = np.flatnonzero(np.append(True, np.diff(owner[row]) != 0)[:len(row)])
-            place = np.arange(len(row)) - np.repeat(starts, np.diff(np.append(starts, len(row))))
-            kept = order[place < out["depth"][order]]
-            out = {c: x[kept] for c, x in out.items()}
-        elif least > 0:
-            near = out["co"] > least * (1 - 1e-9) * np.sqrt(out["size_a"].astype(np.float64) * out["size_b"])
-            out = {c: x[near] for c, x in out.items()}
-        return pa.table({c: pa.array(x) for c, x in out.items()})
+            at, rank = first_places(owner, co.astype(np.float64) * co / size_b, depth[of_owner][owner])
+            more = [pa.array(rank.astype(np.int32))]
+        else:
+            near = co > least * (1 - 1e-9) * np.sqrt(size_a[of_owner][owner].astype(np.float64) * size_b)
+            at, more = np.flatnonzero(near) if least > 0 else np.arange(len(b)), []
+        of = of_owner[owner[at]]
+        made = pa.RecordBatch.from_arrays(
+            [*(pa.array(x) for x in (a[of], cell[of], b[at], co[at], depth[of], size_a[of], size_b[at])), *more],
+            ["a", "cell", "b", "co", "depth", "size_a", "size_b", *(["rank"] if best else [])])
+        for first in range(0, made.num_rows, 1 << 16):
+            yield made.slice(first, 1 << 16)
 
     return count
 
@@ -319,55 +444,64 @@ def _ranked_to_depth(counts: DataFrame) -> DataFrame:
     return topk_to_depth(counts, "a", "cell", _strongest(), "depth")
 
 
-def _ranked_cells(counts: DataFrame) -> DataFrame:
-    return _ranked_to_depth(counts).select("a", "b", "co", "size_a", "size_b", "rank")
+def _ranked_cells(counts: DataFrame, mine: Callable[[Column], Column]) -> DataFrame:
+    return counts
 
 
 def pair_sims(rows: DataFrame, keys: DataFrame, least: float = 0.0) -> DataFrame:
     """``product_id, rec_id, sim`` of the given pairs above ``least`` only, from ``user_items`` rows.
 
-    ``keys`` has distinct pairs ``product_id, rec_id``. The ratings of the less rated product
+    ``keys`` has pairs ``product_id, rec_id``, which may repeat. The ratings of the less rated product
     of a pair are looked up under the other one, so no other pairs are formed. Where the
-    users' own pairs are fewer than the ratings to look up, they are formed and the keys
+    users' own pairs take less work than the ratings to look up, they are formed and the keys
     picked from them; both ways give the same.
     """
-    sizes = cut_lineage(rows.groupBy("product_id").agg(F.max("size").alias("size")))
-    first = sizes.withColumnRenamed("size", "size_a")
-    second = sizes.select(F.col("product_id").alias("rec_id"), F.col("size").alias("size_b"))
-    fewer = F.col("size_a") <= F.col("size_b")
-    sized = (
-        keys.join(first, "product_id").join(second, "rec_id")
-        .withColumns({"few": F.when(fewer, F.col("product_id")).otherwise(F.col("rec_id")),
-                      "many": F.when(fewer, F.col("rec_id")).otherwise(F.col("product_id"))}))
-    lookups = sized.agg(F.sum(F.least("size_a", "size_b"))).first()[0] or 0
     per_user = rows.groupBy("user_id").agg(F.count("*").cast("double").alias("d"))
+    formed = per_user.agg(F.sum(F.col("d") * F.col("d"))).first()[0] or 0
     close = F.col("sim") > least
-    if (per_user.agg(F.sum(F.col("d") * F.col("d"))).first()[0] or 0) <= lookups:
-        if _forms_few(rows):
-            # Pairs and keys are dealt out alike, by the smaller and the larger product, and meet there.
-            one, two = F.col("product_id"), F.col("rec_id")
-            asked = keys.groupBy(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).agg(
-                F.bool_or(one < two).alias("up"), F.bool_or(one > two).alias("down"))
-            ways = F.array(F.when(F.col("up"), F.struct(F.col("a").alias("product_id"), F.col("b").alias("rec_id"))),
-                           F.when(F.col("down"), F.struct(F.col("b").alias("product_id"), F.col("a").alias("rec_id"))))
-            return (pair_counts(rows).join(asked, ["a", "b"])
-                    .select(F.explode(F.array_compact(ways)).alias("way"), cooccurrence_sim(
-                        F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim"))
-                    .select("way.product_id", "way.rec_id", "sim").where(close))
-        owners = cut_lineage(keys.select("product_id").distinct().withColumn("depth", F.lit(1)))
-        asked = keys.select(F.col("product_id").alias("a"), F.col("rec_id").alias("b"))
-        return _owner_rounds(rows, owners, lambda counts: counts.select("a", "b", cooccurrence_sim(
-            F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim")).where(close).join(asked, ["a", "b"]).select(
-                F.col("a").alias("product_id"), F.col("b").alias("rec_id"), "sim"), least=least)
-    sized = cut_lineage(sized)
-    few = rows.select(F.col("product_id").alias("few"), "user_id", F.col("n").alias("n_few"))
-    many = rows.select(F.col("product_id").alias("many"), "user_id", F.col("n").alias("n_many"))
-    return (sized.join(few, "few").join(many, ["many", "user_id"])
-            .groupBy("product_id", "rec_id", "size_a", "size_b")
-            .agg(F.sum(F.col("n_few") * F.col("n_many")).alias("co"))
-            .select("product_id", "rec_id",
-                    cooccurrence_sim(F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim"))
-            .where(close))
+    pair = ["product_id", "rec_id"]
+    asked_of = cut_lineage(keys.groupBy("product_id").agg(F.count("*").alias("asked")))
+    # Every pair takes a lookup at least.
+    if formed > LOOKUP_PAIRS * (asked_of.agg(F.sum("asked")).first()[0] or 0):
+        keys = cut_lineage(keys.distinct())
+        sizes = cut_lineage(rows.groupBy("product_id").agg(F.max("size").alias("size")))
+        first = sizes.withColumnRenamed("size", "size_a")
+        second = sizes.select(F.col("product_id").alias("rec_id"), F.col("size").alias("size_b"))
+        fewer = F.col("size_a") <= F.col("size_b")
+        sized = (
+            keys.join(first, "product_id").join(second, "rec_id")
+            .withColumns({"few": F.when(fewer, F.col("product_id")).otherwise(F.col("rec_id")),
+                          "many": F.when(fewer, F.col("rec_id")).otherwise(F.col("product_id"))}))
+        if formed > (sized.agg(F.sum(F.least("size_a", "size_b"))).first()[0] or 0):
+            sized = cut_lineage(sized)
+            few = rows.select(F.col("product_id").alias("few"), "user_id", F.col("n").alias("n_few"))
+            many = rows.select(F.col("product_id").alias("many"), "user_id", F.col("n").alias("n_many"))
+            return (sized.join(few, "few").join(many, ["many", "user_id"])
+                    .groupBy("product_id", "rec_id", "size_a", "size_b")
+                    .agg(F.sum(F.col("n_few") * F.col("n_many")).alias("co"))
+                    .select("product_id", "rec_id",
+                            cooccurrence_sim(F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim"))
+                    .where(close))
+    if formed <= LEAST_ROUND:
+        # Pairs and keys are dealt out alike, by the smaller and the larger product, and meet there.
+        one, two = F.col("product_id"), F.col("rec_id")
+        asked = keys.groupBy(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).agg(
+            F.bool_or(one < two).alias("up"), F.bool_or(one > two).alias("down"))
+        ways = F.array(F.when(F.col("up"), F.struct(F.col("a").alias("product_id"), F.col("b").alias("rec_id"))),
+                       F.when(F.col("down"), F.struct(F.col("b").alias("product_id"), F.col("a").alias("rec_id"))))
+        return (pair_counts(rows).join(asked, ["a", "b"])
+                .select(F.explode(F.array_compact(ways)).alias("way"), cooccurrence_sim(
+                    F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim"))
+                .select("way.product_id", "way.rec_id", "sim").where(close))
+    owners = asked_of.select("product_id", F.lit(1).alias("depth"))
+
+    def asked_for(counts: DataFrame, mine: Callable[[Column], Column]) -> DataFrame:
+        # Few counts are close; each round meets its own keys only.
+        near = counts.select(F.col("a").alias("product_id"), F.col("b").alias("rec_id"), cooccurrence_sim(
+            F.col("co"), F.col("size_a"), F.col("size_b")).alias("sim")).where(close)
+        return keys.where(mine(F.col("product_id"))).join(near, pair).groupBy(pair).agg(F.first("sim").alias("sim"))
+
+    return _owner_rounds(rows, owners, asked_for, least=least)
 
 
 def _with_heavy(rows: DataFrame, heavy: DataFrame, k: int | None, cell_items: int,

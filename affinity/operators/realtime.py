@@ -65,10 +65,10 @@ def deep_lists(ratings: DataFrame, depths: DataFrame, rows: DataFrame | None = N
 
 
 def scoring_keys(candidates: DataFrame, recent: DataFrame) -> DataFrame:
-    """``product_id, rec_id``: the pairs of candidate and recently rated product that occur."""
+    """``product_id, rec_id``: the pairs of candidate and recently rated product, once for every user and rating."""
     return (candidates.select("user_id", "product_id")
             .join(recent.select("user_id", F.col("product_id").alias("rec_id")), "user_id")
-            .where("product_id <> rec_id").select("product_id", "rec_id").distinct())
+            .where("product_id <> rec_id").select("product_id", "rec_id"))
 
 
 def candidate_parts(candidates: DataFrame, recent: DataFrame, rows: DataFrame) -> list[DataFrame]:

@@ -18,7 +18,7 @@ from affinity.operators import als, content, itemcf, realtime, search, stats, to
 from affinity.plans import feeds
 from affinity.schemas import (AVERAGE_PRODUCTS, CONTENT_RECS, ITEMCF_RECS, RATING, SIM_THRESHOLD,
                               USER_RECS)
-from affinity.session import cut_lineage, discard, scratch_dir
+from affinity.session import cut_lineage, discard, hashed_joins, scratch_dir
 from affinity.sources import files, star, tables
 from affinity.streaming import queue, recs, tracking
 
@@ -447,13 +447,17 @@ def realtime_scores(spark, d):
 
 def _order_candidates(spark, d):
     """Inputs and candidates on the order tables, without a table of all pairs."""
-    ratings = star.ratings_orders(spark, d)
+    ratings = cut_lineage(star.ratings_orders(spark, d))
     recent, rated = (cut_lineage(df) for df in realtime.realtime_inputs(ratings))
     current = realtime.newest_rating(recent)
     rows = itemcf.user_items(ratings)
+    discard(ratings)
     lists = cut_lineage(realtime.deep_lists(ratings, cut_lineage(
         realtime.list_depths(current, rated)), rows))
-    return rows, recent, cut_lineage(realtime.realtime_candidates(current, lists, rated))
+    candidates = cut_lineage(realtime.realtime_candidates(current, lists, rated))
+    for table in (lists, rated):
+        discard(table)
+    return rows, recent, candidates
 
 
 @query
@@ -464,13 +468,10 @@ def realtime_candidates_orders(spark, d):
 @query
 def realtime_scores_orders(spark, d):
     rows, recent, candidates = _order_candidates(spark, d)
-    scores = []
-    for part in realtime.candidate_parts(candidates, recent, rows):
-        keys = cut_lineage(realtime.scoring_keys(part, recent))
-        sims = cut_lineage(itemcf.pair_sims(rows, keys, _ORDER_THRESHOLD))
-        discard(keys)
-        scores.append(cut_lineage(realtime.realtime_scores(part, recent, sims, _ORDER_THRESHOLD)))
-        discard(sims)
+    with hashed_joins(spark):
+        sims = cut_lineage(itemcf.pair_sims(rows, realtime.scoring_keys(candidates, recent), _ORDER_THRESHOLD))
+        scores = [cut_lineage(realtime.realtime_scores(part, recent, sims, _ORDER_THRESHOLD))
+                  for part in realtime.candidate_parts(candidates, recent, rows)]
     return realtime.ranked_scores(reduce(DataFrame.unionByName, scores))
 
 

@@ -289,3 +289,48 @@ def test_written_stages_leave_no_shuffle_files(ratings):
     before = files()
     cut_lineage(df.groupBy("product_id").count())
     assert files() <= before
+
+
+def test_a_round_meets_its_own_keys_only(ratings, monkeypatch):
+    """Repeated keys, owners in rounds and products in cells: the same as all pairs, and no round reads all keys."""
+    df = ratings(skewed(9))
+    every = {(r.product_id, r.rec_id): r.sim for r in itemcf.itemcf_pairs(df).collect()}
+    keys = df.sparkSession.createDataFrame([*every, *list(every)[::2], (1000, 1)], "product_id long, rec_id long")
+    rows = itemcf.user_items(df)
+    monkeypatch.setattr(itemcf, "LOOKUP_PAIRS", 1000)
+    plans, write = [], itemcf.cut_lineage
+
+    def noted(made):
+        if made.columns == ["product_id", "rec_id", "sim"]:
+            plans.append(made._jdf.queryExecution().optimizedPlan().toString())
+        return write(made)
+
+    monkeypatch.setattr(itemcf, "cut_lineage", noted)
+    monkeypatch.setattr(itemcf, "LEAST_ROUND", 200)
+    monkeypatch.setattr(itemcf, "ROUND_PAIRS", 1)
+    monkeypatch.setattr(itemcf, "CELL_PAIRS", 50)
+    for least in (0.0, 0.3):
+        got = [tuple(r) for r in itemcf.pair_sims(rows, keys, least).collect()]
+        assert {r[:2]: r[2] for r in got} == pytest.approx({k: s for k, s in every.items() if s > least})
+        assert len(got) == len({r[:2] for r in got})
+    assert len(plans) > 6
+    assert all("pmod(xxhash64(product_id" in plan for plan in plans)
+
+
+def test_repeated_keys_are_looked_up_once(ratings):
+    df = ratings(skewed(10))
+    every = {(r.product_id, r.rec_id): r.sim for r in itemcf.itemcf_pairs(df).collect()}
+    asked = sorted(every)[:3]
+    keys = df.sparkSession.createDataFrame(asked * 3, "product_id long, rec_id long")
+    got = [tuple(r) for r in itemcf.pair_sims(itemcf.user_items(df), keys).collect()]
+    assert len(got) == 3 and {r[:2]: r[2] for r in got} == pytest.approx({k: every[k] for k in asked})
+
+
+@pytest.mark.parametrize("spread", [(1, 0), (1 << 33, -5), (1 << 58, -(1 << 62)), (-3, 0)])
+def test_lists_of_large_and_negative_products(ratings, monkeypatch, spread):
+    times, plus = spread
+    data = [(u, p * times + plus, *rest) for u, p, *rest in skewed(11) if p < 30]
+    monkeypatch.setattr(itemcf, "LEAST_ROUND", 200)
+    monkeypatch.setattr(itemcf, "CELL_PAIRS", 100)
+    for cell in (8, 1024):
+        assert flat(itemcf.itemcf_topk(ratings(data), 5, min_heavy_items=1000, cell_items=cell)) == pytest.approx(brute(data, 5))
